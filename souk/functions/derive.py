@@ -47,7 +47,7 @@ def price_sum(c: str | Column = "price") -> Column:
 def exact_mean(c: str | Column, dec=PRICE_DECIMAL) -> Column:
     """Mean over non-null values: exact decimal sum / count, as double."""
     x = _col(c)
-    return F.sum(x.try_cast(dec)).cast("double") / F.count(x)
+    return F.try_divide(F.sum(x.try_cast(dec)).cast("double"), F.count(x))
 
 
 def age_band(c: str | Column = "age") -> Column:

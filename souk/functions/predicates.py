@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import (
     DUMMY_CATEGORY_PATTERN,
@@ -78,6 +79,13 @@ def numeric_text(c: str | Column) -> Column:
     return col.rlike(NUMERIC_TEXT_PATTERN)
 
 
-def non_empty(c: str) -> Column:
-    """Skip empty group keys and values: not null and not ''."""
+def non_empty(c: str, dtype: T.DataType | None = None) -> Column:
+    """Skip empty group keys and values: not null, and for text not ''."""
+    if dtype is not None and not isinstance(dtype, T.StringType):
+        return F.col(c).isNotNull()
     return present(c)
+
+
+def customer_present() -> Column:
+    """Customer id not null / empty / ``NA``."""
+    return present("customer_id", ("", MISSING_MARKER))

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.derive import exact_mean, money, price_bucket, price_sum, qty_sum, safe_div, spend_decimal
-from ..functions.predicates import non_empty
+from ..functions.derive import exact_mean, money, price_bucket, qty_sum, safe_div, spend_decimal
+from ..functions.predicates import customer_present, non_empty
 from ..schema import BUCKET_HI, BUCKET_LO, HIGH_PRICE, PRICE_DECIMAL, QTY_DECIMAL
 from .topn import top_n
 
@@ -144,7 +144,7 @@ def payment_behavior(tx: DataFrame) -> DataFrame:
 def top_customers_by_quantity(tx: DataFrame, n: int = 10) -> DataFrame:
     """Customers with the most items (ties by id); missing ids skipped."""
     per = (
-        tx.filter(non_empty("customer_id"))
+        tx.filter(customer_present())
         .groupBy("customer_id")
         .agg(F.coalesce(qty_sum("quantity"), F.lit(0.0)).alias("total_quantity"))
     )
@@ -197,8 +197,3 @@ def signals_ranked(tx: DataFrame, n: int = 10) -> DataFrame:
         money("avg_spend_per_tx").alias("value"),
     )
     return simple.unionByName(cats)
-
-
-def price_sum_by(tx: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Helper: exact price sum per key (used by checks)."""
-    return tx.groupBy(*keys).agg(price_sum("price").alias("price_sum"))

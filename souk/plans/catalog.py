@@ -12,10 +12,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from . import oracle as O
+from ..functions.cleaning import trim_strings
 from ..operators import clean as C
+from ..operators import clusters as CL
+from ..operators import freq as F_
+from ..operators import joins as J
 from ..operators import kpis as K
-from ..sources.fixture import transactions_raw
+from ..operators import layout as L
+from ..operators import model as M
+from ..operators import sampling as S
+from ..schema import RAW_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
+from ..session import scratch_path
+from ..sources import io
+from ..sources.fixture import read_table, transactions_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +103,564 @@ def q_customer_summary(spark, sf_dir):
 )
 def q_bucket_counts(spark, sf_dir):
     return K.bucket_counts(K.customer_summary(silver(spark, sf_dir)))
+
+
+def trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trim_strings(raw(spark, sf_dir))
+
+
+def _sql(ctes: str, *extra: str, body: str) -> str:
+    """``ctes`` is one of the ``W_*`` prefixes; ``extra`` adds CTEs."""
+    head = ctes.rstrip()
+    for e in extra:
+        head += "," + e
+    return head + "\n" + body
+
+
+@register("cleaned_fields", O.W_FIELDS + "SELECT * FROM fields")
+def q_cleaned_fields(spark, sf_dir):
+    return C.clean_fields(raw(spark, sf_dir))
+
+
+@register(
+    "cleaning_preview",
+    O.W_FIELDS
+    + "SELECT * FROM fields ORDER BY "
+    + ", ".join(f"{c} NULLS FIRST" for c in RAW_COLUMNS)
+    + " LIMIT 10",
+)
+def q_cleaning_preview(spark, sf_dir):
+    return C.preview(C.clean_fields(raw(spark, sf_dir)), 10, ["invoice_no"])
+
+
+@register("transactions_skinny", O.W_FIELDS + "SELECT invoice_no, customer_id, category, quantity, price FROM fields")
+def q_transactions_skinny(spark, sf_dir):
+    return C.skinny_transactions(C.clean_fields(raw(spark, sf_dir)))
+
+
+@register("customer_demographics", O.W_TRIMMED + "SELECT DISTINCT customer_id, gender, age FROM trimmed")
+def q_customer_demographics(spark, sf_dir):
+    return C.customer_demographics(trimmed(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# sources and sinks (write to a fresh folder under the checkpoint dir, read back)
+# --------------------------------------------------------------------------
+
+
+@register("csv_scan", O.W_RAW + "SELECT * FROM raw")
+def q_csv_scan(spark, sf_dir):
+    path = scratch_path(spark, "csv_scan")
+    io.write_table(raw(spark, sf_dir), path, fmt="csv")
+    return io.read_transactions(spark, path)
+
+
+@register("tsv_roundtrip", O.W_CLEAN + "SELECT * FROM clean")
+def q_tsv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "tsv")
+    io.write_table(silver(spark, sf_dir), path, fmt="tsv")
+    return io.read_table(spark, path, fmt="tsv", schema=SILVER_SCHEMA)
+
+
+ROUNDTRIP_YEAR = 1996
+_YEAR_SQL = f"year_month >= '{ROUNDTRIP_YEAR}-01' AND year_month < '{ROUNDTRIP_YEAR + 1}-01'"
+
+
+def _read_silver(spark, path):
+    return io.read_table(spark, path, "parquet", schema=SILVER_SCHEMA).select(*SILVER_COLUMNS)
+
+
+@register("silver_roundtrip", O.W_CLEAN + f"SELECT * FROM clean WHERE {_YEAR_SQL}")
+def q_silver_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "silver")
+    io.write_silver(silver(spark, sf_dir).filter(L.year_filter(ROUNDTRIP_YEAR)), path)
+    return _read_silver(spark, path)
+
+
+_DYN_NEW = f"{_YEAR_SQL} AND invoice_month <= 6 AND quantity <= 25"
+
+
+@register(
+    "dynamic_overwrite",
+    _sql(
+        O.W_CLEAN,
+        f"\nnew_rows AS (SELECT * FROM clean WHERE {_DYN_NEW})",
+        body=f"""SELECT * FROM new_rows UNION ALL
+SELECT * FROM clean c WHERE {_YEAR_SQL} AND NOT EXISTS (
+  SELECT 1 FROM new_rows n WHERE n.year_month = c.year_month AND n.shopping_mall = c.shopping_mall)""",
+    ),
+)
+def q_dynamic_overwrite(spark, sf_dir):
+    """Write one year, then overwrite dynamically with a subset of its first
+    half: partitions in the subset are replaced, all others stay."""
+    path = scratch_path(spark, "dynamic")
+    s = silver(spark, sf_dir).filter(L.year_filter(ROUNDTRIP_YEAR))
+    io.write_silver(s, path)
+    new_rows = s.filter((F.col("invoice_month") <= 6) & (F.col("quantity") <= 25))
+    io.write_silver(new_rows, path, mode="overwrite", overwrite="dynamic")
+    return _read_silver(spark, path)
+
+
+@register(
+    "mod_bucket_counts",
+    "SELECT CAST((rn - 1) % 10 AS BIGINT) AS bucket, COUNT(*) AS c "
+    "FROM (SELECT row_number() OVER () AS rn FROM lineitem) GROUP BY 1",
+)
+def q_mod_bucket_counts(spark, sf_dir):
+    """Numbers 0..n-1 for the n lineitem rows, bucketed by SQL text."""
+    n = read_table(spark, sf_dir, "lineitem").count()
+    return F_.mod_bucket_counts(spark, io.number_source(spark, n), 10)
+
+
+@register("file_profile")
+def q_file_profile(spark, sf_dir):
+    path = scratch_path(spark, "profile")
+    io.write_table(raw(spark, sf_dir), path, fmt="csv")
+    return io.file_profile(spark, path)
+
+
+# --------------------------------------------------------------------------
+# gold: months, categories, distributions, signals
+# --------------------------------------------------------------------------
+
+
+def _monthly_sql(src: str) -> str:
+    return f"SELECT year_month, COUNT(*) AS tx_count, {O.PRICE_MEAN} AS avg_price FROM {src} GROUP BY year_month"
+
+
+@register("monthly_summary", O.W_CLEAN + _monthly_sql("clean"))
+def q_monthly_summary(spark, sf_dir):
+    return K.monthly_summary(silver(spark, sf_dir))
+
+
+@register("monthly_summary_raw", O.W_PARSED + _monthly_sql("parsed"))
+def q_monthly_summary_raw(spark, sf_dir):
+    return K.monthly_summary(parsed(spark, sf_dir))
+
+
+def _category_cte(src: str) -> str:
+    return f"""
+cat AS (
+SELECT category, COUNT(*) AS tx, coalesce({O.SPEND_SUM}, 0.0) AS total_spend
+FROM {src} WHERE category IS NOT NULL AND category <> '' GROUP BY category),
+cat_avg AS (SELECT category, tx, total_spend, total_spend / tx AS avg_spend_per_tx FROM cat)"""
+
+
+@register("category_avg_spend", _sql(O.W_CLEAN, _category_cte("clean"), body="SELECT * FROM cat_avg"))
+def q_category_avg_spend(spark, sf_dir):
+    return K.category_avg_spend(silver(spark, sf_dir))
+
+
+@register("category_avg_spend_raw", _sql(O.W_PARSED, _category_cte("parsed"), body="SELECT * FROM cat_avg"))
+def q_category_avg_spend_raw(spark, sf_dir):
+    return K.category_avg_spend(parsed(spark, sf_dir))
+
+
+@register(
+    "category_top10",
+    _sql(O.W_CLEAN, _category_cte("clean"), body="SELECT * FROM cat_avg ORDER BY avg_spend_per_tx DESC, category LIMIT 10"),
+)
+def q_category_top10(spark, sf_dir):
+    return K.category_top(silver(spark, sf_dir), 10)
+
+
+def _dist_row(col: str) -> str:
+    return (
+        f"SELECT '{col}' AS feature, COUNT({col}) AS count, {O.mean_pd(col)} AS mean, "
+        f"round(stddev_pop({col}), 6) AS stddev, CAST(min({col}) AS DOUBLE) AS min, "
+        f"CAST(max({col}) AS DOUBLE) AS max FROM parsed"
+    )
+
+
+@register("numeric_distributions", O.W_PARSED + _dist_row("quantity") + "\nUNION ALL\n" + _dist_row("price"))
+def q_numeric_distributions(spark, sf_dir):
+    return K.numeric_distributions(parsed(spark, sf_dir))
+
+
+@register(
+    "signals_ranked",
+    _sql(
+        O.W_PARSED,
+        _category_cte("parsed"),
+        body=f"""SELECT 'quantity_mean' AS signal, 'simple' AS kind, round({O.mean_pd('quantity')}, 2) AS value FROM parsed
+UNION ALL SELECT 'price_mean', 'simple', round({O.mean_pd('price')}, 2) FROM parsed
+UNION ALL SELECT * FROM (SELECT category, 'category_avg_spend', round(avg_spend_per_tx, 2) FROM cat_avg
+                         ORDER BY avg_spend_per_tx DESC, category LIMIT 10)""",
+    ),
+)
+def q_signals_ranked(spark, sf_dir):
+    return K.signals_ranked(parsed(spark, sf_dir), 10)
+
+
+# --------------------------------------------------------------------------
+# gold: baskets, bands, payments
+# --------------------------------------------------------------------------
+
+_BASKET_KEYS = "invoice_no, customer_id, shopping_mall, year_month"
+
+
+@register(
+    "invoice_baskets",
+    O.W_CLEAN
+    + f"""SELECT {_BASKET_KEYS}, {O.SPEND_SUM} AS basket_spend, {O.QTY_SUM} AS basket_items,
+       COUNT(DISTINCT category) AS basket_category_count
+FROM clean GROUP BY {_BASKET_KEYS}""",
+)
+def q_invoice_baskets(spark, sf_dir):
+    return K.invoice_baskets(silver(spark, sf_dir))
+
+
+@register(
+    "mall_month_extended",
+    _sql(
+        O.W_CLEAN,
+        f"""
+b AS (SELECT {_BASKET_KEYS}, SUM(TRY_CAST(quantity AS {O.QD}) * TRY_CAST(price AS {O.PD_WIDE})) AS s,
+             SUM(TRY_CAST(quantity AS {O.QD})) AS i
+      FROM clean GROUP BY {_BASKET_KEYS}),
+m AS (SELECT shopping_mall, year_month, CAST(CAST(SUM(s) AS VARCHAR) AS DOUBLE) AS total_revenue,
+             COUNT(*) AS num_invoices, CAST(CAST(SUM(i) AS VARCHAR) AS DOUBLE) AS items
+      FROM b GROUP BY shopping_mall, year_month)""",
+        body="""SELECT shopping_mall, year_month, total_revenue, num_invoices,
+       total_revenue / num_invoices AS avg_basket_value, items / num_invoices AS avg_basket_items FROM m""",
+    ),
+)
+def q_mall_month_extended(spark, sf_dir):
+    return K.mall_month_extended(silver(spark, sf_dir))
+
+
+@register(
+    "age_band_category",
+    O.W_CLEAN
+    + f"SELECT age_band, category, {O.SPEND_SUM} AS total_revenue, {O.QTY_SUM} AS items_sold "
+    "FROM clean GROUP BY age_band, category",
+)
+def q_age_band_category(spark, sf_dir):
+    return K.age_band_category(silver(spark, sf_dir))
+
+
+@register(
+    "payment_behavior",
+    O.W_CLEAN
+    + f"SELECT shopping_mall, age_band, payment_method, {O.SPEND_SUM} AS total_revenue "
+    "FROM clean GROUP BY shopping_mall, age_band, payment_method",
+)
+def q_payment_behavior(spark, sf_dir):
+    return K.payment_behavior(silver(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# malls: counts, revenue layouts, pruning, dimension joins
+# --------------------------------------------------------------------------
+
+
+@register("mall_counts", O.W_CLEAN + "SELECT shopping_mall, COUNT(*) AS count FROM clean GROUP BY shopping_mall")
+def q_mall_counts(spark, sf_dir):
+    return F_.mall_counts(silver(spark, sf_dir))
+
+
+_MALL_REVENUE_SQL = O.W_CLEAN + f"SELECT shopping_mall, {O.SPEND_SUM} AS total_revenue FROM clean GROUP BY shopping_mall"
+
+
+@register("mall_revenue", _MALL_REVENUE_SQL)
+def q_mall_revenue(spark, sf_dir):
+    return L.mall_revenue(silver(spark, sf_dir))
+
+
+@register("mall_revenue_repartitioned", _MALL_REVENUE_SQL)
+def q_mall_revenue_repartitioned(spark, sf_dir):
+    return L.mall_revenue(silver(spark, sf_dir), repartition=8)
+
+
+_MM_SQL = f"SELECT shopping_mall, year_month, {O.SPEND_SUM} AS total_revenue FROM clean"
+
+
+@register("mall_month_revenue", O.W_CLEAN + _MM_SQL + " GROUP BY shopping_mall, year_month")
+def q_mall_month_revenue(spark, sf_dir):
+    return L.mall_month_revenue(silver(spark, sf_dir))
+
+
+@register("mall_month_revenue_year", O.W_CLEAN + _MM_SQL + f" WHERE {_YEAR_SQL} GROUP BY shopping_mall, year_month")
+def q_mall_month_revenue_year(spark, sf_dir):
+    return L.mall_month_revenue(silver(spark, sf_dir), year=ROUNDTRIP_YEAR)
+
+
+_DIM_CTE = "\ndim AS (SELECT DISTINCT shopping_mall, 'General' AS mall_segment FROM clean)"
+
+
+@register("mall_dimension", _sql(O.W_CLEAN, _DIM_CTE, body="SELECT * FROM dim"))
+def q_mall_dimension(spark, sf_dir):
+    return J.mall_dimension(silver(spark, sf_dir))
+
+
+_JOIN_SQL = _sql(O.W_CLEAN, _DIM_CTE, body="SELECT clean.*, dim.mall_segment FROM clean LEFT JOIN dim USING (shopping_mall)")
+
+
+@register("mall_join_regular", _JOIN_SQL)
+def q_mall_join_regular(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return J.join_mall_dim(s, J.mall_dimension(s), strategy="merge")
+
+
+@register("mall_join_broadcast", _JOIN_SQL)
+def q_mall_join_broadcast(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return J.join_mall_dim(s, J.mall_dimension(s), strategy="broadcast")
+
+
+# --------------------------------------------------------------------------
+# frequency tables and top-N
+# --------------------------------------------------------------------------
+
+
+def _freq_sql(col: str, where: str | None = None) -> str:
+    cond = where or f"{col} IS NOT NULL AND {col} <> ''"
+    return O.W_TRIMMED + f"SELECT {col}, COUNT(*) AS count FROM trimmed WHERE {cond} GROUP BY {col}"
+
+
+for _col in ("category", "payment_method", "gender", "shopping_mall"):
+
+    def _freq(spark, sf_dir, _c=_col):
+        return F_.frequency(trimmed(spark, sf_dir), _c)
+
+    register(f"freq_{_col}", _freq_sql(_col))(_freq)
+
+
+@register("top5_ages", _freq_sql("age", "age IS NOT NULL") + " ORDER BY count DESC, age LIMIT 5")
+def q_top5_ages(spark, sf_dir):
+    return F_.top_values(trimmed(spark, sf_dir), "age", 5)
+
+
+@register("top5_malls", _freq_sql("shopping_mall") + " ORDER BY count DESC, shopping_mall LIMIT 5")
+def q_top5_malls(spark, sf_dir):
+    return F_.top_values(trimmed(spark, sf_dir), "shopping_mall", 5)
+
+
+@register(
+    "top_customers_by_quantity",
+    O.W_PARSED
+    + f"SELECT customer_id, coalesce({O.QTY_SUM}, 0.0) AS total_quantity FROM parsed WHERE {O.CUSTOMER_OK} "
+    "GROUP BY customer_id ORDER BY total_quantity DESC, customer_id LIMIT 10",
+)
+def q_top_customers_by_quantity(spark, sf_dir):
+    return K.top_customers_by_quantity(parsed(spark, sf_dir), 10)
+
+
+@register(
+    "customer_counts",
+    O.W_TRIMMED + f"SELECT customer_id, COUNT(*) AS count FROM trimmed WHERE {O.CUSTOMER_OK} GROUP BY customer_id",
+)
+def q_customer_counts(spark, sf_dir):
+    return F_.customer_counts(trimmed(spark, sf_dir))
+
+
+@register(
+    "top_customers_with_gender",
+    _sql(
+        O.W_TRIMMED,
+        f"\nb AS (SELECT customer_id, gender, invoice_no FROM trimmed WHERE {O.CUSTOMER_OK})",
+        "\nc AS (SELECT customer_id, COUNT(*) AS count FROM b GROUP BY customer_id)",
+        """
+g AS (SELECT customer_id, gender FROM (
+        SELECT customer_id, gender, row_number() OVER (
+          PARTITION BY customer_id ORDER BY invoice_no NULLS FIRST, gender NULLS FIRST) AS rn FROM b)
+      WHERE rn = 1)""",
+        body="SELECT c.customer_id, c.count, g.gender FROM c JOIN g USING (customer_id) "
+        "ORDER BY c.count DESC, c.customer_id LIMIT 10",
+    ),
+)
+def q_top_customers_with_gender(spark, sf_dir):
+    return F_.top_customers_with_gender(trimmed(spark, sf_dir), 10)
+
+
+# --------------------------------------------------------------------------
+# data-quality profile
+# --------------------------------------------------------------------------
+
+
+def _missing_sql() -> str:
+    parts = []
+    for c in RAW_COLUMNS:
+        miss = f"{c} IS NULL" if c == "age" else f"{c} IS NULL OR {c} = ''"
+        parts.append(
+            f"SELECT '{c}' AS field, COUNT(*) AS rows, "
+            f"CAST(SUM(CASE WHEN {miss} THEN 1 ELSE 0 END) AS BIGINT) AS missing FROM trimmed"
+        )
+    return O.W_TRIMMED + "\nUNION ALL\n".join(parts)
+
+
+@register("missing_fields", _missing_sql())
+def q_missing_fields(spark, sf_dir):
+    return F_.missing_fields(trimmed(spark, sf_dir))
+
+
+@register(
+    "duplicate_invoices",
+    O.W_TRIMMED + "SELECT invoice_no, COUNT(*) AS count FROM trimmed WHERE invoice_no IS NOT NULL AND invoice_no <> '' "
+    "GROUP BY invoice_no HAVING COUNT(*) > 1",
+)
+def q_duplicate_invoices(spark, sf_dir):
+    return F_.duplicate_keys(trimmed(spark, sf_dir), "invoice_no")
+
+
+# --------------------------------------------------------------------------
+# clusters over the category/customer edge list
+# --------------------------------------------------------------------------
+
+MIN_CLUSTER = 1000
+_EDGES = "\ne AS (SELECT category, customer_id FROM trimmed)"
+_EC = f"\nec AS (SELECT category, COUNT(*) AS count FROM e GROUP BY category HAVING COUNT(*) >= {MIN_CLUSTER})"
+_ET = "\net AS (SELECT * FROM e WHERE category IN (SELECT category FROM ec))"
+
+
+def edges(spark, sf_dir):
+    return CL.category_customer_edges(trimmed(spark, sf_dir))
+
+
+def kept_edges(spark, sf_dir):
+    e = edges(spark, sf_dir)
+    return CL.threshold_edges(e, CL.entity_counts(e, MIN_CLUSTER))
+
+
+@register("category_customer_edges", _sql(O.W_TRIMMED, _EDGES, body="SELECT * FROM e"))
+def q_category_customer_edges(spark, sf_dir):
+    return edges(spark, sf_dir)
+
+
+@register("entity_counts", _sql(O.W_TRIMMED, _EDGES, _EC, body="SELECT * FROM ec"))
+def q_entity_counts(spark, sf_dir):
+    return CL.entity_counts(edges(spark, sf_dir), MIN_CLUSTER)
+
+
+@register("edges_thresholded", _sql(O.W_TRIMMED, _EDGES, _EC, _ET, body="SELECT * FROM et"))
+def q_edges_thresholded(spark, sf_dir):
+    return kept_edges(spark, sf_dir)
+
+
+@register(
+    "cluster_sizes",
+    _sql(O.W_TRIMMED, _EDGES, _EC, _ET, body="SELECT category, COUNT(*) AS count FROM et GROUP BY category"),
+)
+def q_cluster_sizes(spark, sf_dir):
+    return CL.cluster_sizes(kept_edges(spark, sf_dir))
+
+
+_CP = r"""
+cp AS (SELECT category AS entity, CAST(price AS DOUBLE) AS price FROM trimmed
+       WHERE regexp_matches(price, '^[0-9]+(\.[0-9]+)?$'))"""
+
+
+@register("category_prices", _sql(O.W_TRIMMED, _CP, body="SELECT * FROM cp"))
+def q_category_prices(spark, sf_dir):
+    return CL.category_prices(trimmed(spark, sf_dir))
+
+
+@register(
+    "cluster_outcomes",
+    _sql(
+        O.W_TRIMMED,
+        _CP,
+        body=f"SELECT entity, COUNT(price) AS count, {O.mean_pd('price')} AS mean, median(price) AS median "
+        "FROM cp GROUP BY entity",
+    ),
+)
+def q_cluster_outcomes(spark, sf_dir):
+    return CL.cluster_outcomes(CL.category_prices(trimmed(spark, sf_dir)))
+
+
+_T30C = "\nt30c AS (SELECT category, COUNT(*) AS count FROM et GROUP BY category ORDER BY count DESC, category LIMIT 30)"
+_T30O = "\nt30o AS (SELECT category, COUNT(*) AS count FROM e GROUP BY category ORDER BY count DESC, category LIMIT 30)"
+
+
+@register("top30_clusters", _sql(O.W_TRIMMED, _EDGES, _EC, _ET, _T30C, body="SELECT * FROM t30c"))
+def q_top30_clusters(spark, sf_dir):
+    return CL.top_entities(kept_edges(spark, sf_dir), 30)
+
+
+@register("top30_overall", _sql(O.W_TRIMMED, _EDGES, _T30O, body="SELECT * FROM t30o"))
+def q_top30_overall(spark, sf_dir):
+    return CL.top_entities(edges(spark, sf_dir), 30)
+
+
+@register(
+    "top30_diff",
+    _sql(
+        O.W_TRIMMED,
+        _EDGES,
+        _EC,
+        _ET,
+        _T30C,
+        _T30O,
+        body="""SELECT category, count, '<' AS side FROM (SELECT * FROM t30c EXCEPT ALL SELECT * FROM t30o)
+UNION ALL SELECT category, count, '>' AS side FROM (SELECT * FROM t30o EXCEPT ALL SELECT * FROM t30c)""",
+    ),
+)
+def q_top30_diff(spark, sf_dir):
+    return CL.top_diff(CL.top_entities(kept_edges(spark, sf_dir), 30), CL.top_entities(edges(spark, sf_dir), 30))
+
+
+@register(
+    "edge_nodes",
+    _sql(
+        O.W_TRIMMED,
+        _EDGES,
+        _EC,
+        _ET,
+        """
+e2 AS (SELECT category AS l, customer_id AS r FROM et
+       WHERE category IS NOT NULL AND category <> '' AND customer_id IS NOT NULL AND customer_id <> ''),
+ends AS (SELECT l AS node, r AS nbr, 1 AS is_left FROM e2 UNION ALL SELECT r, l, 0 FROM e2)""",
+        body="SELECT node, CASE WHEN max(is_left) = 1 THEN 'entity' ELSE 'customer' END AS role, "
+        "COUNT(DISTINCT nbr) AS degree FROM ends GROUP BY node",
+    ),
+)
+def q_edge_nodes(spark, sf_dir):
+    return CL.edge_nodes(kept_edges(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# samples and the classifier
+# --------------------------------------------------------------------------
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    return S.sample_rows(raw(spark, sf_dir), 1000, 42)
+
+
+@register("edge_sample")
+def q_edge_sample(spark, sf_dir):
+    return S.edge_sample(trimmed(spark, sf_dir), 500, 42)
+
+
+def training(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return M.basket_features(K.invoice_baskets(s), J.mall_dimension(s))
+
+
+@register(
+    "high_spend_training",
+    _sql(
+        O.W_CLEAN,
+        _DIM_CTE,
+        f"""
+b AS (SELECT {_BASKET_KEYS}, {O.SPEND_SUM} AS basket_spend, {O.QTY_SUM} AS basket_items,
+             COUNT(DISTINCT category) AS basket_category_count FROM clean GROUP BY {_BASKET_KEYS})""",
+        body="SELECT b.*, dim.mall_segment, CAST(b.basket_spend > 500 AS INT) AS high_spend "
+        "FROM b LEFT JOIN dim USING (shopping_mall)",
+    ),
+)
+def q_high_spend_training(spark, sf_dir):
+    return training(spark, sf_dir)
+
+
+@register("high_spend_predictions")
+def q_high_spend_predictions(spark, sf_dir):
+    model, test = M.high_spend_model(training(spark, sf_dir))
+    return M.predictions(model, test)
+
+
+@register("high_spend_auc")
+def q_high_spend_auc(spark, sf_dir):
+    model, test = M.high_spend_model(training(spark, sf_dir))
+    return M.auc_table(spark, M.predictions(model, test, flat=False))

@@ -98,7 +98,9 @@ def dsum(expr: str) -> str:
     return f"CAST(CAST(SUM({expr}) AS VARCHAR) AS DOUBLE)"
 
 
-SPEND_SUM = dsum(f"TRY_CAST(quantity AS {QD}) * TRY_CAST(price AS {PD})")
+# the product is DECIMAL(38,10), computed in 128 bits
+PD_WIDE = "DECIMAL(20,6)"
+SPEND_SUM = dsum(f"TRY_CAST(quantity AS {QD}) * TRY_CAST(price AS {PD_WIDE})")
 QTY_SUM = dsum(f"TRY_CAST(quantity AS {QD})")
 PRICE_MEAN = f"({dsum(f'TRY_CAST(price AS {PD})')} / COUNT(price))"
 QTY_MEAN = f"({dsum(f'TRY_CAST(quantity AS {QD})')} / COUNT(quantity))"
@@ -112,3 +114,21 @@ W_RAW = with_ctes(RAW)
 W_PARSED = with_ctes(RAW, PARSED)
 W_CLEAN = with_ctes(RAW, PARSED, CLEAN)
 W_FIELDS = with_ctes(RAW, FIELDS)
+
+
+def mean_pd(col: str) -> str:
+    """Exact mean of a column summed as DECIMAL(18,6)."""
+    return f"({dsum(f'TRY_CAST({col} AS {PD})')} / COUNT({col}))"
+
+
+# trimmed raw text (no coercion)
+TRIMMED = r"""
+trimmed AS (
+SELECT trim(invoice_no) AS invoice_no, trim(customer_id) AS customer_id, trim(gender) AS gender, age,
+       trim(category) AS category, trim(quantity) AS quantity, trim(price) AS price,
+       trim(payment_method) AS payment_method, trim(invoice_date) AS invoice_date,
+       trim(shopping_mall) AS shopping_mall
+FROM raw)"""
+
+W_TRIMMED = with_ctes(RAW, TRIMMED)
+CUSTOMER_OK = "customer_id IS NOT NULL AND customer_id <> '' AND customer_id <> 'NA'"

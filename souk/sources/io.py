@@ -12,18 +12,26 @@ from pyspark.sql import types as T
 from ..schema import RAW_SCHEMA, SILVER_PARTITION_COLUMNS
 
 # Text options shared by every CSV/TSV read and write: keep blanks inside
-# values (the cleaning step trims them), tell null from empty string.
+# values (the cleaning step trims them). The writer puts nothing for a null
+# and a quoted "" for an empty string; the reader maps an unquoted empty
+# field to a marker that no value uses (then to null) and a quoted "" to the
+# empty string, so null and '' survive a round trip.
 _TEXT_OPTIONS = {
     "header": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "nullValue": "",
-    "emptyValue": '""',
 }
+_READ_NULL_MARKER = "\u0000"
 
 
 def _text_reader(spark: SparkSession, schema: T.StructType | None, sep: str):
-    r = spark.read.options(**_TEXT_OPTIONS).option("sep", sep).option("mode", "PERMISSIVE")
+    r = (
+        spark.read.options(**_TEXT_OPTIONS)
+        .option("nullValue", _READ_NULL_MARKER)
+        .option("emptyValue", "")
+        .option("sep", sep)
+        .option("mode", "PERMISSIVE")
+    )
     return r.schema(schema) if schema is not None else r
 
 
@@ -139,7 +147,7 @@ def write_small_csv(df: DataFrame, path: str, n: int = 10, order: Sequence | Non
 
 def file_profile(spark: SparkSession, path: str) -> DataFrame:
     """Lines, words, bytes (``wc``) and the header line of a text table."""
-    text = spark.read.text(path)
+    text = spark.read.text(path).select("value", F.input_file_name().alias("file"))
     line = F.col("value")
     words = F.when(F.trim(line) == "", F.lit(0)).otherwise(F.size(F.split(F.trim(line), r"\s+")))
     header = ",".join(spark.read.option("header", "true").csv(path).limit(0).columns)
@@ -147,5 +155,5 @@ def file_profile(spark: SparkSession, path: str) -> DataFrame:
         F.count(F.lit(1)).alias("lines"),
         F.coalesce(F.sum(words), F.lit(0)).cast("bigint").alias("words"),
         F.coalesce(F.sum(F.octet_length(line) + 1), F.lit(0)).cast("bigint").alias("bytes"),
-        F.count_distinct(F.input_file_name()).alias("files"),
+        F.count_distinct("file").alias("files"),
     ).withColumn("header", F.lit(header))
