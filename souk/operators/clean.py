@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import (
-    add_calendar,
     fill_missing,
     parse_invoice_date,
     strip_quotes,
     strip_thousands,
     to_number,
-    trim_strings,
 )
 from ..functions.derive import age_band, spend
 from ..functions.predicates import DEFAULT_RULES, quality_filter
@@ -47,26 +45,38 @@ def parsed(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFr
     """Trimmed, typed and enriched rows *without* the quality filter: numbers
     coerced (bad text -> null), date parsed over several formats (a bad date
     is null and the row is kept), calendar fields, lower-case category,
-    spend and age band."""
-    t = trim_strings(raw)
-    types = dict((f.name, f.dataType) for f in t.schema.fields)
-    t = t.withColumns(
-        {
-            "quantity": to_number("quantity", types["quantity"]),
-            "price": to_number("price", types["price"]),
-            "age": F.col("age").cast("int"),
-            "invoice_dt": parse_invoice_date("invoice_date", date_formats),
-        }
-    )
-    t = add_calendar(t)
-    t = t.withColumns(
-        {
-            "category_lower": F.lower(F.col("category")),
-            "spend": spend(),
-            "age_band": age_band(),
-        }
-    )
-    return t.select(*SILVER_COLUMNS)
+    spend and age band. One projection."""
+    types = {f.name: f.dataType for f in raw.schema.fields}
+
+    def text(c: str):
+        col = F.col(c)
+        return F.trim(col) if isinstance(types[c], T.StringType) else col
+
+    quantity = to_number(text("quantity"), types["quantity"])
+    price = to_number(text("price"), types["price"])
+    invoice_dt = parse_invoice_date(text("invoice_date"), date_formats)
+    category = text("category")
+    age = F.col("age").cast("int")
+    cols = {
+        "invoice_no": text("invoice_no"),
+        "customer_id": text("customer_id"),
+        "gender": text("gender"),
+        "age": age,
+        "category": category,
+        "quantity": quantity,
+        "price": price,
+        "payment_method": text("payment_method"),
+        "invoice_date": text("invoice_date"),
+        "shopping_mall": text("shopping_mall"),
+        "invoice_dt": invoice_dt,
+        "invoice_year": F.year(invoice_dt),
+        "invoice_month": F.month(invoice_dt),
+        "year_month": F.date_format(invoice_dt, "yyyy-MM"),
+        "category_lower": F.lower(category),
+        "spend": spend(quantity, price),
+        "age_band": age_band(age),
+    }
+    return raw.select(*[cols[c].alias(c) for c in SILVER_COLUMNS])
 
 
 def silver(raw: DataFrame, rules=DEFAULT_RULES, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:

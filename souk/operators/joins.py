@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import MALL_SEGMENT
+from ..session import ensure_checkpoint_dir
 
 # A broadcast side is checked against this many rows before it is hinted.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 200_000
 
 
 def mall_dimension(tx: DataFrame, segment: str = MALL_SEGMENT) -> DataFrame:
@@ -34,12 +35,16 @@ def join_mall_dim(
     """Left equi join to the dimension.
 
     ``merge``: sort-merge join (shuffle both sides; AQE splits a skewed
-    key on the fact side). ``broadcast``: broadcast the dimension after
-    checking that it has at most ``max_broadcast_rows`` rows, else fall back
-    to ``merge``. ``auto``: let Catalyst decide from statistics.
+    key on the fact side). ``broadcast``: the dimension is materialized once
+    into the checkpoint folder, its row count checked against
+    ``max_broadcast_rows``, and only then broadcast (else ``merge``).
+    ``auto``: Catalyst decides from statistics, and AQE turns the join into
+    a broadcast at run time when the shuffled dimension turns out small.
     """
     if strategy == "broadcast":
-        side = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_rows) else dim.hint("merge")
+        ensure_checkpoint_dir(dim.sparkSession)
+        small = dim.checkpoint()
+        side = F.broadcast(small) if fits_broadcast(small, max_broadcast_rows) else small.hint("merge")
     elif strategy == "merge":
         side = dim.hint("merge")
     elif strategy == "auto":

@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _V = "__v"
 
 
@@ -51,6 +53,7 @@ def exact_median(
     """``keys..., n, median`` of the non-null ``value`` per group (exact;
     the mean of the two middle values when ``n`` is even)."""
     keys = list(keys)
+    ensure_checkpoint_dir(df.sparkSession)
     base = df.select(*keys, F.col(value).cast("double").alias(_V)).where(F.col(_V).isNotNull())
     targets = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
         *keys,

@@ -17,6 +17,9 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # HotSpot does not JIT methods above 8000 bytes of bytecode; past that
+        # a fused stage is better run by Spark's own expression evaluators
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

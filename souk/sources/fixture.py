@@ -15,8 +15,24 @@ from pyspark.sql import functions as F
 from ..schema import RAW_COLUMNS
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Columns of the star-schema tables that the view reads. Giving the schema
+# skips footer-based schema inference on every read.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "part": "p_partkey BIGINT, p_type STRING",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, typed: bool = False) -> DataFrame:
+    """One star-schema table; ``typed`` reads just the view's columns with
+    their known types."""
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if typed else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -25,14 +41,9 @@ def _s(c: Column) -> Column:
 
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten raw text-ish columns, one row per ``lineitem`` row."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
+    li, orders, customer, part, supplier, nation = (
+        read_table(spark, sf_dir, t, typed=True) for t in ("lineitem", "orders", "customer", "part", "supplier", "nation")
     )
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     supplier_mall = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         "s_suppkey", "n_name"
