@@ -46,8 +46,8 @@ def exact_median(
     keys: Sequence[str],
     value: str,
     max_group: int = 200_000,
-    buckets: int = 1000,
-    accuracy: int = 100_000,
+    buckets: int = 500,
+    accuracy: int = 10_000,
     max_rounds: int = 8,
 ) -> DataFrame:
     """``keys..., n, median`` of the non-null ``value`` per group (exact;

@@ -170,13 +170,15 @@ def _read_silver(spark, path):
     return io.read_table(spark, path, "parquet", schema=SILVER_SCHEMA).select(*SILVER_COLUMNS)
 
 
-@register("silver_roundtrip", O.W_CLEAN + f"SELECT * FROM clean WHERE {_YEAR_SQL}")
+@register("silver_roundtrip", O.W_CLEAN + "SELECT * FROM clean")
 def q_silver_roundtrip(spark, sf_dir):
+    """The whole silver table through the partitioned parquet sink and back."""
     path = scratch_path(spark, "silver")
-    io.write_silver(silver(spark, sf_dir).filter(L.year_filter(ROUNDTRIP_YEAR)), path)
+    io.write_silver(silver(spark, sf_dir), path)
     return _read_silver(spark, path)
 
 
+# the new batch of the dynamic overwrite: a subset of the first half of one year
 _DYN_NEW = f"{_YEAR_SQL} AND invoice_month <= 6 AND quantity <= 25"
 
 
@@ -185,19 +187,19 @@ _DYN_NEW = f"{_YEAR_SQL} AND invoice_month <= 6 AND quantity <= 25"
     _sql(
         O.W_CLEAN,
         f"\nnew_rows AS (SELECT * FROM clean WHERE {_DYN_NEW})",
-        body=f"""SELECT * FROM new_rows UNION ALL
-SELECT * FROM clean c WHERE {_YEAR_SQL} AND NOT EXISTS (
+        body="""SELECT * FROM new_rows UNION ALL
+SELECT * FROM clean c WHERE NOT EXISTS (
   SELECT 1 FROM new_rows n WHERE n.year_month = c.year_month AND n.shopping_mall = c.shopping_mall)""",
     ),
 )
 def q_dynamic_overwrite(spark, sf_dir):
-    """Write one year, then overwrite dynamically with a subset of its first
-    half: partitions in the subset are replaced, all others stay."""
+    """Write the whole silver table, then overwrite dynamically with a new
+    batch: partitions present in the batch are replaced, all others stay."""
     path = scratch_path(spark, "dynamic")
-    s = silver(spark, sf_dir).filter(L.year_filter(ROUNDTRIP_YEAR))
+    s = silver(spark, sf_dir)
     io.write_silver(s, path)
-    new_rows = s.filter((F.col("invoice_month") <= 6) & (F.col("quantity") <= 25))
-    io.write_silver(new_rows, path, mode="overwrite", overwrite="dynamic")
+    batch = s.filter(L.year_filter(ROUNDTRIP_YEAR) & (F.col("invoice_month") <= 6) & (F.col("quantity") <= 25))
+    io.write_silver(batch, path, mode="overwrite", overwrite="dynamic")
     return _read_silver(spark, path)
 
 

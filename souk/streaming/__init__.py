@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream, watermark or stateful operator, so nothing is
+built here. Incremental loads of the batch tables use dynamic partition
+overwrite (``sources.io.write_silver(..., overwrite="dynamic")``): only the
+(month, mall) partitions present in a new batch are replaced.
+"""
