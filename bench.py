@@ -27,7 +27,6 @@ MEM = os.environ.get("BENCH_MEM", "6g")
 
 # from the raw tables (joins + cleaning + operator)
 RAW_QUERIES = [
-    "transactions_clean",
     "customer_summary",
     "monthly_summary",
     "category_top10",
@@ -83,7 +82,6 @@ def measure(fn) -> float:
 
 def main() -> None:
     from souk.operators import clusters as CL
-    from souk.operators import freq as FQ
     from souk.operators import joins as J
     from souk.operators import kpis as K
     from souk.operators import layout as L
@@ -113,9 +111,7 @@ def main() -> None:
     from_silver = {
         "customer_summary": lambda: K.customer_summary(s),
         "monthly_summary": lambda: K.monthly_summary(s),
-        "category_avg_spend": lambda: K.category_avg_spend(s),
         "mall_month_extended": lambda: K.mall_month_extended(s),
-        "mall_counts": lambda: FQ.mall_counts(s),
         "mall_revenue": lambda: L.mall_revenue(s),
         "mall_revenue_repartitioned": lambda: L.mall_revenue(s, repartition=8),
         "mall_month_revenue": lambda: L.mall_month_revenue(s),
