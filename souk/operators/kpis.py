@@ -41,8 +41,11 @@ def customer_summary(
         F.percentile_approx("price", 0.5, median_accuracy).alias("price_median"),
         _ratio(F.col("price") > high_price).alias("high_price_tx_ratio"),
     )
-    return agg.withColumn("avg_price_per_item", safe_div("total_spend", "total_items")).withColumn(
-        "bucket", price_bucket("avg_price_per_item", "total_items", lo, hi)
+    avg_item = safe_div("total_spend", "total_items")
+    return agg.select(
+        "*",
+        avg_item.alias("avg_price_per_item"),
+        price_bucket(avg_item, "total_items", lo, hi).alias("bucket"),
     )
 
 

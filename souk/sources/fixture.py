@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW_COLUMNS
-
 
 # Columns of the star-schema tables that the view reads. Giving the schema
 # skips footer-based schema inference on every read.
@@ -96,7 +94,7 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(ship, "d/M/yyyy"))
     )
     shopping_mall = F.concat(F.lit("Mall of "), F.col("n_name"))
-    out = j.select(
+    return j.select(
         invoice_no.alias("invoice_no"),
         customer_id.alias("customer_id"),
         gender.alias("gender"),
@@ -108,4 +106,3 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         invoice_date.alias("invoice_date"),
         shopping_mall.alias("shopping_mall"),
     )
-    return out.select(*RAW_COLUMNS)
