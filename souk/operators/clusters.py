@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import exact_mean
 from ..functions.predicates import non_empty, numeric_text
+from ..session import ensure_checkpoint_dir
+from .joins import MAX_BROADCAST_ROWS, fits_broadcast
 from .quantiles import exact_median
 from .topn import top_n
 
@@ -27,10 +29,20 @@ def entity_counts(edges: DataFrame, min_count: int = 10, left: str = "category")
     )
 
 
-def threshold_edges(edges: DataFrame, counts: DataFrame, left: str = "category") -> DataFrame:
-    """Edges whose left entity passed the threshold (left semi join; the
-    counts side is one row per entity and AQE broadcasts it once measured)."""
-    return edges.join(counts.select(left), edges[left].eqNullSafe(counts[left]), "left_semi")
+def threshold_edges(
+    edges: DataFrame, counts: DataFrame, left: str = "category", max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Edges whose left entity passed the threshold (left semi join).
+
+    The passing entities are materialized once into the checkpoint folder
+    and counted; within ``max_broadcast_rows`` they are broadcast, so the
+    edge rows are filtered where they are read and never shuffled by entity
+    (a hot entity would otherwise fill one task). Beyond it the join is a
+    shuffle join whose skewed partitions AQE splits."""
+    ensure_checkpoint_dir(counts.sparkSession)
+    keys = counts.select(left).checkpoint()
+    side = F.broadcast(keys) if fits_broadcast(keys, max_broadcast_rows) else keys
+    return edges.join(side, edges[left].eqNullSafe(side[left]), "left_semi")
 
 
 def cluster_sizes(edges_kept: DataFrame, left: str = "category") -> DataFrame:

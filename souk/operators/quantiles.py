@@ -62,12 +62,14 @@ def exact_median(
         F.floor(F.col("n") / 2).cast("long").alias("__khi"),
     )
     cur = base
+    refined = False
     fractions = F.array(*[F.lit(i / buckets) for i in range(buckets + 1)])
     for _ in range(max_rounds):
         sizes = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"))
         biggest = sizes.agg(F.max("__m")).first()[0] or 0
         if biggest <= max_group:
             break
+        refined = True
         sketch = (
             cur.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("__m"), F.percentile_approx(_V, fractions, accuracy).alias("__qs"))
@@ -120,7 +122,17 @@ def exact_median(
         .withColumn("__end", F.sum("__c").over(w))
         .withColumn("__start", F.col("__end") - F.col("__c"))
     )
-    picked = _join(ranked, targets, keys)
+    if refined:
+        picked = _join(ranked, targets, keys)
+    else:
+        # no group was cut: its size and middle ranks come from the same
+        # window partitioning, without joining the targets back
+        whole = Window.partitionBy(*keys)
+        picked = (
+            ranked.withColumn("n", F.sum("__c").over(whole))
+            .withColumn("__klo", F.floor((F.col("n") - 1) / 2))
+            .withColumn("__khi", F.floor(F.col("n") / 2))
+        )
     inside = lambda k: (F.col("__start") <= F.col(k)) & (F.col(k) < F.col("__end"))
     mids = picked.groupBy(*keys).agg(
         F.first("n").alias("n"),
