@@ -1,0 +1 @@
+"""The named queries over the test tables and their independent oracle SQL."""
