@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
-from . import quality, sharding
+from collections.abc import Callable
 
-QUERIES = {
+from pyspark.sql import DataFrame, SparkSession
+
+from . import bpe, licenses, quality, secrets, sharding
+from .common import ship_package
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def with_package(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+# all in JVM expressions
+NATIVE: dict[str, Query] = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op4_license_scans": licenses.op4_license_scans,
     "op10_sharding": sharding.op10_sharding,
 }
 
+# these run Python in tasks as well
+PYTHON: dict[str, Query] = {
+    "op7_secret_scans": secrets.op7_secret_scans,
+    "op9_byte_bpe": bpe.op9_byte_bpe,
+}
+
+QUERIES: dict[str, Query] = NATIVE | {name: with_package(q) for name, q in PYTHON.items()}
+
 ORACLE: dict[str, str] = {}

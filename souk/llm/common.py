@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +56,18 @@ def words(text: Column) -> Column:
         F.trim(text, F.lit(SPACES)),
         lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE_RUN)),
     )
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that
+    a query also runs where they cannot import it by themselves."""
+    sc = spark.sparkContext
+    if getattr(sc, "_souk_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="souk-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._souk_shipped = True
