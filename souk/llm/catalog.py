@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, quality, secrets, sharding
+from . import bpe, jaccard, licenses, quality, secrets, sharding
 from .common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ NATIVE: dict[str, Query] = {
 
 # these run Python in tasks as well
 PYTHON: dict[str, Query] = {
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op9_byte_bpe": bpe.op9_byte_bpe,
 }
