@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, licenses, quality, secrets, sharding
+from . import bpe, jaccard, licenses, quality, secrets, sharding, substrings
 from .common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,9 +31,10 @@ NATIVE: dict[str, Query] = {
 PYTHON: dict[str, Query] = {
     "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_byte_bpe": bpe.op9_byte_bpe,
 }
 
 QUERIES: dict[str, Query] = NATIVE | {name: with_package(q) for name, q in PYTHON.items()}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_substring_dedup": substrings.OP8_SQL}
