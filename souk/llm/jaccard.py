@@ -76,7 +76,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield batch.slice(start, rows)
 
 
-SURVEY = "doc_id long, node long, n int, ranges long, chunk int, counts array<int>"
+SURVEY = "doc_id long, text_key long, node long, n int, chunk int, counts array<int>"
 CHUNK = 1 << 12
 
 
@@ -84,22 +84,21 @@ def survey(docs: DataFrame) -> DataFrame:
     """One row per document (node null without shingles) and, once per task,
     its share of the shingle counts in chunks."""
     arrow = pa.schema(
-        [("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("ranges", pa.int64()), ("chunk", pa.int32()), ("counts", pa.list_(pa.int32()))]
+        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("chunk", pa.int32()), ("counts", pa.list_(pa.int32()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in _slices(batches):
-            nodes, sizes, ranges = [], [], []
+            nodes, sizes = [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text)
                 nodes.append(signature(s) if len(s) else None)
                 sizes.append(len(s))
-                ranges.append(range_counts(s))
                 np.add.at(counts, (s >> _shift()).astype(np.int64), 1)
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(ranges, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, arrow.field("counts").type)],
+                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, arrow.field("counts").type)],
                 schema=arrow,
             )
         rows = [
@@ -251,11 +250,15 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.where(100 * common >= PERCENT * either).select("a", "b")
 
 
-def by_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
-    """Semi or anti join with a set of ids: broadcast if its counted size
-    allows, else shuffled."""
+def by_ids(docs: DataFrame, ids: DataFrame, how: str, *keys: str) -> DataFrame:
+    """Semi or anti join with a set of ids, where null equals null: broadcast
+    if its counted size allows, else shuffled."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, key, how)
+    ids = ids.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return docs.join(F.broadcast(ids) if few else ids, same, how)
 
 
 SETS = "node long, n int, ranges long, shingles array<long>"
@@ -280,23 +283,20 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
-def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: ``doc_id``, ``n_shingles`` and ``component_id``, the
-    smallest id that links reach."""
-    narrow = docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: its id, ``text_key`` (hash of the text), ``n`` shingles
+    and ``component_id``, the smallest id that links reach."""
+    narrow = docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), F.xxhash64(text).alias("text_key"))
     surveyed = stored(survey(narrow), "jaccard-survey")
-    rows = surveyed.where("chunk is null").select("doc_id", "node", "n")
+    rows = surveyed.where("chunk is null").select("doc_id", "text_key", "node", "n")
     entries = stored(shared_entries(prefix_entries(narrow, shingle_counts(surveyed))), "jaccard-entries")
 
     # the sets of nodes that share a prefix shingle, from one document each
     least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = stored(least.join(entries.select("node").distinct(), "node", "left_semi"), "jaccard-wanted")
-    source = by_ids(narrow, wanted.select("doc_id").distinct(), "left_semi")
-    if _repeated(wanted):  # ids that don't name one text: the sets themselves tell
-        source = source.unionAll(narrow.where("doc_id is null"))
-        sets = stored(shingle_sets(source).dropDuplicates(["node"]), "jaccard-sets")
-    else:
-        sets = stored(shingle_sets(source), "jaccard-sets")
+    sets = shingle_sets(by_ids(narrow, wanted.select("doc_id").distinct(), "left_semi", "doc_id"))
+    # an id that is missing or stands for several texts gives a set twice
+    sets = stored(sets.dropDuplicates(["node"]) if _repeated(wanted) else sets, "jaccard-sets")
 
     links: list[DataFrame] = []
     tried: DataFrame | None = None
@@ -326,9 +326,8 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text")
         joined = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         smallest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
         named = joined.join(smallest, "label").select("node", "component_id")
-    return rows.join(named, "node", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return rows.join(named, "node", "left").select("doc_id", "text_key", "n", alone.alias("component_id"))
 
 
 def _repeated(wanted: DataFrame) -> bool:
@@ -336,12 +335,30 @@ def _repeated(wanted: DataFrame) -> bool:
     return wanted.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
 
 
+def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    found = classes(docs, row_id, text)
+    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays."""
-    found = near_duplicates(docs)
-    gone = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
-    return by_ids(docs, gone, "left_anti").select(*DOCUMENT_COLUMNS)
+    """Pipeline stage: of each component one document stays, that of the
+    smallest id (of its texts, where an id is repeated, the one of the smallest
+    hash; of equal rows, one). Documents without a shingle stay."""
+    found = stored(classes(docs).where("n > 0"), "jaccard-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")
+    kept = found.groupBy("component_id").agg(F.min(order).alias("k"), F.min("n").alias("n"))
+    kept = kept.select(F.col("component_id").alias("c"), F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
+    same = F.col("component_id").eqNullSafe(F.col("c"))
+    goes = ~(F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")))
+    gone = found.join(kept, same).where(goes).select("doc_id", "text_key").distinct()
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    left = by_ids(keyed, stored(gone, "jaccard-gone"), "left_anti", "doc_id", "text_key")
+    twice = stored(found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "jaccard-twice")
+    if not twice.isEmpty():
+        one = by_ids(left, twice, "left_semi", "doc_id", "text_key").dropDuplicates(["doc_id", "text_key"])
+        left = by_ids(left, twice, "left_anti", "doc_id", "text_key").unionByName(one)
+    return left.select(*DOCUMENT_COLUMNS)
