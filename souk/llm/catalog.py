@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, licenses, quality, secrets, sharding, substrings, token_counts
+from . import bpe, decontaminate, extraction, jaccard, licenses, quality, secrets, sharding, substrings, token_counts
 from .common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ NATIVE: dict[str, Query] = {
 
 # these run Python in tasks as well
 PYTHON: dict[str, Query] = {
+    "op2_html_extraction": extraction.op2_html_extraction,
     "op3_token_counts": token_counts.op3_token_counts,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_jaccard_join": jaccard.op6_jaccard_join,
