@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import DOCUMENT_COLUMNS, table
-from .shingles import hash_words, mix, roll
+from .shingles import TOGETHER, distinct, mix, roll, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -68,11 +68,10 @@ class Index:
     def __init__(self, rows: list[tuple[int, bytes]]):
         self.items: list[Item] = []
         for item_id, text in rows:
-            words = text.lower().split()
-            if words:
-                h = hash_words(words)
-                grams = np.unique(roll(h, min(SHINGLE, len(words))))
-                self.items.append(Item(item_id, len(words), grams, fingerprints(signs(h).sum(axis=0)[None, :])[0]))
+            h, _ = word_hashes([text], lower=True)
+            if len(h):
+                grams = distinct(roll(h, min(SHINGLE, len(h))))
+                self.items.append(Item(item_id, len(h), grams, fingerprints(signs(h).sum(axis=0)[None, :])[0]))
         self.share = Counter(g for i in self.items for g in i.shingles.tolist())
         self.sizes = sorted({min(SHINGLE, i.n_words) for i in self.items})
         own: dict[int, tuple[list, list]] = {}
@@ -144,14 +143,16 @@ class Index:
                     out.setdefault(n, []).append(starts)
         return {n: np.unique(np.concatenate(x)) for n, x in out.items()}
 
-    def matches(self, text: bytes | None) -> list[tuple[int, int, int, int, float]]:
-        """``(item_id, start, n_words, distance, similarity)`` of a text."""
-        words = (text or b"").lower().split()
-        if not words or not self.items:
-            return []
-        h = hash_words(words)
+    def matches(self, texts: list[bytes | None]) -> Iterator[list[tuple[int, int, int, int, float]]]:
+        """``(item_id, start, n_words, distance, similarity)`` of each text."""
+        for k in range(0, len(texts), TOGETHER):
+            hashes, offsets = word_hashes(texts[k : k + TOGETHER], lower=True)
+            for begin, end in zip(offsets[:-1], offsets[1:]):
+                yield self._matches(hashes[begin:end]) if end > begin and self.items else []
+
+    def _matches(self, h: np.ndarray) -> list[tuple[int, int, int, int, float]]:
         grams = {size: roll(h, size) for size in self.sizes}
-        found = self.windows(grams, len(words))
+        found = self.windows(grams, len(h))
         if not found:
             return []
         sums = np.concatenate((np.zeros((1, 64), np.int32), np.cumsum(signs(h), axis=0, dtype=np.int32)))
@@ -161,7 +162,7 @@ class Index:
             by_item: dict[int, list] = {}
             for w, k, apart in self.near(n, fingerprints(sums[starts + n] - sums[starts])):
                 at = int(starts[w])
-                alike = self.similarity(np.unique(grams[size][at : at + n - size + 1]), self.items[k])
+                alike = self.similarity(distinct(grams[size][at : at + n - size + 1]), self.items[k])
                 if alike >= SIMILARITY:
                     by_item.setdefault(k, []).append((-alike, at, apart))
             for k, hits in by_item.items():
@@ -203,8 +204,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, per_block: int = ITEMS_PER
             for batch in batches:
                 rows = [
                     (doc_id, *m)
-                    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for m in index.matches(text)
+                    for doc_id, found in zip(batch.column(0).to_pylist(), index.matches(batch.column(1).to_pylist()))
+                    for m in found
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), arrow)], schema=arrow)
@@ -222,8 +223,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, per_block: int = ITEMS_
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value)
             for batch in batches:
-                texts = (t and t.encode() for t in batch.column(at).to_pylist())
-                yield batch.filter(pa.array([not index.matches(t) for t in texts], pa.bool_()))
+                texts = [t and t.encode() for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array([not found for found in index.matches(texts)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

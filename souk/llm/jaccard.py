@@ -19,9 +19,12 @@ Steps, each a Spark job over the whole table:
    that share a shingle and still lie in different components are tried. Pairs
    inside a component needn't be tried, so a large group of copies never
    expands into all its pairs, and no link between components is lost.
-4. Length and positional filters prune a pair when it is made, the suffix
-   filter from counts of the sets' ranges before the sets are fetched; each
-   pair is verified once, by the exact size of the intersection.
+4. Length and positional filters prune a pair when it is made. The suffix
+   filter bounds from below how many shingles are in one set only: each node
+   has the parities of its members in 1024 ranges of hashes, and wherever two
+   nodes' parities differ there is such a shingle. What is left is verified
+   once per pair, by the exact size of the intersection; the sets are made
+   again from the texts of just these nodes.
 
 Defined results: words are split at ASCII white space and A-Z lower-cased;
 fewer than five words are one shingle; null, empty or blank texts have no
@@ -35,12 +38,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import DOCUMENT_COLUMNS, stored, table
 from .components import components
-from .shingles import mix, shingle_set, signed
+from .shingles import TOGETHER, shingle_sets, signed
 
 PERCENT = 75
 #: Counters of the shingle counts; 4 bytes each are broadcast.
@@ -48,7 +51,9 @@ COUNTERS = 1 << 19
 #: A shingle whose counter is beyond this is dealt out over SALTS groups.
 HOT, SALTS = 200_000, 64
 #: Rounds of pivot pairs before all remaining pairs are made.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
+#: Ranges of hashes whose parities are kept of each set.
+PARITIES = 1024
 #: Ids (8 bytes each) up to which a set of ids is broadcast.
 BROADCAST_IDS = 4_000_000
 
@@ -60,23 +65,24 @@ def _shift() -> np.uint64:
 def signature(shingles: np.ndarray) -> int:
     """Names a set by all its members."""
     a = np.sum(shingles, dtype=np.uint64, keepdims=True)
-    b = np.sum(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64, keepdims=True)
-    return int(signed(mix(mix(a) + b * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(shingles))))[0])
+    b = np.sum(shingles * (shingles >> np.uint64(32)), dtype=np.uint64, keepdims=True)
+    both = (a ^ (b >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(len(shingles))
+    return int(signed(both ^ (both >> np.uint64(29)))[0])
 
 
-def range_counts(shingles: np.ndarray) -> int:
-    """Members in each of eight ranges of hashes, modulo 256, in one long."""
-    counts = np.bincount((shingles & np.uint64(7)).astype(np.int64), minlength=8) % 256
-    return int(counts.astype(np.uint8).view(np.int64)[0])
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether each range of hashes holds an odd number of members, packed."""
+    odd = np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = TOGETHER) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
 
 
-SURVEY = "doc_id long, text_key long, node long, n int, chunk int, counts array<int>"
+SURVEY = "doc_id long, text_key long, node long, n int, odd array<long>, chunk int, counts array<int>"
 CHUNK = 1 << 12
 
 
@@ -84,23 +90,32 @@ def survey(docs: DataFrame) -> DataFrame:
     """One row per document (node null without shingles) and, once per task,
     its share of the shingle counts in chunks."""
     arrow = pa.schema(
-        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("chunk", pa.int32()), ("counts", pa.list_(pa.int32()))]
+        [
+            ("doc_id", pa.int64()),
+            ("text_key", pa.int64()),
+            ("node", pa.int64()),
+            ("n", pa.int32()),
+            ("odd", pa.list_(pa.int64())),
+            ("chunk", pa.int32()),
+            ("counts", pa.list_(pa.int32())),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        for batch in _slices(batches):
-            nodes, sizes = [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text)
-                nodes.append(signature(s) if len(s) else None)
-                sizes.append(len(s))
-                np.add.at(counts, (s >> _shift()).astype(np.int64), 1)
+        for batch in batches:
+            nodes, sizes, odd = [], [], []
+            for part in _slices(iter([batch])):
+                for s in shingle_sets(part.column(1).to_pylist()):
+                    nodes.append(signature(s) if len(s) else None)
+                    sizes.append(len(s))
+                    odd.append(parities(s))
+                    np.add.at(counts, (s >> _shift()).astype(np.int64), 1)
             k = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, arrow.field("counts").type)],
-                schema=arrow,
-            )
+            if k:
+                lists = pa.ListArray.from_arrays(np.arange(k + 1, dtype=np.int32) * (PARITIES // 64), pa.array(np.concatenate(odd)))
+                columns = [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(k, pa.int32()), pa.nulls(k, arrow.field("counts").type)], schema=arrow)
         rows = [
             {"chunk": c, "counts": counts[c * CHUNK : (c + 1) * CHUNK].tolist()}
             for c in range(-(-COUNTERS // CHUNK))
@@ -134,8 +149,7 @@ def prefix_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         common, seen = shared.value, set()
         for batch in _slices(batches):
             keys, nodes, packed = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text)
+            for s in shingle_sets(batch.column(1).to_pylist()):
                 n = len(s)
                 if not n:
                     continue
@@ -156,23 +170,23 @@ def prefix_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def shared_entries(entries: DataFrame) -> DataFrame:
-    """Entries of shingles that more than one node may have: one exchange and
-    a sort, no group is held. Of a hot shingle all entries stay."""
-    from pyspark.sql import Window
-
-    salt = F.when(F.col("packed") < 0, F.pmod("node", F.lit(SALTS))).otherwise(0)
-    by = Window.partitionBy("key", salt).orderBy("node")
-    other = F.coalesce(F.lag("node").over(by) != F.col("node"), F.lit(False)) | F.coalesce(
-        F.lead("node").over(by) != F.col("node"), F.lit(False)
-    )
-    first = F.coalesce(F.lag("node").over(by) != F.col("node"), F.lit(True))
+    """Entries whose shingle has another entry of a fitting size: in order of
+    size, the neighbour on one side must be near enough. One exchange and a
+    sort, no group is held. Of a hot shingle all entries stay."""
     size = F.abs("packed")
-    # equal rows come from tasks that met the same set: the first one stays
-    return (
-        entries.select("*", other.alias("other"), first.alias("first"), F.lead("node").over(by).alias("next"))
-        .where("first and (packed < 0 or other or (next is not null))")
-        .select("key", "node", F.shiftright(size, 32).cast("int").alias("n"), size.bitwiseAND((1 << 32) - 1).cast("int").alias("place"))
+    own = entries.select(
+        "key",
+        "node",
+        F.shiftright(size, 32).cast("int").alias("n"),
+        size.bitwiseAND((1 << 32) - 1).cast("int").alias("place"),
+        (F.col("packed") < 0).alias("hot"),
     )
+    salt = F.when(F.col("hot"), F.pmod("node", F.lit(SALTS))).otherwise(0)
+    by = Window.partitionBy("key", salt).orderBy("n", "node")
+    below = 100 * F.lag("n").over(by) >= PERCENT * F.col("n")
+    above = 100 * F.col("n") >= PERCENT * F.lead("n").over(by)
+    fits = F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False))
+    return own.withColumn("fits", fits).where("hot or fits").select("key", "node", "n", "place")
 
 
 def may_link(a: str, b: str) -> Column:
@@ -223,28 +237,20 @@ def all_pairs(entries: DataFrame) -> DataFrame:
     return both.select(*_pair("x.node", "y.node"))
 
 
-def _apart(a: str, b: str) -> Column:
-    """At least so many shingles are in one set only: in each range the
-    counts differ by so much (modulo 256, the nearer way round)."""
-    total = F.lit(0)
-    for k in range(8):
-        part = lambda c: F.shiftrightunsigned(F.col(c), 8 * k).bitwiseAND(255)  # noqa: E731, B023
-        d = F.abs(part(a) - part(b))
-        total = total + F.least(d, 256 - d)
-    return total
+def suffix_filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose parities don't rule them out: to link, at most 25/175 of
+    both sizes together may be in one set only."""
+    x, y = (nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("odd").alias(f"o{k}")) for k in "ab")
+    apart = sum((F.bit_count(F.get("oa", F.lit(k)).bitwiseXOR(F.get("ob", F.lit(k)))) for k in range(PARITIES // 64)), F.lit(0))
+    total = F.col("na").cast("long") + F.col("nb")
+    near = pairs.join(x, "a").join(y, "b").where((100 + PERCENT) * apart <= (100 - PERCENT) * total)
+    return near.select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that link, by the exact size of the intersection."""
-    narrow = sets.select("node", "n", "ranges")
-    x, y = (narrow.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("ranges").alias(f"r{k}")) for k in "ab")
-    total = F.col("na").cast("long") + F.col("nb")
-    # |common| >= 75/175 (na + nb) leaves at most 25/175 (na + nb) apart
-    near = pairs.join(x, "a").join(y, "b").where((100 + PERCENT) * _apart("ra", "rb") <= (100 - PERCENT) * total)
-    near = near.select("a", "b")
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    met = near.join(one, "a").join(two, "b")
+    one, two = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    met = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     either = F.size("sa").cast("long") + F.size("sb") - common
     return met.where(100 * common >= PERCENT * either).select("a", "b")
@@ -261,24 +267,18 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str, *keys: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, same, how)
 
 
-SETS = "node long, n int, ranges long, shingles array<long>"
+SETS = "node long, shingles array<long>"
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    arrow = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("ranges", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+def sets_of(docs: DataFrame) -> DataFrame:
+    """Node and shingles of each document's set."""
+    arrow = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 128):
-            sets = [s for s in map(shingle_set, batch.column(1).to_pylist()) if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([signature(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int32()),
-                    pa.array([range_counts(s) for s in sets], pa.int64()),
-                    pa.array([signed(s) for s in sets], pa.list_(pa.int64())),
-                ],
-                schema=arrow,
-            )
+        for batch in _slices(batches):
+            sets = [s for s in shingle_sets(batch.column(1).to_pylist()) if len(s)]
+            nodes = pa.array([signature(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([nodes, pa.array([signed(s) for s in sets], pa.list_(pa.int64()))], schema=arrow)
 
     return docs.mapInArrow(run, SETS)
 
@@ -289,52 +289,47 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> Data
     narrow = docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), F.xxhash64(text).alias("text_key"))
     surveyed = stored(survey(narrow), "jaccard-survey")
     rows = surveyed.where("chunk is null").select("doc_id", "text_key", "node", "n")
-    entries = stored(shared_entries(prefix_entries(narrow, shingle_counts(surveyed))), "jaccard-entries")
-
-    # the sets of nodes that share a prefix shingle, from one document each
-    least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = stored(least.join(entries.select("node").distinct(), "node", "left_semi"), "jaccard-wanted")
-    sets = shingle_sets(by_ids(narrow, wanted.select("doc_id").distinct(), "left_semi", "doc_id"))
-    # an id that is missing or stands for several texts gives a set twice
-    sets = stored(sets.dropDuplicates(["node"]) if _repeated(wanted) else sets, "jaccard-sets")
+    # one document stands for each node
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key"))
+    nodes = stored(
+        surveyed.where("node is not null").groupBy("node").agg(one.alias("d"), F.min("n").alias("n"), F.min("odd").alias("odd")).select("node", "n", "odd", "d.doc_id", "d.text_key"),
+        "jaccard-nodes",
+    )
+    copies = rows.where("n > 0").join(nodes.select("node", "doc_id", "text_key").withColumn("own", F.lit(True)), ["node", "doc_id", "text_key"], "left")
+    copies = stored(copies.where("own is null").select("doc_id", "text_key").distinct(), "jaccard-copies")
+    firsts = by_ids(narrow, copies, "left_anti", "doc_id", "text_key")
+    entries = stored(shared_entries(prefix_entries(firsts, shingle_counts(surveyed))), "jaccard-entries")
 
     links: list[DataFrame] = []
     tried: DataFrame | None = None
     labels: DataFrame | None = None
     open_ = entries.withColumn("label", F.col("node"))
     for round_ in range(PIVOT_ROUNDS + 1):
-        if round_:
+        if labels is not None:
             open_ = stored(with_labels(open_, labels), "jaccard-open")
         pairs = (pivot_pairs(open_, round_) if round_ < PIVOT_ROUNDS else all_pairs(open_)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "jaccard-pairs")
-        if pairs.isEmpty():
-            if round_ < PIVOT_ROUNDS:
-                continue
-            break
         tried = pairs if tried is None else tried.unionAll(pairs)
-        links.append(stored(verified(pairs, sets), "jaccard-links"))
+        near = stored(suffix_filtered(pairs, nodes), "jaccard-near")
+        met = near.select(F.col("a").alias("node")).unionAll(near.select("b")).distinct()
+        wanted = stored(nodes.join(met, "node", "left_semi").select("doc_id", "text_key").distinct(), "jaccard-wanted")
+        sets = sets_of(by_ids(narrow, wanted, "left_semi", "doc_id", "text_key"))
+        links.append(stored(verified(near, sets).distinct(), "jaccard-links"))
         every = links[0]
         for more in links[1:]:
             every = every.unionAll(more)
         labels = components(every)
     # copies count through their node; the smallest id of each component
-    if labels is None:
-        named = least.select("node", F.col("doc_id").alias("component_id"))
-    else:
-        joined = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        smallest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-        named = joined.join(smallest, "label").select("node", "component_id")
+    least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    joined = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    named = joined.join(smallest, "label").select("node", "component_id")
     alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.join(named, "node", "left").select("doc_id", "text_key", "n", alone.alias("component_id"))
 
 
-def _repeated(wanted: DataFrame) -> bool:
-    """Whether an id is missing or stands for several nodes."""
-    return wanted.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count() > 0
-
-
 def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
     found = classes(docs, row_id, text)
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

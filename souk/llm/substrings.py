@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .fm_index import FMIndex
 from .jaccard import by_ids
-from .shingles import hash_words, roll, signed
+from .shingles import TOGETHER, roll, signed, word_hashes
 
 WINDOW = 35
 GRAM = 8
@@ -79,7 +79,7 @@ def anchors_of(hashes: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = TOGETHER) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
@@ -98,13 +98,13 @@ def survey(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in _slices(batches):
-            keys, sizes, found = batch.column(0).to_pylist(), [], []
-            for key, text in zip(keys, batch.column(1).to_pylist()):
-                words = (text or b"").split()
-                sizes.append(len(words))
-                if len(words) >= WINDOW and key not in seen:
+            keys, found = batch.column(0).to_pylist(), []
+            hashes, offsets = word_hashes(batch.column(1).to_pylist())
+            sizes = np.diff(offsets)
+            for key, begin, end in zip(keys, offsets[:-1].tolist(), offsets[1:].tolist()):
+                if end - begin >= WINDOW and key not in seen:
                     seen.add(key)
-                    found += [(key, *a) for a in anchors_of(hash_words(words))]
+                    found += [(key, *a) for a in anchors_of(hashes[begin:end])]
             k = len(keys)
             none = pa.nulls(k, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), none, none], schema=arrow)
@@ -145,7 +145,7 @@ def segments(texts: DataFrame) -> DataFrame:
         times: dict[int, int] = {}
         routes: dict[int, int] = {}
         last = None
-        for batch in _slices(batches, 64):
+        for batch in _slices(batches):
             rows: list[tuple] = []
             for key, text, anchors in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if key == last:  # copies of a text lie together
@@ -188,7 +188,8 @@ def search_shards(routed: DataFrame, shard_words: int) -> DataFrame:
 
     def search(texts: dict[int, bytes], times: dict[int, int]) -> pa.RecordBatch:
         ids = np.array(list(texts), np.int64)
-        bodies = [hash_words(b.split(b" ")) for b in texts.values()]
+        hashes, offsets = word_hashes(list(texts.values()))
+        bodies = np.split(hashes, offsets[1:-1])
         windows = np.array([len(b) - WINDOW + 1 for b in bodies])
         first, last = np.zeros(len(ids), np.int64), windows - 1
         once = np.flatnonzero([times[s] < 2 for s in texts])
