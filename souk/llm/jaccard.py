@@ -189,11 +189,13 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return own.withColumn("fits", fits).where("hot or fits").select("key", "node", "n", "place")
 
 
-def may_link(a: str, b: str) -> Column:
-    """Length and positional filter of two entries of one shingle."""
+def may_link(a: str, b: str, first: bool) -> Column:
+    """Length and positional filter of two entries of one shingle. ``first``:
+    it is taken as the first common one, as for each pair one is, so nothing
+    common stands before it; else anything may."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     pa_, pb = F.col(f"{a}.place"), F.col(f"{b}.place")  # from 1
-    common = F.least(pa_, pb) + F.least(na - pa_, nb - pb)
+    common = (F.lit(1) if first else F.least(pa_, pb)) + F.least(na - pa_, nb - pb)
     total = na.cast("long") + nb
     return (100 * F.least(na, nb).cast("long") >= PERCENT * F.greatest(na, nb)) & ((100 + PERCENT) * common.cast("long") >= PERCENT * total)
 
@@ -214,25 +216,25 @@ def with_labels(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def pivot_pairs(entries: DataFrame, round_: int) -> DataFrame:
-    """Each entry with one entry of its shingle, drawn by hash."""
-    draw = F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "n", "place", "label")
+    """Each entry with one entry of its shingle: first the one with the fewest
+    rarer shingles, as the text that others were made from has none of its
+    own, then one drawn by hash."""
+    rank = F.col("place").cast("long") if round_ == 0 else F.xxhash64("node", F.lit(round_))
+    draw = F.struct(rank.alias("rank"), "node", "n", "place", "label")
     pivots = entries.groupBy("key").agg(F.min(draw).alias("p")).select("key", "p.*")
     met = entries.alias("x").join(pivots.alias("y"), F.col("x.key") == F.col("y.key"))
-    return met.where((F.col("x.label") != F.col("y.label")) & may_link("x", "y")).select(*_pair("x.node", "y.node"))
+    return met.where((F.col("x.label") != F.col("y.label")) & may_link("x", "y", False)).select(*_pair("x.node", "y.node"))
 
 
 def all_pairs(entries: DataFrame) -> DataFrame:
     """All pairs of nodes that share a shingle and lie in different
-    components. The components of a shingle are paired first, so entries of
-    one component never meet."""
-    groups = entries.select("key", "label").distinct()
-    met = groups.alias("g").join(groups.alias("h"), (F.col("g.key") == F.col("h.key")) & (F.col("g.label") < F.col("h.label")))
-    met = met.select(F.col("g.key").alias("key"), F.col("g.label").alias("l"), F.col("h.label").alias("r"))
-    x = entries.alias("x").join(met.alias("m"), (F.col("x.key") == F.col("m.key")) & (F.col("x.label") == F.col("m.l")))
-    x = x.select("x.key", "x.node", "x.n", "x.place", "m.r")
-    both = x.alias("x").join(
-        entries.alias("y"),
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.r") == F.col("y.label")) & may_link("x", "y"),
+    components. At the first common shingle the smaller set (or an equal one)
+    has it in the shorter prefix that any set at least as large must meet."""
+    short = F.col("place") <= F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1
+    smaller = entries.where(short)
+    both = entries.alias("x").join(
+        smaller.alias("y"),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.n") >= F.col("y.n")) & (F.col("x.label") != F.col("y.label")) & may_link("x", "y", True),
     )
     return both.select(*_pair("x.node", "y.node"))
 
