@@ -1,21 +1,18 @@
 """Byte-level BPE encoding and decoding by monoid tree reduction.
 
-A text is cut into short leaves, each leaf is encoded alone, and neighbours
-are joined up a binary tree. Joining ``a + b`` keeps what cannot change and
-re-encodes a window around the seam:
-
-* On the left, a piece (a match of the pattern) depends on its own characters
-  and at most ``LOOKAHEAD`` following ones. So pieces of ``a`` that end
-  ``LOOKAHEAD`` or more characters before the seam are final.
-* From the first piece that isn't final, the joined text is matched again,
-  one piece after the other: the window grows until a new piece starts past
-  the seam where a piece of ``b`` starts. What follows a piece's start decides
-  all later pieces, so from there on ``b``'s own pieces are final.
-
-A piece that isn't final is encoded from its bytes again, so a word cut by a
-seam, even one of many leaves, comes out as in the whole text. Joining is
-associative and the result doesn't depend on the cuts. Decoding concatenates
-the bytes of the ids up a tree as well.
+A text is halved down to short leaves, each leaf is encoded alone, and
+neighbours are joined up the tree. Joining ``a + b`` keeps the tokens that
+cannot change and encodes a window around the seam again. The window grows on
+either side until it starts and ends at a stable place: in front of a space,
+tab or line break that follows a character that isn't white space. There a
+piece (a match of the pattern) always ends, whatever stands around: no
+alternative goes on from such a character to white space, none looks back, and
+only white space looks ahead, at what follows itself. So the tokens on either
+side of such a place are those of the two parts alone, and what lies outside
+the window is final. A side without such a place is taken whole.
+
+Joining is associative and the result doesn't depend on the cuts. Decoding
+concatenates the bytes of the ids up a tree as well.
 
 Spark deals out the documents; each row is reduced where it lies, so nothing
 is exchanged. Defined results: a null or empty text has no ids and decodes to
@@ -27,7 +24,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +38,8 @@ TOKENIZERS = "/opt/tokenizers"
 
 #: Characters of a leaf.
 LEAF = 1 << 14
-#: A match of the pattern is settled by so many characters after its end: "'"
-#: and up to two letters may become a contraction, and white space before a
-#: word gives its last character to the word.
-LOOKAHEAD = 3
-#: Pieces whose ids a task remembers; the memory is emptied when it is full.
-REMEMBERED = 300_000
+#: Characters on either side of a seam that are looked at first.
+REACH = 32
 
 
 def vocabulary_path(name: str = VOCABULARY, folder: str = TOKENIZERS) -> str:
@@ -68,74 +60,34 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+Part = tuple[str, list[int]]  # a text and its ids
+
+
 class Codec:
-    """Ids of pieces by the ranks of a vocabulary, and bytes of ids."""
+    """Ids of texts by the ranks of a vocabulary, and bytes of ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
-        import regex
         import tiktoken
 
-        self.pattern = regex.compile(pattern)
-        self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.leaf_ids = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def ids(self, piece: str) -> tuple[int, ...]:
-        """Ids of one match of the pattern: its bytes merged by rank."""
-        found = self.known.get(piece)
-        if found is None:
-            found = tuple(self.merge.encode_single_piece(piece.encode()))
-            if len(piece) <= 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = found
-        return found
-
-    def pieces(self, text: str) -> list[str]:
-        return self.pattern.findall(text)
-
-    def join(self, left: list[str], right: list[str]) -> list[str]:
-        """Pieces of the joined text of two lists of pieces."""
-        if not left or not right:
-            return left or right
-        tail, n = 0, len(left)
-        while n and tail < LOOKAHEAD:  # these pieces may change
-            n -= 1
-            tail += len(left[n])
-        window, used = "".join(left[n:]), 0
-        seam = len(window)
-        new: list[str] = []
-        at = 0  # place in the window
-        starts = {seam: 0}  # where pieces of the right part start, and how many come before
-        ahead = 8  # pieces of the right part to take next
-        while True:
-            while used < len(right) and ahead:
-                window += right[used]
-                used, ahead = used + 1, ahead - 1
-                starts[len(window)] = used
-            whole = used == len(right)
-            while at < len(window):
-                if at >= seam and at in starts:  # in step with the right part
-                    return left[:n] + new + right[starts[at] :]
-                m = self.pattern.match(window, at)
-                if not whole and m.end() + LOOKAHEAD > len(window):
-                    break  # not settled: the window must grow
-                new.append(m.group())
-                at = m.end()
-            else:
-                if whole:
-                    return left[:n] + new
-            ahead = max(8, used)  # doubles the window
-
-    def split(self, text: str, leaf: int = LEAF) -> list[str]:
-        """Pieces of a text by halving it down to leaves."""
+
+    def join(self, left: Part, right: Part) -> Part:
+        """The joined text and its ids."""
+        (a, ids_a), (b, ids_b) = left, right
+        start, end = stable_end(a), stable_start(b)
+        old_a, old_b = self.leaf_ids(a[start:]), self.leaf_ids(b[:end])
+        seam = self.leaf_ids(a[start:] + b[:end])
+        return a + b, ids_a[: len(ids_a) - len(old_a)] + seam + ids_b[len(old_b) :]
+
+    def reduce(self, text: str, leaf: int) -> Part:
         if len(text) <= leaf:
-            return self.pieces(text)
+            return text, self.leaf_ids(text)
         half = len(text) // 2
-        return self.join(self.split(text[:half], leaf), self.split(text[half:], leaf))
+        return self.join(self.reduce(text[:half], leaf), self.reduce(text[half:], leaf))
 
     def encode(self, text: str, leaf: int = LEAF) -> list[int]:
-        return list(chain.from_iterable(map(self.ids, self.split(text, leaf))))
+        return self.reduce(text, leaf)[1]
 
     def decode(self, ids: list[int], leaf: int = LEAF) -> bytes:
         if len(ids) <= leaf:
@@ -144,6 +96,35 @@ class Codec:
         return self.decode(ids[:half], leaf) + self.decode(ids[half:], leaf)
 
 
+def _stable(text: str, at: int) -> bool:
+    return text[at] in " \t\n\r" and not text[at - 1].isspace()
+
+
+def stable_end(text: str) -> int:
+    """The last stable place of a text, searched in growing windows; 0 if
+    there is none."""
+    reach, high = REACH, len(text)
+    while high > 1:
+        low = max(1, len(text) - reach)
+        for at in range(high - 1, low - 1, -1):
+            if _stable(text, at):
+                return at
+        reach, high = 2 * reach, low
+    return 0
+
+
+def stable_start(text: str) -> int:
+    """The first stable place of a text; its end if there is none."""
+    reach, low = REACH, 1
+    while low < len(text):
+        high = min(len(text), reach)
+        for at in range(low, high):
+            if _stable(text, at):
+                return at
+        reach, low = 2 * reach, max(high, low)
+    return len(text)
+
+
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str = PATTERN) -> Codec:
     return Codec(read_ranks(path), pattern)
