@@ -249,13 +249,37 @@ def suffix_filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by the exact size of the intersection."""
-    one, two = (sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
-    met = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    either = F.size("sa").cast("long") + F.size("sb") - common
-    return met.where(100 * common >= PERCENT * either).select("a", "b")
+def oriented(pairs: DataFrame) -> DataFrame:
+    """Pairs as ``(hub, node)``: the hub is in more pairs. The node's set is
+    sent to the hub's, so a hub's set is not sent around."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("d"))
+    x, y = (degree.select(F.col("node").alias(k), F.col("d").alias(f"d{k}")) for k in "ab")
+    first = F.col("da") >= F.col("db")
+    hub, node = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
+    return pairs.join(x, "a").join(y, "b").select(hub.alias("hub"), node.alias("node"))
+
+
+def verified(sent: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``(hub, node)`` that link, by the exact size of the
+    intersection. Sets are made from the texts where these are read, and each
+    pair moves one set."""
+    one = nodes.select("node", F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"))
+    hubs = one.join(sent.select(F.col("hub").alias("node")).distinct(), "node", "left_semi").withColumn("hubs", F.array("node"))
+    each = one.join(sent.groupBy("node").agg(F.collect_list("hub").alias("hubs")), "node")
+    few = sent.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+
+    def sets(wanted: DataFrame, name: str) -> DataFrame:
+        wanted = stored(wanted.drop("node"), f"jaccard-{name}")
+        same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
+        met = docs.join(F.broadcast(wanted) if few else wanted, same)
+        return sets_of(met.select("text", "hubs"))
+
+    own = sets(hubs, "hubs").select("hub", F.col("shingles").alias("x"))
+    met = sets(each, "sent").withColumnRenamed("shingles", "y").join(own, "hub")
+    common = F.size(F.array_intersect("x", "y")).cast("long")
+    either = F.size("x").cast("long") + F.size("y") - common
+    return met.where(100 * common >= PERCENT * either).select(F.col("hub").alias("a"), F.col("node").alias("b"))
 
 
 def by_ids(docs: DataFrame, ids: DataFrame, how: str, *keys: str) -> DataFrame:
@@ -269,20 +293,24 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str, *keys: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, same, how)
 
 
-SETS = "node long, shingles array<long>"
+SETS = "hub long, node long, shingles array<long>"
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """Node and shingles of each document's set."""
-    arrow = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+def sets_of(texts: DataFrame) -> DataFrame:
+    """Of ``(text, hubs)``: the text's set, once for each of the hubs."""
+    arrow = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            sets = [s for s in shingle_sets(batch.column(1).to_pylist()) if len(s)]
-            nodes = pa.array([signature(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([nodes, pa.array([signed(s) for s in sets], pa.list_(pa.int64()))], schema=arrow)
+            sets = shingle_sets(batch.column(0).to_pylist())
+            for s, hubs in zip(sets, batch.column(1).to_pylist()):
+                node, shingles = signature(s), signed(s)
+                for k in range(0, len(hubs), TOGETHER):
+                    to = hubs[k : k + TOGETHER]
+                    lists = pa.array([shingles] * len(to), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([node] * len(to), pa.int64()), lists], schema=arrow)
 
-    return docs.mapInArrow(run, SETS)
+    return texts.mapInArrow(run, SETS)
 
 
 def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,10 +343,7 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> Data
         pairs = stored(pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
         near = stored(suffix_filtered(pairs, nodes), "jaccard-near")
-        met = near.select(F.col("a").alias("node")).unionAll(near.select("b")).distinct()
-        wanted = stored(nodes.join(met, "node", "left_semi").select("doc_id", "text_key").distinct(), "jaccard-wanted")
-        sets = sets_of(by_ids(narrow, wanted, "left_semi", "doc_id", "text_key"))
-        links.append(stored(verified(near, sets).distinct(), "jaccard-links"))
+        links.append(stored(verified(stored(oriented(near), "jaccard-sent"), narrow, nodes).distinct(), "jaccard-links"))
         every = links[0]
         for more in links[1:]:
             every = every.unionAll(more)
