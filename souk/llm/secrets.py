@@ -10,8 +10,9 @@ tokens and decoding the runs is exact for the whole text.
 The field is trained here: from all documents, at most ``MAX_RUNS`` runs that
 touch a base span and as many that don't, chosen by a hash, are its labelled
 rows. Their labels are the base spans. Each secret run is also shown with its
-value drawn anew from other alphabets, and half of the time without the words
-that name it, so that secrets of other makes and contexts are learned as well.
+value drawn anew from other alphabets, and any run is shown without its
+neighbours half of the time, so that secrets of other makes and in other
+places are learned as well.
 
 Spark deals out the documents and nothing but the sample is exchanged.
 Defined results: a null or empty text has no spans; with no base span in the
@@ -122,7 +123,7 @@ def _entropy(word: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in map(word.count, set(word)))
 
 
-def token_features(text: str, start: int, end: int, file: list[str], named: bool = True) -> list[int]:
+def token_features(text: str, start: int, end: int, file: list[str], context: bool = True) -> list[int]:
     """Feature numbers of a token: shape, neighbours, file."""
     word = text[start:end]
     n = len(word)
@@ -144,16 +145,17 @@ def token_features(text: str, start: int, end: int, file: list[str], named: bool
         f"dots {min(3, word.count('.'))} {min(2, word.count('-'))} {min(2, word.count('/'))}",
         f"head {'AKIA' if word.startswith('AKIA') else makeup if word[:2].isalpha() else 'other'}",
     ]
-    before = NEIGHBOUR.findall(text[max(0, start - 60) : start])[-4:][::-1]
-    after = NEIGHBOUR.findall(text[end : end + 30])[:2]
-    for k, w in enumerate(before):
-        out.append(f"before {k} {_kind(w)}")
-        if named and TRIGGER.search(w):
-            out += [f"trigger {k}", "trigger"]
-    out += [f"after {k} {_kind(w)}" for k, w in enumerate(after)]
-    out.append("joint " + " ".join(map(_kind, before[:2])))
-    if named and TRIGGER.search(word):
-        out.append("trigger inside")
+    if context:
+        before = NEIGHBOUR.findall(text[max(0, start - 60) : start])[-4:][::-1]
+        after = NEIGHBOUR.findall(text[end : end + 30])[:2]
+        for k, w in enumerate(before):
+            out.append(f"before {k} {_kind(w)}")
+            if TRIGGER.search(w):
+                out += [f"trigger {k}", "trigger"]
+        out += [f"after {k} {_kind(w)}" for k, w in enumerate(after)]
+        out.append("joint " + " ".join(map(_kind, before[:2])))
+        if TRIGGER.search(word):
+            out.append("trigger inside")
     return [_slot(x) for x in out + file]
 
 
@@ -263,15 +265,15 @@ def shown(text: str, run: list[tuple[int, int]], tags: list[int], file: list[str
     words = "\n".join(text[a:b] for a, b in run)
     around = text[max(0, run[0][0] - 80) : run[-1][1] + 40]
     pick = zlib.crc32(words.encode()) << 31 | zlib.crc32(around.encode()) >> 1
-    row = lambda t, k, named: {
+    row = lambda t, k, context: {
         "pick": pick ^ k,
         "secret": any(tags),
-        "features": [token_features(t, a, b, file, named) for a, b in run],
+        "features": [token_features(t, a, b, file, context) for a, b in run],
         "tags": tags,
     }
-    out = [row(text, 0, True)]
+    draw = random.Random(pick)
+    out = [row(text, 0, any(tags) or draw.random() < 0.5)]
     if any(tags):
-        draw = random.Random(pick)
         for k, alphabet in enumerate(ALPHABETS, 1):
             made = list(text)
             for (a, b), tag in zip(run, tags):
