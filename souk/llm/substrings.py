@@ -17,9 +17,11 @@ segments of the same minimizer. That routes the work:
 4. The word intervals go back to their texts, which are cut and digested.
 
 A text that occurs more than once needs no search: all its windows repeat.
-Minimizers with more than ``HOT`` anchors are dealt out by the first and the
-last word of each window, so a passage in a third of all texts is spread over
-the shards together with its many contexts; nothing is capped.
+Minimizers with more than ``HOT`` anchors, or ``SURE`` in one task, are dealt
+out by the first and the last word of each window, so a passage in a third of
+all texts is spread over the shards together with its many contexts; nothing
+is capped. Those that one task met so often aren't brought together at all in
+step 1, as they are known to be shared.
 
 Defined results: words are split at ASCII white space and compared as bytes;
 null, empty, blank and short texts lose nothing; repeated rows and ids are
@@ -48,6 +50,9 @@ GRAM = 8
 REACH = WINDOW - GRAM + 1
 #: Anchors of one minimizer beyond which its windows are dealt out one by one.
 HOT = 20_000
+#: Anchors of one minimizer in one task beyond which it is known to be hot,
+#: and the counters that tell, which minimizers share by their hash.
+SURE, COUNTERS = 1_000, 1 << 20
 #: Words of one shard's index.
 SHARD_WORDS = 2_000_000
 #: Words of a long text that are handled at a time.
@@ -85,18 +90,20 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = TOGETHER) -> Iterator
             yield batch.slice(start, rows)
 
 
-SURVEY = "key long, n_words int, minimizer long, start int, n int"
+SURVEY = "key long, n_words int, minimizer long, start int, n int, sure boolean"
 
 
 def survey(texts: DataFrame) -> DataFrame:
     """Of ``(key, text)``: a row with the number of words per text, and its
     anchors, once per task for equal texts."""
     arrow = pa.schema(
-        [("key", pa.int64()), ("n_words", pa.int32()), ("minimizer", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]
+        [("key", pa.int64()), ("n_words", pa.int32()), ("minimizer", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("sure", pa.bool_())]
     )
+    often = SURE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        counts = np.zeros(COUNTERS, np.int64)
         for batch in _slices(batches):
             keys, found = batch.column(0).to_pylist(), []
             hashes, offsets = word_hashes(batch.column(1).to_pylist())
@@ -107,28 +114,33 @@ def survey(texts: DataFrame) -> DataFrame:
                     found += [(key, *a) for a in anchors_of(hashes[begin:end])]
             k = len(keys)
             none = pa.nulls(k, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), none, none], schema=arrow)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), none, none, pa.nulls(k, pa.bool_())], schema=arrow)
             if found:
                 a = np.array(found, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a[:, 0]), pa.nulls(len(a), pa.int32()), pa.array(a[:, 1]), pa.array(a[:, 2], pa.int32()), pa.array(a[:, 3], pa.int32())],
-                    schema=arrow,
-                )
+                slot = a[:, 1] & (COUNTERS - 1)
+                np.add.at(counts, slot, 1)
+                columns = [pa.array(a[:, 0]), pa.nulls(len(a), pa.int32()), pa.array(a[:, 1])]
+                columns += [pa.array(a[:, 2], pa.int32()), pa.array(a[:, 3], pa.int32()), pa.array(counts[slot] > often)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return texts.mapInArrow(run, SURVEY)
 
 
 def shared_anchors(anchors: DataFrame, hot: int) -> DataFrame:
     """``(key, anchors)`` of texts with anchors whose minimizer also stands
-    elsewhere; ``hot`` flags minimizers with more anchors than that."""
+    elsewhere; ``many`` flags hot minimizers."""
+    known = stored(anchors.where("sure").select("minimizer").distinct(), "substrings-hot")
+    columns = ["key", "start", "n", "minimizer"]
+    sure = by_ids(anchors, known, "left_semi", "minimizer").select(*columns).distinct().withColumn("many", F.lit(True))
+    rest = by_ids(anchors, known, "left_anti", "minimizer")
     by = Window.partitionBy("minimizer").orderBy("key", "start")
     group = Window.partitionBy("minimizer")
     here = F.struct("key", "start")
-    kept = (
-        anchors.withColumns({"last": F.lag(here).over(by), "least": F.min(here).over(group), "most": F.max(here).over(group), "many": F.count("*").over(group) > hot})
-        .where((F.col("least") != F.col("most")) & (F.col("last").isNull() | (F.col("last") != here)))
-    )
-    return kept.groupBy("key").agg(F.collect_list(F.struct("start", "n", "minimizer", "many")).alias("anchors"))
+    last, many = F.lag(here).over(by), F.count("*").over(group) > hot
+    met = rest.withColumns({"last": last, "least": F.min(here).over(group), "most": F.max(here).over(group), "many": many})
+    met = met.where((F.col("least") != F.col("most")) & (F.col("last").isNull() | (F.col("last") != here)))
+    every = met.select(*columns, "many").unionByName(sure)
+    return every.groupBy("key").agg(F.collect_list(F.struct("start", "n", "minimizer", "many")).alias("anchors"))
 
 
 SEGMENTS = "route long, segment long, words binary, times int, key long, start int"
@@ -229,7 +241,7 @@ def repeated_intervals(docs: DataFrame, hot: int = HOT, shard_words: int = SHARD
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
     texts = keyed.select("key", "text")
     surveyed = stored(survey(texts), "substrings-survey")
-    anchors = surveyed.where("n is not null").select("key", "start", "n", "minimizer")
+    anchors = surveyed.where("n is not null").select("key", "start", "n", "minimizer", "sure")
     kept = stored(shared_anchors(anchors, hot), "substrings-anchors")
     met = by_ids(texts, kept.select("key"), "left_semi", "key").join(kept, "key")
     cut = stored(segments(met), "substrings-segments")

@@ -42,6 +42,11 @@ def test_against_plain_version(make_docs, rows, kw):
     assert result(make_docs(rows).repartition(4), **kw) == expected(rows)
 
 
+def test_minimizers_met_often_in_one_task(make_docs, rows, monkeypatch):
+    monkeypatch.setattr(S, "SURE", 1)
+    assert result(make_docs(rows).repartition(3)) == expected(rows)
+
+
 def test_shuffled_joins_give_the_same(make_docs, rows, monkeypatch):
     from souk.llm import jaccard
 
