@@ -1,7 +1,6 @@
 """Scalar column expressions (built-in Spark functions only, no UDFs)."""
 
 from .cleaning import (
-    add_calendar,
     fill_missing,
     parse_invoice_date,
     strip_quotes,
@@ -13,18 +12,20 @@ from .cleaning import (
 from .derive import (
     age_band,
     exact_mean,
+    exact_parts,
     high_spend_label,
     money,
-    money_sum,
     price_bucket,
-    price_sum,
     qty_sum,
     safe_div,
     spend,
-    spend_decimal,
+    spend_parts,
+    spend_sum,
+    total,
 )
 from .predicates import (
     DEFAULT_RULES,
+    customer_present,
     ids_present,
     non_empty,
     not_dummy_category,
@@ -38,14 +39,14 @@ from .predicates import (
 
 __all__ = [
     "DEFAULT_RULES",
-    "add_calendar",
     "age_band",
+    "customer_present",
     "exact_mean",
+    "exact_parts",
     "fill_missing",
     "high_spend_label",
     "ids_present",
     "money",
-    "money_sum",
     "non_empty",
     "not_dummy_category",
     "not_test_invoice",
@@ -53,17 +54,18 @@ __all__ = [
     "parse_invoice_date",
     "price_bucket",
     "price_in_bounds",
-    "price_sum",
     "qty_sum",
     "quality_filter",
     "quality_predicate",
     "quantity_in_bounds",
     "safe_div",
     "spend",
-    "spend_decimal",
+    "spend_parts",
+    "spend_sum",
     "strip_quotes",
     "strip_thousands",
     "to_number",
+    "total",
     "trim_strings",
     "year_month_from_text",
 ]

@@ -100,18 +100,6 @@ def parse_invoice_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -
     return F.coalesce(*tries)
 
 
-def add_calendar(df: DataFrame, date_col: str = "invoice_dt") -> DataFrame:
-    """Add ``invoice_year``, ``invoice_month`` and ``year_month`` (``yyyy-MM``)."""
-    d = F.col(date_col)
-    return df.withColumns(
-        {
-            "invoice_year": F.year(d),
-            "invoice_month": F.month(d),
-            "year_month": F.date_format(d, "yyyy-MM"),
-        }
-    )
-
-
 def year_month_from_text(c: str | Column) -> Column:
     """``d/m/y`` text -> ``yyyy-MM`` by splitting, with a zero-padded month."""
     parts = F.split(_col(c), "/")

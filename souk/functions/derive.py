@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import (
     AGE_BAND_EDGES,
@@ -17,6 +18,10 @@ from ..schema import (
 )
 
 
+#: Line spends below this are summed as DECIMAL(38, 10): 10**13 of them fit.
+MAX_EXACT_SPEND = 1e15
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -26,28 +31,45 @@ def spend(quantity: str | Column = "quantity", price: str | Column = "price") ->
     return _col(quantity) * _col(price)
 
 
-def spend_decimal(quantity: str | Column = "quantity", price: str | Column = "price") -> Column:
-    """Line spend as an exact DECIMAL, for sums that must not depend on order."""
-    return _col(quantity).try_cast(QTY_DECIMAL) * _col(price).try_cast(PRICE_DECIMAL)
+def exact_parts(x: Column, dec: T.DecimalType) -> tuple[Column, Column]:
+    """A number as a DECIMAL if it is one of that width exactly, else as a
+    double: one of the two is null. Nothing is rounded or lost."""
+    d = x.try_cast(dec)
+    fits = d.cast("double") == x
+    return F.when(fits, d), F.when(fits, F.lit(None)).otherwise(x.cast("double"))
 
 
-def money_sum(decimal_expr: Column) -> Column:
-    """Exact sum of a DECIMAL expression, returned as double."""
-    return F.sum(decimal_expr).cast("double")
+def spend_parts(quantity: str | Column = "quantity", price: str | Column = "price") -> tuple[Column, Column]:
+    """Line spend as an exact DECIMAL, or as a double product where a factor
+    isn't a DECIMAL of its width or the product is so large that a sum of many
+    would leave DECIMAL's range."""
+    q, p = _col(quantity), _col(price)
+    product = spend(q, p)
+    exact = exact_parts(q, QTY_DECIMAL)[0] * exact_parts(p, PRICE_DECIMAL)[0]
+    exact = F.when(F.abs(product) < MAX_EXACT_SPEND, exact)
+    return exact, F.when(exact.isNull(), product)
 
 
-def qty_sum(c: str | Column = "quantity") -> Column:
-    return money_sum(_col(c).try_cast(QTY_DECIMAL))
+def total(exact: Column, rest: Column) -> Column:
+    """Sum of both parts as double. What DECIMAL holds is summed exactly, so
+    its total doesn't depend on the order in which partial sums meet; values
+    beyond it are summed as doubles, never dropped."""
+    a, b = F.sum(exact).cast("double"), F.sum(rest)
+    return F.coalesce(a + b, a, b)
 
 
-def price_sum(c: str | Column = "price") -> Column:
-    return money_sum(_col(c).try_cast(PRICE_DECIMAL))
+def spend_sum(quantity: str | Column = "quantity", price: str | Column = "price") -> Column:
+    return total(*spend_parts(quantity, price))
+
+
+def qty_sum(c: str | Column = "quantity") -> Column:
+    return total(*exact_parts(_col(c), QTY_DECIMAL))
 
 
-def exact_mean(c: str | Column, dec=PRICE_DECIMAL) -> Column:
-    """Mean over non-null values: exact decimal sum / count, as double."""
+def exact_mean(c: str | Column, dec: T.DecimalType = PRICE_DECIMAL) -> Column:
+    """Mean over the non-null values, all of which are in the sum."""
     x = _col(c)
-    return F.try_divide(F.sum(x.try_cast(dec)).cast("double"), F.count(x))
+    return F.try_divide(total(*exact_parts(x, dec)), F.count(x))
 
 
 def age_band(c: str | Column = "age") -> Column:

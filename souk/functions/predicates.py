@@ -43,13 +43,14 @@ def not_dummy_category() -> Column:
 
 
 def quantity_in_bounds(max_quantity: float = MAX_QUANTITY) -> Column:
+    """A missing quantity fails, as null compares to nothing."""
     q = F.col("quantity")
-    return q.isNotNull() & (q > 0) & (q <= max_quantity)
+    return (q > 0) & (q <= max_quantity)
 
 
 def price_in_bounds(max_price: float = MAX_PRICE) -> Column:
     p = F.col("price")
-    return p.isNotNull() & (p > 0) & (p <= max_price)
+    return (p > 0) & (p <= max_price)
 
 
 DEFAULT_RULES: tuple[Callable[[], Column], ...] = (

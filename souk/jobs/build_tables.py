@@ -1,14 +1,17 @@
 """Batch job: raw invoice lines -> silver -> gold and analysis tables.
 
     spark-submit souk/jobs/build_tables.py --input <raw.csv or dir> --out-base <path> \
-        [--format parquet|delta|csv] [--input-format csv|tsv|parquet] [--mode overwrite|append] \
+        [--format parquet|delta|csv|tsv] [--input-format csv|tsv|parquet] [--mode overwrite|append] \
         [--overwrite static|dynamic] [--clustering rebalance|repartition] [--run-ml]
+    spark-submit souk/jobs/build_tables.py --silver <base>/silver/transactions_clean --out-base <path>
     spark-submit souk/jobs/build_tables.py --sf-dir /root/testdata/sf0.1 --out-base <path>
 
-Silver is cleaned once, written partitioned by month and mall, and every
-later table is derived from reading it back (the written table also cuts
-the lineage: a lost executor recomputes from silver files, not from the raw
-input). Session settings are the job's, never the library's.
+The raw input is read once, into a staged table under the checkpoint folder
+(every row, typed, with its texts and the verdict of the quality rules).
+Silver is a filter of it, the tables over raw lines read it, and a table that
+others need is read back once written, so a lost executor recomputes from
+files. ``--silver`` starts from an existing silver table and writes what needs
+no raw lines. Session settings are the job's, never the library's.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from souk.functions import trim_strings  # noqa: E402
+from souk.functions import customer_present, year_month_from_text  # noqa: E402
 from souk.operators import clean as C  # noqa: E402
 from souk.operators import clusters as CL  # noqa: E402
 from souk.operators import freq as FQ  # noqa: E402
@@ -31,20 +34,26 @@ from souk.operators import joins as J  # noqa: E402
 from souk.operators import kpis as K  # noqa: E402
 from souk.operators import layout as L  # noqa: E402
 from souk.operators import model as M  # noqa: E402
+from souk.operators import sampling as S  # noqa: E402
 from souk.schema import RAW_SCHEMA, SILVER_SCHEMA  # noqa: E402
-from souk.session import ensure_checkpoint_dir  # noqa: E402
+from souk.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from souk.sources import io  # noqa: E402
 from souk.sources.fixture import transactions_raw  # noqa: E402
 
+FORMATS = ["parquet", "delta", "csv", "tsv"]
+SILVER = "silver/transactions_clean"
+
 
 def parse_args(argv=None):
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--input", help="raw invoice lines (CSV with a header, or --input-format)")
     src.add_argument("--sf-dir", help="star-schema test tables; the raw view is derived from them")
+    src.add_argument("--silver", help="an existing silver table in --format; no raw line is read")
     p.add_argument("--input-format", default="csv", choices=["csv", "tsv", "parquet"])
+    p.add_argument("--multi-line", action="store_true", help="raw CSV values may hold line breaks")
     p.add_argument("--out-base", required=True)
-    p.add_argument("--format", default="parquet", choices=["parquet", "delta", "csv"])
+    p.add_argument("--format", default="parquet", choices=FORMATS)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--overwrite", default="static", choices=["static", "dynamic"])
     p.add_argument("--clustering", default="rebalance", choices=["rebalance", "repartition"])
@@ -66,86 +75,135 @@ def session() -> SparkSession:
     return spark
 
 
-def _csv_safe(df: DataFrame) -> DataFrame:
+def _flat(df: DataFrame) -> DataFrame:
     """Arrays as JSON text, for sinks that only take flat columns."""
-    return df.select(
-        *[
-            F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    return df.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else f.name for f in df.schema])
 
 
-def run(spark: SparkSession, args) -> dict[str, str]:
-    base = args.out_base.rstrip("/")
+def read_raw(spark: SparkSession, args) -> DataFrame:
     if args.sf_dir:
-        raw = transactions_raw(spark, args.sf_dir)
-    elif args.input_format == "parquet":
-        raw = io.read_table(spark, args.input, "parquet")
-    else:
-        raw = io.read_table(spark, args.input, args.input_format, schema=RAW_SCHEMA)
-
-    written: dict[str, str] = {}
-
-    def save(name: str, df: DataFrame) -> None:
-        path = f"{base}/{name}"
-        out = _csv_safe(df) if args.format == "csv" else df
-        io.write_table(out, path, fmt=args.format, mode=args.mode)
-        written[name] = path
-
-    silver_path = f"{base}/silver/transactions_clean"
-    io.write_silver(
-        C.silver(raw), silver_path, fmt=args.format, mode=args.mode, overwrite=args.overwrite, clustering=args.clustering
-    )
-    written["silver/transactions_clean"] = silver_path
-    fmt_in = "csv" if args.format == "csv" else args.format
-    s = io.read_table(spark, silver_path, fmt_in, schema=SILVER_SCHEMA)
-
-    # gold (part A)
-    cust = K.customer_summary(s)
-    save("gold/customer_summary", cust)
-    save("gold/bucket_counts", K.bucket_counts(cust))
-    save("gold/monthly_summary", K.monthly_summary(s))
-    cat = K.category_avg_spend(s)
-    save("gold/category_avg_spend", cat)
-    io.write_small_csv(cat, f"{base}/gold/category_top10", 10, [F.desc("avg_spend_per_tx"), F.asc("category")])
-    written["gold/category_top10"] = f"{base}/gold/category_top10"
-
-    # analysis tables (part B)
-    save("gold_b/invoice_baskets", K.invoice_baskets(s))
-    save("gold_b/mall_month_extended", K.mall_month_extended(s))
-    save("gold_b/age_band_category", K.age_band_category(s))
-    save("gold_b/payment_behavior", K.payment_behavior(s))
-    save("gold_b/mall_counts", FQ.mall_counts(s))
-    save("gold_b/mall_agg_skewed", L.mall_revenue(s))
-    save("gold_b/mall_agg_balanced", L.mall_revenue(s, repartition=8))
-    save("gold_b/mall_month_baseline", L.mall_month_revenue(s))
+        return transactions_raw(spark, args.sf_dir)
+    if args.input_format == "parquet":
+        return io.read_table(spark, args.input, "parquet")
+    sep = "\t" if args.input_format == "tsv" else ","
+    return io.read_transactions(spark, args.input, RAW_SCHEMA, sep, args.multi_line)
+
+
+class Tables:
+    """Where the job writes its tables, and reads them back from."""
+
+    def __init__(self, spark: SparkSession, args):
+        self.spark, self.args = spark, args
+        self.base = args.out_base.rstrip("/")
+        self.written: dict[str, str] = {}
+
+    def save(self, name: str, df: DataFrame) -> None:
+        path = f"{self.base}/{name}"
+        text = self.args.format in ("csv", "tsv")
+        io.write_table(_flat(df) if text else df, path, fmt=self.args.format, mode=self.args.mode)
+        self.written[name] = path
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Saves a table that others are made from and reads it back. What a
+        run appends to an old table is not read with it."""
+        if self.args.mode == "append":
+            df = df.checkpoint()
+            self.save(name, df)
+            return df
+        self.save(name, df)
+        return io.read_table(self.spark, self.written[name], self.args.format, schema=df.schema)
+
+
+def gold(out: Tables, s: DataFrame, args) -> DataFrame:
+    """Tables over silver. Returns the mall dimension."""
+    customers = out.keep("gold/customer_summary", K.customer_summary(s))
+    out.save("gold/customer_summary_money", K.customer_summary_money(customers))
+    out.save("gold/bucket_counts", K.bucket_counts(customers))
+    out.save("gold/monthly_summary", K.monthly_summary(s))
+    category = out.keep("gold/category_avg_spend", K.category_avg_spend(s))
+    top = [F.desc("avg_spend_per_tx"), F.asc("category")]
+    io.write_small_csv(category, f"{out.base}/gold/category_top10", 10, top)
+    out.written["gold/category_top10"] = f"{out.base}/gold/category_top10"
+
+    out.save("gold_b/mall_month_extended", K.mall_month_extended(s))
+    out.save("gold_b/age_band_category", K.age_band_category(s))
+    out.save("gold_b/payment_behavior", K.payment_behavior(s))
+    out.save("gold_b/mall_agg_skewed", L.mall_revenue(s))
+    out.save("gold_b/mall_agg_balanced", L.mall_revenue(s, repartition=8))
+    out.save("gold_b/mall_month_baseline", L.mall_month_revenue(s))
     if args.year is not None:
-        save("gold_b/mall_month_optimized", L.mall_month_revenue(s, year=args.year))
-    dim = J.mall_dimension(s)
-    save("gold_b/join_regular", J.join_mall_dim(s, dim, "merge"))
-    save("gold_b/join_broadcast", J.join_mall_dim(s, dim, "broadcast"))
-
-    # shell-era tables over the raw lines
-    p = C.parsed(raw)
-    save("signals/numeric_distributions", K.numeric_distributions(p))
-    save("signals/signals_ranked", K.signals_ranked(p))
-    save("signals/monthly_summary_raw", K.monthly_summary(p))
-    edges = CL.category_customer_edges(p)
-    counts = CL.entity_counts(edges, args.min_cluster)
-    kept = CL.threshold_edges(edges, counts)
-    save("clusters/entity_counts", counts)
-    save("clusters/cluster_sizes", CL.cluster_sizes(kept))
-    save("clusters/cluster_outcomes", CL.cluster_outcomes(CL.category_prices(trim_strings(raw))))
-    save("clusters/top30_diff", CL.top_diff(CL.top_entities(kept, 30), CL.top_entities(edges, 30)))
-    save("clusters/edge_nodes", CL.edge_nodes(kept))
+        out.save("gold_b/mall_month_optimized", L.mall_month_revenue(s, year=args.year))
+    # the malls come from the counts, not from another pass over silver
+    malls = out.keep("gold_b/mall_counts", FQ.mall_counts(s))
+    dim = out.keep("gold_b/mall_dimension", J.mall_dimension(malls))
+    out.save("gold_b/join_regular", J.join_mall_dim(s, dim, "merge"))
+    out.save("gold_b/join_broadcast", J.join_mall_dim(s, dim, "broadcast"))
+    return dim
 
+
+def baskets(out: Tables, s: DataFrame, dim: DataFrame, args) -> None:
+    rows = out.keep("gold_b/invoice_baskets", K.invoice_baskets(s))
     if args.run_ml:
-        training = M.basket_features(K.invoice_baskets(s), dim)
-        model, test = M.high_spend_model(training)
-        save("gold_b/ml_predictions", M.predictions(model, test))
-        save("gold_b/ml_auc", M.auc_table(spark, M.predictions(model, test, flat=False)))
-    return written
+        model, test = M.HIGH_SPEND_BASKETS.fit_split(M.basket_features(rows, dim), "invoice_no")
+        out.save("gold_b/ml_predictions", M.predictions(model, test))
+        out.save("gold_b/ml_auc", M.auc_table(M.predictions(model, test, flat=False)))
+
+
+def over_raw_lines(out: Tables, stage: DataFrame, args) -> None:
+    """Tables over all raw lines, from the staged table."""
+    texts = C.texts_of(stage)
+    for c in ("category", "payment_method", "gender", "shopping_mall"):
+        out.save(f"frequencies/freq_{c}", FQ.frequency(texts, c))
+    for c in ("age", "shopping_mall"):
+        out.save(f"frequencies/top5_{c}", FQ.top_values(texts, c, 5))
+    out.save("frequencies/missing_fields", FQ.missing_fields(texts))
+    out.save("frequencies/text_profile", FQ.text_profile(texts))
+    out.save("customers/demographics", C.customer_demographics(texts))
+    out.save("customers/customer_counts", FQ.customer_counts(texts))
+    out.save("customers/first_gender", FQ.first_per_key(texts.where(customer_present()), "customer_id", "gender", ["invoice_no"]))
+    out.save("customers/top_customers_with_gender", FQ.top_customers_with_gender(texts, 10))
+    out.save("customers/top_customers_by_quantity", K.top_customers_by_quantity(stage, 10))
+    out.save("lines/skinny", C.skinny_transactions(C.clean_fields(texts)))
+    out.save("lines/sample", S.sample_rows(texts, 1000))
+
+    out.save("signals/numeric_distributions", K.numeric_distributions(stage))
+    out.save("signals/signals_ranked", K.signals_ranked(stage))
+    out.save("signals/monthly_summary_raw", K.monthly_summary(stage))
+    split = stage.where(F.col("invoice_date").rlike(r"^[0-9]+/[0-9]+/[0-9]{4}$"))
+    split = split.withColumn("year_month", year_month_from_text("invoice_date"))
+    out.save("signals/monthly_summary_by_split", K.monthly_summary(split))
+
+    edges = CL.category_customer_edges(texts)
+    counts = out.keep("clusters/entity_counts", CL.entity_counts(edges, args.min_cluster))
+    kept = out.keep("clusters/edges_thresholded", CL.threshold_edges(edges, counts))
+    out.save("clusters/cluster_sizes", CL.cluster_sizes(kept))
+    out.save("clusters/cluster_outcomes", CL.cluster_outcomes(CL.category_prices(texts)))
+    overall = out.keep("clusters/top30_overall", CL.top_entities(edges, 30))
+    clusters = out.keep("clusters/top30_clusters", CL.top_entities(kept, 30))
+    out.save("clusters/top30_diff", CL.top_diff(clusters, overall))
+    out.save("clusters/edge_sample", S.edge_sample(texts, 500))
+    out.save("clusters/edge_nodes", CL.edge_nodes(kept))
+
+
+def run(spark: SparkSession, args) -> dict[str, str]:
+    out = Tables(spark, args)
+    stage = None
+    silver_path = args.silver
+    if not silver_path:
+        staged_path = scratch_path(spark, "staged")
+        io.write_table(C.staged(read_raw(spark, args)), staged_path)
+        stage = io.read_table(spark, staged_path)
+        silver_path = f"{out.base}/{SILVER}"
+        io.write_silver(
+            C.silver_of(stage), silver_path, fmt=args.format, mode=args.mode, overwrite=args.overwrite, clustering=args.clustering
+        )
+        out.written[SILVER] = silver_path
+    s = io.read_table(spark, silver_path, args.format, schema=SILVER_SCHEMA)
+    baskets(out, s, gold(out, s, args), args)
+    if stage is not None:
+        over_raw_lines(out, stage, args)
+    return out.written
 
 
 def main(argv=None) -> None:

@@ -16,10 +16,10 @@ from ..functions.cleaning import (
     to_number,
 )
 from ..functions.derive import age_band, spend
-from ..functions.predicates import DEFAULT_RULES, quality_filter
-from ..schema import DATE_FORMATS, MISSING_MARKER, SILVER_COLUMNS
+from ..functions.predicates import DEFAULT_RULES, quality_filter, quality_predicate
+from ..schema import DATE_FORMATS, MISSING_MARKER, RAW_COLUMNS, SILVER_COLUMNS
 
-NUMERIC_TEXT_COLUMNS = ("quantity", "price")
+NUMERIC_TEXT_COLUMNS = ("age", "quantity", "price")
 
 
 def clean_fields(
@@ -41,11 +41,11 @@ def clean_fields(
     return raw.select(*out)
 
 
-def parsed(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+def parsed(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS, keep: Sequence[str] = ()) -> DataFrame:
     """Trimmed, typed and enriched rows *without* the quality filter: numbers
     coerced (bad text -> null), date parsed over several formats (a bad date
     is null and the row is kept), calendar fields, lower-case category,
-    spend and age band. One projection."""
+    spend and age band, and the columns ``keep`` as they are. One projection."""
     types = {f.name: f.dataType for f in raw.schema.fields}
 
     def text(c: str):
@@ -56,7 +56,7 @@ def parsed(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFr
     price = to_number(text("price"), types["price"])
     invoice_dt = parse_invoice_date(text("invoice_date"), date_formats)
     category = text("category")
-    age = F.col("age").cast("int")
+    age = to_number(text("age"), types["age"]).try_cast("int")
     cols = {
         "invoice_no": text("invoice_no"),
         "customer_id": text("customer_id"),
@@ -76,7 +76,30 @@ def parsed(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFr
         "spend": spend(quantity, price),
         "age_band": age_band(age),
     }
-    return raw.select(*[cols[c].alias(c) for c in SILVER_COLUMNS])
+    return raw.select(*[cols[c].alias(c) for c in SILVER_COLUMNS], *keep)
+
+
+#: What :func:`staged` adds: the texts that numbers came from, and the verdict.
+STAGED_EXTRA = ("age_text", "quantity_text", "price_text", "passes")
+
+
+def staged(raw: DataFrame, rules=DEFAULT_RULES, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Every row parsed once, with the trimmed texts of its numbers and
+    ``passes``, whether the quality rules keep it. Written out, all later
+    tables read it instead of the raw input: silver is a filter of it."""
+    texts = {f"{c}_text": F.trim(F.col(c).cast("string")) for c in ("age", "quantity", "price")}
+    both = parsed(raw.select("*", *[e.alias(n) for n, e in texts.items()]), date_formats, keep=tuple(texts))
+    return both.withColumn("passes", F.coalesce(quality_predicate(rules), F.lit(False)))
+
+
+def silver_of(stage: DataFrame) -> DataFrame:
+    return stage.where("passes").select(*SILVER_COLUMNS)
+
+
+def texts_of(stage: DataFrame) -> DataFrame:
+    """The raw columns of a staged table as trimmed text."""
+    numbers = {"age", "quantity", "price"}
+    return stage.select(*[F.col(f"{c}_text").alias(c) if c in numbers else F.col(c) for c in RAW_COLUMNS])
 
 
 def silver(raw: DataFrame, rules=DEFAULT_RULES, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import exact_mean
 from ..functions.predicates import non_empty, numeric_text
-from ..session import ensure_checkpoint_dir
-from .joins import MAX_BROADCAST_ROWS, fits_broadcast
+from .joins import MAX_BROADCAST_BYTES, small_side
 from .quantiles import exact_median
 from .topn import top_n
 
@@ -30,18 +29,15 @@ def entity_counts(edges: DataFrame, min_count: int = 10, left: str = "category")
 
 
 def threshold_edges(
-    edges: DataFrame, counts: DataFrame, left: str = "category", max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    edges: DataFrame, counts: DataFrame, left: str = "category", max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Edges whose left entity passed the threshold (left semi join).
 
-    The passing entities are materialized once into the checkpoint folder
-    and counted; within ``max_broadcast_rows`` they are broadcast, so the
-    edge rows are filtered where they are read and never shuffled by entity
-    (a hot entity would otherwise fill one task). Beyond it the join is a
-    shuffle join whose skewed partitions AQE splits."""
-    ensure_checkpoint_dir(counts.sparkSession)
-    keys = counts.select(left).checkpoint()
-    side = F.broadcast(keys) if fits_broadcast(keys, max_broadcast_rows) else keys
+    The passing entities are written once into the checkpoint folder and
+    measured; within ``max_bytes`` they are broadcast, so the edge rows are
+    filtered where they are read and never shuffled by entity (a hot entity
+    would otherwise fill one task)."""
+    side = small_side(counts.select(left), max_bytes)
     return edges.join(side, edges[left].eqNullSafe(side[left]), "left_semi")
 
 
@@ -58,10 +54,14 @@ def top_entities(edges: DataFrame, n: int = 30, left: str = "category") -> DataF
     return top_n(counts, [F.desc("count"), F.col(left).asc_nulls_first()], n)
 
 
-def top_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows only in ``a`` (side ``<``) and only in ``b`` (side ``>``), as
-    multisets."""
-    return a.exceptAll(b).withColumn("side", F.lit("<")).unionByName(b.exceptAll(a).withColumn("side", F.lit(">")))
+def top_diff(a: DataFrame, b: DataFrame, left: str = "category") -> DataFrame:
+    """Rows only in ``a`` (side ``<``) and only in ``b`` (side ``>``) of two
+    top lists, which name an entity once each: one full outer join."""
+    x, y = (df.select(F.col(left), F.col("count"), F.lit(True).alias("own")).alias(k) for df, k in ((a, "x"), (b, "y")))
+    met = x.join(y, F.col(f"x.{left}").eqNullSafe(F.col(f"y.{left}")) & (F.col("x.count") == F.col("y.count")), "full")
+    side = F.when(F.col("y.own").isNull(), F.lit("<")).when(F.col("x.own").isNull(), F.lit(">"))
+    one = lambda c: F.when(F.col("x.own").isNotNull(), F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")).alias(c)
+    return met.select(one(left), one("count"), side.alias("side")).where(F.col("side").isNotNull())
 
 
 def category_prices(raw: DataFrame, left: str = "category", value: str = "price") -> DataFrame:
@@ -86,10 +86,9 @@ def edge_nodes(edges: DataFrame, left: str = "category", right: str = "customer_
     neighbours). Empty ends are skipped. Distinct counting goes through
     Spark's two-phase (node, neighbour) aggregation, so a hub node's
     neighbours are spread over tasks."""
-    e = edges.where(non_empty(left) & non_empty(right)).select(F.col(left).alias("l"), F.col(right).alias("r"))
-    ends = e.select(F.col("l").alias("node"), F.col("r").alias("nbr"), F.lit(1).alias("is_left")).unionByName(
-        e.select(F.col("r").alias("node"), F.col("l").alias("nbr"), F.lit(0).alias("is_left"))
-    )
+    l, r = F.col(left), F.col(right)
+    end = lambda node, nbr, is_left: F.struct(node.alias("node"), nbr.alias("nbr"), F.lit(is_left).alias("is_left"))
+    ends = edges.where(non_empty(left) & non_empty(right)).select(F.inline(F.array(end(l, r, 1), end(r, l, 0))))
     return ends.groupBy("node").agg(
         F.when(F.max("is_left") == 1, F.lit("entity")).otherwise(F.lit("customer")).alias("role"),
         F.count_distinct("nbr").alias("degree"),

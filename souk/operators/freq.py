@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,12 +68,13 @@ def top_customers_with_gender(df: DataFrame, n: int = 10, order: Sequence[str] =
     return top_n(per, [F.desc("count"), F.asc("customer_id")], n)
 
 
-def mod_bucket_counts(spark: SparkSession, nums: DataFrame, buckets: int = 10) -> DataFrame:
-    """Count per ``num % buckets`` through SQL text over a temporary view of
-    ``nums`` (column ``num``), in bucket order."""
-    return spark.sql(
-        "SELECT CAST(num % {b} AS BIGINT) AS bucket, COUNT(*) AS c FROM {nums} GROUP BY num % {b} ORDER BY bucket",
-        nums=nums,
+def mod_bucket_counts(rows: DataFrame, key: str, buckets: int = 10) -> DataFrame:
+    """Rows per ``key % buckets`` through SQL text over a temporary view, in
+    bucket order."""
+    return rows.sparkSession.sql(
+        "SELECT CAST({key} % {b} AS BIGINT) AS bucket, COUNT(*) AS c FROM {rows} GROUP BY 1 ORDER BY 1",
+        rows=rows,
+        key=F.col(key),
         b=int(buckets),
     )
 
@@ -97,6 +98,20 @@ def missing_fields(df: DataFrame, markers: Sequence[str] = ("",)) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def text_profile(rows: DataFrame, sep: str = ",") -> DataFrame:
+    """Lines, words and bytes of a table as separated text (``wc``), with the
+    header line: one line per row whatever files hold them, a line end counted
+    as one byte. Blanks and tabs separate words; a null is empty."""
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
+    trimmed = F.regexp_replace(line, r"^\s+|\s+$", "")
+    words = F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, r"\s+")))
+    return rows.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.coalesce(F.sum(words), F.lit(0)).cast("bigint").alias("words"),
+        F.coalesce(F.sum(F.octet_length(line) + 1), F.lit(0)).cast("bigint").alias("bytes"),
+    ).withColumn("header", F.lit(sep.join(rows.columns)))
+
+
 def duplicate_keys(df: DataFrame, key: str = "invoice_no") -> DataFrame:
     """Keys present on more than one row (missing keys skipped)."""
     return (
@@ -104,5 +119,4 @@ def duplicate_keys(df: DataFrame, key: str = "invoice_no") -> DataFrame:
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("count"))
         .filter(F.col("count") > 1)
-        .orderBy(F.desc("count"), F.asc(key))
     )

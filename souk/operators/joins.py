@@ -1,4 +1,4 @@
-"""The mall dimension and its joins (shuffle or broadcast by hint)."""
+"""The mall dimension and its joins (shuffle or broadcast by checked size)."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..schema import MALL_SEGMENT
 from ..session import ensure_checkpoint_dir
 
-# A broadcast side is checked against this many rows before it is hinted.
-MAX_BROADCAST_ROWS = 200_000
+#: A side is broadcast if it is known to take no more bytes than this.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def mall_dimension(tx: DataFrame, segment: str = MALL_SEGMENT) -> DataFrame:
@@ -18,33 +18,42 @@ def mall_dimension(tx: DataFrame, segment: str = MALL_SEGMENT) -> DataFrame:
     return tx.select("shopping_mall").distinct().withColumn("mall_segment", F.lit(segment))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Row-count check of a candidate broadcast side (reads at most
-    ``max_rows + 1`` rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size estimate, an upper bound for scans of files and what
+    only narrows them. Runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def small_side(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """A side that is small by construction but not by the planner's estimate:
+    written once to the checkpoint folder, measured there, and marked for a
+    broadcast if its bytes allow; otherwise the join is a shuffle whose skewed
+    partitions the adaptive planner splits."""
+    ensure_checkpoint_dir(df.sparkSession)
+    written = df.checkpoint()
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in written.columns), F.lit(0))
+    size = written.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(written) if size <= max_bytes else written
 
 
 def join_mall_dim(
     tx: DataFrame,
     dim: DataFrame,
-    strategy: str = "merge",
+    strategy: str = "auto",
     how: str = "left",
     key: str = "shopping_mall",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left equi join to the dimension.
+    """Left equi join to the dimension. No strategy runs a job.
 
-    ``merge``: sort-merge join (shuffle both sides; AQE splits a skewed
-    key on the fact side). ``broadcast``: the dimension is materialized once
-    into the checkpoint folder, its row count checked against
-    ``max_broadcast_rows``, and only then broadcast (else ``merge``).
     ``auto``: Catalyst decides from statistics, and AQE turns the join into
     a broadcast at run time when the shuffled dimension turns out small.
+    ``broadcast``: the dimension is broadcast if the planner bounds its size by
+    ``max_bytes``, as it does for a stored table; else as ``auto``.
+    ``merge``: sort-merge join (shuffle both sides; AQE splits a skewed key).
     """
     if strategy == "broadcast":
-        ensure_checkpoint_dir(dim.sparkSession)
-        small = dim.checkpoint()
-        side = F.broadcast(small) if fits_broadcast(small, max_broadcast_rows) else small.hint("merge")
+        side = F.broadcast(dim) if planned_bytes(dim) <= max_bytes else dim
     elif strategy == "merge":
         side = dim.hint("merge")
     elif strategy == "auto":

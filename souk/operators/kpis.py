@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.derive import exact_mean, money, price_bucket, qty_sum, safe_div, spend_decimal
+from ..functions.derive import exact_mean, exact_parts, money, price_bucket, qty_sum, safe_div, spend_parts, spend_sum, total
 from ..functions.predicates import customer_present, non_empty
 from ..schema import BUCKET_HI, BUCKET_LO, HIGH_PRICE, PRICE_DECIMAL, QTY_DECIMAL
 from .topn import top_n
@@ -36,7 +36,7 @@ def customer_summary(
     agg = tx.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("transactions"),
         qty_sum("quantity").alias("total_items"),
-        F.sum(spend_decimal()).cast("double").alias("total_spend"),
+        spend_sum().alias("total_spend"),
         exact_mean("price").alias("price_mean"),
         F.percentile_approx("price", 0.5, median_accuracy).alias("price_median"),
         _ratio(F.col("price") > high_price).alias("high_price_tx_ratio"),
@@ -49,6 +49,18 @@ def customer_summary(
     )
 
 
+def customer_summary_money(summary: DataFrame) -> DataFrame:
+    """The customer summary for printing: without mean and median, money and
+    the ratio at two decimals."""
+    return summary.select(
+        "customer_id",
+        "transactions",
+        "total_items",
+        *[money(c).alias(c) for c in ("total_spend", "avg_price_per_item", "high_price_tx_ratio")],
+        "bucket",
+    )
+
+
 def bucket_counts(summary: DataFrame) -> DataFrame:
     """Customers per price bucket."""
     return summary.groupBy("bucket").agg(F.count(F.lit(1)).alias("count")).orderBy("bucket")
@@ -69,7 +81,7 @@ def category_avg_spend(tx: DataFrame) -> DataFrame:
     return (
         tx.filter(non_empty("category"))
         .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("tx"), F.sum(spend_decimal()).cast("double").alias("total_spend"))
+        .agg(F.count(F.lit(1)).alias("tx"), spend_sum().alias("total_spend"))
         .withColumn("total_spend", F.coalesce(F.col("total_spend"), F.lit(0.0)))
         .withColumn("avg_spend_per_tx", F.col("total_spend") / F.col("tx"))
         .orderBy(F.desc("avg_spend_per_tx"), F.asc("category"))
@@ -81,23 +93,34 @@ def category_top(tx: DataFrame, n: int = 10) -> DataFrame:
     return top_n(category_avg_spend(tx), [F.desc("avg_spend_per_tx"), F.asc("category")], n)
 
 
-def _baskets_exact(tx: DataFrame) -> DataFrame:
+def _baskets(tx: DataFrame) -> DataFrame:
+    """Baskets with spend and items in both parts of their sums, so that they
+    can be summed on."""
+    spend, spend_rest = spend_parts()
+    items, items_rest = exact_parts(F.col("quantity"), QTY_DECIMAL)
     return tx.groupBy("invoice_no", "customer_id", "shopping_mall", "year_month").agg(
-        F.sum(spend_decimal()).alias("spend_dec"),
-        F.sum(F.col("quantity").try_cast(QTY_DECIMAL)).alias("items_dec"),
+        F.sum(spend).alias("spend"),
+        F.sum(spend_rest).alias("spend_rest"),
+        F.sum(items).alias("items"),
+        F.sum(items_rest).alias("items_rest"),
         F.count_distinct("category").alias("basket_category_count"),
     )
 
 
+def _both(exact: str, rest: str) -> Column:
+    a, b = F.col(exact).cast("double"), F.col(rest)
+    return F.coalesce(a + b, a, b)
+
+
 def invoice_baskets(tx: DataFrame) -> DataFrame:
     """Per (invoice, customer, mall, month): spend, items, distinct categories."""
-    return _baskets_exact(tx).select(
+    return _baskets(tx).select(
         "invoice_no",
         "customer_id",
         "shopping_mall",
         "year_month",
-        F.col("spend_dec").cast("double").alias("basket_spend"),
-        F.col("items_dec").cast("double").alias("basket_items"),
+        _both("spend", "spend_rest").alias("basket_spend"),
+        _both("items", "items_rest").alias("basket_items"),
         "basket_category_count",
     )
 
@@ -105,13 +128,13 @@ def invoice_baskets(tx: DataFrame) -> DataFrame:
 def mall_month_extended(tx: DataFrame) -> DataFrame:
     """Per mall and month, over baskets: revenue, invoices, mean basket value
     and mean basket items."""
-    b = _baskets_exact(tx)
     return (
-        b.groupBy("shopping_mall", "year_month")
+        _baskets(tx)
+        .groupBy("shopping_mall", "year_month")
         .agg(
-            F.sum("spend_dec").cast("double").alias("total_revenue"),
+            total(F.col("spend"), F.col("spend_rest")).alias("total_revenue"),
             F.count(F.lit(1)).alias("num_invoices"),
-            F.sum("items_dec").cast("double").alias("_items"),
+            total(F.col("items"), F.col("items_rest")).alias("_items"),
         )
         .select(
             "shopping_mall",
@@ -130,7 +153,7 @@ def age_band_category(tx: DataFrame) -> DataFrame:
     return (
         tx.groupBy("age_band", "category")
         .agg(
-            F.sum(spend_decimal()).cast("double").alias("total_revenue"),
+            spend_sum().alias("total_revenue"),
             qty_sum("quantity").alias("items_sold"),
         )
         .orderBy("age_band", F.desc("total_revenue"), "category")
@@ -140,7 +163,7 @@ def age_band_category(tx: DataFrame) -> DataFrame:
 def payment_behavior(tx: DataFrame) -> DataFrame:
     """Revenue per mall, age band and payment method."""
     return tx.groupBy("shopping_mall", "age_band", "payment_method").agg(
-        F.sum(spend_decimal()).cast("double").alias("total_revenue")
+        spend_sum().alias("total_revenue")
     )
 
 

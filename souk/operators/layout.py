@@ -7,29 +7,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.derive import spend_decimal
+from ..functions.derive import spend_sum
 
 
 def mall_revenue(tx: DataFrame, repartition: int | None = None) -> DataFrame:
-    """Total revenue per mall.
-
-    Plain (default): partial aggregate -> exchange on the mall -> final.
-    ``repartition=n``: the final aggregation runs in exactly ``n`` tasks
-    fed by pre-aggregated rows: rows are first summed per (mall, salt) with a
-    map-side partial aggregate, then only those partial sums are
-    hash-partitioned into ``n`` parts by mall. Raw rows never cross the
-    network, unlike a ``repartition`` placed before ``groupBy``.
+    """Total revenue per mall: partial aggregate -> exchange on the mall ->
+    final. ``repartition=n``: the final step and what follows run in at most
+    ``n`` tasks, fed by the same partial sums through the same one exchange.
     """
-    spend = spend_decimal()
-    if not repartition:
-        return tx.groupBy("shopping_mall").agg(F.sum(spend).cast("double").alias("total_revenue"))
-    salt = F.pmod(F.xxhash64("invoice_no", "customer_id", "category", "price"), F.lit(repartition))
-    partial = tx.groupBy("shopping_mall", salt.alias("__salt")).agg(F.sum(spend).alias("__part"))
-    return (
-        partial.repartition(repartition, "shopping_mall")
-        .groupBy("shopping_mall")
-        .agg(F.sum("__part").cast("double").alias("total_revenue"))
-    )
+    revenue = tx.groupBy("shopping_mall").agg(spend_sum().alias("total_revenue"))
+    return revenue.coalesce(repartition) if repartition else revenue
 
 
 def year_filter(year: int):
@@ -42,4 +29,4 @@ def year_filter(year: int):
 def mall_month_revenue(tx: DataFrame, year: int | None = None) -> DataFrame:
     """Revenue per mall and month, optionally for one year only."""
     src = tx.filter(year_filter(year)) if year is not None else tx
-    return src.groupBy("shopping_mall", "year_month").agg(F.sum(spend_decimal()).cast("double").alias("total_revenue"))
+    return src.groupBy("shopping_mall", "year_month").agg(spend_sum().alias("total_revenue"))

@@ -1,33 +1,23 @@
 """Exact per-group median without gathering a whole group in one task.
 
-Spark's ``median`` keeps a map of every distinct value of a group in one
-final buffer, so a group holding a third of the rows lands in one task.
-Here a group is narrowed first:
-
-1. every group of more than ``max_group`` rows is sketched with
-   ``percentile_approx`` (a mergeable sketch, combined map-side) at
-   ``buckets`` evenly spaced fractions; the two middle ranks lie between two
-   sketch points a couple of buckets apart (sketch rank error
-   1/``accuracy`` << 1/``buckets``);
-2. rows are counted below and inside that bracket (a plain aggregate), the
-   bracket is verified to hold both middle ranks, the group is cut down to
-   the bracket and the target ranks are shifted by the rows below; the cut
-   data is checkpointed to the shared checkpoint folder;
-3. repeat until every group is at most ``max_group`` rows (each round divides
-   a big group by about ``buckets`` / 3);
-4. collapse to ``(value, count)``, take a running count per group (a
-   window over at most ``max_group`` rows) and read the values at the two
-   middle ranks; the median is their mean (interpolation for even counts).
+Rows are collapsed to ``(key, value, count)`` first (a partial aggregate, so
+equal values never pile up), then dealt into ranges of ``(key, value)`` and
+written to the shared checkpoint folder. Counts per range give the rank at
+which each range starts; only the one or two ranges that hold a group's middle
+ranks are read again, and a running count inside them finds the values. There
+is no row limit and no number of rounds: a group of any size is cut by ranges,
+and a range by its values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import small_side
 
 _V = "__v"
 
@@ -37,106 +27,44 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = F.lit(True)
     for k in keys:
-        cond = cond & left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    max_group: int = 200_000,
-    buckets: int = 500,
-    accuracy: int = 10_000,
-    max_rounds: int = 8,
-) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
     """``keys..., n, median`` of the non-null ``value`` per group (exact;
-    the mean of the two middle values when ``n`` is even)."""
+    the mean of the two middle values when ``n`` is even). ``ranges``: into
+    how many ranges the distinct values are dealt, the session's shuffle
+    partitions by default."""
     keys = list(keys)
-    ensure_checkpoint_dir(df.sparkSession)
-    base = df.select(*keys, F.col(value).cast("double").alias(_V)).where(F.col(_V).isNotNull())
-    targets = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = df.select(*keys, F.col(value).cast("double").alias(_V)).where(F.col(_V).isNotNull())
+    counts = values.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias("__c"))
+    # written out: the ranges must be the same for the sums and for the values
+    dealt = counts.repartitionByRange(ranges, *keys, _V).withColumn("__p", F.spark_partition_id()).checkpoint()
+
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(*keys, "__p").agg(F.sum("__c").alias("__m"))
+    placed = sums.select(
         *keys,
-        "n",
-        F.floor((F.col("n") - 1) / 2).cast("long").alias("__klo"),
-        F.floor(F.col("n") / 2).cast("long").alias("__khi"),
+        "__p",
+        "__m",
+        F.sum("__m").over(group).alias("n"),
+        F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__below"),
     )
-    cur = base
-    refined = False
-    fractions = F.array(*[F.lit(i / buckets) for i in range(buckets + 1)])
-    for _ in range(max_rounds):
-        sizes = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("__m"))
-        biggest = sizes.agg(F.max("__m")).first()[0] or 0
-        if biggest <= max_group:
-            break
-        refined = True
-        sketch = (
-            cur.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("__m"), F.percentile_approx(_V, fractions, accuracy).alias("__qs"))
-            .where(F.col("__m") > max_group)
-        )
-        b = _join(sketch, targets, keys)
-        jlo = F.greatest(F.floor(F.col("__klo") * buckets / F.col("__m")) - 2, F.lit(0)).cast("int")
-        jhi = F.least(F.ceil((F.col("__khi") + 1) * buckets / F.col("__m")) + 2, F.lit(buckets)).cast("int")
-        b = b.select(*keys, F.element_at("__qs", jlo + 1).alias("__lo"), F.element_at("__qs", jhi + 1).alias("__hi"))
-        v = F.col(_V)
-        counted = (
-            _join(cur, b, keys)
-            .groupBy(*keys)
-            .agg(
-                F.first("__lo").alias("__lo"),
-                F.first("__hi").alias("__hi"),
-                F.sum(F.when(v < F.col("__lo"), 1).otherwise(0)).alias("__below"),
-                F.sum(F.when((v >= F.col("__lo")) & (v <= F.col("__hi")), 1).otherwise(0)).alias("__inside"),
-            )
-        )
-        ok = _join(counted, targets, keys).where(
-            (F.col("__below") <= F.col("__klo")) & (F.col("__below") + F.col("__inside") >= F.col("__khi") + 1)
-        )
-        ok = ok.select(*keys, "__lo", "__hi", "__below").checkpoint()
-        if ok.isEmpty():
-            raise RuntimeError("median bracketing made no progress")
-        cur = (
-            _join(cur, ok, keys, "left")
-            .where(F.col("__lo").isNull() | ((F.col(_V) >= F.col("__lo")) & (F.col(_V) <= F.col("__hi"))))
-            .select(*keys, _V)
-            .checkpoint()
-        )
-        targets = (
-            _join(targets, ok.select(*keys, "__below"), keys, "left")
-            .select(
-                *keys,
-                "n",
-                (F.col("__klo") - F.coalesce(F.col("__below"), F.lit(0))).alias("__klo"),
-                (F.col("__khi") - F.coalesce(F.col("__below"), F.lit(0))).alias("__khi"),
-            )
-            .checkpoint()
-        )
-    else:
-        raise RuntimeError("median bracketing did not converge")
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    holds = lambda start, count, rank: (start <= rank) & (rank < start + count)
+    wanted = placed.where(holds(F.col("__below"), F.col("__m"), low) | holds(F.col("__below"), F.col("__m"), high))
+    # at most two ranges of each group
+    wanted = small_side(wanted.select(*keys, "__p", "n", "__below"))
 
-    w = Window.partitionBy(*keys).orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        cur.groupBy(*keys, _V)
-        .agg(F.count(F.lit(1)).alias("__c"))
-        .withColumn("__end", F.sum("__c").over(w))
-        .withColumn("__start", F.col("__end") - F.col("__c"))
-    )
-    if refined:
-        picked = _join(ranked, targets, keys)
-    else:
-        # no group was cut: its size and middle ranks come from the same
-        # window partitioning, without joining the targets back
-        whole = Window.partitionBy(*keys)
-        picked = (
-            ranked.withColumn("n", F.sum("__c").over(whole))
-            .withColumn("__klo", F.floor((F.col("n") - 1) / 2))
-            .withColumn("__khi", F.floor(F.col("n") / 2))
-        )
-    inside = lambda k: (F.col("__start") <= F.col(k)) & (F.col(k) < F.col("__end"))
-    mids = picked.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        F.max(F.when(inside("__klo"), F.col(_V))).alias("__lo"),
-        F.max(F.when(inside("__khi"), F.col(_V))).alias("__hi"),
+    inside = Window.partitionBy(*keys, "__p").orderBy(_V).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = _join(dealt, wanted, [*keys, "__p"]).withColumn(
+        "__start", F.col("__below") + F.coalesce(F.sum("__c").over(inside), F.lit(0))
     )
-    return mids.select(*keys, "n", ((F.col("__lo") + F.col("__hi")) / 2).alias("median"))
+    middle = lambda rank: F.max(F.when(holds(F.col("__start"), F.col("__c"), rank), F.col(_V)))
+    found = ranked.groupBy(*keys).agg(F.first("n").alias("n"), middle(low).alias("__lo"), middle(high).alias("__hi"))
+    return found.select(*keys, "n", ((F.col("__lo") + F.col("__hi")) / 2).alias("median"))

@@ -1,4 +1,7 @@
-"""Repeatable samples and a hash split tied to row identity."""
+"""Repeatable samples and a hash split tied to row identity.
+
+Hashes are MD5 over the fields as text: any engine can repeat them.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +10,26 @@ from pyspark.sql import functions as F
 
 from .clusters import category_customer_edges
 
+#: Between the fields of a hashed row, and in place of a null.
+FIELD_END, NULL_FIELD = "\x1f", "\x00"
+
 
-def row_hash(df: DataFrame, seed: int) -> Column:
-    return F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
+def row_hash(columns: list[str], *more: Column) -> Column:
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_FIELD)) for c in columns]
+    return F.md5(F.concat_ws(FIELD_END, *fields, *more))
 
 
 def sample_rows(df: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, uniform over rows and repeatable: the
-    ``n`` smallest seeded hashes of the whole row (ties by the row itself).
-    Planned as a top-k: each task keeps ``n`` rows, no full sort."""
-    h = "__sample_hash"
-    keyed = df.withColumn(h, row_hash(df, seed))
-    order = [F.col(h)] + [F.col(c).asc_nulls_first() for c in df.columns]
-    return keyed.orderBy(*order).limit(n).drop(h)
+    ``n`` smallest seeded hashes. Equal rows are counted first and each one is
+    hashed with its own number, so they are drawn independently. Planned as a
+    top-k: each task keeps ``n`` rows, no full sort."""
+    columns = df.columns
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__c"))
+    each = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__c"))).alias("__i"))
+    drawn = row_hash(columns, F.col("__i").cast("string"), F.lit(str(seed)))
+    order = [F.col("__h"), *[F.col(c).asc_nulls_first() for c in columns]]
+    return each.withColumn("__h", drawn).orderBy(*order).limit(n).select(*columns)
 
 
 def edge_sample(tx: DataFrame, n: int = 500, seed: int = 42) -> DataFrame:
@@ -28,13 +38,14 @@ def edge_sample(tx: DataFrame, n: int = 500, seed: int = 42) -> DataFrame:
     return category_customer_edges(sample_rows(tx, n, seed))
 
 
-def split_flag(key: str | Column, pct: int = 80, seed: int = 42) -> Column:
-    """True for the training share: ``pmod(xxhash64(key, seed), 100) < pct``."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(100)) < pct
+def split_flag(key: str, pct: int = 80, seed: int = 42) -> Column:
+    """True for the training share: the first 32 bits of the seeded hash of
+    the key, modulo 100, are below ``pct``."""
+    bits = F.conv(F.substring(row_hash([key], F.lit(str(seed))), 1, 8), 16, 10).cast("long")
+    return bits % 100 < pct
 
 
-def train_test_split(df: DataFrame, key: str = "invoice_no", pct: int = 80, seed: int = 42):
+def train_test_split(df: DataFrame, key: str = "invoice_no", pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """A split that depends only on the key, not on partitioning."""
     flag = split_flag(key, pct, seed)
     return df.filter(flag), df.filter(~flag)

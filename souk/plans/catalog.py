@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from ..functions.cleaning import trim_strings
+from ..functions.cleaning import to_number, trim_strings, year_month_from_text
+from ..functions.predicates import customer_present
 from ..operators import clean as C
 from ..operators import clusters as CL
 from ..operators import freq as F_
@@ -27,7 +28,7 @@ from ..operators import sampling as S
 from ..schema import RAW_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
 from ..session import scratch_path
 from ..sources import io
-from ..sources.fixture import read_table, transactions_raw
+from ..sources.fixture import malls, read_table, transactions_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,20 @@ def q_customer_summary(spark, sf_dir):
     return K.customer_summary(silver(spark, sf_dir))
 
 
+@register(
+    "customer_summary_money",
+    O.W_CLEAN.rstrip()
+    + ","
+    + _CUSTOMER_SQL
+    + """
+SELECT customer_id, transactions, total_items, round(total_spend, 2) AS total_spend,
+       round(avg_price_per_item, 2) AS avg_price_per_item, round(high_price_tx_ratio, 2) AS high_price_tx_ratio, bucket
+FROM bucketed""",
+)
+def q_customer_summary_money(spark, sf_dir):
+    return K.customer_summary_money(K.customer_summary(silver(spark, sf_dir)))
+
+
 @register(
     "bucket_counts",
     O.W_CLEAN.rstrip() + "," + _CUSTOMER_SQL + "\nSELECT bucket, COUNT(*) AS count FROM bucketed GROUP BY bucket",
@@ -205,20 +220,110 @@ def q_dynamic_overwrite(spark, sf_dir):
 
 @register(
     "mod_bucket_counts",
-    "SELECT CAST((rn - 1) % 10 AS BIGINT) AS bucket, COUNT(*) AS c "
-    "FROM (SELECT row_number() OVER () AS rn FROM lineitem) GROUP BY 1",
+    "SELECT CAST(l_orderkey % 10 AS BIGINT) AS bucket, COUNT(*) AS c FROM lineitem GROUP BY 1",
 )
 def q_mod_bucket_counts(spark, sf_dir):
-    """Numbers 0..n-1 for the n lineitem rows, bucketed by SQL text."""
-    n = read_table(spark, sf_dir, "lineitem").count()
-    return F_.mod_bucket_counts(spark, io.number_source(spark, n), 10)
+    """Invoice lines by the last digit of their order, through SQL text."""
+    return F_.mod_bucket_counts(read_table(spark, sf_dir, "lineitem"), "l_orderkey", 10)
 
 
-@register("file_profile")
+_LINE = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in RAW_COLUMNS) + ")"
+
+
+@register(
+    "file_profile",
+    _sql(
+        O.W_RAW,
+        f"\nlines AS (SELECT {_LINE} AS line FROM raw)",
+        body=f"""SELECT COUNT(*) AS lines,
+       CAST(SUM(len(list_filter(regexp_split_to_array(line, '\\s+'), lambda w: w <> ''))) AS BIGINT) AS words,
+       CAST(SUM(strlen(line) + 1) AS BIGINT) AS bytes, '{",".join(RAW_COLUMNS)}' AS header
+FROM lines""",
+    ),
+)
 def q_file_profile(spark, sf_dir):
-    path = scratch_path(spark, "profile")
-    io.write_table(raw(spark, sf_dir), path, fmt="csv")
-    return io.file_profile(spark, path)
+    return F_.text_profile(raw(spark, sf_dir))
+
+
+# values that break careless text formats, planted in every row
+_DIRTY = {
+    "invoice_no": ("concat('\"', {c}, '\"\"')", lambda c: F.concat(F.lit('"'), c, F.lit('""'))),
+    "customer_id": ("concat({c}, ',x')", lambda c: F.concat(c, F.lit(",x"))),
+    "gender": ("concat({c}, chr(10), 'n')", lambda c: F.concat(c, F.lit("\nn"))),
+    "age": ("concat(' ', {c}, '.0 ')", lambda c: F.concat(F.lit(" "), c, F.lit(".0 "))),
+    "category": ("concat({c}, chr(9), 't')", lambda c: F.concat(c, F.lit("\tt"))),
+    "payment_method": ("concat(chr(92), 'n', {c}, chr(92))", lambda c: F.concat(F.lit("\\n"), c, F.lit("\\"))),
+    "shopping_mall": ("concat({c}, chr(13), chr(10))", lambda c: F.concat(c, F.lit("\r\n"))),
+}
+
+
+@register(
+    "csv_dirty_roundtrip",
+    _sql(
+        O.W_RAW,
+        "\ndirty AS (SELECT " + ", ".join(f"{_DIRTY[c][0].format(c=c)} AS {c}" if c in _DIRTY else c for c in RAW_COLUMNS) + " FROM raw)",
+        body="SELECT *, CAST(TRY_CAST(trim(age) AS DOUBLE) AS INT) AS age_years FROM dirty",
+    ),
+)
+def q_csv_dirty_roundtrip(spark, sf_dir):
+    """Doubled quotes, separators, line breaks, tabs, backslashes and blanks in
+    every row, through CSV, then TSV, and back."""
+    dirty = raw(spark, sf_dir)
+    # DuckDB's concat skips nulls, and so does this
+    planted = {c: make(F.coalesce(F.col(c), F.lit(""))) for c, (_, make) in _DIRTY.items()}
+    rows = dirty.withColumns(planted)
+    for fmt in ("csv", "tsv"):
+        path = scratch_path(spark, f"dirty-{fmt}")
+        io.write_table(rows, path, fmt=fmt)
+        rows = io.read_table(spark, path, fmt, schema=rows.schema)
+    return rows.withColumn("age_years", to_number(F.trim("age")).try_cast("int"))
+
+
+@register("silver_csv_roundtrip", O.W_CLEAN + "SELECT * FROM clean")
+def q_silver_csv_roundtrip(spark, sf_dir):
+    """Silver as CSV and back."""
+    path = scratch_path(spark, "silver_csv")
+    io.write_silver(silver(spark, sf_dir), path, fmt="csv")
+    return io.read_table(spark, path, "csv", schema=SILVER_SCHEMA)
+
+
+@register(
+    "small_csv_roundtrip",
+    O.W_CLEAN + f"SELECT shopping_mall, {O.SPEND_SUM} AS total_revenue FROM clean GROUP BY shopping_mall "
+    "ORDER BY total_revenue DESC, shopping_mall LIMIT 10",
+)
+def q_small_csv_roundtrip(spark, sf_dir):
+    """The ten malls with the most revenue as a single CSV file and back."""
+    path = scratch_path(spark, "small_csv")
+    revenue = L.mall_revenue(silver(spark, sf_dir))
+    io.write_small_csv(revenue, path, 10, [F.desc("total_revenue"), F.asc("shopping_mall")])
+    return io.read_table(spark, path, "csv", schema=revenue.schema)
+
+
+@register("append_roundtrip", O.W_CLEAN + "SELECT * FROM clean")
+def q_append_roundtrip(spark, sf_dir):
+    """Silver written in two halves, the second one appended."""
+    path = scratch_path(spark, "append")
+    s = silver(spark, sf_dir)
+    early = F.coalesce(F.col("invoice_month") <= 6, F.lit(False))
+    io.write_silver(s.where(early), path)
+    io.write_silver(s.where(~early), path, mode="append")
+    return _read_silver(spark, path)
+
+
+@register(
+    "sql_result_roundtrip",
+    O.W_CLEAN + "SELECT payment_method, age_band, COUNT(*) AS c, MIN(invoice_dt) AS first_day FROM clean GROUP BY ALL",
+)
+def q_sql_result_roundtrip(spark, sf_dir):
+    """The result of a SQL statement over a view as parquet and back."""
+    path = scratch_path(spark, "sql_result")
+    result = spark.sql(
+        "SELECT payment_method, age_band, COUNT(*) AS c, MIN(invoice_dt) AS first_day FROM {tx} GROUP BY ALL",
+        tx=silver(spark, sf_dir),
+    )
+    io.write_table(result, path)
+    return io.read_table(spark, path)
 
 
 # --------------------------------------------------------------------------
@@ -240,6 +345,23 @@ def q_monthly_summary_raw(spark, sf_dir):
     return K.monthly_summary(parsed(spark, sf_dir))
 
 
+_SPLIT_MONTH = (
+    "concat_ws('-', split_part(invoice_date, '/', 3), lpad(split_part(invoice_date, '/', 2), 2, '0'))"
+)
+
+
+@register(
+    "monthly_summary_by_split",
+    O.W_PARSED
+    + f"SELECT {_SPLIT_MONTH} AS year_month, COUNT(*) AS tx_count, {O.PRICE_MEAN} AS avg_price FROM parsed "
+    "WHERE regexp_matches(invoice_date, '^[0-9]+/[0-9]+/[0-9]{4}$') GROUP BY 1",
+)
+def q_monthly_summary_by_split(spark, sf_dir):
+    """The monthly summary with the month taken from ``d/m/y`` text by splitting."""
+    dated = parsed(spark, sf_dir).where(F.col("invoice_date").rlike(r"^[0-9]+/[0-9]+/[0-9]{4}$"))
+    return K.monthly_summary(dated.withColumn("year_month", year_month_from_text("invoice_date")))
+
+
 def _category_cte(src: str) -> str:
     return f"""
 cat AS (
@@ -317,8 +439,8 @@ def q_invoice_baskets(spark, sf_dir):
     _sql(
         O.W_CLEAN,
         f"""
-b AS (SELECT {_BASKET_KEYS}, SUM(TRY_CAST(quantity AS {O.QD}) * TRY_CAST(price AS {O.PD_WIDE})) AS s,
-             SUM(TRY_CAST(quantity AS {O.QD})) AS i
+b AS (SELECT {_BASKET_KEYS}, SUM(CAST(quantity AS {O.QD}) * CAST(price AS {O.PD})) AS s,
+             SUM(CAST(quantity AS {O.QD})) AS i
       FROM clean GROUP BY {_BASKET_KEYS}),
 m AS (SELECT shopping_mall, year_month, CAST(CAST(SUM(s) AS VARCHAR) AS DOUBLE) AS total_revenue,
              COUNT(*) AS num_invoices, CAST(CAST(SUM(i) AS VARCHAR) AS DOUBLE) AS items
@@ -398,16 +520,19 @@ def q_mall_dimension(spark, sf_dir):
 _JOIN_SQL = _sql(O.W_CLEAN, _DIM_CTE, body="SELECT clean.*, dim.mall_segment FROM clean LEFT JOIN dim USING (shopping_mall)")
 
 
+def stored_dimension(spark, sf_dir):
+    """The dimension from the stored mall tables, not from the fact rows."""
+    return J.mall_dimension(malls(spark, sf_dir))
+
+
 @register("mall_join_regular", _JOIN_SQL)
 def q_mall_join_regular(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    return J.join_mall_dim(s, J.mall_dimension(s), strategy="merge")
+    return J.join_mall_dim(silver(spark, sf_dir), stored_dimension(spark, sf_dir), strategy="merge")
 
 
 @register("mall_join_broadcast", _JOIN_SQL)
 def q_mall_join_broadcast(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    return J.join_mall_dim(s, J.mall_dimension(s), strategy="broadcast")
+    return J.join_mall_dim(silver(spark, sf_dir), stored_dimension(spark, sf_dir), strategy="broadcast")
 
 
 # --------------------------------------------------------------------------
@@ -428,7 +553,7 @@ for _col in ("category", "payment_method", "gender", "shopping_mall"):
     register(f"freq_{_col}", _freq_sql(_col))(_freq)
 
 
-@register("top5_ages", _freq_sql("age", "age IS NOT NULL") + " ORDER BY count DESC, age LIMIT 5")
+@register("top5_ages", _freq_sql("age") + " ORDER BY count DESC, age LIMIT 5")
 def q_top5_ages(spark, sf_dir):
     return F_.top_values(trimmed(spark, sf_dir), "age", 5)
 
@@ -475,6 +600,18 @@ def q_top_customers_with_gender(spark, sf_dir):
     return F_.top_customers_with_gender(trimmed(spark, sf_dir), 10)
 
 
+@register(
+    "first_gender",
+    O.W_TRIMMED
+    + f"""SELECT customer_id, gender FROM (
+  SELECT customer_id, gender, row_number() OVER (
+    PARTITION BY customer_id ORDER BY invoice_no NULLS FIRST, gender NULLS FIRST) AS rn
+  FROM trimmed WHERE {O.CUSTOMER_OK}) WHERE rn = 1""",
+)
+def q_first_gender(spark, sf_dir):
+    return F_.first_per_key(trimmed(spark, sf_dir).where(customer_present()), "customer_id", "gender", ["invoice_no"])
+
+
 # --------------------------------------------------------------------------
 # data-quality profile
 # --------------------------------------------------------------------------
@@ -483,7 +620,7 @@ def q_top_customers_with_gender(spark, sf_dir):
 def _missing_sql() -> str:
     parts = []
     for c in RAW_COLUMNS:
-        miss = f"{c} IS NULL" if c == "age" else f"{c} IS NULL OR {c} = ''"
+        miss = f"{c} IS NULL OR {c} = ''"
         parts.append(
             f"SELECT '{c}' AS field, COUNT(*) AS rows, "
             f"CAST(SUM(CASE WHEN {miss} THEN 1 ELSE 0 END) AS BIGINT) AS missing FROM trimmed"
@@ -509,7 +646,7 @@ def q_duplicate_invoices(spark, sf_dir):
 # clusters over the category/customer edge list
 # --------------------------------------------------------------------------
 
-MIN_CLUSTER = 1000
+MIN_CLUSTER = 10
 _EDGES = "\ne AS (SELECT category, customer_id FROM trimmed)"
 _EC = f"\nec AS (SELECT category, COUNT(*) AS count FROM e GROUP BY category HAVING COUNT(*) >= {MIN_CLUSTER})"
 _ET = "\net AS (SELECT * FROM e WHERE category IN (SELECT category FROM ec))"
@@ -625,19 +762,40 @@ def q_edge_nodes(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
-@register("sample_rows")
+def _hash_sql(columns: list[str], *more: str) -> str:
+    return "md5(concat_ws(chr(31), " + ", ".join([*(f"coalesce({c}, chr(0))" for c in columns), *more]) + "))"
+
+
+def _sample_sql(src: str, columns: list[str], n: int, out: str) -> str:
+    every = ", ".join(columns)
+    return f"""
+numbered AS (SELECT {every}, row_number() OVER (PARTITION BY {every}) AS i FROM {src}),
+drawn AS (SELECT *, {_hash_sql(columns, "CAST(i AS VARCHAR)", "'42'")} AS h FROM numbered)
+SELECT {out} FROM (SELECT * FROM drawn ORDER BY h, {", ".join(f"{c} NULLS FIRST" for c in columns)} LIMIT {n})"""
+
+
+@register("sample_rows", O.W_RAW.rstrip() + "," + _sample_sql("raw", RAW_COLUMNS, 1000, ", ".join(RAW_COLUMNS)))
 def q_sample_rows(spark, sf_dir):
     return S.sample_rows(raw(spark, sf_dir), 1000, 42)
 
 
-@register("edge_sample")
+@register("edge_sample", O.W_TRIMMED.rstrip() + "," + _sample_sql("trimmed", RAW_COLUMNS, 500, "category, customer_id"))
 def q_edge_sample(spark, sf_dir):
     return S.edge_sample(trimmed(spark, sf_dir), 500, 42)
 
 
+_IN_TRAIN = f"CAST(concat('0x', substr({_hash_sql(['invoice_no'], chr(39) + '42' + chr(39))}, 1, 8)) AS BIGINT) % 100 < 80"
+
+
+@register("train_test_split", O.W_CLEAN + f"SELECT invoice_no, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS share, COUNT(*) AS rows FROM clean GROUP BY ALL")
+def q_train_test_split(spark, sf_dir):
+    train, test = S.train_test_split(silver(spark, sf_dir))
+    both = train.withColumn("share", F.lit("train")).unionByName(test.withColumn("share", F.lit("test")))
+    return both.groupBy("invoice_no", "share").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def training(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    return M.basket_features(K.invoice_baskets(s), J.mall_dimension(s))
+    return M.basket_features(K.invoice_baskets(silver(spark, sf_dir)), stored_dimension(spark, sf_dir))
 
 
 @register(
@@ -658,11 +816,29 @@ def q_high_spend_training(spark, sf_dir):
 
 @register("high_spend_predictions")
 def q_high_spend_predictions(spark, sf_dir):
-    model, test = M.high_spend_model(training(spark, sf_dir))
+    model, test = M.HIGH_SPEND_BASKETS.fit_split(training(spark, sf_dir), "invoice_no")
     return M.predictions(model, test)
 
 
 @register("high_spend_auc")
 def q_high_spend_auc(spark, sf_dir):
-    model, test = M.high_spend_model(training(spark, sf_dir))
-    return M.auc_table(spark, M.predictions(model, test, flat=False))
+    model, test = M.HIGH_SPEND_BASKETS.fit_split(training(spark, sf_dir), "invoice_no")
+    return M.auc_table(M.predictions(model, test, flat=False))
+
+
+@register(
+    "basket_items_auc",
+    _sql(
+        O.W_CLEAN,
+        f"""
+b AS (SELECT {_BASKET_KEYS}, {O.SPEND_SUM} > 500 AS hit, {O.QTY_SUM} AS score FROM clean GROUP BY {_BASKET_KEYS}),
+r AS (SELECT hit, rank() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM b)""",
+        body="""SELECT round((SUM(place) FILTER (hit) - n1 * (n1 + 1) / 2.0) / (n1 * n0), 6) AS auc,
+       CAST(any_value(n1 + n0) AS BIGINT) AS test_rows, 'areaUnderROC' AS metric
+FROM r, (SELECT CAST(COUNT(*) FILTER (hit) AS DOUBLE) AS n1, CAST(COUNT(*) FILTER (NOT hit) AS DOUBLE) AS n0 FROM b)
+GROUP BY n1, n0""",
+    ),
+)
+def q_basket_items_auc(spark, sf_dir):
+    """How well the number of items alone ranks high-spend baskets."""
+    return M.auc_table(training(spark, sf_dir), score="basket_items")

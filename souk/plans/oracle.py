@@ -20,8 +20,9 @@ SELECT
        ELSE concat('C', CAST(o_custkey AS VARCHAR)) END               AS customer_id,
   CASE WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END         AS gender,
   CASE WHEN o_custkey % 41 = 0 THEN NULL
-       ELSE CAST(18 + o_custkey % 52 AS INT) END                      AS age,
+       ELSE CAST(18 + o_custkey % 52 AS VARCHAR) END                  AS age,
   CASE WHEN l_partkey % 127 = 0 THEN 'Dummy item'
+       WHEN l_orderkey % 499 = 0 THEN concat('Rare ', CAST(l_orderkey AS VARCHAR))
        WHEN p_type = 'STANDARD' THEN 'STANDARD & MIXED'
        ELSE p_type END                                                AS category,
   CASE WHEN l_orderkey % 101 = 0 THEN '0' WHEN l_orderkey % 103 = 0 THEN '5000'
@@ -46,7 +47,7 @@ JOIN nation ON s_nationkey = n_nationkey
 PARSED = r"""
 typed AS (
 SELECT trim(invoice_no) AS invoice_no, trim(customer_id) AS customer_id, trim(gender) AS gender,
-       age, trim(category) AS category,
+       CAST(TRY_CAST(trim(age) AS DOUBLE) AS INT) AS age, trim(category) AS category,
        TRY_CAST(replace(trim(quantity), ',', '') AS DOUBLE) AS quantity,
        TRY_CAST(replace(trim(price), ',', '') AS DOUBLE) AS price,
        trim(payment_method) AS payment_method, trim(invoice_date) AS invoice_date,
@@ -80,7 +81,7 @@ fields AS (
 SELECT coalesce(nullif(trim(regexp_replace(trim(invoice_no), '^"|"$', '', 'g')), ''), 'NA') AS invoice_no,
        coalesce(nullif(trim(regexp_replace(trim(customer_id), '^"|"$', '', 'g')), ''), 'NA') AS customer_id,
        coalesce(nullif(trim(regexp_replace(trim(gender), '^"|"$', '', 'g')), ''), 'NA') AS gender,
-       age,
+       coalesce(nullif(replace(trim(regexp_replace(trim(age), '^"|"$', '', 'g')), ',', ''), ''), 'NA') AS age,
        coalesce(nullif(trim(regexp_replace(trim(category), '^"|"$', '', 'g')), ''), 'NA') AS category,
        coalesce(nullif(replace(trim(regexp_replace(trim(quantity), '^"|"$', '', 'g')), ',', ''), ''), 'NA') AS quantity,
        coalesce(nullif(replace(trim(regexp_replace(trim(price), '^"|"$', '', 'g')), ',', ''), ''), 'NA') AS price,
@@ -89,21 +90,19 @@ SELECT coalesce(nullif(trim(regexp_replace(trim(invoice_no), '^"|"$', '', 'g')),
        coalesce(nullif(trim(regexp_replace(trim(shopping_mall), '^"|"$', '', 'g')), ''), 'NA') AS shopping_mall
 FROM raw)"""
 
-# exact money: decimal sums, cast to double through text
-QD = "DECIMAL(18,4)"
-PD = "DECIMAL(18,6)"
+# exact money: decimal sums, cast to double through text. The widths are the
+# oracle's own: far wider than any planted number needs, and not the engine's.
+QD = "DECIMAL(13,5)"
+PD = "DECIMAL(25,9)"
 
 
 def dsum(expr: str) -> str:
     return f"CAST(CAST(SUM({expr}) AS VARCHAR) AS DOUBLE)"
 
 
-# the product is DECIMAL(38,10), computed in 128 bits
-PD_WIDE = "DECIMAL(20,6)"
-SPEND_SUM = dsum(f"TRY_CAST(quantity AS {QD}) * TRY_CAST(price AS {PD_WIDE})")
-QTY_SUM = dsum(f"TRY_CAST(quantity AS {QD})")
-PRICE_MEAN = f"({dsum(f'TRY_CAST(price AS {PD})')} / COUNT(price))"
-QTY_MEAN = f"({dsum(f'TRY_CAST(quantity AS {QD})')} / COUNT(quantity))"
+SPEND_SUM = dsum(f"CAST(quantity AS {QD}) * CAST(price AS {PD})")
+QTY_SUM = dsum(f"CAST(quantity AS {QD})")
+PRICE_MEAN = f"({dsum(f'CAST(price AS {PD})')} / COUNT(price))"
 
 
 def with_ctes(*ctes: str) -> str:
@@ -117,14 +116,14 @@ W_FIELDS = with_ctes(RAW, FIELDS)
 
 
 def mean_pd(col: str) -> str:
-    """Exact mean of a column summed as DECIMAL(18,6)."""
-    return f"({dsum(f'TRY_CAST({col} AS {PD})')} / COUNT({col}))"
+    """Exact mean of a column summed as DECIMAL."""
+    return f"({dsum(f'CAST({col} AS {PD})')} / COUNT({col}))"
 
 
 # trimmed raw text (no coercion)
 TRIMMED = r"""
 trimmed AS (
-SELECT trim(invoice_no) AS invoice_no, trim(customer_id) AS customer_id, trim(gender) AS gender, age,
+SELECT trim(invoice_no) AS invoice_no, trim(customer_id) AS customer_id, trim(gender) AS gender, trim(age) AS age,
        trim(category) AS category, trim(quantity) AS quantity, trim(price) AS price,
        trim(payment_method) AS payment_method, trim(invoice_date) AS invoice_date,
        trim(shopping_mall) AS shopping_mall

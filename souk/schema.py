@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # --- raw invoice lines -----------------------------------------------------
-# quantity and price stay text on read so that thousands separators and junk
-# can be handled by the cleaning step instead of turning the row into nulls
-# inside the CSV parser.
+# age, quantity and price stay text on read so that blanks, thousands
+# separators and junk can be handled by the cleaning step instead of turning
+# the field into a null inside the CSV parser.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("invoice_no", T.StringType()),
         T.StructField("customer_id", T.StringType()),
         T.StructField("gender", T.StringType()),
-        T.StructField("age", T.IntegerType()),
+        T.StructField("age", T.StringType()),
         T.StructField("category", T.StringType()),
         T.StructField("quantity", T.StringType()),
         T.StructField("price", T.StringType()),
@@ -82,7 +82,7 @@ MALL_SEGMENT = "General"
 # plain unsigned decimal, as text
 NUMERIC_TEXT_PATTERN = r"^[0-9]+(\.[0-9]+)?$"
 
-# Money is summed as DECIMAL so that totals do not depend on the order in
-# which partial sums meet; the result is cast back to double at the end.
+# Numbers that are such a DECIMAL are summed as one, so that totals do not
+# depend on the order in which partial sums meet; others are summed as doubles.
 QTY_DECIMAL = T.DecimalType(18, 4)
 PRICE_DECIMAL = T.DecimalType(18, 6)

@@ -3,7 +3,10 @@ scratch location (always under the cluster's checkpoint directory)."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -47,9 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if d:
         return d
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[0-9*]+(,\s*\d+)?\])?", master):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     d = tempfile.mkdtemp(prefix="souk-ckpt-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 

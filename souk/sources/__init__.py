@@ -3,8 +3,7 @@
 from .fixture import transactions_raw
 from .io import (
     clustered_for_write,
-    file_profile,
-    number_source,
+    malformed_rows,
     read_table,
     read_transactions,
     write_silver,
@@ -14,8 +13,7 @@ from .io import (
 
 __all__ = [
     "clustered_for_write",
-    "file_profile",
-    "number_source",
+    "malformed_rows",
     "read_table",
     "read_transactions",
     "transactions_raw",

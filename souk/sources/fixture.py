@@ -37,6 +37,14 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def malls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(shopping_mall)``, one row per mall, from the stored dimension tables
+    (the planner bounds their size)."""
+    supplier, nation = (read_table(spark, sf_dir, t, typed=True) for t in ("supplier", "nation"))
+    used = nation.join(supplier, nation.n_nationkey == supplier.s_nationkey, "left_semi")
+    return used.select(F.concat(F.lit("Mall of "), F.col("n_name")).alias("shopping_mall"))
+
+
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten raw text-ish columns, one row per ``lineitem`` row."""
     li, orders, customer, part, supplier, nation = (
@@ -68,9 +76,10 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("C"), _s(ck)))
     )
     gender = F.when(F.col("c_nationkey") % 2 == 0, F.lit("Female")).otherwise(F.lit("Male"))
-    age = F.when(ck % 41 == 0, F.lit(None).cast("int")).otherwise((F.lit(18) + ck % 52).cast("int"))
+    age = F.when(ck % 41 == 0, F.lit(None).cast("string")).otherwise(_s(F.lit(18) + ck % 52))
     category = (
         F.when(pk % 127 == 0, F.lit("Dummy item"))
+        .when(ok % 499 == 0, F.concat(F.lit("Rare "), _s(ok)))
         .when(F.col("p_type") == "STANDARD", F.lit("STANDARD & MIXED"))
         .otherwise(F.col("p_type"))
     )

@@ -1,43 +1,80 @@
-"""Sources and sinks: CSV / TSV / parquet / delta reads and writes, the number
-source, and a text-file profile."""
+"""Sources and sinks: CSV / TSV / parquet / delta reads and writes."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW_SCHEMA, SILVER_PARTITION_COLUMNS
 
-# Text options shared by every CSV/TSV read and write: keep blanks inside
-# values (the cleaning step trims them). The writer puts nothing for a null
-# and a quoted "" for an empty string; the reader maps an unquoted empty
-# field to a marker that no value uses (then to null) and a quoted "" to the
-# empty string, so null and '' survive a round trip.
+# Text options shared by every CSV/TSV read and write: quotes inside a value
+# are doubled, and blanks inside values stay (the cleaning step trims them).
+# The writer puts nothing for a null and a quoted "" for an empty string; the
+# reader maps an unquoted empty field to a marker that no value uses (then to
+# null) and a quoted "" to the empty string, so null and '' survive a round trip.
 _TEXT_OPTIONS = {
     "header": "true",
+    "quote": '"',
+    "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 _READ_NULL_MARKER = "\u0000"
+_MALFORMED = "_malformed"
 
 
-def _text_reader(spark: SparkSession, schema: T.StructType | None, sep: str):
+def _text_reader(spark: SparkSession, schema: T.StructType | None, sep: str, multi_line: bool = False):
     r = (
         spark.read.options(**_TEXT_OPTIONS)
         .option("nullValue", _READ_NULL_MARKER)
         .option("emptyValue", "")
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", str(multi_line).lower())
     )
     return r.schema(schema) if schema is not None else r
 
 
-def read_transactions(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, sep: str = ",") -> DataFrame:
-    """Raw invoice CSV with a header and a fixed schema (no inference)."""
-    return _text_reader(spark, schema, sep).csv(path)
+def read_transactions(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """Raw invoice CSV with a header and a fixed schema (no inference).
+    ``multi_line`` takes quoted values with line breaks; a file is then read
+    by one task, so leave it off for large files without such values."""
+    return _text_reader(spark, schema, sep, multi_line).csv(path)
+
+
+def malformed_rows(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, sep: str = ",", multi_line: bool = False
+) -> int:
+    """How many rows don't have the fields of the schema."""
+    told = T.StructType([*schema.fields, T.StructField(_MALFORMED, T.StringType())])
+    rows = _text_reader(spark, told, sep, multi_line).option("columnNameOfCorruptRecord", _MALFORMED)
+    # all fields are looked at, not only those that a plan needs
+    every = rows.option("columnPruning", "false").csv(path)
+    bad = F.sum(F.when(F.col(_MALFORMED).isNotNull(), 1).otherwise(0))
+    return every.agg(bad.alias("bad"), F.max(F.xxhash64(*schema.names))).first().bad or 0
+
+
+def _map_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.select(*[change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name for f in df.schema])
+
+
+def _one_line(c: Column) -> Column:
+    """Backslashes and line breaks written as ``\\\\``, ``\\n`` and ``\\r``,
+    so that every row is one line and files stay splittable."""
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(c, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _many_lines(c: Column) -> Column:
+    """Undoes :func:`_one_line`; the pairs are read from left to right."""
+    kept = F.replace(c, F.lit("\\\\"), F.lit("\x00"))
+    broken = F.replace(F.replace(kept, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.when(c.contains("\\"), F.replace(broken, F.lit("\x00"), F.lit("\\"))).otherwise(c)
 
 
 def read_table(
@@ -55,7 +92,7 @@ def read_table(
     schema only pins the partition column types.
     """
     if fmt in ("csv", "tsv"):
-        return _text_reader(spark, schema, "\t" if fmt == "tsv" else sep).csv(path)
+        return _map_text(_text_reader(spark, schema, "\t" if fmt == "tsv" else sep).csv(path), _many_lines)
     reader = spark.read.format(fmt)
     if base_path:
         reader = reader.option("basePath", base_path)
@@ -64,11 +101,6 @@ def read_table(
     return reader.load(path)
 
 
-def number_source(spark: SparkSession, n: int, name: str = "num") -> DataFrame:
-    """``0 .. n-1`` as one bigint column."""
-    return spark.range(0, n).withColumnRenamed("id", name)
-
-
 def write_table(
     df: DataFrame,
     path: str,
@@ -80,16 +112,19 @@ def write_table(
     sep: str = ",",
 ) -> None:
     """Write a table: parquet / delta / csv / tsv, with a header for text.
+    A text row is one line: line breaks inside values are escaped, and
+    :func:`read_table` restores them.
 
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``
     (stale partitions stay); ``"static"`` rebuilds the whole table.
     """
-    w = df.write.mode(mode)
+    text = fmt in ("csv", "tsv")
+    w = (_map_text(df, _one_line) if text else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if mode == "overwrite":
         w = w.option("partitionOverwriteMode", overwrite)
-    if fmt in ("csv", "tsv"):
+    if text:
         w.options(**_TEXT_OPTIONS).option("sep", "\t" if fmt == "tsv" else sep).csv(path)
         return
     if fmt == "parquet" and compression:
@@ -125,9 +160,9 @@ def write_silver(
     clustering: str = "rebalance",
 ) -> None:
     """Silver sink: parquet (zstd) or delta partitioned by month and mall;
-    CSV unpartitioned, with a header."""
-    if fmt == "csv":
-        write_table(tx, base, fmt="csv", mode=mode)
+    CSV and TSV unpartitioned, with a header."""
+    if fmt in ("csv", "tsv"):
+        write_table(tx, base, fmt=fmt, mode=mode)
         return
     write_table(
         clustered_for_write(tx, partition_by, clustering),
@@ -143,17 +178,3 @@ def write_small_csv(df: DataFrame, path: str, n: int = 10, order: Sequence | Non
     """A single-file CSV of the first ``n`` rows; one task only behind a limit."""
     small = df.orderBy(*order).limit(n) if order else df.limit(n)
     write_table(small.coalesce(1), path, fmt="csv")
-
-
-def file_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Lines, words, bytes (``wc``) and the header line of a text table."""
-    text = spark.read.text(path).select("value", F.input_file_name().alias("file"))
-    line = F.col("value")
-    words = F.when(F.trim(line) == "", F.lit(0)).otherwise(F.size(F.split(F.trim(line), r"\s+")))
-    header = ",".join(spark.read.option("header", "true").csv(path).limit(0).columns)
-    return text.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.coalesce(F.sum(words), F.lit(0)).cast("bigint").alias("words"),
-        F.coalesce(F.sum(F.octet_length(line) + 1), F.lit(0)).cast("bigint").alias("bytes"),
-        F.count_distinct("file").alias("files"),
-    ).withColumn("header", F.lit(header))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from souk.operators.clean import silver
+from souk.operators.clean import clean_fields, parsed, silver
+from souk.operators.freq import text_profile
 from souk.operators.layout import year_filter
 from souk.schema import SILVER_COLUMNS, SILVER_SCHEMA
 from souk.session import scratch_path
@@ -60,11 +61,51 @@ def test_append_mode(spark, sf_dir):
     assert io.read_table(spark, p, "parquet", schema=SILVER_SCHEMA).count() == 2 * s.count()
 
 
-def test_small_csv_and_file_profile(spark, sf_dir):
+DIRTY = [
+    ('"Gift ""A"", card"', "a,b", "\ttab\t", " 28"),
+    ("line\nbreak", "cr\r\nlf", "back\\slash", "28.0"),
+    ("\\n", "\\\\n\\", '"', ""),
+    (None, "", " ", "\\"),
+]
+
+
+def test_dirty_values_roundtrip(spark):
+    df = spark.createDataFrame(DIRTY, "a string, b string, c string, d string")
+    for fmt in ("csv", "tsv"):
+        p = scratch_path(spark, f"t-dirty-{fmt}")
+        io.write_table(df.coalesce(1), p, fmt=fmt)
+        assert same(df, io.read_table(spark, p, fmt, schema=df.schema)), fmt
+        assert spark.read.text(p).count() == len(DIRTY) + 1  # a row is a line
+
+
+HEADER = "invoice_no,customer_id,gender,age,category,quantity,price,payment_method,invoice_date,shopping_mall"
+
+
+def test_foreign_csv(spark, tmp_path):
+    rows = ['I1,C1,Male, 28 ,"Gift ""A"", card",1,"1,500.25",Cash,1/2/2023,Mall', "I2,C2,Female,28.0,Shoes,2,3,Cash,2/2/2023,Mall"]
+    (tmp_path / "raw.csv").write_text("\n".join([HEADER, *rows, "I3,short row", 'I4,C4,Male,x,"two\nlines",1,2,Cash,3/2/2023,Mall']) + "\n")
+    got = {r.invoice_no: r for r in parsed(io.read_transactions(spark, str(tmp_path), multi_line=True)).collect()}
+    assert got["I1"].category == 'Gift "A", card' and got["I1"].payment_method == "Cash" and got["I1"].price == 1500.25
+    assert (got["I1"].age, got["I2"].age, got["I4"].age) == (28, 28, None)
+    assert got["I2"].age_band == "20-29" and got["I4"].category == "two\nlines"
+    assert io.malformed_rows(spark, str(tmp_path), multi_line=True) == 1
+    assert io.malformed_rows(spark, str(tmp_path)) > 1
+
+
+def test_missing_age_is_marked(spark):
+    raw = spark.createDataFrame([("I1", None), ("I2", " 28 "), ("I3", "")], "invoice_no string, age string")
+    assert [r.age for r in clean_fields(raw).orderBy("invoice_no").collect()] == ["NA", "28", "NA"]
+
+
+def test_small_csv(spark, sf_dir):
     s = silver(transactions_raw(spark, sf_dir))
     p = scratch_path(spark, "t-small")
     io.write_small_csv(s.select("invoice_no", "category"), p, n=10, order=["invoice_no", "category"])
-    prof = io.file_profile(spark, p).first()
-    assert (prof.lines, prof.files, prof.header) == (11, 1, "invoice_no,category")
-    text = spark.read.text(p).collect()
-    assert prof.bytes == sum(len(r.value.encode()) + 1 for r in text)
+    assert spark.read.text(p).count() == 11 and len(spark.read.text(p).inputFiles()) == 1
+
+
+def test_text_profile_does_not_depend_on_files(spark):
+    df = spark.createDataFrame([("a b", "x"), ("\tc", None), ("", "")], "s string, t string")
+    want = (3, 2 + 1 + 1, len("a b,x") + len("\tc,") + len(",") + 3, "s,t")
+    for n in (1, 3):
+        assert tuple(text_profile(df.repartition(n)).first()) == want

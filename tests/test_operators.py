@@ -79,6 +79,11 @@ def test_mall_revenue_variants_agree(spark):
     assert a == b
 
 
+def test_mod_buckets(spark):
+    got = [tuple(r) for r in FQ.mod_bucket_counts(spark.createDataFrame([(1,), (11,), (20,), (3,)], "k long"), "k", 10).collect()]
+    assert got == [(0, 1), (1, 2), (3, 1)]
+
+
 def test_missing_fields_and_duplicates(spark):
     df = spark.createDataFrame([("I1", None, 3), ("I1", "", None), ("", "x", 1)], "invoice_no string, customer_id string, age int")
     got = {r.field: (r.rows, r.missing) for r in FQ.missing_fields(df).collect()}
@@ -95,6 +100,12 @@ def test_sample_rows_is_exact_and_repeatable(spark):
     assert S.sample_rows(df.limit(10), 100).count() == 10
 
 
+def test_sample_is_uniform_over_repeated_rows(spark):
+    df = spark.createDataFrame([("a",)] * 500 + [("b",)] * 500, "k string")
+    drawn = [sum(r.k == "a" for r in S.sample_rows(df, 100, seed).collect()) for seed in range(6)]
+    assert all(25 < n < 75 for n in drawn) and len(set(drawn)) > 1
+
+
 def test_split_is_tied_to_key(spark):
     df = spark.range(0, 2000).select(F.concat(F.lit("I"), F.col("id").cast("string")).alias("invoice_no"))
     tr1, te1 = S.train_test_split(df)

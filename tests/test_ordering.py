@@ -43,7 +43,6 @@ CASES = {
     "top30_overall": [("count", True), ("category", False)],
     "bucket_counts": [("bucket", False)],
     "mod_bucket_counts": [("bucket", False)],
-    "duplicate_invoices": [("count", True), ("invoice_no", False)],
 }
 
 

@@ -5,6 +5,9 @@ import io as _io
 
 from pyspark.sql import functions as F
 
+from souk.operators import clean as C
+from souk.operators import clusters as CL
+from souk.operators import freq as FQ
 from souk.operators import joins as J
 from souk.operators import kpis as K
 from souk.operators import layout as L
@@ -12,7 +15,7 @@ from souk.operators.clean import silver
 from souk.schema import SILVER_SCHEMA
 from souk.session import scratch_path
 from souk.sources import io
-from souk.sources.fixture import transactions_raw
+from souk.sources.fixture import malls, transactions_raw
 
 
 def plan(df, mode="formatted"):
@@ -30,18 +33,45 @@ def written_silver(spark, sf_dir):
 
 def test_dimension_joins(spark, sf_dir):
     s = silver(transactions_raw(spark, sf_dir))
-    dim = J.mall_dimension(s)
+    dim = J.mall_dimension(malls(spark, sf_dir))
     regular = plan(J.join_mall_dim(s, dim, "merge"), "simple")
     assert "SortMergeJoin" in regular and "BroadcastHashJoin LeftOuter" not in regular
     bc = plan(J.join_mall_dim(s, dim, "broadcast"), "simple")
     assert "BroadcastHashJoin" in bc and "LeftOuter" in bc
+    # the fact rows are read once and not moved
+    assert bc.count("lineitem.parquet") == 1 and bc.count("Exchange hashpartitioning(shopping_mall") <= 1
 
 
 def test_broadcast_falls_back_when_too_big(spark, sf_dir):
     s = silver(transactions_raw(spark, sf_dir))
-    dim = J.mall_dimension(s)
-    p = plan(J.join_mall_dim(s, dim, "broadcast", max_broadcast_rows=3), "simple")
-    assert "SortMergeJoin" in p
+    dim = J.mall_dimension(malls(spark, sf_dir))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin [shopping_mall" in plan(J.join_mall_dim(s, dim, "broadcast", max_bytes=3), "simple")
+        assert "BroadcastHashJoin [shopping_mall" in plan(J.join_mall_dim(s, dim, "broadcast"), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_quality_filter_casts_each_number_twice_at_most(spark, sf_dir):
+    path = scratch_path(spark, "plan-raw")
+    io.write_table(transactions_raw(spark, sf_dir).limit(10), path, fmt="csv")
+    p = silver(io.read_transactions(spark, path))._jdf.queryExecution().optimizedPlan().toString()
+    (line,) = [ln for ln in p.splitlines() if ln.lstrip("+- ").startswith("Filter")]
+    assert line.count("try_cast") <= 4  # two numbers
+    staged = scratch_path(spark, "plan-staged")
+    io.write_table(C.staged(io.read_transactions(spark, path)), staged)
+    p = C.silver_of(io.read_table(spark, staged))._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast" not in p
+
+
+def test_one_scan_per_table(spark, sf_dir):
+    s = transactions_raw(spark, sf_dir).select("category", "customer_id")
+    assert plan(CL.edge_nodes(s), "simple").count("lineitem.parquet") == 1
+    top = CL.top_entities(s, 30)
+    assert plan(CL.top_diff(top, CL.top_entities(s, 20)), "simple").count("lineitem.parquet") == 2
+    assert "rangepartitioning" not in plan(FQ.duplicate_keys(transactions_raw(spark, sf_dir)), "simple")
 
 
 def test_year_filter_prunes_partitions(spark, sf_dir):
@@ -61,14 +91,11 @@ def test_column_pruning_reaches_scan(spark, sf_dir):
     assert "quantity" in read and "price" in read and "customer_id" not in read
 
 
-def test_repartitioned_revenue_shuffles_partial_sums(spark, sf_dir):
-    s = silver(transactions_raw(spark, sf_dir))
+def test_repartitioned_revenue_has_one_exchange(spark, sf_dir):
+    _, s = written_silver(spark, sf_dir)
     p = plan(L.mall_revenue(s, repartition=8), "simple")
-    lines = p.splitlines()
-    ex = [i for i, ln in enumerate(lines) if "hashpartitioning(shopping_mall" in ln and "REPARTITION_BY_NUM" in ln][0]
-    assert "hashpartitioning(shopping_mall" in lines[ex] and ", 8)" in lines[ex]
-    # directly below the 8-way exchange sits an aggregate, not raw rows
-    assert "HashAggregate" in lines[ex + 1]
+    assert p.count("Exchange hashpartitioning(shopping_mall") == 1 and "Coalesce 8" in p
+    assert L.mall_revenue(s, repartition=3).rdd.getNumPartitions() <= 3
 
 
 def test_top_n_is_take_ordered(spark, sf_dir):
