@@ -130,49 +130,59 @@ def codec(path: str, pattern: str = PATTERN) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
-def _mapped(df: DataFrame, source: str, added: str, kind: T.DataType, convert: Callable[[pa.Array], pa.Array]) -> DataFrame:
-    """``df`` with a column made from another one, batch by batch."""
-    keep = df.drop(added)
-    schema = T.StructType([*keep.schema.fields, T.StructField(added, kind)])
-    names = keep.columns
+def _mapped(df: DataFrame, source: str, added: list[T.StructField], convert: Callable[[list], list[pa.Array]]) -> DataFrame:
+    """``df`` with columns made from another one, a few rows at a time."""
+    keep = df.drop(*[f.name for f in added])
+    schema = T.StructType([*keep.schema.fields, *added])
+    names, at = schema.names, keep.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):  # bounds what Python holds at once
-                part = batch.slice(start, 256)
-                made = convert(part.column(names.index(source)))
-                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*names, added])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns, *convert(part.column(at).to_pylist())], names=names)
+            pa.default_memory_pool().release_unused()
 
     return keep.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, leaf: int = LEAF) -> DataFrame:
-    """``docs`` with the token ids of ``text`` as an array."""
+#: Rows that a task holds as Python objects at once.
+ROWS = 64
+
+
+def encode(
+    docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str | None = None, path: str | None = None, leaf: int = LEAF
+) -> DataFrame:
+    """``docs`` with the token ids of ``text`` as an array; with ``decoded``,
+    also the bytes that these ids decode to, in the same pass."""
     path = path or vocabulary_path()
 
-    def convert(texts: pa.Array) -> pa.Array:
+    def convert(texts: list) -> list[pa.Array]:
         c = codec(path)
-        return pa.array([c.encode(t or "", leaf) for t in texts.to_pylist()], pa.list_(pa.int32()))
+        lists = [c.encode(t or "", leaf) for t in texts]
+        out = [pa.array(lists, pa.list_(pa.int32()))]
+        return out if decoded is None else [*out, pa.array([c.decode(x) for x in lists], pa.binary())]
 
-    return _mapped(docs, text, ids, T.ArrayType(T.IntegerType()), convert)
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    return _mapped(docs, text, added if decoded is None else [*added, T.StructField(decoded, T.BinaryType())], convert)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded", path: str | None = None) -> DataFrame:
     """``encoded`` with the bytes that the token ids stand for."""
     path = path or vocabulary_path()
 
-    def convert(lists: pa.Array) -> pa.Array:
+    def convert(lists: list) -> list[pa.Array]:
         c = codec(path)
-        return pa.array([c.decode(x or []) for x in lists.to_pylist()], pa.binary())
+        return [pa.array([c.decode(x or []) for x in lists], pa.binary())]
 
-    return _mapped(encoded, ids, decoded, T.BinaryType(), convert)
+    return _mapped(encoded, ids, [T.StructField(decoded, T.BinaryType())], convert)
 
 
 def with_digests(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``."""
-    round_trip = decode(encode(docs).drop("text"))
+    round_trip = encode(docs, decoded="decoded")
     return round_trip.select(
-        *[c for c in round_trip.columns if c not in ("ids", "decoded")],
+        *[c for c in round_trip.columns if c not in ("text", "ids", "decoded")],
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -185,9 +195,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: the documents with their ids, and how many
-    characters the decoded ids give back."""
-    round_trip = decode(encode(docs))
+    """Pipeline stage, the last: the documents with their ids, and whether
+    these decode to the text."""
+    round_trip = encode(docs, decoded="decoded")
     return round_trip.select(
         *docs.columns,
         "ids",

@@ -74,3 +74,8 @@ def test_odd_rows(make_docs):
         assert by[i].decoded_sha256 == sha((t or "").encode())
     assert by[900].n_tokens == 0 and by[900].ids_sha256 == sha(b"")
     assert B.with_digests(make_docs(ODD).limit(0)).collect() == []
+
+
+def test_decode_alone(make_docs):
+    for r in B.decode(B.encode(make_docs(ODD))).collect():
+        assert bytes(r.decoded) == (r.text or "").encode()
