@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_or_empty
+from .common import DOCUMENT_COLUMNS, table, text_or_empty
 
 #: Folder of the public tokenizers, importable as ``public_tokenizers`` or not.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -197,9 +197,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, the last: the documents with their ids, and whether
     these decode to the text."""
-    round_trip = encode(docs, decoded="decoded")
+    round_trip = encode(docs.select(*DOCUMENT_COLUMNS), decoded="decoded")
     return round_trip.select(
-        *docs.columns,
+        *DOCUMENT_COLUMNS,
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.encode(text_or_empty(), "UTF-8")).alias("decodes"),

@@ -204,13 +204,10 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(F.col(a), F.col(b)).alias("a"), F.greatest(F.col(a), F.col(b)).alias("b")]
 
 
-def with_labels(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+def with_labels(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries with the component of their node; shingles whose entries all
     lie in one component are done and dropped."""
-    own = entries.drop("label")
-    if labels is None:
-        return own.withColumn("label", F.col("node"))
-    labelled = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = entries.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
     return labelled.join(open_, "key", "left_semi")
 
@@ -314,8 +311,9 @@ def sets_of(texts: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: its id, ``text_key`` (hash of the text), ``n`` shingles
-    and ``component_id``, the smallest id that links reach."""
+    """Per document: its id, ``text_key`` (hash of the text), ``n`` shingles,
+    ``label`` (names the component; null without shingles) and
+    ``component_id``, the smallest id that links reach."""
     narrow = docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), F.xxhash64(text).alias("text_key"))
     surveyed = stored(survey(narrow), "jaccard-survey")
     rows = surveyed.where("chunk is null").select("doc_id", "text_key", "node", "n")
@@ -325,17 +323,18 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> Data
         surveyed.where("node is not null").groupBy("node").agg(one.alias("d"), F.min("n").alias("n"), F.min("odd").alias("odd")).select("node", "n", "odd", "d.doc_id", "d.text_key"),
         "jaccard-nodes",
     )
-    copies = rows.where("n > 0").join(nodes.select("node", "doc_id", "text_key").withColumn("own", F.lit(True)), ["node", "doc_id", "text_key"], "left")
-    copies = stored(copies.where("own is null").select("doc_id", "text_key").distinct(), "jaccard-copies")
+    stands = nodes.select("node", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
+    other = ~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
+    copies = stored(rows.join(stands, "node").where(other).select("doc_id", "text_key").distinct(), "jaccard-copies")
     firsts = by_ids(narrow, copies, "left_anti", "doc_id", "text_key")
     entries = stored(shared_entries(prefix_entries(firsts, shingle_counts(surveyed))), "jaccard-entries")
 
-    links: list[DataFrame] = []
     tried: DataFrame | None = None
     labels: DataFrame | None = None
     open_ = entries.withColumn("label", F.col("node"))
+    merged = False
     for round_ in range(PIVOT_ROUNDS + 1):
-        if labels is not None:
+        if merged:
             open_ = stored(with_labels(open_, labels), "jaccard-open")
         pairs = (pivot_pairs(open_, round_) if round_ < PIVOT_ROUNDS else all_pairs(open_)).distinct()
         if tried is not None:
@@ -343,18 +342,21 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> Data
         pairs = stored(pairs, "jaccard-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
         near = stored(suffix_filtered(pairs, nodes), "jaccard-near")
-        links.append(stored(verified(stored(oriented(near), "jaccard-sent"), narrow, nodes).distinct(), "jaccard-links"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionAll(more)
-        labels = components(every)
+        links = near if near.isEmpty() else verified(stored(oriented(near), "jaccard-sent"), narrow, nodes)
+        links = stored(links.distinct(), "jaccard-links")
+        merged = not links.isEmpty()
+        if merged:
+            known = links if labels is None else links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = components(known)
     # copies count through their node; the smallest id of each component
     least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    if labels is None:
+        labels = nodes.limit(0).select("node", F.col("node").alias("label"))
     joined = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = joined.join(smallest, "label").select("node", "component_id")
+    named = joined.join(smallest, "label").select("node", "label", "component_id")
     alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.join(named, "node", "left").select("doc_id", "text_key", "n", alone.alias("component_id"))
+    return rows.join(named, "node", "left").select("doc_id", "text_key", "n", "label", alone.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -372,11 +374,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     hash; of equal rows, one). Documents without a shingle stay."""
     found = stored(classes(docs).where("n > 0"), "jaccard-classes")
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")
-    kept = found.groupBy("component_id").agg(F.min(order).alias("k"), F.min("n").alias("n"))
-    kept = kept.select(F.col("component_id").alias("c"), F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
-    same = F.col("component_id").eqNullSafe(F.col("c"))
+    kept = found.groupBy("label").agg(F.min(order).alias("k"))
+    kept = kept.select("label", F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
     goes = ~(F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")))
-    gone = found.join(kept, same).where(goes).select("doc_id", "text_key").distinct()
+    gone = found.join(kept, "label").where(goes).select("doc_id", "text_key").distinct()
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     left = by_ids(keyed, stored(gone, "jaccard-gone"), "left_anti", "doc_id", "text_key")
     twice = stored(found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "jaccard-twice")

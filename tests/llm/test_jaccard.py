@@ -35,15 +35,6 @@ def rows():
     return list(zip(ids, out)) + ODD
 
 
-def result(df):
-    return sorted((r.doc_id is None, r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df).collect())
-
-
-def expected(rows):
-    named, sizes = components(rows)
-    return sorted((i is None, i, sizes[k], named[k] if sizes[k] else i) for k, (i, _) in enumerate(rows))
-
-
 def key(x):
     return [(a, -1 if b is None else b, c, -1 if d is None else d) for a, b, c, d in x]
 
@@ -87,6 +78,16 @@ def test_stage_keeps_one_of_each(spark, make_docs, rows):
     assert len({(r.doc_id, r.text) for r in kept if r.text and r.text.strip()}) == len([r for r in kept if r.text and r.text.strip()])
 
 
+def test_documents_without_id(make_docs):
+    base = "the quick brown fox jumps over the lazy dog again and again until it is quite late in the day"
+    other = "an entirely different text that stands alone among all of these and has no id of its own either"
+    rows = [(None, base), (5, base + " x"), (None, other), (None, other + " y"), (None, "lonely words that nobody else has written down")]
+    got = J.near_duplicates(make_docs(rows)).collect()
+    got = [(r.doc_id is None, r.doc_id, r.n_shingles, r.component_id) for r in got]
+    assert sorted(key(got)) == sorted(key(expected_list(rows)))
+    assert len(J.stage(None, make_docs(rows), "").collect()) == 3
+
+
 def test_empty(make_docs):
     assert J.near_duplicates(make_docs(ODD).limit(0)).collect() == []
 
