@@ -19,25 +19,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from souk.llm import bpe, decontaminate, jaccard, quality, secrets
-from souk.llm.common import ship_package, stored, table
+from souk.llm.common import prepare_session, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def with_package(stage: Stage) -> Stage:
+def prepared(stage: Stage) -> Stage:
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare_session(spark)
         return stage(spark, docs, sf_dir)
 
     return run
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", with_package(quality.stage)),
-    ("jaccard_join", with_package(jaccard.stage)),
-    ("decontamination", with_package(decontaminate.stage)),
-    ("secret_scans", with_package(secrets.stage)),
-    ("byte_bpe", with_package(bpe.stage)),
+    ("quality_rules", prepared(quality.stage)),
+    ("jaccard_join", prepared(jaccard.stage)),
+    ("decontamination", prepared(decontaminate.stage)),
+    ("secret_scans", prepared(secrets.stage)),
+    ("byte_bpe", prepared(bpe.stage)),
 ]
 
 #: Learned rules, a random field and token ids aren't SQL; tests/llm compares

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, decontaminate, extraction, jaccard, licenses, quality, secrets, sharding, substrings, token_counts
-from .common import ship_package
+from .common import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def with_package(query: Query) -> Query:
+def prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare_session(spark)
         return query(spark, sf_dir)
 
     return run
@@ -38,6 +38,6 @@ PYTHON: dict[str, Query] = {
     "op9_byte_bpe": bpe.op9_byte_bpe,
 }
 
-QUERIES: dict[str, Query] = NATIVE | {name: with_package(q) for name, q in PYTHON.items()}
+QUERIES: dict[str, Query] = NATIVE | {name: prepared(q) for name, q in PYTHON.items()}
 
 ORACLE: dict[str, str] = {"op8_substring_dedup": substrings.OP8_SQL}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -58,14 +60,26 @@ def words(text: Column) -> Column:
     )
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application, so that
-    a query also runs where they cannot import it by themselves."""
+#: Rows that Spark hands to a Python worker at a time. Texts can be long, and
+#: the batch is held outside of the heap.
+ARROW_ROWS = 1_000
+
+
+def prepare_session(spark: SparkSession) -> None:
+    """What a job with Python in its tasks needs of its session: this package
+    on the workers, so that it also runs where they cannot import it by
+    themselves, and Arrow batches of bounded size. The queries and the pipeline
+    call it; the operators leave the session as it is."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_souk_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="souk-package-")) / f"{package.name}.zip"
+    folder = tempfile.mkdtemp(prefix="souk-package-")  # the driver's; Spark serves it to the workers
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for file in sorted(package.rglob("*.py")):
             z.write(file, file.relative_to(package.parent))

@@ -4,10 +4,10 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture(scope="session", autouse=True)
-def package(spark):
-    from souk.llm.common import ship_package
+def session(spark):
+    from souk.llm.common import prepare_session
 
-    ship_package(spark)
+    prepare_session(spark)
 
 
 @pytest.fixture(scope="session")
