@@ -29,10 +29,9 @@ def components(links: DataFrame) -> DataFrame:
     the links are stars themselves; each round is written out, so a lost
     executor costs one round. Hot nodes are pre-aggregated and their join may
     be split by the adaptive planner."""
-    links = links.select("a", "b").where("a <> b").distinct()
+    links = links.select("a", "b").where("a <> b")
     before = None
     while True:
-        # the large star's output also holds its own a -> m links of local minima
         links = stored(_small_star(_large_star(links)).distinct(), "links")
         now = links.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if now == before:

@@ -14,11 +14,12 @@ Steps, each a Spark job over the whole table:
    from here on, however many copies there are.
 2. Prefix entries ``(shingle, node, size, place)`` meet on the shingle. A
    shingle with one node is dropped. Hot shingles are salted.
-3. Pairs: a few rounds link all nodes of a shingle with one pivot node, which
-   costs as many pairs as rows, and merge what is verified; then all pairs
-   that share a shingle and still lie in different components are tried. Pairs
-   inside a component needn't be tried, so a large group of copies never
-   expands into all its pairs, and no link between components is lost.
+3. Pairs: first all nodes of a shingle are paired with one pivot node, which
+   costs as many pairs as rows, and what is verified is merged; then, of
+   shingles with three nodes or more, all pairs that still lie in different
+   components are tried. Pairs inside a component needn't be tried, so a large
+   group of copies never expands into all its pairs, and no link between
+   components is lost.
 4. Length and positional filters prune a pair when it is made. The suffix
    filter bounds from below how many shingles are in one set only: each node
    has the parities of its members in 1024 ranges of hashes, and wherever two
@@ -50,8 +51,6 @@ PERCENT = 75
 COUNTERS = 1 << 19
 #: A shingle whose counter is beyond this is dealt out over SALTS groups.
 HOT, SALTS = 200_000, 64
-#: Rounds of pivot pairs before all remaining pairs are made.
-PIVOT_ROUNDS = 2
 #: Ranges of hashes whose parities are kept of each set.
 PARITIES = 1024
 #: Ids (8 bytes each) up to which a set of ids is broadcast.
@@ -172,7 +171,11 @@ def prefix_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 def shared_entries(entries: DataFrame) -> DataFrame:
     """Entries whose shingle has another entry of a fitting size: in order of
     size, the neighbour on one side must be near enough. One exchange and a
-    sort, no group is held. Of a hot shingle all entries stay."""
+    sort. Of a hot shingle all entries stay.
+
+    Each entry gets the shingle's ``pivot``, the one with the fewest rarer
+    shingles, as the text that others were made from has none of its own, and
+    ``more``, whether there are pairs without the pivot."""
     size = F.abs("packed")
     own = entries.select(
         "key",
@@ -182,11 +185,18 @@ def shared_entries(entries: DataFrame) -> DataFrame:
         (F.col("packed") < 0).alias("hot"),
     )
     salt = F.when(F.col("hot"), F.pmod("node", F.lit(SALTS))).otherwise(0)
-    by = Window.partitionBy("key", salt).orderBy("n", "node")
+    group = Window.partitionBy("key", salt)
+    by = group.orderBy("n", "node")
     below = 100 * F.lag("n").over(by) >= PERCENT * F.col("n")
     above = 100 * F.col("n") >= PERCENT * F.lead("n").over(by)
-    fits = F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False))
-    return own.withColumn("fits", fits).where("hot or fits").select("key", "node", "n", "place")
+    met = own.withColumns(
+        {
+            "fits": F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False)),
+            "pivot": F.min(F.struct("place", "node", "n")).over(group),
+            "more": F.col("hot") | (F.count("*").over(group) > 2),
+        }
+    )
+    return met.where("hot or fits").select("key", "node", "n", "place", "pivot", "more")
 
 
 def may_link(a: str, b: str, first: bool) -> Column:
@@ -207,20 +217,15 @@ def _pair(a: str, b: str) -> list[Column]:
 def with_labels(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries with the component of their node; shingles whose entries all
     lie in one component are done and dropped."""
-    labelled = entries.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
     return labelled.join(open_, "key", "left_semi")
 
 
-def pivot_pairs(entries: DataFrame, round_: int) -> DataFrame:
-    """Each entry with one entry of its shingle: first the one with the fewest
-    rarer shingles, as the text that others were made from has none of its
-    own, then one drawn by hash."""
-    rank = F.col("place").cast("long") if round_ == 0 else F.xxhash64("node", F.lit(round_))
-    draw = F.struct(rank.alias("rank"), "node", "n", "place", "label")
-    pivots = entries.groupBy("key").agg(F.min(draw).alias("p")).select("key", "p.*")
-    met = entries.alias("x").join(pivots.alias("y"), F.col("x.key") == F.col("y.key"))
-    return met.where((F.col("x.label") != F.col("y.label")) & may_link("x", "y", False)).select(*_pair("x.node", "y.node"))
+def pivot_pairs(entries: DataFrame) -> DataFrame:
+    """Each entry with the pivot of its shingle."""
+    met = entries.select(F.struct("node", "n", "place").alias("x"), F.col("pivot").alias("y"))
+    return met.where((F.col("x.node") != F.col("y.node")) & may_link("x", "y", False)).select(*_pair("x.node", "y.node"))
 
 
 def all_pairs(entries: DataFrame) -> DataFrame:
@@ -239,7 +244,9 @@ def all_pairs(entries: DataFrame) -> DataFrame:
 def suffix_filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose parities don't rule them out: to link, at most 25/175 of
     both sizes together may be in one set only."""
-    x, y = (nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("odd").alias(f"o{k}")) for k in "ab")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = by_ids(nodes, stored(met, "jaccard-met"), "left_semi", "node")
+    x, y = (known.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("odd").alias(f"o{k}")) for k in "ab")
     apart = sum((F.bit_count(F.get("oa", F.lit(k)).bitwiseXOR(F.get("ob", F.lit(k)))) for k in range(PARITIES // 64)), F.lit(0))
     total = F.col("na").cast("long") + F.col("nb")
     near = pairs.join(x, "a").join(y, "b").where((100 + PERCENT) * apart <= (100 - PERCENT) * total)
@@ -329,29 +336,22 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> Data
     firsts = by_ids(narrow, copies, "left_anti", "doc_id", "text_key")
     entries = stored(shared_entries(prefix_entries(firsts, shingle_counts(surveyed))), "jaccard-entries")
 
-    tried: DataFrame | None = None
-    labels: DataFrame | None = None
-    open_ = entries.withColumn("label", F.col("node"))
-    merged = False
-    for round_ in range(PIVOT_ROUNDS + 1):
-        if merged:
-            open_ = stored(with_labels(open_, labels), "jaccard-open")
-        pairs = (pivot_pairs(open_, round_) if round_ < PIVOT_ROUNDS else all_pairs(open_)).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "jaccard-pairs")
-        tried = pairs if tried is None else tried.unionAll(pairs)
+    def linked(pairs: DataFrame) -> DataFrame:
         near = stored(suffix_filtered(pairs, nodes), "jaccard-near")
         links = near if near.isEmpty() else verified(stored(oriented(near), "jaccard-sent"), narrow, nodes)
-        links = stored(links.distinct(), "jaccard-links")
-        merged = not links.isEmpty()
-        if merged:
-            known = links if labels is None else links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            labels = components(known)
+        return stored(links.distinct(), "jaccard-links")
+
+    first = stored(pivot_pairs(entries).distinct(), "jaccard-pairs")
+    links = linked(first)
+    labels = components(links)
+    open_ = stored(with_labels(entries.where("more").drop("pivot", "more"), labels), "jaccard-open")
+    rest = stored(all_pairs(open_).distinct().join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
+    if not rest.isEmpty():
+        # what is known goes on as links from each node to its component's label
+        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = components(linked(rest).unionAll(known))
     # copies count through their node; the smallest id of each component
     least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    if labels is None:
-        labels = nodes.limit(0).select("node", F.col("node").alias("label"))
     joined = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = joined.join(smallest, "label").select("node", "label", "component_id")

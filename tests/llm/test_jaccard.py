@@ -50,11 +50,10 @@ def expected_list(rows):
     return [(i is None, i, sizes[k], named[k] if sizes[k] else i) for k, (i, _) in enumerate(rows)]
 
 
-def test_hot_shingles_and_no_pivots(make_docs, rows, monkeypatch):
-    """Salting, no pivot rounds and shuffled joins give the same."""
+def test_hot_shingles(make_docs, rows, monkeypatch):
+    """Salting and shuffled joins give the same."""
     monkeypatch.setattr(J, "HOT", 3)
     monkeypatch.setattr(J, "SALTS", 4)
-    monkeypatch.setattr(J, "PIVOT_ROUNDS", 0)
     monkeypatch.setattr(J, "BROADCAST_IDS", 0)
     got = J.near_duplicates(make_docs(rows)).collect()
     got = [(r.doc_id is None, r.doc_id, r.n_shingles, r.component_id) for r in got]
