@@ -2,9 +2,9 @@
 
 A passage is a window of ``WINDOW`` words. Equal windows are brought together
 by their minimizer: the run of ``GRAM`` words in the window with the smallest
-hash. Consecutive windows of one minimizer make a segment, so the segments of
-a text hold each of its windows exactly once, and two equal windows lie in
-segments of the same minimizer. That routes the work:
+hash. Consecutive windows of one minimizer, ``REACH`` at most, make a segment,
+so the segments of a text hold each of its windows exactly once, and two equal
+windows lie in segments of the same minimizer. That routes the work:
 
 1. Every text gives its anchors ``(minimizer, text, place)``. Anchors whose
    minimizer occurs once in the whole table cannot hold a repeated window and
@@ -46,7 +46,7 @@ from .shingles import TOGETHER, roll, signed, word_hashes
 
 WINDOW = 35
 GRAM = 8
-#: Windows that share a minimizer at most.
+#: Grams of a window, and windows of a segment at most.
 REACH = WINDOW - GRAM + 1
 #: Anchors of one minimizer beyond which its windows are dealt out one by one.
 HOT = 20_000
@@ -61,7 +61,8 @@ CHUNK_WORDS = 1 << 19
 
 def anchors_of(hashes: np.ndarray) -> list[tuple[int, int, int]]:
     """``(minimizer, first window, windows)`` of each run of windows that
-    share the place of their minimizer, the leftmost of equal ones."""
+    share their minimizer, cut after ``REACH`` windows. A text that repeats a
+    few words over and over is one run, not one for each time."""
     out = []
     for base in range(0, max(1, len(hashes) - WINDOW + 1), CHUNK_WORDS):
         part = hashes[base : base + CHUNK_WORDS + WINDOW - 1]
@@ -77,10 +78,14 @@ def anchors_of(hashes: np.ndarray) -> list[tuple[int, int, int]]:
         if span < REACH:
             least = np.minimum(least[: len(low) - REACH + 1], least[REACH - span :])
         place = (least & np.uint64((1 << 20) - 1)).astype(np.int64)
-        begin = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        count = np.diff(np.concatenate((begin, [len(place)])))
-        minimizers = signed(grams[place[begin]])
-        out += list(zip(minimizers.tolist(), (begin + base).tolist(), count.tolist()))
+        least = signed(grams[place])
+        begin = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+        count = np.diff(np.concatenate((begin, [len(least)])))
+        pieces = -(-count // REACH)
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = np.repeat(begin, pieces) + within * REACH
+        size = np.minimum(REACH, np.repeat(begin + count, pieces) - start)
+        out += list(zip(least[start].tolist(), (start + base).tolist(), size.tolist()))
     return out
 
 

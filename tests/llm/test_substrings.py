@@ -73,6 +73,13 @@ def test_equal_windows_share_their_minimizer():
     assert all(by[20 + k] == by[200 + k] for k in range(60 - S.WINDOW + 1))
 
 
+def test_repeated_words_make_few_anchors():
+    hashes = word_hashes([b"x y " * 1000])[0]
+    anchors = S.anchors_of(hashes)
+    assert [w for _, start, n in anchors for w in range(start, start + n)] == list(range(2000 - S.WINDOW + 1))
+    assert len(anchors) <= 2000 // S.REACH + 2 and max(n for _, _, n in anchors) == S.REACH
+
+
 def test_fm_index_against_counting():
     from collections import Counter
 
