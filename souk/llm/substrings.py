@@ -59,10 +59,11 @@ SHARD_WORDS = 2_000_000
 CHUNK_WORDS = 1 << 19
 
 
-def anchors_of(hashes: np.ndarray) -> list[tuple[int, int, int]]:
-    """``(minimizer, first window, windows)`` of each run of windows that
-    share their minimizer, cut after ``REACH`` windows. A text that repeats a
-    few words over and over is one run, not one for each time."""
+def anchors_of(hashes: np.ndarray) -> list[tuple[int, int, int, bool]]:
+    """``(minimizer, first window, windows, again)`` of each run of windows
+    that share their minimizer, cut after ``REACH`` windows. A text that
+    repeats a few words over and over is one run, not one for each time;
+    ``again``: the minimizer stands in more than one place of the run."""
     out = []
     for base in range(0, max(1, len(hashes) - WINDOW + 1), CHUNK_WORDS):
         part = hashes[base : base + CHUNK_WORDS + WINDOW - 1]
@@ -85,7 +86,8 @@ def anchors_of(hashes: np.ndarray) -> list[tuple[int, int, int]]:
         within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = np.repeat(begin, pieces) + within * REACH
         size = np.minimum(REACH, np.repeat(begin + count, pieces) - start)
-        out += list(zip(least[start].tolist(), (start + base).tolist(), size.tolist()))
+        again = place[start] != place[start + size - 1]
+        out += list(zip(least[start].tolist(), (start + base).tolist(), size.tolist(), again.tolist()))
     return out
 
 
@@ -95,14 +97,22 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = TOGETHER) -> Iterator
             yield batch.slice(start, rows)
 
 
-SURVEY = "key long, n_words int, minimizer long, start int, n int, sure boolean"
+SURVEY = "key long, n_words int, minimizer long, start int, n int, again boolean, sure boolean"
 
 
 def survey(texts: DataFrame) -> DataFrame:
     """Of ``(key, text)``: a row with the number of words per text, and its
     anchors, once per task for equal texts."""
     arrow = pa.schema(
-        [("key", pa.int64()), ("n_words", pa.int32()), ("minimizer", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("sure", pa.bool_())]
+        [
+            ("key", pa.int64()),
+            ("n_words", pa.int32()),
+            ("minimizer", pa.int64()),
+            ("start", pa.int32()),
+            ("n", pa.int32()),
+            ("again", pa.bool_()),
+            ("sure", pa.bool_()),
+        ]
     )
     often = SURE
 
@@ -118,22 +128,23 @@ def survey(texts: DataFrame) -> DataFrame:
                     seen.add(key)
                     found += [(key, *a) for a in anchors_of(hashes[begin:end])]
             k = len(keys)
-            none = pa.nulls(k, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), none, none, pa.nulls(k, pa.bool_())], schema=arrow)
+            none, no = pa.nulls(k, pa.int32()), pa.nulls(k, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), none, none, no, no], schema=arrow)
             if found:
                 a = np.array(found, np.int64)
                 slot = a[:, 1] & (COUNTERS - 1)
                 np.add.at(counts, slot, 1)
                 columns = [pa.array(a[:, 0]), pa.nulls(len(a), pa.int32()), pa.array(a[:, 1])]
-                columns += [pa.array(a[:, 2], pa.int32()), pa.array(a[:, 3], pa.int32()), pa.array(counts[slot] > often)]
+                columns += [pa.array(a[:, 2], pa.int32()), pa.array(a[:, 3], pa.int32())]
+                columns += [pa.array(a[:, 4] > 0), pa.array(counts[slot] > often)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return texts.mapInArrow(run, SURVEY)
 
 
 def shared_anchors(anchors: DataFrame, hot: int) -> DataFrame:
-    """``(key, anchors)`` of texts with anchors whose minimizer also stands
-    elsewhere; ``many`` flags hot minimizers."""
+    """``(key, anchors)`` of texts with anchors whose minimizer stands in more
+    than one place; ``many`` flags hot minimizers."""
     known = stored(anchors.where("sure").select("minimizer").distinct(), "substrings-hot")
     columns = ["key", "start", "n", "minimizer"]
     sure = by_ids(anchors, known, "left_semi", "minimizer").select(*columns).distinct().withColumn("many", F.lit(True))
@@ -143,7 +154,7 @@ def shared_anchors(anchors: DataFrame, hot: int) -> DataFrame:
     here = F.struct("key", "start")
     last, many = F.lag(here).over(by), F.count("*").over(group) > hot
     met = rest.withColumns({"last": last, "least": F.min(here).over(group), "most": F.max(here).over(group), "many": many})
-    met = met.where((F.col("least") != F.col("most")) & (F.col("last").isNull() | (F.col("last") != here)))
+    met = met.where((F.col("again") | (F.col("least") != F.col("most"))) & (F.col("last").isNull() | (F.col("last") != here)))
     every = met.select(*columns, "many").unionByName(sure)
     return every.groupBy("key").agg(F.collect_list(F.struct("start", "n", "minimizer", "many")).alias("anchors"))
 
@@ -210,10 +221,8 @@ def search_shards(routed: DataFrame, shard_words: int) -> DataFrame:
         windows = np.array([len(b) - WINDOW + 1 for b in bodies])
         first, last = np.zeros(len(ids), np.int64), windows - 1
         once = np.flatnonzero([times[s] < 2 for s in texts])
-        if len(once) and len(ids) > 1:
+        if len(once):
             first[once], last[once] = FMIndex(bodies).covered(once, windows[once], WINDOW)
-        else:
-            first[once] = -1
         hit = first >= 0
         return pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(first[hit], pa.int32()), pa.array(last[hit], pa.int32())], schema=arrow)
 
@@ -246,7 +255,7 @@ def repeated_intervals(docs: DataFrame, hot: int = HOT, shard_words: int = SHARD
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
     texts = keyed.select("key", "text")
     surveyed = stored(survey(texts), "substrings-survey")
-    anchors = surveyed.where("n is not null").select("key", "start", "n", "minimizer", "sure")
+    anchors = surveyed.where("n is not null").select("key", "start", "n", "minimizer", "again", "sure")
     kept = stored(shared_anchors(anchors, hot), "substrings-anchors")
     met = by_ids(texts, kept.select("key"), "left_semi", "key").join(kept, "key")
     cut = stored(segments(met), "substrings-segments")

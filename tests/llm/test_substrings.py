@@ -22,7 +22,7 @@ def rows():
     out = [" ".join([word() for _ in range(draw.randint(0, 60))] + passage + [word() for _ in range(draw.randint(0, 60))]) for _ in range(40)]
     out += [" ".join([word()] + short[: draw.choice([34, 35])] + [word()]) for _ in range(10)]
     out += [" ".join(word() for _ in range(draw.randint(0, 120))) for _ in range(40)]
-    out += [out[0], out[0], "de " * 40, "de la " * 40, "x y z " * 11 + "x y", " ".join(f"u{i}" for i in range(35))]
+    out += [out[0], out[0], "de " * 40, "de la " * 40, "ab " * 36, "p q r " * 12 + "p q", "lone words " * 19, "x y z " * 11 + "x y", " ".join(f"u{i}" for i in range(35))]
     out.append("\t".join(passage[10:50]) + "\n\n" + " ".join(passage[:40]))
     out.append(" ".join(map(str, range(3000))) + " " + " ".join(map(str, range(100, 200))))
     return list(enumerate(out)) + ODD
@@ -58,7 +58,7 @@ def test_long_texts_are_handled_in_parts(make_docs, rows, monkeypatch):
     monkeypatch.setattr(S, "CHUNK_WORDS", 50)
     hashes = word_hashes([b" ".join(b"%d" % i for i in range(1000))])[0]
     anchors = S.anchors_of(hashes)
-    windows = [w for _, start, n in anchors for w in range(start, start + n)]
+    windows = [w for _, start, n, _ in anchors for w in range(start, start + n)]
     assert windows == list(range(1000 - S.WINDOW + 1))
 
 
@@ -67,7 +67,7 @@ def test_equal_windows_share_their_minimizer():
     words = draw.integers(0, 50, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     words[200:260] = words[20:80]
     by = {}
-    for m, start, n in S.anchors_of(words):
+    for m, start, n, _ in S.anchors_of(words):
         for w in range(start, start + n):
             by[w] = m
     assert all(by[20 + k] == by[200 + k] for k in range(60 - S.WINDOW + 1))
@@ -76,8 +76,8 @@ def test_equal_windows_share_their_minimizer():
 def test_repeated_words_make_few_anchors():
     hashes = word_hashes([b"x y " * 1000])[0]
     anchors = S.anchors_of(hashes)
-    assert [w for _, start, n in anchors for w in range(start, start + n)] == list(range(2000 - S.WINDOW + 1))
-    assert len(anchors) <= 2000 // S.REACH + 2 and max(n for _, _, n in anchors) == S.REACH
+    assert [w for _, start, n, _ in anchors for w in range(start, start + n)] == list(range(2000 - S.WINDOW + 1))
+    assert len(anchors) <= 2000 // S.REACH + 2 and max(n for _, _, n, _ in anchors) == S.REACH
 
 
 def test_fm_index_against_counting():
