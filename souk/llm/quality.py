@@ -78,48 +78,65 @@ def _count(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, "")).cast("long")
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    body = text_or_empty(text)
-    with_word = F.filter(F.split(body, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
-    counts = let(
-        words(body),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            repeated_words(w).alias("n_repeat_words"),
-        ),
-    )
-    added = {
-        "_counts": counts,
-        "n_symbols": _count(body, "[^#*$%&|<>]+"),
-        "n_dup_lines": let(with_word, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "_lines": let(with_word, F.size),
-        "_upper": _count(body, "[^\\p{Lu}]+"),
-        "_marks": _count(body, "[^!?~^_=+]+"),
-        "_digits": _count(body, "[^0-9]+"),
-    }
-    out = docs.withColumns(added).withColumns(
-        {x: F.col("_counts")[x] for x in ("n_words", "word_chars", "n_repeat_words")}
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def statistics(text: Column) -> Column:
+    """All statistics of a text as one struct, each computed once."""
+    with_word = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
+    counts = F.struct(
+        let(
+            words(text),
+            lambda w: F.struct(
+                F.size(w).cast("long").alias("n_words"),
+                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+                repeated_words(w).alias("n_repeat_words"),
+            ),
+        ).alias("w"),
+        let(
+            with_word,
+            lambda x: F.struct(F.size(x).alias("lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")),
+        ).alias("l"),
+        _count(text, "[^#*$%&|<>]+").alias("symbols"),
+        _count(text, "[^\\p{Lu}]+").alias("upper"),
+        _count(text, "[^!?~^_=+]+").alias("marks"),
+        _count(text, "[^0-9]+").alias("digits"),
     )
 
-    def share(part: str, of: str) -> Column:
-        return F.when(F.col(of) > 0, F.col(part) / F.col(of)).otherwise(F.lit(0.0))
+    def share(part: Column, of: Column) -> Column:
+        return F.when(of > 0, part / of).otherwise(F.lit(0.0))
+
+    def from_counts(c: Column) -> Column:
+        w, lines = c["w"], c["l"]
+        n, chars = w["n_words"], w["word_chars"]
+        return F.struct(
+            n.alias("n_words"),
+            chars.alias("word_chars"),
+            c["symbols"].alias("n_symbols"),
+            lines["dup"].alias("n_dup_lines"),
+            w["n_repeat_words"].alias("n_repeat_words"),
+            share(c["symbols"], n).alias("symbol_rate"),
+            share(w["n_repeat_words"], n).alias("repeat_rate"),
+            share(lines["dup"], lines["lines"]).alias("dup_line_rate"),
+            share(c["upper"], chars).alias("upper_rate"),
+            share(c["marks"], n).alias("mark_rate"),
+            share(c["digits"], chars).alias("digit_rate"),
+            share(chars, n).alias("word_length"),
+        )
 
-    return out.withColumns(
-        {
-            "symbol_rate": share("n_symbols", "n_words"),
-            "repeat_rate": share("n_repeat_words", "n_words"),
-            "dup_line_rate": share("n_dup_lines", "_lines"),
-            "upper_rate": share("_upper", "word_chars"),
-            "mark_rate": share("_marks", "n_words"),
-            "digit_rate": share("_digits", "word_chars"),
-            "word_length": share("word_chars", "n_words"),
-        }
-    ).drop("_counts", "_lines", "_upper", "_marks", "_digits")
+    return let(counts, from_counts)
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
+    added = dict.fromkeys([*COUNTS, *FEATURES])
+    out = docs.withColumn("_stats", statistics(text_or_empty(text)))
+    return out.withColumns({x: F.col("_stats")[x] for x in added}).drop("_stats")
+
+
+def base_failed(row: Column | None = None) -> Column:
+    """The base rule over columns, or over a struct of statistics."""
+    n, repeats = (F.col(x) if row is None else row[x] for x in ("n_words", "n_repeat_words"))
+    return (n < MIN_WORDS) | (100 * repeats > 50 * n)
 
 
 # -- learning --------------------------------------------------------------
@@ -131,8 +148,8 @@ class Condition:
     above: bool  # value >= threshold, else value < threshold
     threshold: float
 
-    def column(self) -> Column:
-        x = F.col(self.feature)
+    def column(self, row: Column | None = None) -> Column:
+        x = F.col(self.feature) if row is None else row[self.feature]
         return x >= F.lit(self.threshold) if self.above else x < F.lit(self.threshold)
 
     def __str__(self) -> str:
@@ -145,27 +162,29 @@ class DecisionList:
 
     rules: list[list[Condition]] = field(default_factory=list)
 
-    def column(self) -> Column:
+    def column(self, row: Column | None = None) -> Column:
         """Number of the first rule that holds (from 1), 0 if none does."""
         out = None
         for k, rule in enumerate(self.rules, 1):
-            out = F.when(_all(rule), k) if out is None else out.when(_all(rule), k)
+            holds = _all(rule, row)
+            out = F.when(holds, k) if out is None else out.when(holds, k)
         return F.lit(0) if out is None else out.otherwise(0)
 
     def __str__(self) -> str:
         return "\n".join(" and ".join(map(str, r)) + " -> reject" for r in self.rules)
 
 
-def _all(rule: list[Condition]) -> Column:
+def _all(rule: list[Condition], row: Column | None = None) -> Column:
     out = F.lit(True)
     for c in rule:
-        out = out & c.column()
+        out = out & c.column(row)
     return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
-    """Statistics of at most ``limit`` labelled documents that pass the base
-    rule: ``bad`` 0/1, ``growing`` (two thirds) or held out, the features."""
+    """Statistics of at most ``limit`` labelled documents: ``bad`` 0/1,
+    ``growing`` (two thirds) or held out, ``failed`` by the base rule, the
+    features."""
     chosen = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -174,11 +193,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLE
         .limit(limit)
     )
     few = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `limit` rows of two numbers
-    return (
-        with_statistics(few)
-        .where(~base_failed())
-        .select("bad", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) > 0).alias("growing"), *FEATURES)
-    )
+    growing = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) > 0
+    return with_statistics(few).select("bad", growing.alias("growing"), base_failed().alias("failed"), *FEATURES)
 
 
 def thresholds(sample: DataFrame) -> dict[str, list[float]]:
@@ -268,7 +284,7 @@ def learn(sample: DataFrame) -> DecisionList:
 
 
 def learn_rules(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DecisionList:
-    return learn(stored(labelled_sample(docs, labels, limit), "quality-sample"))
+    return learn(stored(labelled_sample(docs, labels, limit), "quality-sample").where("not failed"))
 
 
 def judge(docs: DataFrame, rules: DecisionList) -> DataFrame:
@@ -296,4 +312,6 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules reject go."""
     rules = learn_rules(docs, table(spark, sf_dir, "labels"))
-    return judge(docs, rules).where("kept").select(*DOCUMENT_COLUMNS)
+    passes = lambda row: ~base_failed(row) & (rules.column(row) == 0)
+    # one predicate that takes its statistics once
+    return docs.where(let(statistics(text_or_empty()), passes)).select(*DOCUMENT_COLUMNS)
