@@ -192,7 +192,12 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     met = own.withColumns(
         {
             "fits": F.coalesce(below, F.lit(False)) | F.coalesce(above, F.lit(False)),
-            "pivot": F.min(F.struct("place", "node", "n")).over(group),
+            # of plain columns, as anything made for a window is moved with the rows; ties fall alike
+            "pivot": F.struct(
+                F.min_by("node", "place").over(group).alias("node"),
+                F.min_by("n", "place").over(group).alias("n"),
+                F.min("place").over(group).alias("place"),
+            ),
             "more": F.col("hot") | (F.count("*").over(group) > 2),
         }
     )
