@@ -104,9 +104,9 @@ def q_customer_summary(spark, sf_dir):
     + ","
     + _CUSTOMER_SQL
     + """
-SELECT customer_id, transactions, total_items, round(total_spend, 2) AS total_spend,
-       round(avg_price_per_item, 2) AS avg_price_per_item, round(high_price_tx_ratio, 2) AS high_price_tx_ratio, bucket
-FROM bucketed""",
+SELECT customer_id, transactions, total_items, """
+    + ", ".join(f"CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(28,9)), 2) AS DOUBLE) AS {c}" for c in ("total_spend", "avg_price_per_item", "high_price_tx_ratio"))
+    + ", bucket FROM bucketed",
 )
 def q_customer_summary_money(spark, sf_dir):
     return K.customer_summary_money(K.customer_summary(silver(spark, sf_dir)))
