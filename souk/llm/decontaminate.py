@@ -6,9 +6,10 @@ item, so windows around shared shingles are all that can match; their
 fingerprints come from running sums of the word signs. Fingerprints within
 RADIUS bits of an item are found through RADIUS + 1 blocks of bits: two that
 differ in at most RADIUS bits agree in one block at least, so none is missed.
-Candidates are verified by the exact weighted similarity of their shingles:
-weight of the common ones over weight of all, a shingle weighing
-ln(1 + items / items that have it).
+A document with fewer words than an item is compared whole if the item's
+shingles in it weigh enough, whatever the fingerprints. Candidates are verified by the exact weighted similarity
+of their shingles: weight of the common ones over weight of all, a shingle
+weighing ln(1 + items / items that have it).
 
 Documents never meet each other: one pass over the table, no exchange. The
 items are cut into blocks of at most ITEMS_PER_BLOCK shingles by a hash, and a
@@ -18,13 +19,13 @@ more passes.
 Defined results: A-Z is lower-cased, words are split at ASCII white space;
 items with fewer than five words are one shingle; null, empty or blank items
 and documents match nothing; equal items are reported each; of overlapping
-windows that match one item the most alike, then the first, is reported.
+windows that match one item the most alike, then the first, is reported; a
+document with fewer words than an item is its one window, whole.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,6 +51,8 @@ class Item:
     n_words: int
     shingles: np.ndarray
     fingerprint: np.uint64
+    weights: np.ndarray | None = None
+    total: float = 0.0
 
 
 def signs(hashes: np.ndarray) -> np.ndarray:
@@ -62,6 +65,16 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
+#: Number of items; shingles that several items have, in order; how many have each.
+Counts = tuple[int, np.ndarray, np.ndarray]
+
+
+def counted(sets: list[np.ndarray]) -> Counts:
+    """Counts of these items alone."""
+    shingles, share = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+    return len(sets), shingles[share > 1], share[share > 1]
+
+
 class Index:
     """Items by number of words and, within one, by each block of bits."""
 
@@ -72,7 +85,9 @@ class Index:
             if len(h):
                 grams = distinct(roll(h, min(SHINGLE, len(h))))
                 self.items.append(Item(item_id, len(h), grams, fingerprints(signs(h).sum(axis=0)[None, :])[0]))
-        self.share = Counter(g for i in self.items for g in i.shingles.tolist())
+        n_items, self.repeated, share = counted([i.shingles for i in self.items])
+        self.alone = math.log1p(n_items)
+        self.weight_repeated = np.log1p(n_items / share)
         self.sizes = sorted({min(SHINGLE, i.n_words) for i in self.items})
         own: dict[int, tuple[list, list]] = {}
         for k, i in enumerate(self.items):
@@ -102,6 +117,29 @@ class Index:
                 tables.append((order, starts))
             self.by_length[n] = (ids, prints, tables)
 
+        self._rarest()
+
+    def _rarest(self) -> None:
+        """Per shingle size: the rarest shingles of the items, in order, with
+        the items. What an item has besides weighs too little to be alike."""
+        own: dict[int, tuple[list, list]] = {}
+        for k, i in enumerate(self.items):
+            i.weights = self.weights(i.shingles)
+            i.total = math.fsum(i.weights)
+            order = np.argsort(-i.weights, kind="stable")
+            rest = i.total - np.cumsum(i.weights[order])
+            first = order[: 1 + int((rest >= SIMILARITY * i.total * (1 - 1e-6)).sum())]
+            grams, items = own.setdefault(min(SHINGLE, i.n_words), ([], []))
+            grams.append(i.shingles[first])
+            items.append(np.full(len(first), k))
+        self.rarest: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size, (grams, items) in own.items():
+            g, k = np.concatenate(grams), np.concatenate(items)
+            order = np.argsort(g, kind="stable")
+            passes = np.zeros(1 << FILTER_BITS, bool)
+            passes[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            self.rarest[size] = (g[order], k[order], passes)
+
     def near(self, n_words: int, prints: np.ndarray) -> list[tuple[int, int, int]]:
         """``(window, item, distance)`` of all fingerprints within RADIUS."""
         ids, own, tables = self.by_length[n_words]
@@ -118,13 +156,45 @@ class Index:
         near = apart <= RADIUS
         return list(zip(window[near].tolist(), ids[item[near]].tolist(), apart[near].tolist()))
 
-    def weight(self, shingles: np.ndarray) -> float:
-        n = len(self.items)
-        return sum(math.log1p(n / self.share.get(g, 1)) for g in shingles.tolist())
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        if not len(self.repeated):
+            return np.full(len(shingles), self.alone)
+        at = np.minimum(np.searchsorted(self.repeated, shingles), len(self.repeated) - 1)
+        return np.where(self.repeated[at] == shingles, self.weight_repeated[at], self.alone)
 
     def similarity(self, window: np.ndarray, item: Item) -> float:
-        common = self.weight(np.intersect1d(window, item.shingles))
-        return common / self.weight(np.union1d(window, item.shingles))
+        own = np.isin(window, item.shingles, assume_unique=True)
+        weights = self.weights(window)
+        alike = math.fsum(weights[own]) / math.fsum([*weights[~own], *item.weights])
+        return alike
+
+    def sharing(self, grams: dict[int, np.ndarray], n_words: int) -> Iterator[tuple[int, np.ndarray]]:
+        """By item: the starts of windows where its shingles weigh enough."""
+        for size, (known, items, passes) in self.rarest.items():
+            g = grams[size]
+            maybe = np.flatnonzero(passes[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+            low, high = np.searchsorted(known, g[maybe], "left"), np.searchsorted(known, g[maybe], "right")
+            hit = np.repeat(maybe, high - low)
+            if not len(hit):
+                continue
+            place = np.arange(len(hit)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + np.repeat(low, high - low)
+            order = np.argsort(items[place], kind="stable")
+            hit, owner = hit[order], items[place][order]
+            edges = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
+            for a, b in zip(edges[:-1], edges[1:]):
+                item = self.items[owner[a]]
+                n = min(item.n_words, n_words)
+                wide = n - size + 1  # shingles of a window
+                first = np.maximum(hit[a:b] - wide + 1, 0)
+                last = np.minimum(hit[a:b], n_words - n)
+                for group in np.split(np.arange(b - a), np.flatnonzero(first[1:] > last[:-1] + 1) + 1):
+                    begin, end = int(first[group[0]]), int(last[group[-1]])
+                    part = g[begin : end + wide]
+                    at = np.minimum(np.searchsorted(item.shingles, part), len(item.shingles) - 1)
+                    sums = np.concatenate(([0.0], np.cumsum(np.where(item.shingles[at] == part, item.weights[at], 0.0))))
+                    enough = sums[wide:] - sums[: end - begin + 1] >= SIMILARITY * item.total * (1 - 1e-6)
+                    if enough.any():
+                        yield int(owner[a]), begin + np.flatnonzero(enough)
 
     def windows(self, grams: dict[int, np.ndarray], n_words: int) -> dict[int, np.ndarray]:
         """By item length: the starts of windows that share a shingle."""
@@ -152,25 +222,32 @@ class Index:
 
     def _matches(self, h: np.ndarray) -> list[tuple[int, int, int, int, float]]:
         grams = {size: roll(h, size) for size in self.sizes}
+        by_item: dict[int, set[int]] = {}
+        for k, starts in self.sharing(grams, len(h)):
+            if self.items[k].n_words > len(h):
+                by_item.setdefault(k, set()).update(starts.tolist())
         found = self.windows(grams, len(h))
-        if not found:
+        if not found and not by_item:
             return []
         sums = np.concatenate((np.zeros((1, 64), np.int32), np.cumsum(signs(h), axis=0, dtype=np.int32)))
-        out = []
         for n, starts in found.items():
-            size = min(SHINGLE, n)
-            by_item: dict[int, list] = {}
-            for w, k, apart in self.near(n, fingerprints(sums[starts + n] - sums[starts])):
-                at = int(starts[w])
-                alike = self.similarity(distinct(grams[size][at : at + n - size + 1]), self.items[k])
+            for w, k, _ in self.near(n, fingerprints(sums[starts + n] - sums[starts])):
+                by_item.setdefault(k, set()).add(int(starts[w]))
+        out = []
+        for k, starts in by_item.items():
+            item = self.items[k]
+            n, size = min(item.n_words, len(h)), min(SHINGLE, item.n_words)
+            hits = []
+            for at in starts:
+                alike = self.similarity(distinct(grams[size][at : at + n - size + 1]), item)
                 if alike >= SIMILARITY:
-                    by_item.setdefault(k, []).append((-alike, at, apart))
-            for k, hits in by_item.items():
-                taken: list[int] = []
-                for alike, at, apart in sorted(hits):
-                    if all(abs(at - t) >= n for t in taken):
-                        taken.append(at)
-                        out.append((self.items[k].item_id, at, n, apart, -alike))
+                    hits.append((-alike, at))
+            taken: list[int] = []
+            for alike, at in sorted(hits):
+                if all(abs(at - t) >= n for t in taken):
+                    taken.append(at)
+                    apart = int(np.bitwise_count(fingerprints((sums[at + n] - sums[at])[None, :])[0] ^ item.fingerprint))
+                    out.append((item.item_id, at, n, apart, -alike))
         return sorted(out)
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -98,3 +99,25 @@ def test_stage_and_empty_tables(spark, make_docs, sf_dir):
     assert D.find_leaks(make_docs(ODD), none).collect() == []
     assert D.without_leaks(make_docs(ODD), none).count() == len(ODD)
     assert D.find_leaks(make_docs(ODD).limit(0), none).collect() == []
+
+
+def plain(text, items, k):
+    """Best similarity of item ``k`` in a text, by weights over all items; a
+    shorter text is its one window."""
+    w, n, sets = words(text.lower()), len(words(items[k])), [shingles(x) for x in items]
+    weight = lambda s: math.fsum(math.log1p(len(items) / max(1, sum(g in x for x in sets))) for g in s)
+    windows = [shingles(" ".join(w[j : j + n])) for j in range(max(1, len(w) - n + 1))]
+    return max((weight(x & sets[k]) / weight(x | sets[k]) for x in windows if x), default=0.0)
+
+
+def found_in(spark, make_docs, texts, items, **kw):
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in D.find_leaks(make_docs(list(enumerate(texts))), table, **kw).collect()}
+
+
+def test_documents_shorter_than_the_item(spark, make_docs):
+    w = ITEM.split()
+    texts = [" ".join(x) for x in (w[1:], w[:-1], w[:-5], w[:-6], w[:2] + w[3:], w[:12] + w[13:], w[:4])]
+    got = found_in(spark, make_docs, texts, [ITEM])
+    assert {d for d, _ in got} == {d for d, t in enumerate(texts) if plain(t, [ITEM], 0) >= 0.75 - 1e-9}
+    assert got[0, 0].n_words == len(w) - 1 and got[0, 0].start == 0 and {0, 1, 2, 4} == {d for d, _ in got}
