@@ -5,9 +5,11 @@ every document. A window that is alike shares at least one shingle with the
 item, so windows around shared shingles are all that can match; their
 fingerprints come from running sums of the word signs. Fingerprints within
 RADIUS bits of an item are found through RADIUS + 1 blocks of bits: two that
-differ in at most RADIUS bits agree in one block at least, so none is missed.
-A document with fewer words than an item is compared whole if the item's
-shingles in it weigh enough, whatever the fingerprints. Candidates are verified by the exact weighted similarity
+differ in at most RADIUS bits agree in one block at least. Windows that are
+alike may be further apart, so the fingerprint is no condition: windows it
+misses are candidates too if the item's shingles in them weigh enough. Only
+items with one of their rarest shingles in the document can get there, which
+is how they are found. Candidates are verified by the exact weighted similarity
 of their shingles: weight of the common ones over weight of all, a shingle
 weighing ln(1 + items / items that have it).
 
@@ -224,8 +226,7 @@ class Index:
         grams = {size: roll(h, size) for size in self.sizes}
         by_item: dict[int, set[int]] = {}
         for k, starts in self.sharing(grams, len(h)):
-            if self.items[k].n_words > len(h):
-                by_item.setdefault(k, set()).update(starts.tolist())
+            by_item.setdefault(k, set()).update(starts.tolist())
         found = self.windows(grams, len(h))
         if not found and not by_item:
             return []

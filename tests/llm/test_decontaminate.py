@@ -121,3 +121,17 @@ def test_documents_shorter_than_the_item(spark, make_docs):
     got = found_in(spark, make_docs, texts, [ITEM])
     assert {d for d, _ in got} == {d for d, t in enumerate(texts) if plain(t, [ITEM], 0) >= 0.75 - 1e-9}
     assert got[0, 0].n_words == len(w) - 1 and got[0, 0].start == 0 and {0, 1, 2, 4} == {d for d, _ in got}
+
+
+def test_near_copies_beyond_the_radius(spark, make_docs):
+    draw = random.Random(7)
+    made = lambda n: [f"w{draw.randint(0, 999999)}" for _ in range(n)]
+    items, texts = [], []
+    for n, changed in [(11, 1), (18, 2), (25, 3), (39, 5), (60, 8), (200, 28)] * 12:
+        item = made(n)
+        items.append(" ".join(item))
+        texts.append(" ".join(made(30) + item[:-changed] + made(changed + 30)))
+    got = found_in(spark, make_docs, texts, items)
+    assert set(got) == {(k, k) for k in range(len(items))}
+    assert any(r.distance > D.RADIUS for r in got.values())
+    assert all(r.similarity >= 0.75 for r in got.values())
