@@ -16,13 +16,16 @@ weighing ln(1 + items / items that have it).
 Documents never meet each other: one pass over the table, no exchange. The
 items are cut into blocks of at most ITEMS_PER_BLOCK shingles by a hash, and a
 block (not the whole benchmark) is sent to the tasks; a larger benchmark takes
-more passes.
+more passes. Items that have a shingle are counted over the whole benchmark, so
+blocks don't change a weight; every block comes with the counts above one, as
+a window may hold shingles of items of other blocks.
 
 Defined results: A-Z is lower-cased, words are split at ASCII white space;
 items with fewer than five words are one shingle; null, empty or blank items
 and documents match nothing; equal items are reported each; of overlapping
 windows that match one item the most alike, then the first, is reported; a
-document with fewer words than an item is its one window, whole.
+document with fewer words than an item is its one window, whole; a similarity
+within TIE of SIMILARITY is equal to it.
 """
 
 from __future__ import annotations
@@ -33,14 +36,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import DOCUMENT_COLUMNS, table
-from .shingles import TOGETHER, distinct, mix, roll, word_hashes
+from .shingles import TOGETHER, distinct, mix, roll, signed, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.75
+TIE = 1e-9
 RADIUS = 12
 #: Shingles of the items that are sent to the tasks at a time (8 bytes each).
 ITEMS_PER_BLOCK = 2_000_000
@@ -67,7 +72,7 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-#: Number of items; shingles that several items have, in order; how many have each.
+#: Items of the whole benchmark; shingles that several items have, in order; how many have each.
 Counts = tuple[int, np.ndarray, np.ndarray]
 
 
@@ -80,14 +85,14 @@ def counted(sets: list[np.ndarray]) -> Counts:
 class Index:
     """Items by number of words and, within one, by each block of bits."""
 
-    def __init__(self, rows: list[tuple[int, bytes]]):
+    def __init__(self, rows: list[tuple[int, bytes]], counts: Counts | None = None):
         self.items: list[Item] = []
         for item_id, text in rows:
             h, _ = word_hashes([text], lower=True)
             if len(h):
                 grams = distinct(roll(h, min(SHINGLE, len(h))))
                 self.items.append(Item(item_id, len(h), grams, fingerprints(signs(h).sum(axis=0)[None, :])[0]))
-        n_items, self.repeated, share = counted([i.shingles for i in self.items])
+        n_items, self.repeated, share = counts or counted([i.shingles for i in self.items])
         self.alone = math.log1p(n_items)
         self.weight_repeated = np.log1p(n_items / share)
         self.sizes = sorted({min(SHINGLE, i.n_words) for i in self.items})
@@ -168,7 +173,7 @@ class Index:
         own = np.isin(window, item.shingles, assume_unique=True)
         weights = self.weights(window)
         alike = math.fsum(weights[own]) / math.fsum([*weights[~own], *item.weights])
-        return alike
+        return SIMILARITY if abs(alike - SIMILARITY) <= TIE else alike
 
     def sharing(self, grams: dict[int, np.ndarray], n_words: int) -> Iterator[tuple[int, np.ndarray]]:
         """By item: the starts of windows where its shingles weigh enough."""
@@ -265,6 +270,27 @@ def item_blocks(benchmark: DataFrame, per_block: int) -> list:
     return out
 
 
+def item_counts(benchmark: DataFrame) -> Broadcast:
+    """``Counts`` of the whole benchmark, as a broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                h, _ = word_hashes([text], lower=True)
+                if len(h):  # the null counts the item
+                    own = signed(distinct(roll(h, min(SHINGLE, len(h))))).tolist()
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *own], pa.int64())], names=["shingle"])
+
+    texts = benchmark.where("text is not null and item_id is not null").select(F.col("text").cast("binary").alias("text"))
+    counts = texts.mapInArrow(run, "shingle long").groupBy("shingle").count().where("shingle is null or count > 1").toArrow()
+    shingles, share = counts.column("shingle").combine_chunks(), counts.column("count").to_numpy()
+    none = shingles.is_null().to_numpy(zero_copy_only=False)
+    own = shingles.drop_null().to_numpy().view(np.uint64)
+    order = np.argsort(own)
+    whole = (int(share[none].sum()), own[order], share[~none][order])
+    return benchmark.sparkSession.sparkContext.broadcast(whole)
+
+
 MATCHES = "doc_id long, item_id long, start int, n_words int, distance int, similarity double"
 
 
@@ -275,10 +301,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, per_block: int = ITEMS_PER
         [("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()), ("distance", pa.int32()), ("similarity", pa.float64())]
     )
     out = None
+    counts = item_counts(benchmark)
     for shared in item_blocks(benchmark, per_block):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
+            index = Index(shared.value, counts.value)
             for batch in batches:
                 rows = [
                     (doc_id, *m)
@@ -296,10 +323,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, per_block: int = ITEMS_PER
 def without_leaks(docs: DataFrame, benchmark: DataFrame, per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     at = docs.columns.index("text")
+    counts = item_counts(benchmark)
     for shared in item_blocks(benchmark, per_block):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
+            index = Index(shared.value, counts.value)
             for batch in batches:
                 texts = [t and t.encode() for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array([not found for found in index.matches(texts)], pa.bool_()))

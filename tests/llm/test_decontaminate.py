@@ -135,3 +135,25 @@ def test_near_copies_beyond_the_radius(spark, make_docs):
     assert set(got) == {(k, k) for k in range(len(items))}
     assert any(r.distance > D.RADIUS for r in got.values())
     assert all(r.similarity >= 0.75 for r in got.values())
+
+
+def test_weights_come_from_all_items(spark, make_docs):
+    head = "which of the following statements about the topic is the right one here".split()
+    items = [" ".join(head + [f"a{k}x{j}" for j in range(5)]) for k in range(40)]
+    texts = [" ".join(x.split()[:-1] + ["other"]) for x in items[:10]] + [" ".join(x.split()[1:] + ["more"]) for x in items[10:20]]
+    whole = found_in(spark, make_docs, texts, items)
+    parts = found_in(spark, make_docs, texts, items, per_block=400)
+    size = sum(map(len, items))
+    assert size / 2 / 400 > 3
+    values = lambda got: {k: (r.start, r.similarity) for k, r in got.items()}
+    assert values(whole) == values(parts)
+    assert set(whole) == {(d, i) for d, t in enumerate(texts) for i in range(len(items)) if plain(t, items, i) >= 0.75 - 1e-9}
+
+
+def test_ties_are_alike(spark, make_docs):
+    for n in (17, 33, 38, 40):
+        items = [" ".join(f"i{k}w{j}" for j in range(11)) for k in range(n)]
+        texts = [" ".join(x.split()[:-1] + ["other"]) for x in items]
+        got = found_in(spark, make_docs, texts, items)
+        assert set(got) == {(k, k) for k in range(n)}
+        assert all(r.similarity == 0.75 for r in got.values())
