@@ -313,21 +313,25 @@ def training_runs(docs: DataFrame, limit: int = MAX_RUNS) -> list[tuple[list[lis
 
 
 def spans_of(text: str, field: Field) -> list[Span]:
-    """Base spans and the field's, by start and kind. A run tagged secret is
-    left out where a base span covers a part of it already."""
+    """Base spans and the field's, by start and kind. Tokens tagged secret are
+    left out where a base span covers a part of them already; those beside them
+    in the run stay."""
     base = base_spans(text)
     runs = runs_of_candidates(text) if field.emit is not None else []
     file = file_features(text, len(runs)) if runs else []
     added = []
     for run in runs:
-        if any(s[0] < run[-1][1] and run[0][0] < s[2] for s in base):
-            continue
         tags = field.viterbi([token_features(text, a, b, file) for a, b in run])
+        known = [s for s in base if s[0] < run[-1][1] and run[0][0] < s[2]]
+        joins = False  # the token before is in the last span
         for (a, b), tag in zip(run, tags):
-            if tag == BEGIN:
-                added.append((a, KINDS.index("crf"), b))
-            elif tag == INSIDE:
+            if tag == OUTSIDE or any(s[0] < b and a < s[2] for s in known):
+                joins = False
+            elif tag == INSIDE and joins:
                 added[-1] = (added[-1][0], added[-1][1], b)
+            else:
+                added.append((a, KINDS.index("crf"), b))
+                joins = True
     return sorted(base + added)
 
 
