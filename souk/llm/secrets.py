@@ -2,17 +2,19 @@
 
 The base patterns give exact spans. The field tags tokens as secret begin,
 inside or outside from their shape, the neighbouring words and features of the
-whole file, and is decoded by Viterbi. Only tokens that hold a digit or change
-from lower to upper case inside may be secret; any other token is outside by
-definition of the model. So the chain falls into independent runs of such
-tokens and decoding the runs is exact for the whole text.
-
-The field is trained here: from all documents, at most ``MAX_RUNS`` runs that
-touch a base span and as many that don't, chosen by a hash, are its labelled
-rows. Their labels are the base spans. Each secret run is also shown with its
-value drawn anew from other alphabets, and any run is shown without its
-neighbours half of the time, so that secrets of other makes and in other
-places are learned as well.
+whole file, and is decoded by Viterbi. Every token of a text is tagged, ordinary
+words too, and a text is one chain, so a secret may run over words and lines.
+Where no token can gain by leaving outside, whatever its neighbours are tagged,
+all are outside without decoding; that is a bound, not a model of its own.
+
+The field is trained here: pieces of the chains of all documents are its
+labelled rows, at most ``MAX_RUNS`` with a base span, as many without one that
+hold a token of mixed signs or a word that names secrets, and as many of
+ordinary words, chosen by a hash. Their labels are the base spans (of assignments
+the value). Each secret piece is also shown with its value drawn anew from other
+alphabets and over several words, and pieces are shown without their neighbours
+half of the time, so that secrets of other makes and in other places are
+learned as well.
 
 Spark deals out the documents and nothing but the sample is exchanged.
 Defined results: a null or empty text has no spans; with no base span in the
@@ -27,8 +29,11 @@ import random
 import re
 import string
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate, islice, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -50,22 +55,29 @@ ASSIGN_KEYS = ("passw", "secret", "token", "apikey", "api_key")
 #: Of 24 hex digits in a row, every third one makes a row of 8.
 EVERY_THIRD = re.compile(r"[0-9a-f]{8}")
 
-#: Labelled runs of either class used for training.
+#: Labelled pieces of each class used for training.
 MAX_RUNS = 4_000
 FEATURES = 1 << 12
 EPOCHS, RATE, DECAY = 120, 0.3, 1e-3
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 
-TOKEN_CHAR = re.compile(r"[0-9A-Za-z_+/.\-]")
 TURN = re.compile(r"[0-9]|[a-z][A-Z]")
-RUN_AHEAD = re.compile(r"[0-9A-Za-z_+/.\-]*")
-NEIGHBOUR = re.compile(r"[0-9A-Za-z_+/.\-]+|[^\s0-9A-Za-z_+/.\-]")
-#: Alphabets of the values that training also shows.
+#: What a text is made of: tokens, other signs, line ends.
+ITEM = re.compile(r"[0-9A-Za-z_+/.\-]+|[^\s0-9A-Za-z_+/.\-]|\n")
+TOKEN = re.compile(r"[0-9A-Za-z_+/.\-]")
+#: Alphabets of the values that training also shows; of letters alone only in their place.
 ALPHABETS = (string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, string.ascii_letters + string.digits + "+/", string.hexdigits[:16])
+LETTERS = (string.ascii_lowercase, string.ascii_uppercase)
 #: Words that often name a secret.
 TRIGGER = re.compile(r"pass|pwd|secret|token|key|cred|auth|bearer|private|signature|session", re.IGNORECASE)
+#: From this length on, tokens with a digit or a turn make a file dense.
 LEAST_TOKEN = 8
+#: Items seen before and after a token; tokens of a piece, and beside a secret in one.
+BEFORE, AFTER = 4, 2
+PIECE, BESIDE = 8, 4
+#: Words whose scores a task keeps.
+KNOWN_WORDS = 1 << 18
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -83,33 +95,12 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-def runs_of_candidates(text: str) -> list[list[tuple[int, int]]]:
-    """Tokens that may be secret, grouped when nothing but one sign that isn't
-    a letter or white space stands between them."""
-    tokens: list[tuple[int, int]] = []
-    done = 0
-    for m in TURN.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and TOKEN_CHAR.match(text, start - 1):
-            start -= 1
-        done = RUN_AHEAD.match(text, m.start()).end()
-        if done - start >= LEAST_TOKEN:
-            tokens.append((start, done))
-    runs: list[list[tuple[int, int]]] = []
-    for token in tokens:
-        if runs and token[0] - runs[-1][-1][1] == 1 and not text[token[0] - 1].isspace():
-            runs[-1].append(token)
-        else:
-            runs.append([token])
-    return runs
-
-
+@lru_cache(1 << 14)
 def _slot(name: str) -> int:
     return zlib.crc32(name.encode()) % FEATURES
 
 
+@lru_cache(1 << 16)
 def _kind(word: str) -> str:
     if word.isalpha():
         return "upper" if word.isupper() and len(word) > 1 else "word"
@@ -123,9 +114,12 @@ def _entropy(word: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in map(word.count, set(word)))
 
 
-def token_features(text: str, start: int, end: int, file: list[str], context: bool = True) -> list[int]:
-    """Feature numbers of a token: shape, neighbours, file."""
-    word = text[start:end]
+def _mixed(word: str) -> bool:
+    return len(word) >= LEAST_TOKEN and TURN.search(word) is not None
+
+
+@lru_cache(1 << 16)
+def shape_features(word: str) -> tuple[int, ...]:
     n = len(word)
     lower, upper = sum("a" <= c <= "z" for c in word), sum("A" <= c <= "Z" for c in word)
     digits = sum("0" <= c <= "9" for c in word)
@@ -145,18 +139,23 @@ def token_features(text: str, start: int, end: int, file: list[str], context: bo
         f"dots {min(3, word.count('.'))} {min(2, word.count('-'))} {min(2, word.count('/'))}",
         f"head {'AKIA' if word.startswith('AKIA') else makeup if word[:2].isalpha() else 'other'}",
     ]
+    return tuple(map(_slot, out))
+
+
+def token_features(items: list[str], at: int, file: list[str], context: bool = True) -> list[int]:
+    """Feature numbers of the token ``items[at]``: shape, neighbours, file."""
+    out = []
     if context:
-        before = NEIGHBOUR.findall(text[max(0, start - 60) : start])[-4:][::-1]
-        after = NEIGHBOUR.findall(text[end : end + 30])[:2]
+        before = items[max(0, at - BEFORE) : at][::-1]
         for k, w in enumerate(before):
             out.append(f"before {k} {_kind(w)}")
             if TRIGGER.search(w):
                 out += [f"trigger {k}", "trigger"]
-        out += [f"after {k} {_kind(w)}" for k, w in enumerate(after)]
+        out += [f"after {k} {_kind(w)}" for k, w in enumerate(items[at + 1 : at + 1 + AFTER])]
         out.append("joint " + " ".join(map(_kind, before[:2])))
-        if TRIGGER.search(word):
+        if TRIGGER.search(items[at]):
             out.append("trigger inside")
-    return [_slot(x) for x in out + file]
+    return [*shape_features(items[at]), *map(_slot, out), *map(_slot, file)]
 
 
 def file_features(text: str, candidates: int) -> list[str]:
@@ -164,10 +163,19 @@ def file_features(text: str, candidates: int) -> list[str]:
     return [f"file dense {min(4, dense)}", f"file code {'{' in text or ';' in text}", f"file lines {min(4, text.count(chr(10)) // 8)}"]
 
 
+def value_spans(text: str) -> list[Span]:
+    """Base spans, of assignments the value alone."""
+    return sorted((ASSIGN.match(text, a).start(2) if k == 0 else a, k, b) for a, k, b in base_spans(text))
+
+
 def labels_of(run: list[tuple[int, int]], spans: list[Span]) -> list[int]:
     out: list[int] = []
+    done = 0
     for start, end in run:
-        hit = next((s for s in spans if s[0] < end and start < s[2]), None)
+        while done < len(spans) and spans[done][2] <= start:
+            done += 1
+        near = takewhile(lambda s: s[0] < end, islice(spans, done, None))
+        hit = next((s for s in near if start < s[2]), None)
         out.append(OUTSIDE if hit is None else INSIDE if out and out[-1] and start > hit[0] and run[len(out) - 1][0] >= hit[0] else BEGIN)
     return out
 
@@ -186,22 +194,118 @@ class Field:
         return np.array([self.emit[f].sum(axis=0) for f in features])
 
     def viterbi(self, features: list[list[int]]) -> list[int]:
-        """The most likely tags of one run."""
+        """The most likely tags of one chain."""
         if self.emit is None:
             return [OUTSIDE] * len(features)
-        emit = self.scores(features)
-        best = emit[0].copy()
-        best[INSIDE] = -np.inf
+        return self.best(self.scores(features))
+
+    def best(self, emit: np.ndarray) -> list[int]:
+        (oo, ob, _), (bo, bb, bi), (io, ib, ii) = self.step.tolist()
+        rows = iter(emit.tolist())
+        o, b, _ = next(rows)
+        i = -math.inf
         back = []
-        for e in emit[1:]:
-            all_ways = best[:, None] + self.step
-            back.append(all_ways.argmax(axis=0))
-            best = all_ways.max(axis=0) + e
-        tags = [int(best.argmax())]
-        for b in reversed(back):
-            tags.append(int(b[tags[-1]]))
+        for eo, eb, ei in rows:
+            o_o, b_o, i_o = o + oo, b + bo, i + io
+            o_b, b_b, i_b = o + ob, b + bb, i + ib
+            b_i, i_i = b + bi, i + ii
+            to_o, o = (0, o_o) if o_o >= b_o and o_o >= i_o else (1, b_o) if b_o >= i_o else (2, i_o)
+            to_b, b = (0, o_b) if o_b >= b_b and o_b >= i_b else (1, b_b) if b_b >= i_b else (2, i_b)
+            to_i, i = (1, b_i) if b_i >= i_i else (2, i_i)
+            back.append((to_o, to_b, to_i))
+            o, b, i = o + eo, b + eb, i + ei
+        tags = [OUTSIDE if o >= b and o >= i else BEGIN if b >= i else INSIDE]
+        for ways in reversed(back):
+            tags.append(ways[tags[-1]])
         return tags[::-1]
 
+    def all_outside(self, emit: np.ndarray) -> bool:
+        """Whether no tags can score more than outside everywhere: a token that
+        leaves it gains at most its scores, the best step there and the best
+        step back."""
+        step = self.step - self.step[OUTSIDE, OUTSIDE]
+        gain = emit[:, [BEGIN, INSIDE]].max(axis=1) - emit[:, OUTSIDE] + max(0.0, *step[[BEGIN, INSIDE], OUTSIDE])
+        gain[1:] += step[:, [BEGIN, INSIDE]].max()
+        return bool((gain < -1e-9).all())
+
+
+class Scorer:
+    """Scores of all tokens of a text at a time; words keep theirs."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.weight = lambda name: field.emit[_slot(name)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.kinds: dict[str, int] = {}
+        self.joints: dict[tuple[int, int], np.ndarray] = {}
+        self.shape, self.kind, self.flags = np.zeros((1024, 3)), np.zeros(1024, np.int64), np.zeros((1024, 3), bool)
+        self.beside = np.zeros((0, BEFORE + AFTER, 3))
+
+    def learn(self, words: list[str]) -> None:
+        room = len(self.number) + len(words)
+        if room > len(self.kind):
+            grown = lambda x: np.concatenate((x, np.zeros((room, *x.shape[1:]), x.dtype)))
+            self.shape, self.kind, self.flags = grown(self.shape), grown(self.kind), grown(self.flags)
+        for w in words:
+            at = len(self.number)
+            token, trigger = TOKEN.match(w) is not None, TRIGGER.search(w) is not None
+            score = self.field.emit[list(shape_features(w))].sum(axis=0) if token else np.zeros(3)
+            self.shape[at] = score + self.weight("trigger inside") if token and trigger else score
+            self.kind[at] = self.kinds.setdefault(_kind(w), len(self.kinds))
+            self.flags[at] = token, trigger, token and _mixed(w)
+            self.number[w] = at
+        more = list(self.kinds)[len(self.beside) :]
+        names = [f"before {k} " for k in range(BEFORE)] + [f"after {k} " for k in range(AFTER)]
+        if more:
+            self.beside = np.concatenate((self.beside, [[self.weight(n + x) for n in names] for x in more]))
+
+    def scores(self, text: str, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the tokens, and which items these are."""
+        if len(self.number) > KNOWN_WORDS:
+            self.forget()
+        new = [w for w in dict.fromkeys(items) if w not in self.number]
+        if new:
+            self.learn(new)
+        ids = np.fromiter(map(self.number.__getitem__, items), np.int64, len(items))
+        kind, flags = self.kind[ids], self.flags[ids]
+        out = self.shape[ids]
+        any_trigger = flags[:, 1].any()
+        for k in range(min(BEFORE, len(ids) - 1)):
+            out[k + 1 :] += self.beside[kind[: -k - 1], k]
+            if any_trigger:
+                out[k + 1 :] += flags[: -k - 1, 1, None] * (self.weight(f"trigger {k}") + self.weight("trigger"))
+        for k in range(min(AFTER, len(ids) - 1)):
+            out[: -k - 1] += self.beside[kind[k + 1 :], BEFORE + k]
+        wide = len(self.kinds) + 1
+        first = np.concatenate(([0], kind[:-1] + 1))
+        second = np.concatenate(([0, 0], kind[:-2] + 1))[: len(ids)]
+        pairs, place = np.unique(first * wide + second, return_inverse=True)
+        out += np.array([self.joint(p // wide, p % wide) for p in pairs.tolist()])[place]
+        for name in file_features(text, int(flags[:, 2].sum())):
+            out += self.weight(name)
+        tokens = np.flatnonzero(flags[:, 0])
+        return out[tokens], tokens
+
+    def joint(self, first: int, second: int) -> np.ndarray:
+        if (first, second) not in self.joints:
+            names = list(self.kinds)
+            self.joints[first, second] = self.weight("joint " + " ".join(names[k - 1] for k in (first, second) if k))
+        return self.joints[first, second]
+
+    def secrets(self, text: str) -> list[tuple[int, int, int]]:
+        """``(start, end, tag)`` of the tokens of a text that are not outside."""
+        items = ITEM.findall(text)
+        if self.field.emit is None or not items:
+            return []
+        emit, tokens = self.scores(text, items)
+        if not len(tokens) or self.field.all_outside(emit):
+            return []
+        tags = dict(zip(tokens.tolist(), self.field.best(emit)))
+        return [(m.start(), m.end(), tags[k]) for k, m in enumerate(ITEM.finditer(text)) if tags.get(k)]
+
 
 #: Inside follows begin or inside only.
 FORBIDDEN = np.zeros((3, 3))
@@ -243,7 +347,8 @@ def train(runs: list[tuple[list[list[int]], list[int]]]) -> Field:
             z = np.logaddexp.reduce(fwd[:, -1], axis=1)
             p = np.exp(fwd + bwd - z[:, None, None])
             error = np.eye(3)[tags] - p
-            np.add.at(ge, ids.reshape(-1), np.repeat(error.reshape(-1, 3), width, axis=0) / total)
+            for tag in range(3):
+                ge[:, tag] += np.bincount(ids.reshape(-1), np.repeat(error[:, :, tag].reshape(-1), width), FEATURES + 1) / total
             for j in range(1, length):
                 pair = np.exp(fwd[:, j - 1, :, None] + t + (bwd[:, j] + e[:, j])[:, None, :] - z[:, None, None])
                 gs += (np.eye(3)[tags[:, j - 1]][:, :, None] * np.eye(3)[tags[:, j]][:, None, :] - pair).sum(axis=0) / total
@@ -257,81 +362,141 @@ def train(runs: list[tuple[list[list[int]], list[int]]]) -> Field:
 
 # -- on tables -------------------------------------------------------------
 
-RUN_SCHEMA = "pick long, secret boolean, features array<array<int>>, tags array<int>"
-
-
-def shown(text: str, run: list[tuple[int, int]], tags: list[int], file: list[str]) -> list[dict]:
-    """A run as labelled rows; a secret one also with values drawn anew."""
-    words = "\n".join(text[a:b] for a, b in run)
-    around = text[max(0, run[0][0] - 80) : run[-1][1] + 40]
-    pick = zlib.crc32(words.encode()) << 31 | zlib.crc32(around.encode()) >> 1
-    row = lambda t, k, context: {
-        "pick": pick ^ k,
-        "secret": any(tags),
-        "features": [token_features(t, a, b, file, context) for a, b in run],
-        "tags": tags,
-    }
-    draw = random.Random(pick)
-    out = [row(text, 0, any(tags) or draw.random() < 0.5)]
-    if any(tags):
-        for k, alphabet in enumerate(ALPHABETS, 1):
-            made = list(text)
-            for (a, b), tag in zip(run, tags):
-                if tag:
-                    made[a:b] = draw.choices(alphabet, k=b - a)
-            out.append(row("".join(made), k, draw.random() < 0.5))
+SECRET, MIXED, PLAIN = 0, 1, 2
+PIECE_SCHEMA = "pick long, kind int, items array<string>, first int, tags array<int>, file array<string>, context boolean"
+ARROW_PIECE = pa.schema(
+    [
+        ("pick", pa.int64()),
+        ("kind", pa.int32()),
+        ("items", pa.list_(pa.string())),
+        ("first", pa.int32()),
+        ("tags", pa.list_(pa.int32())),
+        ("file", pa.list_(pa.string())),
+        ("context", pa.bool_()),
+    ]
+)
+
+
+class Sample:
+    """Pieces of texts, of each kind the ``limit`` with the smallest picks."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.kept: list[dict[int, tuple]] = [{}, {}, {}]
+        self.most = [math.inf] * 3
+
+    def add(self, kind: int, pick: int, row: tuple) -> None:
+        kept = self.kept[kind]
+        kept[pick] = min(row, kept.get(pick, row))
+        if len(kept) >= 2 * self.limit + 1000:
+            self.kept[kind] = dict(sorted(kept.items())[: self.limit])
+            self.most[kind] = max(self.kept[kind], default=-1)
+
+    def rows(self) -> list[tuple]:
+        return [(pick, kind, *row) for kind in range(3) for pick, row in sorted(self.kept[kind].items())[: self.limit]]
+
+
+def add_pieces(text: str, sample: Sample) -> None:
+    items = ITEM.findall(text)
+    places = [k for k, w in enumerate(items) if TOKEN.match(w)]
+    spans = value_spans(text)
+    file = file_features(text, sum(_mixed(w) for w in items))
+    tags = [OUTSIDE] * len(places)
+    if spans:
+        matches = [m.span() for m in ITEM.finditer(text)]
+        tags = labels_of([matches[k] for k in places], spans)
+    cuts = []
+    for k in (k for k, tag in enumerate(tags) if tag == BEGIN):
+        end = k + 1
+        while end < len(tags) and tags[end] == INSIDE:
+            end += 1
+        begin, end = max(0, k - BESIDE), min(len(tags), end + BESIDE)
+        while begin < k and tags[begin] == INSIDE:  # a piece doesn't begin inside
+            begin += 1
+        cuts.append((begin, end))
+    cuts += [(k, min(k + PIECE, len(tags))) for k in range(0, len(tags), PIECE) if not any(tags[k : k + PIECE])]
+    for begin, end in cuts:
+        first, last = places[begin], places[end - 1]
+        low = max(0, first - BEFORE)
+        own = items[low : last + 1 + AFTER]
+        words = "\n".join(own[first - low : last + 1 - low])
+        pick = zlib.crc32(words.encode()) << 31 | zlib.crc32("\n".join(own).encode()) >> 1
+        secret = any(tags[begin:end])
+        kind = SECRET if secret else MIXED if TRIGGER.search(words) or any(map(_mixed, own[first - low : last + 1 - low])) else PLAIN
+        if pick >> 3 > sample.most[kind] // 8:
+            continue
+        draw = random.Random(pick)
+        sample.add(kind, pick, (own, first - low, tags[begin:end], file, kind != MIXED or draw.random() < 0.5))
+        if secret:
+            for k, row in enumerate(drawn_anew(draw, own, first - low, tags[begin:end]), 1):
+                sample.add(kind, pick ^ k, (row[0], first - low, row[1], file, k > len(ALPHABETS) or draw.random() < 0.5))
+
+
+def drawn_anew(draw: random.Random, items: list[str], first: int, tags: list[int]) -> list[tuple[list[str], list[int]]]:
+    """A piece with other values in place of its secrets: from each alphabet,
+    then over several words."""
+    out = []
+    for alphabet in (*ALPHABETS, *LETTERS, None):
+        made, own, left = list(items[:first]), [], iter(tags)
+        for w in items[first:]:
+            tag = next(left, None) if TOKEN.match(w) else None
+            if not tag:
+                made.append(w)
+                own += [tag] if tag is not None else []
+            elif alphabet is None:
+                parts = ["".join(draw.choices(ALPHABETS[0], k=draw.randint(8, 24))) for _ in range(draw.randint(2, 4))]
+                made += parts
+                own += [tag] + [INSIDE] * (len(parts) - 1)
+            else:
+                made.append("".join(draw.choices(alphabet, k=draw.choice((len(w), draw.randint(8, 48))))))
+                own.append(tag)
+        out.append((made, own))
     return out
 
 
 def training_runs(docs: DataFrame, limit: int = MAX_RUNS) -> list[tuple[list[list[int]], list[int]]]:
-    """At most ``limit`` runs of either class, over all documents. Equal runs
+    """At most ``limit`` pieces of each kind, over all documents. Equal pieces
     count once, so copies of a text don't fill the sample."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = Sample(limit)
         for batch in batches:
-            rows = []
             for text in batch.column(0).to_pylist():
-                runs = runs_of_candidates(text)
-                spans = base_spans(text) if runs else []
-                file = file_features(text, len(runs))
-                for run in runs:
-                    rows += shown(text, run, labels_of(run, spans), file)
-            for k in range(0, len(rows), 5000):
-                yield pa.RecordBatch.from_pylist(rows[k : k + 5000], schema=arrow)
-
-    arrow = pa.schema(
-        [("pick", pa.int64()), ("secret", pa.bool_()), ("features", pa.list_(pa.list_(pa.int32()))), ("tags", pa.list_(pa.int32()))]
-    )
-    labelled = docs.select(text_or_empty().alias("text")).mapInArrow(label, RUN_SCHEMA)
-    # two bounded heads; each task keeps `limit` rows of its own
-    once = stored(labelled.groupBy("pick", "secret").agg(F.min(F.struct("features", "tags")).alias("run")), "secret-runs")
+                add_pieces(text, sample)
+        rows = sample.rows()
+        for k in range(0, len(rows), 5000):
+            columns = zip(*rows[k : k + 5000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, ARROW_PIECE)], schema=ARROW_PIECE)
+
+    labelled = docs.select(text_or_empty().alias("text")).mapInArrow(label, PIECE_SCHEMA)
+    # three bounded heads; each task keeps `limit` rows of its own
+    piece = F.min(F.struct("items", "first", "tags", "file", "context")).alias("piece")
+    once = stored(labelled.groupBy("pick", "kind").agg(piece), "secret-runs")
     out = []
-    for secret in (True, False):
-        rows = once.where(F.col("secret") == secret).orderBy("pick").limit(limit).select("run.*").collect()
-        out += [([list(f) for f in r.features], list(r.tags)) for r in rows]
+    for kind in (SECRET, MIXED, PLAIN):
+        for r in once.where(F.col("kind") == kind).orderBy("pick").limit(limit).select("piece.*").collect():
+            at = [k for k in range(r["first"], len(r["items"])) if TOKEN.match(r["items"][k])][: len(r.tags)]
+            out.append(([token_features(r["items"], k, r.file, r.context) for k in at], list(r.tags)))
     return out
 
 
-def spans_of(text: str, field: Field) -> list[Span]:
+def spans_of(text: str, field: Field | Scorer) -> list[Span]:
     """Base spans and the field's, by start and kind. Tokens tagged secret are
     left out where a base span covers a part of them already; those beside them
-    in the run stay."""
+    stay."""
     base = base_spans(text)
-    runs = runs_of_candidates(text) if field.emit is not None else []
-    file = file_features(text, len(runs)) if runs else []
+    scorer = field if isinstance(field, Scorer) else Scorer(field)
+    reach = list(accumulate((s[2] for s in base), max, initial=0))
     added = []
-    for run in runs:
-        tags = field.viterbi([token_features(text, a, b, file) for a, b in run])
-        known = [s for s in base if s[0] < run[-1][1] and run[0][0] < s[2]]
-        joins = False  # the token before is in the last span
-        for (a, b), tag in zip(run, tags):
-            if tag == OUTSIDE or any(s[0] < b and a < s[2] for s in known):
-                joins = False
-            elif tag == INSIDE and joins:
-                added[-1] = (added[-1][0], added[-1][1], b)
-            else:
-                added.append((a, KINDS.index("crf"), b))
-                joins = True
+    joins = False  # the token before is in the last span
+    for a, b, tag in scorer.secrets(text):
+        if reach[bisect_left(base, (b,))] > a:
+            joins = False
+        elif tag == INSIDE and joins:
+            added[-1] = (added[-1][0], added[-1][1], b)
+        else:
+            added.append((a, KINDS.index("crf"), b))
+            joins = True
     return sorted(base + added)
 
 
@@ -348,7 +513,7 @@ def with_spans(docs: DataFrame, field: Field, redact: str | None = None) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(field)  # FEATURES x 3 numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Scorer(shared.value)
         at = names.index("text")
         for batch in batches:
             texts = batch.column(at).to_pylist()

@@ -95,3 +95,42 @@ def test_second_secret_beside_a_base_span(trained):
         assert [x for x in spans if x[1] < 3] == base and base
         assert [text[a:b] for a, k, b in spans if k == 3] == [second]
         assert second not in S._redacted(text, spans, "#")
+
+
+def test_all_tokens_are_scored_and_tagged(trained):
+    _, field = trained
+    draw = random.Random(8)
+    bits = ["word", "pwd", ":", "=", "Other", "UPPER", "é", "🙂", "\n", " ", " ", "a", "x9", "q8ZkR2mW4xT7bN1vC5yL9pH3", "12", "deadbeef00", '"', "token", "mail.a@b.c"]
+    scorer, seen = S.Scorer(field), set()
+    for _ in range(1500):
+        text = " ".join(draw.choice(bits) for _ in range(draw.randint(0, 20)))
+        items = S.ITEM.findall(text)
+        places = [k for k, w in enumerate(items) if S.TOKEN.match(w)]
+        if not places:
+            assert scorer.secrets(text) == []
+            continue
+        file = S.file_features(text, sum(map(S._mixed, items)))
+        features = [S.token_features(items, k, file) for k in places]
+        emit, tokens = scorer.scores(text, items)
+        assert tokens.tolist() == places
+        assert abs(emit - field.scores(features)).max() < 1e-9
+        tags = field.best(emit)
+        assert not field.all_outside(emit) or not any(tags)
+        where = [m.span() for m in S.ITEM.finditer(text)]
+        assert scorer.secrets(text) == [(*where[k], tag) for k, tag in zip(places, tags) if tag]
+        seen |= {tuple(tags), field.all_outside(emit)}
+    assert {True, False} <= seen
+
+
+def test_secrets_of_letters_and_of_several_words(make_docs):
+    draw = random.Random(9)
+    word = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    prose = lambda n: " ".join(word(draw.randint(2, 11)) for _ in range(n))
+    mixed = lambda n: "".join(draw.choices("abcdefABCDEF0123456789XYZ", k=n))
+    rows = [(i, f"{prose(9)}\n{draw.choice(['password', 'secret', 'token'])}: {mixed(24)} {prose(9)}") for i in range(200)]
+    rows += [(500 + i, f"{prose(20)}\nnote: {prose(9)} the key {prose(3)}, a secret {prose(9)}") for i in range(400)]
+    field = S.train(S.training_runs(make_docs(rows)))
+    found = lambda text: [text[a:b] for a, k, b in S.spans_of(text, field) if k == 3]
+    for secret in ("correcthorsebattery", "CORRECTHORSEBATTERY", "q8ZkR2mW4xT7b\nN1vC5yL9pH3aa9"):
+        assert found(f"{prose(9)}\npwd: {secret} {prose(9)}") == [secret]
+    assert found(prose(400)) == []
