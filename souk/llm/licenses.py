@@ -154,7 +154,7 @@ CLAUSES = [
 
 #: Raw texts without any of these have no match of any rule.
 GATE = (
-    "(?i)licen[cs]e|copyright|spdx|public.{0,3}domain|creative.{0,3}commons|cc.{0,3}by|cc0|all[^a-z0-9]+rights"
+    "(?i)licen[cs]e|copyright|spdx|public[^a-z0-9]+domain|creative[^a-z0-9]+commons|cc[^a-z0-9]+by|cc0|all[^a-z0-9]+rights"
     "|redistribut|warranty|hereby|permission|proprietary|unauthori[sz]ed|commercial|use[^a-z0-9]+only"
     "|(released|distributed|available|provided|published|covered|governed)[^a-z0-9]+(under|by)"
     "|advertising[^a-z0-9]+materials|neither|compliance|applicable[^a-z0-9]+law|merchantab|unencumbered|free[^a-z0-9]+software"

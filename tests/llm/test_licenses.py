@@ -1,4 +1,5 @@
 import random
+from re import _parser as parser
 
 from .samples import ODD
 
@@ -73,3 +74,37 @@ def test_empty_table_and_plan(spark, sf_dir, make_docs):
     assert len(L.signatures()) >= 300
     plan = L.op4_license_scans(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def phrase(tree, most):
+    """A text that a parsed pattern matches: its shortest or a longer one."""
+    out = ""
+    for op, value in tree:
+        kind = str(op)
+        if kind == "LITERAL":
+            out += chr(value)
+        elif kind == "IN":
+            what, first = value[0]
+            out += "q" if str(what) == "NEGATE" else chr(first if str(what) == "LITERAL" else first[0])
+        elif kind == "NOT_LITERAL":
+            out += "q"
+        elif kind == "MAX_REPEAT":
+            out += phrase(value[2], most) * (max(value[0], 1) if most else value[0])
+        elif kind == "SUBPATTERN":
+            out += phrase(value[3], most)
+        elif kind == "BRANCH":
+            out += phrase(value[1][-1 if most else 0], most)
+        else:
+            raise ValueError(kind)
+    return out
+
+
+def test_gate_loses_no_rule_under_any_separator(make_docs, monkeypatch):
+    phrases = {phrase(parser.parse(r.pattern), most): r.label for r in L.signatures() for most in (False, True)}
+    texts = [p.replace(" ", sep) for p in phrases for sep in ("\n", "\n * ", " -- \r\n#\t ")]
+    texts += ["released into the public\ndomain", "is in the public\n * domain", "Creative\nCommons Attribution", "CC ----- BY"]
+    docs = make_docs(list(enumerate(texts)))
+    gated = {i: (r.labels, r.score) for i, r in scan(docs).items()}
+    assert all(labels for labels, _ in gated.values())
+    monkeypatch.setattr(L, "GATE", "")
+    assert gated == {i: (r.labels, r.score) for i, r in scan(docs).items()}
