@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, extraction, jaccard, licenses, quality, secrets, sharding, substrings, token_counts
+from . import bpe, decontaminate, extraction, jaccard, licenses, merkle, quality, repeats, secrets, sequences, sharding, substrings, token_counts
 from .common import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,9 @@ PYTHON: dict[str, Query] = {
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_byte_bpe": bpe.op9_byte_bpe,
+    "op11_token_files": sequences.op11_token_files,
+    "op12_periodic_runs": repeats.op12_periodic_runs,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 QUERIES: dict[str, Query] = NATIVE | {name: prepared(q) for name, q in PYTHON.items()}
