@@ -43,4 +43,4 @@ PYTHON: dict[str, Query] = {
 
 QUERIES: dict[str, Query] = NATIVE | {name: prepared(q) for name, q in PYTHON.items()}
 
-ORACLE: dict[str, str] = {"op8_substring_dedup": substrings.OP8_SQL}
+ORACLE: dict[str, str] = {"op8_substring_dedup": substrings.OP8_SQL, "op13_merkle_manifest": merkle.OP13_SQL}

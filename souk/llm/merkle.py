@@ -245,3 +245,71 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+OP13_SQL = """
+WITH RECURSIVE own AS (
+    SELECT *, doc_id::VARCHAR AS d, row_number() OVER () AS nr, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+    FROM documents
+), framed AS (
+    SELECT nr, tree, doc_id, text,
+        coalesce(strlen(d) || ':' || d, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-')
+        || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+        xor(list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(d) + 1), lambda i: ord(substr(d, i::INTEGER, 1))::BIGINT)),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))
+        ), 4294967295) AS crc
+    FROM own
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+    FROM (
+        SELECT nr, tree, doc_id,
+            sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS tampered
+        FROM framed
+    )
+), nodes AS (
+    SELECT tree, 0 AS lvl, pos, leaf AS hash FROM leaves
+    UNION ALL
+    SELECT tree, lvl + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM nodes)
+    WHERE c > 1
+    GROUP BY tree, lvl, pos // 16
+), tops AS (
+    SELECT tree, max(lvl) AS height, max_by(hash, lvl) AS subroot FROM nodes GROUP BY tree
+), crown AS (
+    SELECT 0 AS lvl, tree AS pos, subroot AS hash FROM tops
+    UNION ALL
+    SELECT lvl + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER () AS c FROM crown)
+    WHERE c > 1
+    GROUP BY lvl, pos // 16
+), every AS (
+    SELECT tree, lvl, pos, hash FROM nodes
+    UNION ALL
+    SELECT -1, lvl, pos, hash FROM crown
+), beside AS (
+    SELECT tree, lvl, pos,
+        coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+        coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM (SELECT *, max(lvl) OVER (PARTITION BY tree) AS height FROM every)
+    WHERE lvl < height
+    WINDOW w AS (PARTITION BY tree, lvl, pos // 16 ORDER BY pos)
+), folds AS (
+    SELECT nr, tree, 0 AS lvl, pos, coalesce(tampered, leaf) AS node, '' AS proof FROM leaves
+    UNION ALL
+    SELECT nr, f.tree, f.lvl + 1, f.pos // 16, sha256(before || node || after), proof || before || after
+    FROM folds f JOIN beside USING (tree, lvl, pos)
+), risen AS (
+    SELECT nr, 0 AS lvl, f.tree AS pos, node, proof FROM folds f JOIN tops t ON f.tree = t.tree AND f.lvl = t.height
+    UNION ALL
+    SELECT nr, r.lvl + 1, r.pos // 16, sha256(before || node || after), proof || before || after
+    FROM risen r JOIN beside b ON b.tree = -1 AND b.lvl = r.lvl AND b.pos = r.pos
+), root AS (
+    SELECT max_by(hash, lvl) AS root, max(lvl) AS height FROM crown
+)
+SELECT l.doc_id, l.leaf, t.subroot, root.root, sha256(r.proof) AS proof_sha256, r.node AS folded_root, r.node = root.root AS verified
+FROM leaves l JOIN tops t USING (tree) CROSS JOIN root JOIN risen r ON r.nr = l.nr AND r.lvl = root.height
+"""

