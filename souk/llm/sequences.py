@@ -30,8 +30,10 @@ from __future__ import annotations
 import json
 import os
 import posixpath
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .bpe import stable_end, vocabulary_path
+from .bpe import vocabulary_path
 from .common import parts_for, stored, table, text_or_empty
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,9 +56,8 @@ LENGTH, SEQUENCES = 1024, 256
 FILE_TOKENS = 1 << 27
 #: Documents of a task.
 ROWS_PER_TASK = 1 << 17
-#: Texts, and characters, that are encoded at once; a longer text is cut at
-#: places where pieces end for certain.
-TOGETHER, PIECE = 64, 1 << 18
+#: Chunks whose ids a worker remembers.
+KNOWN = 1 << 19
 
 
 @lru_cache(maxsize=2)
@@ -69,26 +70,48 @@ def _tokenizer(vocabulary: str):
     return tokenizer
 
 
-def pieces(text: str, limit: int = PIECE) -> list[str]:
-    """The text in pieces that encode alone as they do in the text."""
-    out, start = [], 0
-    while len(text) - start > limit:
-        size, cut = limit, 0
-        while not cut and start + size < len(text):
-            cut = stable_end(text[start : start + size])
-            size *= 2
-        if not cut:
-            break
-        out.append(text[start : start + cut])
-        start += cut
-    return [*out, text[start:]]
+# Signs and letters at which the ends of pieces are certain, whatever stands around.
+_LETTER, _SIGN, _SPACE = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "!-/:-@\\[-`{-~", " \\t\\n\\r"
 
+#: A text is cut where a piece of the tokenizer's pattern ends for certain: after
+#: letters or digits in front of a sign; after signs, the last no apostrophe, in front
+#: of letters or digits; after anything in front of a space, tab or line break (see
+#: ``bpe``). So chunks encode alone as they do in the text.
+CHUNK = re.compile(
+    rf"\s*[{_LETTER}]+(?=[{_SPACE}{_SIGN}]|\Z)"
+    rf"|\s*[{_SIGN}]*(?!')[{_SIGN}](?=[{_SPACE}{_LETTER}]|\Z)"
+    rf"|\s*\S+(?:[^\S{_SPACE}]\s*\S*)*"
+    r"|\s+"
+)
 
-def encoded(tokenizer, texts: list[str], kind, end: int = END) -> list[np.ndarray]:
-    """The ids of each text, with the end id."""
-    cut = [pieces(t) for t in texts]
-    found = iter(tokenizer.encode_batch_fast([p for t in cut for p in t], add_special_tokens=False))
-    return [np.array([*(i for _ in t for i in next(found).ids), end], kind) for t in cut]
+
+class Encoder(dict):
+    """Ids of texts as bytes of fixed width. The library encodes each distinct
+    chunk, mostly a word, once for as long as it is remembered here."""
+
+    def __init__(self, vocabulary: str, kind: str, end: int = END, known: int = KNOWN):
+        super().__init__()
+        self.tokenizer, self.kind, self.limit = _tokenizer(vocabulary), np.dtype(kind), known
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.end = array(self.code, [end]).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        self[chunk] = ids
+        return ids
+
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of a text, with the end id."""
+        found = np.frombuffer(b"".join([*map(self.__getitem__, CHUNK.findall(text)), self.end]), self.kind)
+        if len(self) > self.limit:
+            self.clear()
+        return found
+
+
+@lru_cache(maxsize=2)
+def encoder(vocabulary: str, kind: str, end: int) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(vocabulary, kind, end)
 
 
 def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -238,7 +261,7 @@ def write_sequences(
     placed = tied.repartitionByRange(parts, *by).sortWithinPartitions(*by).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, piece, rows = _tokenizer(sent.value), TaskContext.get().partitionId(), 0, []
+        own, part, piece, rows = encoder(sent.value, str(kind), end), TaskContext.get().partitionId(), 0, []
         writer = None
 
         def closed() -> None:
@@ -246,15 +269,13 @@ def write_sequences(
             rows.append((part, piece, writer.path, writer.docs, writer.tokens, writer.sequences))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                some = batch.slice(at, TOGETHER)
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoded(tokenizer, some.column(1).to_pylist(), kind.to_pandas_dtype(), end)):
-                    if writer is None:
-                        writer = SequenceWriter(folder, f"part-{part:06d}-{piece:04d}-{uuid.uuid4().hex}.arrow", kind, length, end)
-                    writer.add(doc_id, ids)
-                    if writer.tokens >= file_tokens:
-                        closed()
-                        writer, piece = None, piece + 1
+            for doc_id, body in zip(batch.column(0), batch.column(1)):
+                if writer is None:
+                    writer = SequenceWriter(folder, f"part-{part:06d}-{piece:04d}-{uuid.uuid4().hex}.arrow", kind, length, end)
+                writer.add(doc_id.as_py(), own.ids(body.as_py()))
+                if writer.tokens >= file_tokens:
+                    closed()
+                    writer, piece = None, piece + 1
         if writer is not None:
             closed()
         names = [f.split()[0] for f in MANIFEST.split(", ")]
