@@ -1,23 +1,34 @@
 """Batch job: raw invoice lines -> silver -> gold and analysis tables.
 
     spark-submit souk/jobs/build_tables.py --input <raw.csv or dir> --out-base <path> \
-        [--format parquet|delta|csv|tsv] [--input-format csv|tsv|parquet] [--mode overwrite|append] \
+        [--format parquet|delta|csv|tsv] [--input-format csv|tsv|parquet] [--mode overwrite|append] [--batch <id>] \
         [--overwrite static|dynamic] [--clustering rebalance|repartition] [--run-ml]
     spark-submit souk/jobs/build_tables.py --silver <base>/silver/transactions_clean --out-base <path>
     spark-submit souk/jobs/build_tables.py --sf-dir /root/testdata/sf0.1 --out-base <path>
 
-The raw input is read once, into a staged table under the checkpoint folder
-(every row, typed, with its texts and the verdict of the quality rules).
-Silver is a filter of it, the tables over raw lines read it, and a table that
-others need is read back once written, so a lost executor recomputes from
-files. ``--silver`` starts from an existing silver table and writes what needs
-no raw lines. Session settings are the job's, never the library's.
+The raw input is read once, into a staged table (every row, typed, with its
+texts and the verdict of the quality rules). Silver is a filter of it, the
+tables over raw lines read it, and a table that others need is read back once
+written, so a lost executor recomputes from files. ``--silver`` starts from an
+existing silver table and writes what needs no raw lines. Session settings are
+the job's, never the library's.
+
+Gold is made from mergeable states under ``<out-base>/state`` (see
+``operators.state`` and ``sources.versions``). ``--mode append`` aggregates the
+new rows alone, merges them into the states of the months they touch, appends
+them to silver and makes gold anew from the states; tables with a row per month
+and basket or line are rewritten for the touched months only. The tables over
+raw lines are made from the lines of all runs. Appending A and then B gives
+what one build of both gives. A ``--batch`` that was committed isn't applied
+again; one that broke off is taken up, its rows neither lost nor doubled.
 """
 
 from __future__ import annotations
 
 import argparse
+import re
 import sys
+import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -35,10 +46,12 @@ from souk.operators import kpis as K  # noqa: E402
 from souk.operators import layout as L  # noqa: E402
 from souk.operators import model as M  # noqa: E402
 from souk.operators import sampling as S  # noqa: E402
+from souk.operators import state as ST  # noqa: E402
 from souk.schema import RAW_SCHEMA, SILVER_SCHEMA  # noqa: E402
-from souk.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from souk.session import ensure_checkpoint_dir  # noqa: E402
 from souk.sources import io  # noqa: E402
 from souk.sources.fixture import transactions_raw  # noqa: E402
+from souk.sources.versions import Versions  # noqa: E402
 
 FORMATS = ["parquet", "delta", "csv", "tsv"]
 SILVER = "silver/transactions_clean"
@@ -55,12 +68,18 @@ def parse_args(argv=None):
     p.add_argument("--out-base", required=True)
     p.add_argument("--format", default="parquet", choices=FORMATS)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--batch", help="name of this input; a committed one isn't applied again (default: a new name)")
     p.add_argument("--overwrite", default="static", choices=["static", "dynamic"])
     p.add_argument("--clustering", default="rebalance", choices=["rebalance", "repartition"])
     p.add_argument("--year", type=int, default=None, help="year of the pruned mall x month table")
     p.add_argument("--min-cluster", type=int, default=10, help="edge threshold of the cluster tables")
     p.add_argument("--run-ml", action="store_true")
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    if args.silver and args.mode == "append":
+        p.error("--silver is a whole table; append new rows with --input")
+    if args.batch and not re.fullmatch(r"[A-Za-z0-9_.-]+", args.batch):
+        p.error("--batch names a folder: letters, digits and _.- only")
+    return args
 
 
 def session() -> SparkSession:
@@ -91,63 +110,78 @@ def read_raw(spark: SparkSession, args) -> DataFrame:
 
 
 class Tables:
-    """Where the job writes its tables, and reads them back from."""
+    """Where the job writes its tables, and reads them back from. ``months``:
+    those that this run touched, null if the tables are built anew."""
 
-    def __init__(self, spark: SparkSession, args):
-        self.spark, self.args = spark, args
+    def __init__(self, spark: SparkSession, args, months: list[str | None] | None = None):
+        self.spark, self.args, self.months = spark, args, months
         self.base = args.out_base.rstrip("/")
         self.written: dict[str, str] = {}
 
     def save(self, name: str, df: DataFrame) -> None:
         path = f"{self.base}/{name}"
         text = self.args.format in ("csv", "tsv")
-        io.write_table(_flat(df) if text else df, path, fmt=self.args.format, mode=self.args.mode)
+        io.write_table(_flat(df) if text else df, path, fmt=self.args.format)
         self.written[name] = path
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
-        """Saves a table that others are made from and reads it back. What a
-        run appends to an old table is not read with it."""
-        if self.args.mode == "append":
-            df = df.checkpoint()
-            self.save(name, df)
-            return df
-        self.save(name, df)
-        return io.read_table(self.spark, self.written[name], self.args.format, schema=df.schema)
+    def save_months(self, name: str, df: DataFrame) -> None:
+        """A table with its month as partition column; of one that is there
+        only the touched months are written. Text is written whole."""
+        if self.args.format in ("csv", "tsv"):
+            return self.save(name, df)
+        overwrite = "static" if self.months is None else "dynamic"
+        if self.months is not None:
+            df = df.where(in_months(self.months))
+        path = f"{self.base}/{name}"
+        io.write_table(io.clustered_for_write(df, [ST.MONTH]), path, fmt=self.args.format, partition_by=[ST.MONTH], overwrite=overwrite)
+        self.written[name] = path
+
+    def read(self, name: str, schema: T.StructType) -> DataFrame:
+        return io.read_table(self.spark, self.written[name], self.args.format, schema=schema).select(*schema.names)
+
+    def keep(self, name: str, df: DataFrame, by_month: bool = False) -> DataFrame:
+        """Saves a table that others are made from and reads it back."""
+        (self.save_months if by_month else self.save)(name, df)
+        return self.read(name, df.schema)
+
+
+def in_months(months: list[str | None]):
+    """Rows of these months, where null is one."""
+    own = F.col(ST.MONTH).isin([m for m in months if m is not None])
+    return F.coalesce(own, F.lit(None in months))
 
 
-def gold(out: Tables, s: DataFrame, args) -> DataFrame:
-    """Tables over silver. Returns the mall dimension."""
-    customers = out.keep("gold/customer_summary", K.customer_summary(s))
+def gold(out: Tables, s: DataFrame, states: Versions, args) -> DataFrame:
+    """Tables over silver, from the states. Returns the mall dimension."""
+    state = {name: states.state(name, st, s) for name, st in ST.STATES.items()}
+    customers = out.keep("gold/customer_summary", ST.customer_summary(state["customers"], state["customer_prices"]))
     out.save("gold/customer_summary_money", K.customer_summary_money(customers))
     out.save("gold/bucket_counts", K.bucket_counts(customers))
-    out.save("gold/monthly_summary", K.monthly_summary(s))
-    category = out.keep("gold/category_avg_spend", K.category_avg_spend(s))
+    out.save("gold/monthly_summary", ST.monthly_summary(state["malls"]))
+    category = out.keep("gold/category_avg_spend", ST.category_avg_spend(state["categories"]))
     top = [F.desc("avg_spend_per_tx"), F.asc("category")]
     io.write_small_csv(category, f"{out.base}/gold/category_top10", 10, top)
     out.written["gold/category_top10"] = f"{out.base}/gold/category_top10"
 
-    out.save("gold_b/mall_month_extended", K.mall_month_extended(s))
-    out.save("gold_b/age_band_category", K.age_band_category(s))
-    out.save("gold_b/payment_behavior", K.payment_behavior(s))
-    out.save("gold_b/mall_agg_skewed", L.mall_revenue(s))
-    out.save("gold_b/mall_agg_balanced", L.mall_revenue(s, repartition=8))
-    out.save("gold_b/mall_month_baseline", L.mall_month_revenue(s))
+    out.save("gold_b/mall_month_extended", ST.mall_month_extended(state["baskets"]))
+    out.save("gold_b/age_band_category", ST.age_band_category(state["bands"]))
+    out.save("gold_b/payment_behavior", ST.payment_behavior(state["payments"]))
+    out.save("gold_b/mall_agg_skewed", ST.mall_revenue(state["malls"]))
+    out.save("gold_b/mall_agg_balanced", ST.mall_revenue(state["malls"]).coalesce(8))
+    by_month = out.keep("gold_b/mall_month_baseline", ST.mall_revenue(state["malls"], "shopping_mall", ST.MONTH))
     if args.year is not None:
-        out.save("gold_b/mall_month_optimized", L.mall_month_revenue(s, year=args.year))
+        out.save("gold_b/mall_month_optimized", by_month.where(L.year_filter(args.year)))
     # the malls come from the counts, not from another pass over silver
-    malls = out.keep("gold_b/mall_counts", FQ.mall_counts(s))
+    malls = out.keep("gold_b/mall_counts", ST.mall_counts(state["malls"]))
     dim = out.keep("gold_b/mall_dimension", J.mall_dimension(malls))
-    out.save("gold_b/join_regular", J.join_mall_dim(s, dim, "merge"))
-    out.save("gold_b/join_broadcast", J.join_mall_dim(s, dim, "broadcast"))
-    return dim
-
-
-def baskets(out: Tables, s: DataFrame, dim: DataFrame, args) -> None:
-    rows = out.keep("gold_b/invoice_baskets", K.invoice_baskets(s))
+    out.save_months("gold_b/join_regular", J.join_mall_dim(s, dim, "merge"))
+    out.save_months("gold_b/join_broadcast", J.join_mall_dim(s, dim, "broadcast"))
+    rows = out.keep("gold_b/invoice_baskets", ST.invoice_baskets(state["baskets"]), by_month=True)
     if args.run_ml:
         model, test = M.HIGH_SPEND_BASKETS.fit_split(M.basket_features(rows, dim), "invoice_no")
         out.save("gold_b/ml_predictions", M.predictions(model, test))
         out.save("gold_b/ml_auc", M.auc_table(M.predictions(model, test, flat=False)))
+    return dim
 
 
 def over_raw_lines(out: Tables, stage: DataFrame, args) -> None:
@@ -186,23 +220,73 @@ def over_raw_lines(out: Tables, stage: DataFrame, args) -> None:
     out.save("clusters/edge_nodes", CL.edge_nodes(kept))
 
 
+def months_of(rows: DataFrame) -> list[str | None]:
+    return [r[0] for r in rows.select(ST.MONTH).distinct().collect()]
+
+
+def append_once(spark: SparkSession, rows: DataFrame, path: str, states: Versions, batch: str, args) -> int:
+    """Appends to silver, also when the run is started again: silver holds the
+    rows of all committed batches, and those of this one or not yet."""
+    new, before = rows.count(), sum(states.batches.values())
+    there = io.read_table(spark, path, args.format, schema=SILVER_SCHEMA).count() if io.exists(spark, path) else 0
+    intent = f"{states.base}/intents/{batch}"
+    if there == before + new and io.exists(spark, intent):
+        return new
+    if there != before:
+        raise RuntimeError(f"silver has {there} rows and its batches {before}: another batch broke off; append that one again first")
+    io.write_table(spark.createDataFrame([(before, new)], "before long, rows long").coalesce(1), intent)
+    io.write_silver(rows, path, fmt=args.format, mode="append", clustering=args.clustering)
+    return new
+
+
+def take_in(spark: SparkSession, path: str, states: Versions, batch: str, args) -> list[str | None] | None:
+    """Reads the input into silver and the states and commits. Returns the
+    months that gold must be rewritten for; null: all."""
+    append = args.mode == "append"
+    if append and batch in states.batches:
+        return None
+    known = append and bool(states.batches) and states.marked("gold")
+    # an overwrite is a run of its own, also under the name of an old batch
+    run_id = batch if append else uuid.uuid4().hex
+    if not append:
+        states.batches, states.lines = {}, {}
+    states.add_lines("staged", C.staged(read_raw(spark, args)), run_id)
+    new = C.silver_of(states.read_lines("staged", run_id))
+    months = months_of(new)
+    if not append:
+        io.write_silver(new, path, fmt=args.format, overwrite=args.overwrite, clustering=args.clustering)
+        if args.overwrite == "dynamic":  # partitions of these months without new rows have stayed
+            new = io.read_table(spark, path, args.format, schema=SILVER_SCHEMA).where(in_months(months))
+    for name, st in ST.STATES.items():
+        states.add(name, st, new, months, run_id, replace=not append)
+    if append:
+        rows = append_once(spark, new, path, states, batch, args)
+    else:
+        rows = io.read_table(spark, path, args.format, schema=SILVER_SCHEMA).count()
+    states.commit(batch, rows)
+    return months if known else None
+
+
 def run(spark: SparkSession, args) -> dict[str, str]:
+    base = args.out_base.rstrip("/")
+    states = Versions(spark, f"{base}/state", fresh=args.mode == "overwrite" and args.overwrite == "static")
+    batch = args.batch or uuid.uuid4().hex
     out = Tables(spark, args)
-    stage = None
-    silver_path = args.silver
-    if not silver_path:
-        staged_path = scratch_path(spark, "staged")
-        io.write_table(C.staged(read_raw(spark, args)), staged_path)
-        stage = io.read_table(spark, staged_path)
-        silver_path = f"{out.base}/{SILVER}"
-        io.write_silver(
-            C.silver_of(stage), silver_path, fmt=args.format, mode=args.mode, overwrite=args.overwrite, clustering=args.clustering
-        )
-        out.written[SILVER] = silver_path
-    s = io.read_table(spark, silver_path, args.format, schema=SILVER_SCHEMA)
-    baskets(out, s, gold(out, s, args), args)
-    if stage is not None:
-        over_raw_lines(out, stage, args)
+    path = args.silver or f"{base}/{SILVER}"
+    if args.silver:
+        s = io.read_table(spark, path, args.format, schema=SILVER_SCHEMA)
+        months = months_of(s)
+        for name, st in ST.STATES.items():
+            states.add(name, st, s, months, batch, replace=True)
+        states.commit(batch, s.count())
+    else:
+        out.months = take_in(spark, path, states, batch, args)
+        out.written[SILVER] = path
+        s = io.read_table(spark, path, args.format, schema=SILVER_SCHEMA)
+    gold(out, s, states, args)
+    states.mark("gold")
+    if not args.silver:
+        over_raw_lines(out, states.read_lines("staged"), args)
     return out.written
 
 

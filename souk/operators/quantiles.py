@@ -22,7 +22,7 @@ from .joins import small_side
 _V = "__v"
 
 
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe equi join on ``keys`` keeping the left key columns once."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = F.lit(True)
@@ -31,17 +31,17 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
-    """``keys..., n, median`` of the non-null ``value`` per group (exact;
-    the mean of the two middle values when ``n`` is even). ``ranges``: into
+def middle_values(counts: DataFrame, keys: Sequence[str], value: str, count: str, ranges: int | None = None) -> DataFrame:
+    """``keys..., n, low, high``: how many values a group has and its two
+    middle ones (one and the same if ``n`` is odd). ``counts`` has one row per
+    group and distinct ``value``, with how often it occurs. ``ranges``: into
     how many ranges the distinct values are dealt, the session's shuffle
     partitions by default."""
     keys = list(keys)
-    spark = df.sparkSession
+    spark = counts.sparkSession
     ensure_checkpoint_dir(spark)
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    values = df.select(*keys, F.col(value).cast("double").alias(_V)).where(F.col(_V).isNotNull())
-    counts = values.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias("__c"))
+    counts = counts.select(*keys, F.col(value).alias(_V), F.col(count).alias("__c"))
     # written out: the ranges must be the same for the sums and for the values
     dealt = counts.repartitionByRange(ranges, *keys, _V).withColumn("__p", F.spark_partition_id()).checkpoint()
 
@@ -62,9 +62,16 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, ranges: int | N
     wanted = small_side(wanted.select(*keys, "__p", "n", "__below"))
 
     inside = Window.partitionBy(*keys, "__p").orderBy(_V).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = _join(dealt, wanted, [*keys, "__p"]).withColumn(
+    ranked = join_null_safe(dealt, wanted, [*keys, "__p"]).withColumn(
         "__start", F.col("__below") + F.coalesce(F.sum("__c").over(inside), F.lit(0))
     )
     middle = lambda rank: F.max(F.when(holds(F.col("__start"), F.col("__c"), rank), F.col(_V)))
-    found = ranked.groupBy(*keys).agg(F.first("n").alias("n"), middle(low).alias("__lo"), middle(high).alias("__hi"))
-    return found.select(*keys, "n", ((F.col("__lo") + F.col("__hi")) / 2).alias("median"))
+    return ranked.groupBy(*keys).agg(F.first("n").alias("n"), middle(low).alias("low"), middle(high).alias("high"))
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
+    """``keys..., n, median`` of the non-null ``value`` per group (exact;
+    the mean of the two middle values when ``n`` is even)."""
+    values = df.select(*keys, F.col(value).cast("double").alias(_V)).where(F.col(_V).isNotNull())
+    counts = values.groupBy(*keys, _V).agg(F.count(F.lit(1)).alias("__c"))
+    return middle_values(counts, keys, _V, "__c", ranges).select(*keys, "n", ((F.col("low") + F.col("high")) / 2).alias("median"))

@@ -25,10 +25,12 @@ from ..operators import kpis as K
 from ..operators import layout as L
 from ..operators import model as M
 from ..operators import sampling as S
+from ..operators import state as ST
 from ..schema import RAW_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
 from ..session import scratch_path
 from ..sources import io
 from ..sources.fixture import malls, read_table, transactions_raw
+from ..sources.versions import Versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -757,6 +759,54 @@ def q_edge_nodes(spark, sf_dir):
     return CL.edge_nodes(kept_edges(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------
+# appending: states of two inputs, merged
+# --------------------------------------------------------------------------
+
+
+def appended(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    """The states ``names`` of silver taken in as three batches that share
+    most of their months and many of their keys."""
+    s = silver(spark, sf_dir)
+    path = scratch_path(spark, "states")
+    part = F.pmod(F.xxhash64("invoice_no", "category"), F.lit(5))
+    for k, share in enumerate([part < 2, part == 2, part > 2]):
+        rows = s.where(share)
+        states = Versions(spark, path)
+        months = [r[0] for r in rows.select(ST.MONTH).distinct().collect()]
+        for name in names:
+            states.add(name, ST.STATES[name], rows, months, f"batch-{k}")
+        states.commit(f"batch-{k}", 0)
+    last = Versions(spark, path)
+    return [last.state(name, ST.STATES[name], s) for name in names]
+
+
+@register("append_merge", ORACLE["customer_summary"])
+def q_append_merge(spark, sf_dir):
+    return ST.customer_summary(*appended(spark, sf_dir, "customers", "customer_prices"))
+
+
+@register("append_merge_baskets", ORACLE["invoice_baskets"])
+def q_append_merge_baskets(spark, sf_dir):
+    """A basket whose categories come with different batches is one basket."""
+    return ST.invoice_baskets(*appended(spark, sf_dir, "baskets"))
+
+
+@register("append_merge_mall_months", ORACLE["mall_month_extended"])
+def q_append_merge_mall_months(spark, sf_dir):
+    return ST.mall_month_extended(*appended(spark, sf_dir, "baskets"))
+
+
+@register("append_merge_months", ORACLE["monthly_summary"])
+def q_append_merge_months(spark, sf_dir):
+    return ST.monthly_summary(*appended(spark, sf_dir, "malls"))
+
+
+@register("append_merge_categories", ORACLE["category_avg_spend"])
+def q_append_merge_categories(spark, sf_dir):
+    return ST.category_avg_spend(*appended(spark, sf_dir, "categories"))
+
+
 # --------------------------------------------------------------------------
 # samples and the classifier
 # --------------------------------------------------------------------------

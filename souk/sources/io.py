@@ -178,3 +178,25 @@ def write_small_csv(df: DataFrame, path: str, n: int = 10, order: Sequence | Non
     """A single-file CSV of the first ``n`` rows; one task only behind a limit."""
     small = df.orderBy(*order).limit(n) if order else df.limit(n)
     write_table(small.coalesce(1), path, fmt="csv")
+
+
+def _place(spark: SparkSession, path: str):
+    """A path of any file system that Spark knows, and that file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, fs = _place(spark, path)
+    return fs.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list:
+    """What lies in a folder; nothing if there is none."""
+    place, fs = _place(spark, path)
+    return [status.getPath() for status in fs.listStatus(place)] if fs.exists(place) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place, fs = _place(spark, path)
+    fs.delete(place, True)
