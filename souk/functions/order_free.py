@@ -109,17 +109,19 @@ def _settled(listed: Column, sign: int) -> Column:
 def value_of(listed: Column) -> Column:
     """The double nearest to the limbs' total, to a unit in the last place;
     null for an empty list."""
-    plain = _settled(listed, 1)
-    negative = plain["carry"] < 0
-    digits = F.when(negative, _settled(listed, -1)["digits"]).otherwise(plain["digits"])
-
     def weighed(d: Column, i: Column) -> Column:
         k, x = i + LOWEST, d.cast("double")
         return F.when(d == 0, 0.0).when(k < 0, x / float(1 << BITS) * _power(k + 1)).otherwise(x * _power(k))
 
-    # from the highest digit down
-    total = F.aggregate(F.reverse(F.transform(digits, weighed)), F.lit(0.0), lambda s, x: s + x)
-    return F.when(F.size(listed) > 0, F.when(negative, -total).otherwise(total))
+    def total(settled: Column) -> Column:
+        """From the highest digit down."""
+        return F.aggregate(F.reverse(F.transform(settled["digits"], weighed)), F.lit(0.0), lambda s, x: s + x)
+
+    def signed(plain: Column) -> Column:
+        return F.when(plain["carry"] < 0, -total(_settled(listed, -1))).otherwise(total(plain))
+
+    # bound to a lambda variable, so that the digits stand once in the plan
+    return F.when(F.size(listed) > 0, F.element_at(F.transform(F.array(_settled(listed, 1)), signed), 1))
 
 
 def combined(*parts: Column) -> Column:
