@@ -15,15 +15,13 @@ limb)`` is a mergeable state. Everything is in built-in expressions.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 52
 #: Limbs of the smallest subnormal's bits and of the carry out of the largest double.
 LOWEST, HIGHEST = -21, 20
-BASE = Decimal(1 << BITS)
+BASE = 1 << BITS
 AMOUNT = "decimal(38,0)"
 ENTRIES = "array<struct<limb: int, of: int, amount: bigint>>"
 
@@ -91,37 +89,31 @@ def limbs(amount: str | Column) -> Column:
     return F.collect_list(F.when(F.col(LIMB).isNotNull() & a.isNotNull(), F.struct(F.col(LIMB).alias("limb"), a.cast(AMOUNT).alias("amount"))))
 
 
-def _settled(listed: Column, sign: int) -> Column:
-    """Carry out of the highest limb, and the digits from the lowest up."""
-    zero = F.lit(Decimal(0)).cast(AMOUNT)
-    start = F.struct(zero.alias("carry"), F.array().cast(f"array<{AMOUNT}>").alias("digits"))
-
-    def step(acc: Column, k: Column) -> Column:
-        own = F.filter(listed, lambda e: e["limb"] == k)
-        amount = F.aggregate(own, acc["carry"], lambda s, e: (s + e["amount"] * sign).cast(AMOUNT))
-        digit = F.pmod(amount, F.lit(BASE)).cast(AMOUNT)
-        carry = ((amount - digit).cast(AMOUNT) / F.lit(BASE)).cast(AMOUNT)
-        return F.struct(carry.alias("carry"), F.concat(acc["digits"], F.array(digit)).alias("digits"))
-
-    return F.aggregate(F.sequence(F.lit(LOWEST), F.lit(HIGHEST)), start, step)
-
+def _settled(listed: str, sign: str) -> str:
+    """SQL: the carry out of the highest limb, and the digits from the lowest up."""
+    amount = f"aggregate(filter({listed}, e -> e.limb = k), acc.carry, (s, e) -> CAST(s {sign} e.amount AS {AMOUNT}))"
+    digit = f"CAST(pmod(a, {BASE}) AS {AMOUNT})"
+    carry = f"CAST(CAST(a - {digit} AS {AMOUNT}) / {BASE} AS {AMOUNT})"
+    step = f"transform(array({amount}), a -> named_struct('carry', {carry}, 'digits', concat(acc.digits, array({digit}))))[0]"
+    start = f"named_struct('carry', CAST(0 AS {AMOUNT}), 'digits', CAST(array() AS array<{AMOUNT}>))"
+    return f"aggregate(sequence({LOWEST}, {HIGHEST}), {start}, (acc, k) -> {step})"
 
-def value_of(listed: Column) -> Column:
-    """The double nearest to the limbs' total, to a unit in the last place;
-    null for an empty list."""
-    def weighed(d: Column, i: Column) -> Column:
-        k, x = i + LOWEST, d.cast("double")
-        return F.when(d == 0, 0.0).when(k < 0, x / float(1 << BITS) * _power(k + 1)).otherwise(x * _power(k))
 
-    def total(settled: Column) -> Column:
-        """From the highest digit down."""
-        return F.aggregate(F.reverse(F.transform(settled["digits"], weighed)), F.lit(0.0), lambda s, x: s + x)
+def _total(settled: str) -> str:
+    """SQL: the digits as a double, from the highest down."""
+    k, one = f"(i + {LOWEST})", float(1 << BITS)
+    low = f"CAST(d AS DOUBLE) / {one!r}D * pow(2.0D, ({k} + 1) * {BITS})"
+    high = f"CAST(d AS DOUBLE) * pow(2.0D, {k} * {BITS})"
+    weighed = f"transform({settled}.digits, (d, i) -> CASE WHEN d = 0 THEN 0.0D WHEN {k} < 0 THEN {low} ELSE {high} END)"
+    return f"aggregate(reverse({weighed}), 0.0D, (s, x) -> s + x)"
 
-    def signed(plain: Column) -> Column:
-        return F.when(plain["carry"] < 0, -total(_settled(listed, -1))).otherwise(total(plain))
 
-    # bound to a lambda variable, so that the digits stand once in the plan
-    return F.when(F.size(listed) > 0, F.element_at(F.transform(F.array(_settled(listed, 1)), signed), 1))
+def value_of(listed: str) -> Column:
+    """The double nearest to the total of a column made by :func:`limbs`, to a
+    unit in the last place; null for an empty list. SQL text, as the
+    expression is long and each call to build it would cost."""
+    signed = f"CASE WHEN p.carry < 0 THEN -({_total(_settled(listed, '-'))}) ELSE {_total('p')} END"
+    return F.expr(f"CASE WHEN size({listed}) > 0 THEN transform(array({_settled(listed, '+')}), p -> {signed})[0] END")
 
 
 def combined(*parts: Column) -> Column:

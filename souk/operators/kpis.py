@@ -13,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import order_free as O
 from ..functions.derive import exact_mean, exact_parts, money, price_bucket, qty_sum, safe_div, spend_parts, spend_sum, total
 from ..functions.predicates import customer_present, non_empty
 from ..schema import BUCKET_HI, BUCKET_LO, HIGH_PRICE, PRICE_DECIMAL, QTY_DECIMAL
+from .state import CATEGORY_SPEND, CUSTOMER_ITEMS, MEANS, MONTH, PRICES, category_table, month_table
 from .topn import top_n
 
 
@@ -68,24 +70,13 @@ def bucket_counts(summary: DataFrame) -> DataFrame:
 
 def monthly_summary(tx: DataFrame) -> DataFrame:
     """Per ``year_month``: rows and mean price (nulls ignored), in month order."""
-    return (
-        tx.groupBy("year_month")
-        .agg(F.count(F.lit(1)).alias("tx_count"), exact_mean("price").alias("avg_price"))
-        .orderBy(F.col("year_month").asc_nulls_first())
-    )
+    return month_table(PRICES.collected(PRICES.of(tx), MONTH))
 
 
 def category_avg_spend(tx: DataFrame) -> DataFrame:
     """Per category: rows, total spend and spend per row, highest first.
     Empty categories are skipped; a missing number adds no spend."""
-    return (
-        tx.filter(non_empty("category"))
-        .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("tx"), spend_sum().alias("total_spend"))
-        .withColumn("total_spend", F.coalesce(F.col("total_spend"), F.lit(0.0)))
-        .withColumn("avg_spend_per_tx", F.col("total_spend") / F.col("tx"))
-        .orderBy(F.desc("avg_spend_per_tx"), F.asc("category"))
-    )
+    return category_table(CATEGORY_SPEND.collected(CATEGORY_SPEND.of(tx.filter(non_empty("category"))), "category"))
 
 
 def category_top(tx: DataFrame, n: int = 10) -> DataFrame:
@@ -169,36 +160,85 @@ def payment_behavior(tx: DataFrame) -> DataFrame:
 
 def top_customers_by_quantity(tx: DataFrame, n: int = 10) -> DataFrame:
     """Customers with the most items (ties by id); missing ids skipped."""
-    per = (
-        tx.filter(customer_present())
-        .groupBy("customer_id")
-        .agg(F.coalesce(qty_sum("quantity"), F.lit(0.0)).alias("total_quantity"))
-    )
+    per = CUSTOMER_ITEMS.collected(CUSTOMER_ITEMS.of(tx.filter(customer_present())), "customer_id")
+    per = per.select("customer_id", F.coalesce("items", F.lit(0.0)).alias("total_quantity"))
     return top_n(per, [F.desc("total_quantity"), F.asc("customer_id")], n)
 
 
+#: Squares of numbers below this are summed as DECIMAL(38, 12).
+MAX_EXACT_SQUARE = 1e6
+
+
+def _squares(x: Column) -> tuple[Column, Column, Column]:
+    """A number's square: as an exact DECIMAL, or as a double and its rounding
+    error, which together are the square (split multiplication)."""
+    exact = F.when(F.abs(x) < MAX_EXACT_SQUARE, exact_parts(x, PRICE_DECIMAL)[0])
+    v = F.when(exact.isNull(), x.cast("double"))
+    square, turn = v * v, v * float((1 << 27) + 1)
+    high = turn - (turn - v)
+    low = v - high
+    error = ((high * high - square) + 2 * high * low) + low * low
+    return exact * exact, square, F.when(O.finite(square) & O.finite(error), error)
+
+
+def _deviation(c: str) -> Column:
+    """Population standard deviation from the count, the sum and the sum of
+    squares: their difference is taken exactly where DECIMAL holds it."""
+    n, s, q = F.col(f"{c}__count"), F.col(f"{c}__sum_exact"), F.col(f"{c}__squares_exact")
+    alone = F.col(f"{c}__mixed") == 0
+    small = (n < 10**10) & (F.abs(s) < 10**13) & (q < 10**15)
+    exact = n.cast("decimal(10,0)") * q.cast("decimal(27,12)") - s.cast("decimal(19,6)") * s.cast("decimal(19,6)")
+    total, squares = F.col(f"{c}__sum"), F.col(f"{c}__squares")
+    rough = F.greatest(squares / n - (total / n) * (total / n), F.lit(0.0))
+    return F.when(n > 0, F.when(alone & small, F.sqrt(exact.cast("double")) / n).otherwise(F.sqrt(rough)))
+
+
 def numeric_distributions(tx: DataFrame, cols: Sequence[str] = ("quantity", "price"), sd_digits: int = 6) -> DataFrame:
     """count, mean, population stddev, min, max of numeric columns, one row
-    per column (long form). One pass: a single global aggregate."""
-    aggs = []
+    per column (long form). One pass: a global aggregate, whose sums don't
+    depend on the order of rows."""
+    own, rests = [], []
     for c in cols:
         x = F.col(c)
+        exact, rest = exact_parts(x, PRICE_DECIMAL)
+        square, high, low = _squares(x)
+        named = {"x": exact, "r": rest, "qx": square, "qh": high, "ql": low}
+        own += [x.alias(c), *[e.alias(f"{c}__{k}") for k, e in named.items()]]
+        rests += [F.col(f"{c}__{k}") for k in ("r", "qh", "ql")]
+    base, of = F.col(O.LIMB).isNull(), F.col("of")
+    aggs = []
+    for k, c in enumerate(cols):
+        at = 3 * k
         aggs += [
-            F.count(x).alias(f"{c}__count"),
-            exact_mean(x, PRICE_DECIMAL).alias(f"{c}__mean"),
-            F.round(F.stddev_pop(x), sd_digits).alias(f"{c}__stddev"),
-            F.min(x).cast("double").alias(f"{c}__min"),
-            F.max(x).cast("double").alias(f"{c}__max"),
+            F.count(F.when(base, F.col(c))).alias(f"{c}__count"),
+            F.count(F.when(base, F.coalesce(F.col(f"{c}__r"), F.col(f"{c}__qh")))).alias(f"{c}__mixed"),
+            F.sum(F.when(base, F.col(f"{c}__x"))).cast("decimal(38,6)").alias(f"{c}__sum_exact"),
+            F.sum(F.when(base, F.col(f"{c}__qx"))).cast("decimal(38,12)").alias(f"{c}__squares_exact"),
+            O.special_sum(F.col(f"{c}__r")).alias(f"{c}__sum_special"),
+            O.special_sum(F.col(f"{c}__qh")).alias(f"{c}__squares_special"),
+            F.sum(F.when(of == at, F.col("amount"))).cast(O.AMOUNT).alias(f"{c}__sum_limb"),
+            F.sum(F.when(of.isin(at + 1, at + 2), F.col("amount"))).cast(O.AMOUNT).alias(f"{c}__squares_limb"),
+            F.min(c).alias(f"{c}__min"),
+            F.max(c).alias(f"{c}__max"),
         ]
-    wide = tx.agg(*aggs)
+    per = O.with_limbs(tx.select(*own), rests).groupBy(O.LIMB).agg(*aggs)
+    again = []
+    for c in cols:
+        again += [F.coalesce(F.sum(f"{c}__{k}"), F.lit(0)).alias(f"{c}__{k}") for k in ("count", "mixed")]
+        again += [F.sum(f"{c}__{k}").cast(t).alias(f"{c}__{k}") for k, t in (("sum_exact", "decimal(38,6)"), ("squares_exact", "decimal(38,12)"))]
+        again += [F.sum(f"{c}__{k}_special").alias(f"{c}__{k}_special") for k in ("sum", "squares")]
+        again += [O.limbs(f"{c}__{k}_limb").alias(f"{c}__{k}_limbs") for k in ("sum", "squares")]
+        again += [F.min(f"{c}__min").alias(f"{c}__min"), F.max(f"{c}__max").alias(f"{c}__max")]
+    total = lambda c, k: O.combined(F.col(f"{c}__{k}_exact").cast("double"), O.value_of(f"{c}__{k}_limbs"), F.col(f"{c}__{k}_special"))
+    wide = per.agg(*again).select("*", *[total(c, k).alias(f"{c}__{k}") for c in cols for k in ("sum", "squares")])
     rows = [
         F.struct(
             F.lit(c).alias("feature"),
             F.col(f"{c}__count").alias("count"),
-            F.col(f"{c}__mean").alias("mean"),
-            F.col(f"{c}__stddev").alias("stddev"),
-            F.col(f"{c}__min").alias("min"),
-            F.col(f"{c}__max").alias("max"),
+            F.try_divide(f"{c}__sum", f"{c}__count").alias("mean"),
+            F.round(_deviation(c), sd_digits).alias("stddev"),
+            F.col(f"{c}__min").cast("double").alias("min"),
+            F.col(f"{c}__max").cast("double").alias("max"),
         )
         for c in cols
     ]
@@ -208,7 +248,8 @@ def numeric_distributions(tx: DataFrame, cols: Sequence[str] = ("quantity", "pri
 def signals_ranked(tx: DataFrame, n: int = 10) -> DataFrame:
     """Long signals table: the quantity and price means, then the top ``n``
     categories by spend per row, values at two decimals."""
-    means = tx.agg(exact_mean("quantity").alias("q"), exact_mean("price").alias("p"))
+    per = MEANS.collected(MEANS.of(tx))
+    means = per.select(F.try_divide("quantity", "quantities").alias("q"), F.try_divide("price", "prices").alias("p"))
     simple = means.select(
         F.inline(
             F.array(

@@ -37,12 +37,17 @@ ITEMS: Parts = lambda: exact_parts(F.col("quantity"), QTY_DECIMAL)
 PRICE: Parts = lambda: exact_parts(F.col("price"), PRICE_DECIMAL)
 
 #: Scale of each sum's DECIMAL(38).
-SCALES = {"spend": QTY_DECIMAL.scale + PRICE_DECIMAL.scale, "items": QTY_DECIMAL.scale, "price": PRICE_DECIMAL.scale}
+SCALES = {
+    "spend": QTY_DECIMAL.scale + PRICE_DECIMAL.scale,
+    "items": QTY_DECIMAL.scale,
+    "price": PRICE_DECIMAL.scale,
+    "quantity": PRICE_DECIMAL.scale,
+}
 
 
 @dataclass(frozen=True)
 class State:
-    """``keys`` (the month first), ``rows``, further ``counts`` of rows for
+    """``keys`` (of a stored one the month first), ``rows``, further ``counts`` of rows for
     which a column isn't null, and ``sums`` given as their two parts."""
 
     keys: tuple[str, ...]
@@ -92,13 +97,33 @@ class State:
             aggs += [F.sum(f"{n}_exact").cast("double").alias(f"{n}_exact"), F.sum(f"{n}_special").alias(f"{n}_special")]
         plain = base.groupBy(*by).agg(*aggs)
         if not self.sums:
-            return plain
-        rest = state.where(F.col(LIMB).isNotNull()).groupBy(*by).agg(*[value_of(limbs(f"{n}_limb")).alias(f"{n}_rest") for n in self.sums])
-        met = join_null_safe(plain, rest, by, "left")
-        others = [c for c in plain.columns if not c.endswith(("_exact", "_special"))]
-        sums = [combined(F.col(f"{n}_exact"), F.col(f"{n}_rest"), F.col(f"{n}_special")).alias(n) for n in self.sums]
-        return met.select(*others, *sums)
+            return plain.select(*by, "rows", *self.counts, *(count or {}))
+        rest = state.where(F.col(LIMB).isNotNull()).groupBy(*by).agg(*[limbs(f"{n}_limb").alias(f"{n}_limbs") for n in self.sums])
+        return self._summed(join_null_safe(plain, rest, by, "left"), by, *(count or {}))
 
+    def collected(self, state: DataFrame, *by: str) -> DataFrame:
+        """As :meth:`totals`, of a state that isn't stored: in one pass over
+        it, at the price of lists in the aggregate. For few keys."""
+        aggs = [F.sum(c).alias(c) for c in ("rows", *self.counts)]
+        for n in self.sums:
+            aggs += [F.sum(f"{n}_exact").cast("double").alias(f"{n}_exact"), F.sum(f"{n}_special").alias(f"{n}_special")]
+            aggs.append(limbs(f"{n}_limb").alias(f"{n}_limbs"))
+        return self._summed(state.groupBy(*by).agg(*aggs), by)
+
+    def _summed(self, parts: DataFrame, by: tuple[str, ...], *counted: str) -> DataFrame:
+        sums = [combined(F.col(f"{n}_exact"), value_of(f"{n}_limbs"), F.col(f"{n}_special")).alias(n) for n in self.sums]
+        return parts.select(*by, "rows", *self.counts, *counted, *sums)
+
+
+#: Not stored: sums over rows that may hold any double.
+PRICES = State((MONTH,), {"price": PRICE}, {"prices": lambda: F.col("price")})
+CATEGORY_SPEND = State(("category",), {"spend": SPEND})
+CUSTOMER_ITEMS = State(("customer_id",), {"items": ITEMS})
+MEANS = State(
+    (),
+    {"quantity": lambda: exact_parts(F.col("quantity"), PRICE_DECIMAL), "price": PRICE},
+    {"quantities": lambda: F.col("quantity"), "prices": lambda: F.col("price")},
+)
 
 BASKETS = State((MONTH, "invoice_no", "customer_id", "shopping_mall", "category"), {"spend": SPEND, "items": ITEMS})
 CUSTOMERS = State(
@@ -144,19 +169,25 @@ def customer_summary(customers: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def monthly_summary(malls: DataFrame) -> DataFrame:
-    per = MALLS.totals(malls, MONTH)
+def month_table(per: DataFrame) -> DataFrame:
     return per.select(MONTH, F.col("rows").alias("tx_count"), F.try_divide("price", "prices").alias("avg_price")).orderBy(F.col(MONTH).asc_nulls_first())
 
 
-def category_avg_spend(categories: DataFrame) -> DataFrame:
+def monthly_summary(malls: DataFrame) -> DataFrame:
+    return month_table(MALLS.totals(malls, MONTH))
+
+
+def category_table(per: DataFrame) -> DataFrame:
     spend = F.coalesce(F.col("spend"), F.lit(0.0))
-    per = CATEGORIES.totals(categories.where(non_empty("category")), "category")
     return per.select("category", F.col("rows").alias("tx"), spend.alias("total_spend"), (spend / F.col("rows")).alias("avg_spend_per_tx")).orderBy(
         F.desc("avg_spend_per_tx"), F.asc("category")
     )
 
 
+def category_avg_spend(categories: DataFrame) -> DataFrame:
+    return category_table(CATEGORIES.totals(categories.where(non_empty("category")), "category"))
+
+
 def invoice_baskets(baskets: DataFrame) -> DataFrame:
     per = BASKETS.totals(baskets, "invoice_no", "customer_id", "shopping_mall", MONTH, count={"basket_category_count": "category"})
     return per.select(

@@ -820,7 +820,8 @@ def _sample_sql(src: str, columns: list[str], n: int, out: str) -> str:
     every = ", ".join(columns)
     return f"""
 numbered AS (SELECT {every}, row_number() OVER (PARTITION BY {every}) AS i FROM {src}),
-drawn AS (SELECT *, {_hash_sql(columns, "CAST(i AS VARCHAR)", "'42'")} AS h FROM numbered)
+firsts AS (SELECT *, {_hash_sql(columns, "'1'", "'42'")} AS h1 FROM numbered),
+drawn AS (SELECT *, CASE WHEN i = 1 THEN h1 ELSE md5(concat_ws(chr(31), h1, CAST(i AS VARCHAR), '42')) END AS h FROM firsts)
 SELECT {out} FROM (SELECT * FROM drawn ORDER BY h, {", ".join(f"{c} NULLS FIRST" for c in columns)} LIMIT {n})"""
 
 

@@ -1,5 +1,7 @@
 """Operator semantics on small hand-made inputs."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from souk.operators import clusters as CL
@@ -106,6 +108,35 @@ def test_sample_is_uniform_over_repeated_rows(spark):
     assert all(25 < n < 75 for n in drawn) and len(set(drawn)) > 1
 
 
+def test_sample_of_repeated_rows_against_all_hashes(spark):
+    """The n smallest of all hashes, with a hot row, nulls and fields that join alike."""
+    md5 = lambda *x: hashlib.md5("\x1f".join(x).encode()).hexdigest()
+    rows = [("a", "b")] * 300 + [("a\x1fb", "c"), ("a", "b\x1fc"), (None, "c"), ("\x00", "c")] * 9 + [(str(i), None) for i in range(50)]
+    hashes, seen = [], {}
+    for k, v in rows:
+        i = seen[k, v] = seen.get((k, v), 0) + 1
+        first = md5(*("\x00" if x is None else x for x in (k, v)), "1", "9")
+        hashes.append((first if i == 1 else md5(first, str(i), "9"), (k, v)))
+    got = sorted((tuple(r) for r in S.sample_rows(spark.createDataFrame(rows, "k string, v string").repartition(5), 120, 9).collect()), key=repr)
+    ambiguous = {r for r in seen if r[1] != "b" and r[0] in ("a", "a\x1fb", None, "\x00")}
+    plain = lambda x: [r for r in x if r not in ambiguous]
+    want = sorted((r for _, r in sorted(hashes, key=lambda x: x[0])[:120]), key=repr)
+    assert len(got) == 120 and plain(got) == plain(want)
+    assert S.sample_rows(spark.createDataFrame(rows, "k string, v string"), 1000, 9).exceptAll(spark.createDataFrame(rows, "k string, v string")).isEmpty()
+
+
+def test_sample_exchanges_hashes_not_rows(spark, sf_dir):
+    """Before the drawn hashes are known, no exchange carries a column of the rows."""
+    df = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    lines = S.sample_rows(df, 10)._jdf.queryExecution().executedPlan().toString().splitlines()
+    join = next(i for i, ln in enumerate(lines) if "BroadcastHashJoin" in ln)
+    moved = [lines[i + 1] for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    assert len(moved) >= 2
+    # above the join, one row per drawn hash and task; below it, hashes and counts
+    assert "partial_first" in moved[0] and lines.index(moved[0]) < join
+    assert all("partial_first" not in ln and "c_name" not in ln for ln in moved[1:])
+
+
 def test_split_is_tied_to_key(spark):
     df = spark.range(0, 2000).select(F.concat(F.lit("I"), F.col("id").cast("string")).alias("invoice_no"))
     tr1, te1 = S.train_test_split(df)
