@@ -106,7 +106,7 @@ def read_raw(spark: SparkSession, args) -> DataFrame:
     if args.input_format == "parquet":
         return io.read_table(spark, args.input, "parquet")
     sep = "\t" if args.input_format == "tsv" else ","
-    return io.read_transactions(spark, args.input, RAW_SCHEMA, sep, args.multi_line)
+    return io.read_transactions(spark, args.input, RAW_SCHEMA, sep, args.multi_line, malformed=C.MALFORMED)
 
 
 class Tables:
@@ -198,6 +198,7 @@ def over_raw_lines(out: Tables, stage: DataFrame, args) -> None:
     out.save("customers/first_gender", FQ.first_per_key(texts.where(customer_present()), "customer_id", "gender", ["invoice_no"]))
     out.save("customers/top_customers_with_gender", FQ.top_customers_with_gender(texts, 10))
     out.save("customers/top_customers_by_quantity", K.top_customers_by_quantity(stage, 10))
+    out.save("lines/malformed", C.malformed_lines(stage))
     out.save("lines/skinny", C.skinny_transactions(C.clean_fields(texts)))
     out.save("lines/sample", S.sample_rows(texts, 1000))
 
@@ -239,6 +240,17 @@ def append_once(spark: SparkSession, rows: DataFrame, path: str, states: Version
     return new
 
 
+def stage_input(spark: SparkSession, states: Versions, run_id: str, args) -> None:
+    """The one pass over the raw input: typed rows, malformed lines in a folder
+    of their own, and the rows that fail each rule, counted on the way.
+
+    In a session of its own: one that has observed something can't be part of
+    a closure any more, and fitted models send theirs to the tasks."""
+    rows, rejects = C.observed_rejects(C.staged(read_raw(spark.newSession(), args)))
+    states.add_lines("staged", rows, run_id, [C.IS_MALFORMED])
+    states.add_lines("rejects", C.reject_table(spark, rejects), run_id)
+
+
 def take_in(spark: SparkSession, path: str, states: Versions, batch: str, args) -> list[str | None] | None:
     """Reads the input into silver and the states and commits. Returns the
     months that gold must be rewritten for; null: all."""
@@ -250,7 +262,7 @@ def take_in(spark: SparkSession, path: str, states: Versions, batch: str, args)
     run_id = batch if append else uuid.uuid4().hex
     if not append:
         states.batches, states.lines = {}, {}
-    states.add_lines("staged", C.staged(read_raw(spark, args)), run_id)
+    stage_input(spark, states, run_id, args)
     new = C.silver_of(states.read_lines("staged", run_id))
     months = months_of(new)
     if not append:
@@ -286,6 +298,7 @@ def run(spark: SparkSession, args) -> dict[str, str]:
     gold(out, s, states, args)
     states.mark("gold")
     if not args.silver:
+        out.save("quality/rejects", C.all_rejects(states.read_lines("rejects")))
         over_raw_lines(out, states.read_lines("staged"), args)
     return out.written
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,17 +79,54 @@ def parsed(raw: DataFrame, date_formats: Sequence[str] = DATE_FORMATS, keep: Seq
     return raw.select(*[cols[c].alias(c) for c in SILVER_COLUMNS], *keep)
 
 
+#: Column of a raw line that hasn't the fields of the schema, as it stood in
+#: its file; and the flag by which a staged table keeps such lines apart.
+MALFORMED, IS_MALFORMED = "malformed_line", "is_malformed"
+
 #: What :func:`staged` adds: the texts that numbers came from, and the verdict.
-STAGED_EXTRA = ("age_text", "quantity_text", "price_text", "passes")
+STAGED_EXTRA = ("age_text", "quantity_text", "price_text", "passes", MALFORMED, IS_MALFORMED)
 
 
 def staged(raw: DataFrame, rules=DEFAULT_RULES, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Every row parsed once, with the trimmed texts of its numbers and
     ``passes``, whether the quality rules keep it. Written out, all later
-    tables read it instead of the raw input: silver is a filter of it."""
+    tables read it instead of the raw input: silver is a filter of it. Written
+    by ``is_malformed``, lines without the fields of the schema lie in a folder
+    of their own (:func:`malformed_lines`), after the same one pass."""
     texts = {f"{c}_text": F.trim(F.col(c).cast("string")) for c in ("age", "quantity", "price")}
-    both = parsed(raw.select("*", *[e.alias(n) for n, e in texts.items()]), date_formats, keep=tuple(texts))
-    return both.withColumn("passes", F.coalesce(quality_predicate(rules), F.lit(False)))
+    line = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(None).cast("string")
+    kept = raw.select("*", *[e.alias(n) for n, e in texts.items()])
+    both = parsed(kept.withColumn(MALFORMED, line), date_formats, keep=(*texts, MALFORMED))
+    return both.withColumns({"passes": F.coalesce(quality_predicate(rules), F.lit(False)), IS_MALFORMED: F.col(MALFORMED).isNotNull()})
+
+
+def malformed_lines(stage: DataFrame) -> DataFrame:
+    """The lines set aside, as they stood in their files, and whether the
+    rules keep what could be read of them. Prunes to their folder."""
+    # a folder's name is read as text
+    return stage.where(F.col(IS_MALFORMED).cast("boolean")).select(MALFORMED, "passes")
+
+
+def observed_rejects(rows: DataFrame, rules=DEFAULT_RULES) -> tuple[DataFrame, Observation]:
+    """``rows`` that count, while some action runs over them, the rows that
+    fail each rule: no scan of their own."""
+    counts = [F.count(F.when(F.coalesce(rule(), F.lit(False)), None).otherwise(1)).alias(rule.__name__) for rule in rules]
+    every = F.coalesce(quality_predicate(rules), F.lit(False))
+    observation = Observation()
+    return rows.observe(observation, *counts, F.count(F.when(~every, 1)).alias("any"), F.count(F.lit(1)).alias("rows")), observation
+
+
+def reject_table(spark: SparkSession, observation: Observation, rules=DEFAULT_RULES) -> DataFrame:
+    """``(rule, rejected, rows)``, one row per rule and one for all of them,
+    once an action over the observed rows is done."""
+    found = observation.get
+    named = [*[rule.__name__ for rule in rules], "any"]
+    return spark.createDataFrame([(n, found[n], found["rows"]) for n in named], "rule string, rejected long, rows long")
+
+
+def all_rejects(tables: DataFrame) -> DataFrame:
+    """One reject table of those of several inputs."""
+    return tables.groupBy("rule").agg(F.sum("rejected").alias("rejected"), F.sum("rows").alias("rows"))
 
 
 def silver_of(stage: DataFrame) -> DataFrame:

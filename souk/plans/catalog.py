@@ -302,6 +302,47 @@ def q_small_csv_roundtrip(spark, sf_dir):
     return io.read_table(spark, path, "csv", schema=revenue.schema)
 
 
+_RULES_SQL = {
+    "ids_present": "customer_id <> '' AND customer_id <> 'NA' AND invoice_no <> ''",
+    "not_test_invoice": "NOT contains(lower(invoice_no), 'test')",
+    "not_dummy_category": "NOT regexp_matches(lower(category), 'test|dummy')",
+    "quantity_in_bounds": "quantity > 0 AND quantity <= 1000",
+    "price_in_bounds": "price > 0 AND price <= 100000",
+}
+_RULES_SQL["any"] = " AND ".join(f"({r})" for r in _RULES_SQL.values())
+
+
+@register(
+    "rejected_by_rule",
+    O.W_PARSED
+    + " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, COUNT(*) FILTER (WHERE NOT coalesce({r}, FALSE)) AS rejected, COUNT(*) AS rows FROM parsed" for n, r in _RULES_SQL.items()
+    ),
+)
+def q_rejected_by_rule(spark, sf_dir):
+    """Rows that fail each rule, counted while the staged table is written."""
+    rows, rejects = C.observed_rejects(C.staged(raw(spark.newSession(), sf_dir)))
+    io.write_table(rows, scratch_path(spark, "observed"), partition_by=[C.IS_MALFORMED])
+    return C.reject_table(spark, rejects)
+
+
+@register(
+    "quarantined_lines",
+    O.W_RAW + "SELECT 'broken,' || invoice_no AS malformed_line, FALSE AS passes FROM raw WHERE regexp_matches(invoice_no, '^[A-Za-z0-9]+$')",
+)
+def q_quarantined_lines(spark, sf_dir):
+    """A CSV of all raw lines and as many of two fields: staged in one pass,
+    the latter lie in a folder of their own, as they stood in the file."""
+    path = scratch_path(spark, "broken_csv")
+    lines = raw(spark, sf_dir).select(*RAW_COLUMNS)
+    io.write_table(lines, path, fmt="csv")
+    short = lines.where(F.col("invoice_no").rlike("^[A-Za-z0-9]+$")).select(F.lit("broken").alias("invoice_no"), F.col("invoice_no").alias("customer_id"))
+    io.write_table(short, path, fmt="csv", mode="append")
+    staged = scratch_path(spark, "staged_lines")
+    io.write_table(C.staged(io.read_transactions(spark, path, malformed=C.MALFORMED)), staged, partition_by=[C.IS_MALFORMED])
+    return C.malformed_lines(io.read_table(spark, staged))
+
+
 @register("append_roundtrip", O.W_CLEAN + "SELECT * FROM clean")
 def q_append_roundtrip(spark, sf_dir):
     """Silver written in two halves, the second one appended."""

@@ -39,22 +39,32 @@ def _text_reader(spark: SparkSession, schema: T.StructType | None, sep: str, mul
 
 
 def read_transactions(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, sep: str = ",", multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW_SCHEMA,
+    sep: str = ",",
+    multi_line: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Raw invoice CSV with a header and a fixed schema (no inference).
     ``multi_line`` takes quoted values with line breaks; a file is then read
-    by one task, so leave it off for large files without such values."""
-    return _text_reader(spark, schema, sep, multi_line).csv(path)
+    by one task, so leave it off for large files without such values.
+    ``malformed`` names a further column: the line as it stands in the file
+    where it hasn't the fields of the schema, else null. All fields are then
+    looked at, whatever a plan needs."""
+    if malformed is None:
+        return _text_reader(spark, schema, sep, multi_line).csv(path)
+    told = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+    rows = _text_reader(spark, told, sep, multi_line).option("columnNameOfCorruptRecord", malformed)
+    return rows.option("columnPruning", "false").csv(path)
 
 
 def malformed_rows(
     spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, sep: str = ",", multi_line: bool = False
 ) -> int:
-    """How many rows don't have the fields of the schema."""
-    told = T.StructType([*schema.fields, T.StructField(_MALFORMED, T.StringType())])
-    rows = _text_reader(spark, told, sep, multi_line).option("columnNameOfCorruptRecord", _MALFORMED)
-    # all fields are looked at, not only those that a plan needs
-    every = rows.option("columnPruning", "false").csv(path)
+    """How many rows don't have the fields of the schema, in a scan of its
+    own. The job counts and keeps them while it stages the input."""
+    every = read_transactions(spark, path, schema, sep, multi_line, _MALFORMED)
     bad = F.sum(F.when(F.col(_MALFORMED).isNotNull(), 1).otherwise(0))
     return every.agg(bad.alias("bad"), F.max(F.xxhash64(*schema.names))).first().bad or 0
 

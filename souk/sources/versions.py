@@ -83,14 +83,15 @@ class Versions:
         """The current state; ``like``: rows it could be made from."""
         return self.read(name, state.of(like).schema)
 
-    def add_lines(self, name: str, rows: DataFrame, run: str) -> None:
+    def add_lines(self, name: str, rows: DataFrame, run: str, partition_by: Iterable[str] = ()) -> None:
         """Rows kept as they are, a folder a run."""
-        io.write_table(rows, self.path(name, run))
+        io.write_table(rows, self.path(name, run), partition_by=list(partition_by))
         self.lines[name] = [*(r for r in self.lines.get(name, []) if r != run), run]
 
     def read_lines(self, name: str, *runs: str) -> DataFrame:
         """The rows of these runs, or of all current ones."""
-        return self.spark.read.parquet(*[self.path(name, r) for r in runs or self.lines[name]])
+        paths = [self.path(name, r) for r in runs or self.lines[name]]
+        return self.spark.read.option("basePath", f"{self.base}/{name}").parquet(*paths).drop("run")
 
     def commit(self, batch: str, rows: int) -> None:
         self.batches[batch] = rows

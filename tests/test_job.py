@@ -11,6 +11,7 @@ from souk.sources.fixture import transactions_raw
 
 TABLES = {
     "silver/transactions_clean",
+    "quality/rejects",
     *(f"gold/{t}" for t in ("customer_summary", "customer_summary_money", "bucket_counts", "monthly_summary", "category_avg_spend", "category_top10")),
     *(f"gold_b/{t}" for t in ("invoice_baskets", "mall_month_extended", "age_band_category", "payment_behavior", "mall_counts", "mall_dimension")),
     *(f"gold_b/{t}" for t in ("mall_agg_skewed", "mall_agg_balanced", "mall_month_baseline", "mall_month_optimized", "join_regular", "join_broadcast")),
@@ -18,7 +19,7 @@ TABLES = {
     *(f"frequencies/freq_{c}" for c in ("category", "payment_method", "gender", "shopping_mall")),
     *(f"frequencies/{t}" for t in ("top5_age", "top5_shopping_mall", "missing_fields", "text_profile")),
     *(f"customers/{t}" for t in ("demographics", "customer_counts", "first_gender", "top_customers_with_gender", "top_customers_by_quantity")),
-    *(f"lines/{t}" for t in ("skinny", "sample")),
+    *(f"lines/{t}" for t in ("skinny", "sample", "malformed")),
     *(f"signals/{t}" for t in ("numeric_distributions", "signals_ranked", "monthly_summary_raw", "monthly_summary_by_split")),
     *(f"clusters/{t}" for t in ("entity_counts", "edges_thresholded", "cluster_sizes", "cluster_outcomes", "top30_overall", "top30_clusters", "top30_diff", "edge_sample", "edge_nodes")),
 }
@@ -66,3 +67,23 @@ def test_raw_input_is_read_once(spark, sf_dir, monkeypatch, tmp_path):
     for name in ("gold/customer_summary", "gold_b/invoice_baskets"):
         a, b = io.read_table(spark, written[name]), io.read_table(spark, again[name])
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_malformed_lines_are_set_aside_in_the_one_pass(spark, tmp_path):
+    """Lines with too few or too many fields: kept as they stood, in a folder
+    that a scan of the others doesn't open; what they hold is judged as before."""
+    raw = tmp_path / "raw.csv"
+    head = "invoice_no,customer_id,gender,age,category,quantity,price,payment_method,invoice_date,shopping_mall"
+    good = ["I1,C1,F,30,Toys,2,10.0,Cash,1/2/2021,M1", 'I2,C2,F,30,"Toys, big",2,10.0,Cash,1/2/2021,M1', "I3,NA,F,30,Toys,2,10.0,Cash,1/2/2021,M1"]
+    bad = ["I4,C4", "I5,C5,F,30,Toys,2,10.0,Cash,1/2/2021,M1,more"]
+    raw.write_text("\n".join([head, *good, *bad]) + "\n")
+    written = B.run(spark, B.parse_args(["--input", str(raw), "--out-base", str(tmp_path / "out")]))
+    lines = io.read_table(spark, written["lines/malformed"]).collect()
+    assert {(r.malformed_line, r.passes) for r in lines} == {(bad[0], False), (bad[1], True)}
+    assert io.malformed_rows(spark, str(raw)) == 2
+    silver = io.read_table(spark, written["silver/transactions_clean"])
+    assert {r.invoice_no for r in silver.collect()} == {"I1", "I2", "I5"}
+    rejects = {r.rule: (r.rejected, r.rows) for r in io.read_table(spark, written["quality/rejects"]).collect()}
+    assert rejects["any"] == (2, 5) and rejects["ids_present"] == (1, 5) and rejects["price_in_bounds"] == (1, 5)
+    (run,) = (tmp_path / "out/state/staged").glob("run=*")
+    assert {p.name for p in run.iterdir() if p.is_dir()} == {"is_malformed=false", "is_malformed=true"}
