@@ -107,3 +107,11 @@ def high_spend_label(df: DataFrame, spend_col: str = "basket_spend", threshold:
 def money(c: str | Column) -> Column:
     """Two-decimal output value."""
     return F.round(_col(c), 2)
+
+
+def hundredths(over: str, under: str) -> Column:
+    """``over / under`` at two decimals, half up, of columns that hold DECIMALs
+    (or whole numbers) and ``under`` above zero: in whole numbers throughout,
+    so that a tie is a tie in any engine."""
+    whole = F.expr(f"(CAST(200 AS DECIMAL(3,0)) * {over} + {under}) div (CAST(2 AS DECIMAL(1,0)) * {under})")
+    return (whole / 100).cast("double")

@@ -15,6 +15,8 @@ limb)`` is a mergeable state. Everything is in built-in expressions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,43 +35,36 @@ def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
 
-def _power(k: Column | int) -> Column:
-    return F.pow(F.lit(2.0), (F.lit(k) if isinstance(k, int) else k) * BITS)
-
-
-def limb_of(x: Column) -> Column:
-    """The limb of the leading bit of a finite number other than zero."""
-    a = F.abs(x)
-    near = F.greatest(F.floor(F.log2(a) / BITS).cast("int"), F.lit(LOWEST + 1))
-    # log2 is rounded: settled by comparison with the powers themselves
-    exact = F.when(a >= _power(near + 1), near + 1).when(a < _power(near), near - 1).otherwise(near)
-    return F.greatest(exact, F.lit(LOWEST + 1))
-
-
-def entries(x: Column, of: int) -> Column:
-    """The two limbs of a number, marked as the value ``of``; none of null,
-    zero and numbers that aren't finite."""
-    limb = limb_of(x)
-    scaled = x / _power(limb)
-    high = F.when(scaled >= 0, F.floor(scaled)).otherwise(F.ceil(scaled))
-    low = ((scaled - high) * float(1 << BITS)).cast("bigint")
-    both = F.array(
-        F.struct(limb.alias("limb"), F.lit(of).alias("of"), high.alias("amount")),
-        F.struct((limb - 1).alias("limb"), F.lit(of).alias("of"), low.alias("amount")),
-    )
-    return F.when(finite(x) & (x != 0), both.cast(ENTRIES)).otherwise(F.array().cast(ENTRIES))
+def _entries(x: str, of: int) -> str:
+    """SQL: the two limbs of a number, marked as the value ``of``; none of
+    null, zero and numbers that aren't finite."""
+    high = f"named_struct('limb', {x}__k, 'of', {of}, 'amount', {x}__h)"
+    low = f"named_struct('limb', {x}__k - 1, 'of', {of}, 'amount', CAST(({x}__y - {x}__h) * {float(BASE)!r}D AS BIGINT))"
+    return f"CASE WHEN {x}__k IS NOT NULL THEN array({high}, {low}) ELSE CAST(array() AS {ENTRIES}) END"
 
 
-def with_limbs(df: DataFrame, rests: list[Column]) -> DataFrame:
+def with_limbs(df: DataFrame, rests: list[str]) -> DataFrame:
     """``df`` with the columns ``limb``, ``of`` and ``amount``: each row once
-    with nulls there, and once more per limb of its ``rests``."""
-    none = F.array(F.struct(F.lit(None).cast("int").alias("limb"), F.lit(None).cast("int").alias("of"), F.lit(None).cast("bigint").alias("amount")))
-    own = none.cast(ENTRIES)
-    some = F.lit(False)
-    for x in rests:
-        some = some | x.isNotNull()
-    every = F.concat(own, *[entries(x, k) for k, x in enumerate(rests)]) if rests else own
-    return df.select("*", F.inline(F.when(some, every).otherwise(own)))
+    with nulls there, and once more per limb of its columns ``rests``.
+
+    The limb of the leading bit comes from a logarithm, which is rounded, and
+    is settled by comparison with the powers themselves. What is used more than
+    once is a column, so that the planner doesn't copy it."""
+    lowest, least = LOWEST + 1, f"CAST(floor(log2(abs(x)) / {BITS}) AS INT)"
+    steps = {
+        "n": f"CASE WHEN x <> 0 AND NOT isnan(x) AND abs(x) < double('infinity') THEN greatest({least}, {lowest}) END",
+        "k": f"CASE WHEN abs(x) >= pow(2.0D, (x__n + 1) * {BITS}) THEN x__n + 1 "
+        f"WHEN abs(x) < pow(2.0D, x__n * {BITS}) AND x__n > {lowest} THEN x__n - 1 ELSE x__n END",
+        "y": f"x / pow(2.0D, x__k * {BITS})",
+        "h": "CASE WHEN x__y >= 0 THEN floor(x__y) ELSE ceil(x__y) END",
+    }
+    rows = df
+    for name, sql in steps.items():
+        rows = rows.withColumns({f"{x}__{name}": F.expr(re.sub(r"\bx(?=\b|__)", x, sql)) for x in rests})
+    own = f"CAST(array(named_struct('limb', NULL, 'of', NULL, 'amount', NULL)) AS {ENTRIES})"
+    some = " OR ".join(f"{x}__k IS NOT NULL" for x in rests) or "FALSE"
+    every = f"concat({', '.join([own, *(_entries(x, k) for k, x in enumerate(rests))])})"
+    return rows.select(*df.columns, F.expr(f"inline(CASE WHEN {some} THEN {every} ELSE {own} END)"))
 
 
 def limb_sum(of: int) -> Column:

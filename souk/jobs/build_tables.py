@@ -155,7 +155,7 @@ def gold(out: Tables, s: DataFrame, states: Versions, args) -> DataFrame:
     """Tables over silver, from the states. Returns the mall dimension."""
     state = {name: states.state(name, st, s) for name, st in ST.STATES.items()}
     customers = out.keep("gold/customer_summary", ST.customer_summary(state["customers"], state["customer_prices"]))
-    out.save("gold/customer_summary_money", K.customer_summary_money(customers))
+    out.save("gold/customer_summary_money", ST.customer_summary_money(state["customers"]))
     out.save("gold/bucket_counts", K.bucket_counts(customers))
     out.save("gold/monthly_summary", ST.monthly_summary(state["malls"]))
     category = out.keep("gold/category_avg_spend", ST.category_avg_spend(state["categories"]))

@@ -17,7 +17,7 @@ from ..functions import order_free as O
 from ..functions.derive import exact_mean, exact_parts, money, price_bucket, qty_sum, safe_div, spend_parts, spend_sum, total
 from ..functions.predicates import customer_present, non_empty
 from ..schema import BUCKET_HI, BUCKET_LO, HIGH_PRICE, PRICE_DECIMAL, QTY_DECIMAL
-from .state import CATEGORY_SPEND, CUSTOMER_ITEMS, MEANS, MONTH, PRICES, category_table, month_table
+from .state import CATEGORY_SPEND, CUSTOMER_ITEMS, CUSTOMER_MONEY, MEANS, MONTH, PRICES, category_table, customer_money, month_table
 from .topn import top_n
 
 
@@ -51,16 +51,9 @@ def customer_summary(
     )
 
 
-def customer_summary_money(summary: DataFrame) -> DataFrame:
-    """The customer summary for printing: without mean and median, money and
-    the ratio at two decimals."""
-    return summary.select(
-        "customer_id",
-        "transactions",
-        "total_items",
-        *[money(c).alias(c) for c in ("total_spend", "avg_price_per_item", "high_price_tx_ratio")],
-        "bucket",
-    )
+def customer_summary_money(tx: DataFrame) -> DataFrame:
+    """Per customer, for printing: see :func:`state.customer_money`."""
+    return customer_money(CUSTOMER_MONEY.collected(CUSTOMER_MONEY.of(tx), "customer_id"))
 
 
 def bucket_counts(summary: DataFrame) -> DataFrame:
@@ -204,7 +197,7 @@ def numeric_distributions(tx: DataFrame, cols: Sequence[str] = ("quantity", "pri
         square, high, low = _squares(x)
         named = {"x": exact, "r": rest, "qx": square, "qh": high, "ql": low}
         own += [x.alias(c), *[e.alias(f"{c}__{k}") for k, e in named.items()]]
-        rests += [F.col(f"{c}__{k}") for k in ("r", "qh", "ql")]
+        rests += [f"{c}__{k}" for k in ("r", "qh", "ql")]
     base, of = F.col(O.LIMB).isNull(), F.col("of")
     aggs = []
     for k, c in enumerate(cols):

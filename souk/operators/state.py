@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.derive import exact_parts, price_bucket, safe_div, spend_parts
+from ..functions.derive import exact_parts, hundredths, money, price_bucket, safe_div, spend_parts
 from ..functions.order_free import AMOUNT, LIMB, combined, limb_sum, limbs, special_sum, value_of, with_limbs
 from ..functions.predicates import non_empty
 from ..schema import HIGH_PRICE, PRICE_DECIMAL, QTY_DECIMAL
@@ -61,7 +61,7 @@ class State:
         """The state of some rows. Partial aggregates are exchanged."""
         counted = [f().alias(f"{n}_c") for n, f in self.counts.items()]
         parts = [p.alias(f"{n}_{k}") for n, f in self.sums.items() for k, p in zip(("x", "r"), f())]
-        full = with_limbs(rows.select(*self.keys, *counted, *parts), [F.col(f"{n}_r") for n in self.sums])
+        full = with_limbs(rows.select(*self.keys, *counted, *parts), [f"{n}_r" for n in self.sums])
         base = F.col(LIMB).isNull()
         aggs = [F.count(F.when(base, 1)).alias("rows")]
         aggs += [F.count(F.when(base, F.col(f"{n}_c"))).alias(n) for n in self.counts]
@@ -86,7 +86,8 @@ class State:
 
     def totals(self, state: DataFrame, *by: str, count: dict[str, str] | None = None) -> DataFrame:
         """``by``, ``rows``, the counts and the sums as doubles, over coarser
-        keys. ``count``: how many keys below each, by a column that isn't null.
+        keys, and as ``<sum>_dec`` the sums that are one DECIMAL. ``count``:
+        how many keys below each, by a column that isn't null.
 
         Rows with a limb are few or none, so they're summed aside: what has no
         limb takes one aggregate of plain sums."""
@@ -94,7 +95,7 @@ class State:
         aggs = [F.sum(c).alias(c) for c in ("rows", *self.counts)]
         aggs += [F.count(column).alias(name) for name, column in (count or {}).items()]
         for n in self.sums:
-            aggs += [F.sum(f"{n}_exact").cast("double").alias(f"{n}_exact"), F.sum(f"{n}_special").alias(f"{n}_special")]
+            aggs += [F.sum(f"{n}_exact").alias(f"{n}_exact"), F.sum(f"{n}_special").alias(f"{n}_special")]
         plain = base.groupBy(*by).agg(*aggs)
         if not self.sums:
             return plain.select(*by, "rows", *self.counts, *(count or {}))
@@ -106,18 +107,23 @@ class State:
         it, at the price of lists in the aggregate. For few keys."""
         aggs = [F.sum(c).alias(c) for c in ("rows", *self.counts)]
         for n in self.sums:
-            aggs += [F.sum(f"{n}_exact").cast("double").alias(f"{n}_exact"), F.sum(f"{n}_special").alias(f"{n}_special")]
+            aggs += [F.sum(f"{n}_exact").alias(f"{n}_exact"), F.sum(f"{n}_special").alias(f"{n}_special")]
             aggs.append(limbs(f"{n}_limb").alias(f"{n}_limbs"))
         return self._summed(state.groupBy(*by).agg(*aggs), by)
 
     def _summed(self, parts: DataFrame, by: tuple[str, ...], *counted: str) -> DataFrame:
-        sums = [combined(F.col(f"{n}_exact"), value_of(f"{n}_limbs"), F.col(f"{n}_special")).alias(n) for n in self.sums]
-        return parts.select(*by, "rows", *self.counts, *counted, *sums)
+        sums = [F.col(f"{n}_exact").cast("double").alias(f"{n}_x") for n in self.sums] + [value_of(f"{n}_limbs").alias(f"{n}_rest") for n in self.sums]
+        valued = parts.select("*", *sums)
+        out = [combined(F.col(f"{n}_x"), F.col(f"{n}_rest"), F.col(f"{n}_special")).alias(n) for n in self.sums]
+        alone = {n: F.col(f"{n}_rest").isNull() & F.col(f"{n}_special").isNull() for n in self.sums}
+        out += [F.when(alone[n], F.col(f"{n}_exact")).alias(f"{n}_dec") for n in self.sums]
+        return valued.select(*by, "rows", *self.counts, *counted, *out)
 
 
 #: Not stored: sums over rows that may hold any double.
 PRICES = State((MONTH,), {"price": PRICE}, {"prices": lambda: F.col("price")})
 CATEGORY_SPEND = State(("category",), {"spend": SPEND})
+CUSTOMER_MONEY = State(("customer_id",), {"spend": SPEND, "items": ITEMS}, {"high": lambda: F.when(F.col("price") > HIGH_PRICE, 1)})
 CUSTOMER_ITEMS = State(("customer_id",), {"items": ITEMS})
 MEANS = State(
     (),
@@ -169,6 +175,35 @@ def customer_summary(customers: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
+def customer_money(per: DataFrame) -> DataFrame:
+    """The customer summary for printing, of totals per customer: without mean
+    and median, money and the ratio at two decimals. Rounded are the exact
+    sums and quotients, half up; only a sum that no DECIMAL holds is rounded as
+    the double it is."""
+    avg_item = safe_div("spend", "items")
+    exact = per.select(
+        "*",
+        F.col("spend_dec").try_cast("decimal(27,10)").alias("_s"),
+        F.col("items_dec").try_cast("decimal(22,4)").alias("_i"),
+        F.col("rows").cast("decimal(18,0)").alias("_n"),
+        F.col("high").cast("decimal(18,0)").alias("_h"),
+    )
+    average = F.when(F.col("_i") > 0, hundredths("_s", "_i")).when(F.col("_i").isNotNull(), F.lit(0.0))
+    return exact.select(
+        "customer_id",
+        F.col("rows").alias("transactions"),
+        F.col("items").alias("total_items"),
+        F.coalesce(F.round("_s", 2).cast("double"), money("spend")).alias("total_spend"),
+        F.coalesce(average, money(avg_item)).alias("avg_price_per_item"),
+        hundredths("_h", "_n").alias("high_price_tx_ratio"),
+        price_bucket(avg_item, "items").alias("bucket"),
+    )
+
+
+def customer_summary_money(customers: DataFrame) -> DataFrame:
+    return customer_money(CUSTOMERS.totals(customers, "customer_id"))
+
+
 def month_table(per: DataFrame) -> DataFrame:
     return per.select(MONTH, F.col("rows").alias("tx_count"), F.try_divide("price", "prices").alias("avg_price")).orderBy(F.col(MONTH).asc_nulls_first())
 

@@ -100,18 +100,25 @@ def q_customer_summary(spark, sf_dir):
     return K.customer_summary(silver(spark, sf_dir))
 
 
+# whole numbers of the sums' last decimals: 14 of spend, 5 of items
+_S = f"CAST(replace(CAST(SUM(CAST(quantity AS {O.QD}) * CAST(price AS {O.PD})) AS VARCHAR), '.', '') AS HUGEINT)"
+_I = f"CAST(replace(CAST(SUM(CAST(quantity AS {O.QD})) AS VARCHAR), '.', '') AS HUGEINT)"
+
+
 @register(
     "customer_summary_money",
     O.W_CLEAN.rstrip()
-    + ","
-    + _CUSTOMER_SQL
-    + """
-SELECT customer_id, transactions, total_items, """
-    + ", ".join(f"CAST(round(CAST(CAST({c} AS VARCHAR) AS DECIMAL(28,9)), 2) AS DOUBLE) AS {c}" for c in ("total_spend", "avg_price_per_item", "high_price_tx_ratio"))
-    + ", bucket FROM bucketed",
+    + f""",{_CUSTOMER_SQL},
+sums AS (
+SELECT customer_id, {_S} AS s, {_I} AS i, COUNT(*) AS n, COUNT(*) FILTER (WHERE price > 100) AS h FROM clean GROUP BY customer_id)
+SELECT customer_id, transactions, total_items,
+       CAST((s + 500000000000) // 1000000000000 AS DOUBLE) / 100 AS total_spend,
+       CASE WHEN i > 0 THEN CAST((2 * s + i * 10000000) // (2 * i * 10000000) AS DOUBLE) / 100 ELSE 0.0 END AS avg_price_per_item,
+       CAST((200 * h + n) // (2 * n) AS DOUBLE) / 100 AS high_price_tx_ratio, bucket
+FROM bucketed JOIN sums USING (customer_id)""",
 )
 def q_customer_summary_money(spark, sf_dir):
-    return K.customer_summary_money(K.customer_summary(silver(spark, sf_dir)))
+    return K.customer_summary_money(silver(spark, sf_dir))
 
 
 @register(
@@ -800,6 +807,39 @@ def q_edge_nodes(spark, sf_dir):
     return CL.edge_nodes(kept_edges(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------
+# layouts that spare reads and exchanges
+# --------------------------------------------------------------------------
+
+
+@register("customer_lookup", O.W_CLEAN + "SELECT * FROM clean WHERE customer_id = (SELECT MIN(customer_id) FROM clean)")
+def q_customer_lookup(spark, sf_dir):
+    """All lines of one customer from partitioned silver: files and row groups
+    without the id are skipped."""
+    path = scratch_path(spark, "lookup")
+    io.write_silver(silver(spark, sf_dir), path)
+    s = _read_silver(spark, path)
+    first = s.agg(F.min("customer_id")).first()[0]
+    return s.where(F.col("customer_id") == first)
+
+
+def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver in buckets of customers, as a table of the session's catalog."""
+    path = scratch_path(spark, "bucketed")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return io.write_bucketed(silver(spark, sf_dir), path.rsplit("/", 1)[-1].replace("-", "_"), path, buckets)
+
+
+@register("customer_summary_bucketed", ORACLE["customer_summary"])
+def q_customer_summary_bucketed(spark, sf_dir):
+    return K.customer_summary(bucketed(spark, sf_dir))
+
+
+@register("invoice_baskets_bucketed", ORACLE["invoice_baskets"])
+def q_invoice_baskets_bucketed(spark, sf_dir):
+    return K.invoice_baskets(bucketed(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------
 # appending: states of two inputs, merged
 # --------------------------------------------------------------------------

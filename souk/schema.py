@@ -53,6 +53,8 @@ SILVER_SCHEMA = T.StructType(
 )
 SILVER_COLUMNS = [f.name for f in SILVER_SCHEMA.fields]
 SILVER_PARTITION_COLUMNS = ["year_month", "shopping_mall"]
+#: What single lines are looked up by.
+SILVER_LOOKUP_COLUMNS = ["customer_id", "invoice_no"]
 
 # Fixed values (must equal the reference's) --------------------------------
 # invoice date formats, tried in this order, first success wins (day first)

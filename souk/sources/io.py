@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import RAW_SCHEMA, SILVER_PARTITION_COLUMNS
+from ..schema import RAW_SCHEMA, SILVER_LOOKUP_COLUMNS, SILVER_PARTITION_COLUMNS
 
 # Text options shared by every CSV/TSV read and write: quotes inside a value
 # are doubled, and blanks inside values stay (the cleaning step trims them).
@@ -73,18 +73,30 @@ def _map_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     return df.select(*[change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name for f in df.schema])
 
 
+#: How signs that would break a line, or stand for a null, are written.
+_ESCAPES = {"\n": "\\n", "\r": "\\r", _READ_NULL_MARKER: "\\0"}
+
+
 def _one_line(c: Column) -> Column:
-    """Backslashes and line breaks written as ``\\\\``, ``\\n`` and ``\\r``,
-    so that every row is one line and files stay splittable."""
+    """Backslashes doubled and line breaks and NUL written as ``\\n``, ``\\r``
+    and ``\\0``, so that every row is one line, files stay splittable and no
+    value is taken for a null."""
     c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
-    return F.replace(F.replace(c, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    for sign, written in _ESCAPES.items():
+        c = F.replace(c, F.lit(sign), F.lit(written))
+    return c
 
 
 def _many_lines(c: Column) -> Column:
-    """Undoes :func:`_one_line`; the pairs are read from left to right."""
-    kept = F.replace(c, F.lit("\\\\"), F.lit("\x00"))
-    broken = F.replace(F.replace(kept, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-    return F.when(c.contains("\\"), F.replace(broken, F.lit("\x00"), F.lit("\\"))).otherwise(c)
+    """Undoes :func:`_one_line`: between doubled backslashes, which are found
+    from left to right, a single one starts an escape."""
+
+    def read(part: Column) -> Column:
+        for sign, written in _ESCAPES.items():
+            part = F.replace(part, F.lit(written), F.lit(sign))
+        return part
+
+    return F.when(c.contains("\\"), F.array_join(F.transform(F.split(c, r"\\\\"), read), "\\")).otherwise(c)
 
 
 def read_table(
@@ -120,6 +132,7 @@ def write_table(
     overwrite: str = "static",
     compression: str | None = "zstd",
     sep: str = ",",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Write a table: parquet / delta / csv / tsv, with a header for text.
     A text row is one line: line breaks inside values are escaped, and
@@ -127,6 +140,7 @@ def write_table(
 
     ``overwrite="dynamic"`` replaces only the partitions present in ``df``
     (stale partitions stay); ``"static"`` rebuilds the whole table.
+    ``options``: further ones of the writer.
     """
     text = fmt in ("csv", "tsv")
     w = (_map_text(df, _one_line) if text else df).write.mode(mode)
@@ -139,7 +153,7 @@ def write_table(
         return
     if fmt == "parquet" and compression:
         w = w.option("compression", compression)
-    w.format(fmt).save(path)
+    w.options(**(options or {})).format(fmt).save(path)
 
 
 def clustered_for_write(df: DataFrame, keys: Sequence[str], how: str = "rebalance") -> DataFrame:
@@ -160,6 +174,14 @@ def clustered_for_write(df: DataFrame, keys: Sequence[str], how: str = "rebalanc
     raise ValueError(f"unknown clustering {how!r}")
 
 
+def _bloom_filters(columns: Sequence[str]) -> dict[str, str]:
+    """Writer options for a bloom filter on each column, as small as the values
+    of a row group allow: of filters from a megabyte down to 64 bytes, each half
+    of the one before, the smallest that still holds them is kept."""
+    own = {"enabled": "true", "candidates.number": "15"}
+    return {f"parquet.bloom.filter.{k}#{c}": v for k, v in own.items() for c in columns} | {"parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def write_silver(
     tx: DataFrame,
     base: str,
@@ -168,22 +190,41 @@ def write_silver(
     overwrite: str = "static",
     partition_by: Sequence[str] = SILVER_PARTITION_COLUMNS,
     clustering: str = "rebalance",
+    lookup: Sequence[str] = SILVER_LOOKUP_COLUMNS,
 ) -> None:
     """Silver sink: parquet (zstd) or delta partitioned by month and mall;
-    CSV and TSV unpartitioned, with a header."""
+    CSV and TSV unpartitioned, with a header.
+
+    Rows of a file are in the order of the ``lookup`` columns, and parquet
+    files have a bloom filter on each, so a scan for one customer or invoice
+    skips the row groups that don't hold it. The order takes the place of the
+    sort by partition that the writer does anyway."""
     if fmt in ("csv", "tsv"):
         write_table(tx, base, fmt=fmt, mode=mode)
         return
+    clustered = clustered_for_write(tx, partition_by, clustering)
+    lookup = [c for c in lookup if c in tx.columns]
     write_table(
-        clustered_for_write(tx, partition_by, clustering),
+        clustered.sortWithinPartitions(*partition_by, *lookup) if lookup else clustered,
         base,
         fmt=fmt,
         mode=mode,
         partition_by=list(partition_by),
         overwrite=overwrite,
+        options=_bloom_filters(lookup) if fmt == "parquet" else None,
     )
 
 
+def write_bucketed(tx: DataFrame, table: str, path: str, buckets: int, by: Sequence[str] = ("customer_id",), order: Sequence[str] = ("invoice_no",)) -> DataFrame:
+    """A table of the catalog, at ``path``, whose rows are dealt into ``buckets``
+    by the hash of ``by``. Aggregates and joins on keys that hold ``by`` need
+    no exchange when they read it: customers, and the baskets of customers.
+    The rows are exchanged once, here."""
+    w = tx.repartition(buckets, *by).write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd")
+    w.bucketBy(buckets, *by).sortBy(*by, *order).saveAsTable(table)
+    return tx.sparkSession.table(table)
+
+
 def write_small_csv(df: DataFrame, path: str, n: int = 10, order: Sequence | None = None) -> None:
     """A single-file CSV of the first ``n`` rows; one task only behind a limit."""
     small = df.orderBy(*order).limit(n) if order else df.limit(n)

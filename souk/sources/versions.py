@@ -36,6 +36,7 @@ class Versions:
         self.runs: dict[tuple[str, str | None], str] = {}
         self.batches: dict[str, int] = {}
         self.lines: dict[str, list[str]] = {}
+        self.schemas: dict[str, T.StructType] = {}
         if self.number and not fresh:
             for r in spark.read.schema(_COMMIT).parquet(self._commit_path(self.number)).collect():
                 if r.kind == "month":
@@ -74,6 +75,7 @@ class Versions:
         their ``months``. Seen by this object at once, by others once committed."""
         months = list(months)
         new = state.of(rows)
+        self.schemas[name] = new.schema
         if not replace and any((name, m) in self.runs for m in months):
             new = state.merged(self.read(name, new.schema, months), new)
         io.write_table(io.clustered_for_write(new, [MONTH]), self.path(name, run), partition_by=[MONTH])
@@ -81,7 +83,7 @@ class Versions:
 
     def state(self, name: str, state: State, like: DataFrame) -> DataFrame:
         """The current state; ``like``: rows it could be made from."""
-        return self.read(name, state.of(like).schema)
+        return self.read(name, self.schemas.get(name) or state.of(like).schema)
 
     def add_lines(self, name: str, rows: DataFrame, run: str, partition_by: Iterable[str] = ()) -> None:
         """Rows kept as they are, a folder a run."""

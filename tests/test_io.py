@@ -66,6 +66,7 @@ DIRTY = [
     ("line\nbreak", "cr\r\nlf", "back\\slash", "28.0"),
     ("\\n", "\\\\n\\", '"', ""),
     (None, "", " ", "\\"),
+    ("\x00", "\\\x00", "\x00\\n\\0", "\\0\\\\\x00\n"),
 ]
 
 

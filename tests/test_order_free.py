@@ -39,7 +39,7 @@ def groups_of(d):
 
 def sums(spark, rows, parts):
     df = spark.createDataFrame(rows, "g int, v double").repartition(parts)
-    state = O.with_limbs(df, [F.col("v")]).groupBy("g", O.LIMB).agg(O.limb_sum(0).alias("a"), O.special_sum(F.col("v")).alias("s"))
+    state = O.with_limbs(df, ["v"]).groupBy("g", O.LIMB).agg(O.limb_sum(0).alias("a"), O.special_sum(F.col("v")).alias("s"))
     total = state.groupBy("g").agg(O.limbs("a").alias("l"), F.sum("s").alias("s")).select("g", O.value_of("l").alias("t"), "s")
     return {r.g: r.t if r.s is None else r.s for r in total.collect()}
 
@@ -73,7 +73,7 @@ def test_special_values(spark):
 
 def test_rows_without_rest_stay_single(spark):
     df = spark.range(10).withColumn("v", F.lit(None).cast("double"))
-    assert O.with_limbs(df, [F.col("v")]).count() == 10
+    assert O.with_limbs(df, ["v"]).count() == 10
 
 
 def lines(spark, seed=8):

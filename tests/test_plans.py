@@ -2,6 +2,7 @@
 
 import contextlib
 import io as _io
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -114,3 +115,41 @@ def test_aggregates_are_partial_before_exchange(spark, sf_dir):
     s = silver(transactions_raw(spark, sf_dir))
     p = plan(K.customer_summary(s), "simple")
     assert "partial_percentile_approx" in p and "partial_sum" in p
+
+
+def test_bucketed_silver_needs_no_exchange(spark, sf_dir):
+    from souk.operators import kpis as K
+    from souk.plans.catalog import bucketed
+
+    table = bucketed(spark, sf_dir)
+    for build in (K.customer_summary, K.invoice_baskets):
+        plan = build(table)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, build.__name__
+        assert "Bucketed: true" in plan
+
+
+def test_a_lookup_skips_row_groups(spark, sf_dir):
+    """Scanned rows of one customer's lines: those of the files that hold any."""
+    from pyspark.sql import functions as F
+
+    from souk.plans.catalog import silver
+    from souk.schema import SILVER_SCHEMA
+    from souk.session import scratch_path
+    from souk.sources import io
+
+    path = scratch_path(spark, "lookup")
+    io.write_silver(silver(spark, sf_dir), path)
+    s = io.read_table(spark, path, schema=SILVER_SCHEMA)
+    total = s.count()
+    files = s.inputFiles()
+    assert sum(Path(f.removeprefix("file:")).stat().st_size for f in files) < 16_384 * len(files)  # filters fit their few values
+    for column in ("customer_id", "invoice_no"):
+        key = s.agg(F.min(column)).first()[0]
+        found = s.where(F.col(column) == key)
+        rows = found.collect()
+        holding = s.withColumn("file", F.input_file_name())
+        files = holding.where(F.col(column) == key).select("file").distinct()
+        most = holding.join(files, "file").count()
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        read = scan.metrics().get("numOutputRows").get().value()
+        assert rows and len(rows) <= read <= most < total
