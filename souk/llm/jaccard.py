@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +54,9 @@ COUNTERS = 1 << 19
 HOT, SALTS = 200_000, 64
 #: Ranges of hashes whose parities are kept of each set.
 PARITIES = 1024
-#: Ids (8 bytes each) up to which a set of ids is broadcast.
-BROADCAST_IDS = 4_000_000
+#: Rows of ids up to which a set of them is broadcast: at most four numbers a
+#: row, so 32 MB.
+BROADCAST_IDS = 1_000_000
 
 
 def _shift() -> np.uint64:
@@ -126,22 +128,23 @@ def survey(docs: DataFrame) -> DataFrame:
 
 
 def shingle_counts(surveyed: DataFrame) -> np.ndarray:
-    """The counters summed over all tasks: at most COUNTERS rows are fetched."""
+    """The counters summed over all tasks: at most COUNTERS rows are fetched,
+    as Arrow columns of 12 bytes a row."""
     one = surveyed.where("chunk is not null").select("chunk", F.posexplode("counts").alias("k", "c")).where("c > 0")
     total = one.groupBy((F.col("chunk") * CHUNK + F.col("k")).alias("slot")).agg(F.sum("c").alias("c"))
-    rows = total.toPandas()
+    rows = total.toArrow()
     out = np.zeros(COUNTERS, np.int64)
-    out[rows["slot"].to_numpy(np.int64)] = rows["c"].to_numpy(np.int64)
+    out[rows.column("slot").to_numpy()] = rows.column("c").to_numpy()
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
 
 
 ENTRY = "key long, node long, packed long"
 
 
-def prefix_entries(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """The rare-first prefix of each document's set. ``packed`` holds size and
-    place; it is negative for a hot shingle. A task gives equal sets once."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def prefix_entries(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """The rare-first prefix of each document's set, by the broadcast counts.
+    ``packed`` holds size and place; it is negative for a hot shingle. A task
+    gives equal sets once."""
     arrow = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("packed", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +342,9 @@ def classes(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> Data
     other = ~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
     copies = stored(rows.join(stands, "node").where(other).select("doc_id", "text_key").distinct(), "jaccard-copies")
     firsts = by_ids(narrow, copies, "left_anti", "doc_id", "text_key")
-    entries = stored(shared_entries(prefix_entries(firsts, shingle_counts(surveyed))), "jaccard-entries")
+    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(surveyed))
+    entries = stored(shared_entries(prefix_entries(firsts, counts)), "jaccard-entries")
+    counts.destroy()  # what needed it is written
 
     def linked(pairs: DataFrame) -> DataFrame:
         near = stored(suffix_filtered(pairs, nodes), "jaccard-near")
