@@ -7,9 +7,13 @@ import math
 import shutil
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +64,29 @@ def words(text: Column) -> Column:
     )
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches of at most ``rows`` rows whose texts in ``column``
+    take no more than ``size`` bytes together, or of a single row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI as tasks open it, and the path there.
+    The folder must be one that all workers share."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 #: Rows that Spark hands to a Python worker at a time. Texts can be long, and
 #: the batch is held outside of the heap.
 ARROW_ROWS = 1_000

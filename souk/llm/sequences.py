@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import vocabulary_path
-from .common import parts_for, stored, table, text_or_empty
+from .common import filesystem, parts_for, stored, table, text_or_empty
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
@@ -114,12 +114,6 @@ def encoder(vocabulary: str, kind: str, end: int) -> Encoder:
     return Encoder(vocabulary, kind, end)
 
 
-def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in folder or folder.startswith("file:"):
-        return pafs.FileSystem.from_uri(folder)
-    return pafs.LocalFileSystem(), folder
-
-
 def file_schema(kind: pa.DataType, length: int) -> pa.Schema:
     return pa.schema(
         [

@@ -1,24 +1,29 @@
 """Token counts by a separator scan of flat token files.
 
 A token file is a plain run of 16-bit ids, each document closed by the
-end-of-document id; nothing says where documents start. Files come in blocks.
-Each block is searched for the separator on its own, by one vectorised
-comparison; what it knows is how many separators it holds, the tokens before
-the first, between them, and after the last. A prefix scan over these block
-summaries stitches documents across blocks: it gives each block the number of
-documents closed before it and the tokens left open. The scan runs in two
-levels (blocks within a group of blocks, groups within a file), so a file of
-any length needs no task that holds all its blocks.
-
-``pack`` writes documents as such files, with the order of their ids beside,
-so that counts can be told per document.
+end-of-document id; nothing says where documents start. Files of any size are
+read in blocks, ranges of bytes that are dealt out to the tasks. Each block is
+searched for the separator on its own, by one vectorised comparison; what it
+knows is how many separators it holds, the tokens before the first, between
+them, and after the last. A prefix scan over these block summaries stitches
+documents across blocks: it gives each block the number of documents closed
+before it and the tokens left open. The scan runs in two levels (blocks within a
+group of blocks, groups within a file), so a file of any length needs no task
+that holds all its blocks.
+
+``write_files`` writes documents as such files, one a task. Beside them stands
+the order of the documents' ids, without places or lengths, so that counts can
+be told per document. A task that is run again writes a file of its own name;
+what counts are the files that the rows committed by Spark name.
 
 Defined results: a null or empty text is a document of 0 tokens; tokens after
-the last separator of a file are its last document; an empty file has none.
+the last separator of a file are its last document; an empty file has none; a
+byte left over at the end of a file is no token.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,8 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .bpe import PATTERN, read_ranks, vocabulary_path
-from .common import stored, table, text_or_empty
+from .common import by_bytes, filesystem, stored, table, text_or_empty
 
 END = 50_256
 #: Tokens of a block, and blocks of a group in the prefix scan.
@@ -44,76 +50,81 @@ def _encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
-PACKED = "file long, block long, ids binary, number long, doc_id long"
+WRITTEN = "file string, size long, number long, doc_id long"
 
 
-def pack(docs: DataFrame, block: int = BLOCK, path: str | None = None) -> DataFrame:
-    """One token file per partition of ``docs``: rows ``(file, block, ids)``
-    of at most ``block`` tokens, and rows ``(file, number, doc_id)`` of its
-    documents in order."""
+def write_files(docs: DataFrame, folder: str, path: str | None = None) -> DataFrame:
+    """Writes one token file per partition of ``docs`` under ``folder``: rows
+    ``(file, number, doc_id)`` of its documents in order, and ``(file, size)``
+    of the files. Each action writes again: store the rows."""
     path = path or vocabulary_path()
-    arrow = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("ids", pa.binary()), ("number", pa.int64()), ("doc_id", pa.int64())])
-
-    def rows(own: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*own), arrow)], schema=arrow)
+    arrow = pa.schema([("file", pa.string()), ("size", pa.int64()), ("number", pa.int64()), ("doc_id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(path).encode_ordinary
-        file = TaskContext.get().partitionId()
-        number = blocks = held = 0
-        open_: list[np.ndarray] = []
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield_rows = [(file, None, None, number, doc_id)]
-                number += 1
-                open_.append(np.array([*encode(text), END], np.uint16))
-                held += len(open_[-1])
-                if held >= block:
-                    run_ = np.concatenate(open_)
-                    whole = held // block * block
-                    for start in range(0, whole, block):
-                        yield_rows.append((file, blocks, run_[start : start + block].tobytes(), None, None))
-                        blocks += 1
-                    open_, held = [run_[whole:]], held - whole
-                yield rows(yield_rows)
-        if held:
-            yield rows([(file, blocks, np.concatenate(open_).tobytes(), None, None)])
+        store, place = filesystem(folder)
+        store.create_dir(place, recursive=True)
+        name = f"tokens-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"
+        out, size, number = None, 0, 0
+        for batch in by_bytes(batches, 1, 256):
+            out = out or store.open_output_stream(f"{place}/{name}")
+            for text in batch.column(1).to_pylist():
+                ids = np.array([*encode(text), END], "<u2").tobytes()
+                out.write(ids)
+                size += len(ids)
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"] * n), pa.nulls(n, pa.int64()), pa.array(range(number, number + n), pa.int64()), batch.column(0)], schema=arrow)
+            number += n
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_pylist([{"file": f"{folder}/{name}", "size": size}], schema=arrow)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, PACKED)
+    return texts.mapInArrow(run, WRITTEN)
+
+
+def files_in(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, size)`` of the files in a folder; none is opened."""
+    return spark.read.format("binaryFile").load(folder).select(F.col("path").alias("file"), F.col("length").alias("size"))
 
 
-def read_files(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of the flat token files in a folder, each below 2 GB."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content")
-    at = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.octet_length("content") - 1) / (2 * block))))
-    cut = files.where(F.octet_length("content") > 0).select("file", at.alias("block"), "content")
-    return cut.select("file", "block", F.substring("content", F.col("block").cast("int") * 2 * block + 1, F.lit(2 * block)).alias("ids"))
+def ranges(files: DataFrame, block: int = BLOCK, tasks: int | None = None) -> DataFrame:
+    """``(file, block, start, length)``: the bytes of each block of ``block``
+    tokens, dealt out over ``tasks``, as many as the session's shuffles have."""
+    bytes_ = F.lit(2 * block).cast("long")
+    whole = F.col("size") - F.col("size") % 2
+    cut = files.where("size > 1").select("file", whole.alias("size"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((whole - 1) / bytes_))).alias("block"))
+    start = F.col("block") * bytes_
+    each = cut.select("file", "block", start.alias("start"), F.least(bytes_, F.col("size") - start).alias("length"))
+    return each.repartition(tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file", "block")
 
 
-def scan_blocks(blocks: DataFrame, end: int = END) -> DataFrame:
+def scan_ranges(blocks: DataFrame, end: int = END) -> DataFrame:
     """Of each block: ``n_ends`` separators, ``head`` tokens before the first
     (all without one), ``inner`` lengths between them, ``tail`` after the last."""
-    kind = blocks.schema["file"].dataType.simpleString()
+    arrow = pa.schema(
+        [("file", pa.string()), ("block", pa.int64()), ("n_ends", pa.int64()), ("head", pa.int64()), ("inner", pa.list_(pa.int64())), ("tail", pa.int64())]
+    )
+
+    def summary(data: bytes) -> tuple[int, int, np.ndarray, int]:
+        tokens = np.frombuffer(data, "<u2")
+        at = np.flatnonzero(tokens == end)
+        if not len(at):
+            return 0, len(tokens), at, len(tokens)
+        return len(at), int(at[0]), np.diff(at) - 1, len(tokens) - int(at[-1]) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, heads, inners, tails = [], [], [], []
-            for ids in batch.column(2).to_pylist():
-                tokens = np.frombuffer(ids, "<u2")
-                at = np.flatnonzero(tokens == end)
-                counts.append(len(at))
-                heads.append(int(at[0]) if len(at) else len(tokens))
-                inners.append(np.diff(at) - 1)
-                tails.append(len(tokens) - int(at[-1]) - 1 if len(at) else len(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(heads, pa.int64()), pa.array(inners, pa.list_(pa.int64())), pa.array(tails, pa.int64())],
-                names=["file", "block", "n_ends", "head", "inner", "tail"],
-            )
-
-    return blocks.select("file", F.col("block").cast("long").alias("block"), "ids").mapInArrow(
-        run, f"file {kind}, block long, n_ends long, head long, inner array<long>, tail long"
-    )
+            for at in range(0, batch.num_rows, 64):
+                part, found = batch.slice(at, 64), []
+                for path, start, length in zip(*(part.column(k).to_pylist() for k in (0, 2, 3))):
+                    store, place = filesystem(path)
+                    with store.open_input_file(place) as file:
+                        found.append(summary(file.read_at(length, start)))
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*found), list(arrow)[2:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], schema=arrow)
+
+    return blocks.mapInArrow(run, "file string, block long, n_ends long, head long, inner array<long>, tail long")
 
 
 def _scan(rows: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -162,8 +173,8 @@ def document_lengths(scanned: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = stored(pack(table(spark, sf_dir, "documents")), "token-files")
-    blocks = packed.where("ids is not null").select("file", "block", "ids")
-    scanned = stored(scan_blocks(blocks), "token-blocks")
-    order = packed.where("ids is null").select("file", "number", "doc_id")
+    written = stored(write_files(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens")), "token-files")
+    files = written.where("size is not null").select("file", "size")
+    scanned = stored(scan_ranges(ranges(files)), "token-blocks")
+    order = written.where("size is null").select("file", "number", "doc_id")
     return order.join(document_lengths(scanned), ["file", "number"]).select("doc_id", "n_tokens")

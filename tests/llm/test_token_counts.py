@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from souk.llm import token_counts as T
 from souk.llm.bpe import vocabulary_path
@@ -21,22 +20,18 @@ def test_query(spark, sf_dir, encode):
     assert got == {i: len(encode(t or "")) for i, t in docs.items()}
 
 
-def lengths(spark, files, block, group):
-    rows = []
+def lengths(spark, files, block, group, folder):
     for name, tokens in files.items():
-        data = np.array(tokens, "<u2")
-        rows += [(name, k, data[k * block : (k + 1) * block].tobytes()) for k in range(-(-len(data) // block))]
-    draw = random.Random(1)
-    draw.shuffle(rows)
-    blocks = spark.createDataFrame(rows, "file string, block long, ids binary")
+        np.array(tokens, "<u2").tofile(folder / name)
+    scanned = T.scan_ranges(T.ranges(T.files_in(spark, str(folder)), block, tasks=3))
     out = {}
-    for r in T.document_lengths(T.scan_blocks(blocks), group).collect():
-        out.setdefault(r.file, {})[r.number] = r.n_tokens
+    for r in T.document_lengths(scanned, group).collect():
+        out.setdefault(r.file.rsplit("/", 1)[1], {})[r.number] = r.n_tokens
     return {f: [x[k] for k in range(len(x))] for f, x in out.items()}
 
 
 @pytest.mark.parametrize("block,group", [(1, 2), (3, 4), (7, 1), (64, 1024)])
-def test_stitching(spark, block, group):
+def test_stitching(spark, block, group, tmp_path):
     draw = random.Random(block)
     files, want = {}, {}
     for f in range(8):
@@ -47,24 +42,27 @@ def test_stitching(spark, block, group):
         files[f"f{f}"] = tokens
         if tokens:
             want[f"f{f}"] = docs + ([rest] if rest else [])
-    assert lengths(spark, files, block, group) == want
+    assert lengths(spark, files, block, group, tmp_path) == want
 
 
 def test_flat_files(spark, tmp_path):
     np.array([1, 2, T.END, T.END, 3, 4, 5, T.END, 9], "<u2").tofile(tmp_path / "a.bin")
     np.array([7] * 10, "<u2").tofile(tmp_path / "b.bin")
     (tmp_path / "c.bin").write_bytes(b"")
-    rows = T.document_lengths(T.scan_blocks(T.read_files(spark, str(tmp_path), block=4))).collect()
+    (tmp_path / "d.bin").write_bytes(np.array([3, T.END], "<u2").tobytes() + b"x")
+    rows = T.document_lengths(T.scan_ranges(T.ranges(T.files_in(spark, str(tmp_path)), block=4))).collect()
     got = sorted((r.file.rsplit("/", 1)[1], r.number, r.n_tokens) for r in rows)
-    assert got == [("a.bin", 0, 2), ("a.bin", 1, 0), ("a.bin", 2, 3), ("a.bin", 3, 1), ("b.bin", 0, 10)]
+    assert got == [("a.bin", 0, 2), ("a.bin", 1, 0), ("a.bin", 2, 3), ("a.bin", 3, 1), ("b.bin", 0, 10), ("d.bin", 0, 1)]
 
 
 def test_odd_rows_across_small_blocks(spark, make_docs, encode, tmp_path):
     rows = [*ODD, *ODD, (7, "many words " * 500)]
-    T.pack(make_docs(rows).repartition(3), block=11).write.parquet(str(tmp_path / "packed"))
-    packed = spark.read.parquet(str(tmp_path / "packed"))
-    blocks, order = packed.where("ids is not null"), packed.where("ids is null").select("file", "number", "doc_id")
-    met = order.join(T.document_lengths(T.scan_blocks(blocks), group=3), ["file", "number"], "full").collect()
+    T.write_files(make_docs(rows).repartition(3), f"file:{tmp_path}/tokens").write.parquet(str(tmp_path / "written"))
+    written = spark.read.parquet(str(tmp_path / "written"))
+    files, order = written.where("size is not null"), written.where("size is null").select("file", "number", "doc_id")
+    assert {r.file.rsplit("/", 1)[1]: r.size for r in files.collect()} == {p.name: p.stat().st_size for p in (tmp_path / "tokens").iterdir()}
+    scanned = T.scan_ranges(T.ranges(files.select("file", "size"), block=11))
+    met = order.join(T.document_lengths(scanned, group=3), ["file", "number"], "full").collect()
     text = dict(rows)
     assert len(met) == len(rows) and all(r.n_tokens == len(encode(text[r.doc_id] or "")) for r in met)
-    assert T.pack(make_docs(ODD).limit(0)).collect() == []
+    assert T.write_files(make_docs(ODD).limit(0), str(tmp_path / "none")).collect() == []
