@@ -10,19 +10,22 @@ the text is taken again from the containers on that path. A page without such
 a container falls back to its own best one.
 
 Votes are pre-aggregated, so a host with a third of all pages sends one row
-per task and path. Winners are broadcast if their counted number allows,
+per task and path. Winners are broadcast if their counted bytes allow,
 otherwise joined by a shuffle that the adaptive planner may split.
 
 Defined results: a null, empty or text-less page gives an empty text; a null
 or unusual url counts as one host of its own kind; markup errors (unclosed or
 stray tags, cut entities) are read as browsers do for block structure; equal
-votes go to the path first in order.
+votes go to the outer container. Time and memory grow with the page's length,
+however deep its tags are nested.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import by_bytes, stored, table
 
 # Tags by their part in a page.
 CONTAINERS = frozenset("body article main section div td center".split())
@@ -41,7 +44,7 @@ BLOCKS = frozenset(
 #: Tags whose whole content is never article text.
 DROPPED = frozenset("nav aside footer form noscript dialog menu template iframe object button select figure-ad".split())
 #: Their content isn't markup.
-RAW = "script|style|title|textarea|svg|math|xmp|noembed|noframes"
+RAW = "script|style|title|textarea|svg|noembed|noframes"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 #: Words in a class, id or role that mark what isn't the article.
@@ -64,17 +67,28 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^
 VOTES = 3
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
-    path: str
+    step: str  # tag and classes, numbers as #
     parent: "Element | None"
     dropped: bool
     bonus: float
+    in_article: bool
+    depth: int
+    key: bytes  # digest of the path, so that deep ones take no more room
     text: float = 0.0
     linked: float = 0.0
     blocks: int = 0
 
+    @property
+    def path(self) -> str:
+        steps, e = [], self
+        while e is not None and e.step:
+            steps.append(e.step)
+            e = e.parent
+        return "/".join(reversed(steps))
+
 
 @dataclass
 class Page:
@@ -88,25 +102,26 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)} if raw.strip() else {}
 
 
-def _element(tag: str, raw: str, parent: Element | None) -> Element:
+def _element(tag: str, raw: str, parent: Element) -> Element:
     a = _attributes(raw)
     names = " ".join(a.get(k, "") for k in ("class", "id", "role"))
     step = tag + "".join("." + re.sub(r"\d+", "#", c) for c in sorted(a.get("class", "").split())[:3])
-    inside_article = parent is not None and re.search(r"(^|/)(article|main)\b", parent.path)
-    unlikely = tag in DROPPED or "hidden" in a or a.get("aria-hidden") == "true" or (tag == "header" and not inside_article)
-    if tag not in ("body", "article", "main", "html") and UNLIKELY.search(names) and not (tag == "header" and inside_article):
+    unlikely = tag in DROPPED or "hidden" in a or a.get("aria-hidden") == "true" or (tag == "header" and not parent.in_article)
+    if tag not in ("body", "article", "main", "html") and UNLIKELY.search(names) and not (tag == "header" and parent.in_article):
         unlikely = True
     bonus = {"article": 2.0, "main": 1.6, "section": 1.1}.get(tag, 1.0) * (1.25 if LIKELY.search(names) else 1.0)
-    path = step if parent is None or parent.tag == "html" else f"{parent.path}/{step}"
-    return Element(tag, path, parent, unlikely or (parent is not None and parent.dropped), bonus)
+    key = hashlib.blake2b(step.encode(), digest_size=16, key=parent.key).digest()
+    return Element(tag, step, parent, unlikely or parent.dropped, bonus, parent.in_article or tag in ("article", "main"), parent.depth + 1, key)
 
 
 def parse(source: str) -> Page:
     """One pass over the markup: containers on a stack, text gathered up to
-    the next block border. Inline tags leave no trace, ``br`` is white space."""
+    the next block border. Inline tags leave no trace, ``br`` is white space.
+    Beyond the last ``>`` there is no tag to look for."""
     page = Page()
-    root = Element("html", "", None, False, 0.5)
+    root = Element("html", "", None, False, 0.5, False, 0, b"")
     stack = [root]
+    open_tags: Counter[str] = Counter()  # on the stack
     text: list[str] = []
     linked = 0
     in_link = in_head = False
@@ -126,7 +141,7 @@ def parse(source: str) -> Page:
             text.clear()
         linked = 0
 
-    for m in TOKEN.finditer(source):
+    for m in TOKEN.finditer(source, 0, source.rfind(">") + 1):
         if m.start() > at and not in_head:
             piece = source[at : m.start()]
             text.append(piece)
@@ -152,16 +167,17 @@ def parse(source: str) -> Page:
         if tag in VOID or tag in ("p", "li", "dt", "dd", "tr", "th", "html") or tag[0] == "h" and len(tag) == 2:
             continue
         if not closing:
-            if tag == "body" and any(e.tag == "body" for e in stack):
+            if tag == "body" and open_tags["body"]:
                 continue
             element = _element(tag, m[4] or "", stack[-1])
             page.elements.append(element)
             if not (m[4] or "").rstrip().endswith("/"):
                 stack.append(element)
-        elif any(e.tag == tag for e in stack[1:]):
-            while stack[-1].tag != tag:
-                stack.pop()
-            stack.pop()
+                open_tags[tag] += 1
+        elif open_tags[tag]:
+            while (last := stack.pop().tag) != tag:
+                open_tags[last] -= 1
+            open_tags[tag] -= 1
     if at < len(source) and not in_head:
         text.append(re.sub(r"<[a-zA-Z/!][^>]*\Z", "", source[at:]))
     flush()
@@ -173,17 +189,18 @@ def scores(page: Page) -> list[tuple[float, Element]]:
     """Containers by score, best first: their own blocks, and half of those
     of the elements right below, times what tag and class say."""
     points = {id(e): (e.text, e.linked) for e in page.elements}
-    for e in page.elements:
-        up, share = e.parent, 0.5
-        # a list, quote or table counts in full for the container around it
-        while up is not None and e.blocks and not e.dropped:
-            if e.tag not in CONTAINERS:
-                share = 1.0
-            t, x = points[id(up)]
-            points[id(up)] = (t + share * e.text, x + share * e.linked)
-            if up.tag in CONTAINERS:
-                break
-            up = up.parent
+    passed: dict[int, tuple[float, float]] = {}  # what goes on to the element above
+    for e in sorted(page.elements, key=lambda e: -e.depth):
+        if e.parent is None:
+            continue
+        # a list, quote or table counts in full, up to the next container
+        share = (0.5 if e.tag in CONTAINERS else 1.0) if e.blocks and not e.dropped else 0.0
+        t, x = (0.0, 0.0) if e.tag in CONTAINERS else passed.get(id(e), (0.0, 0.0))
+        t, x = t + share * e.text, x + share * e.linked
+        if t or x:
+            for table in (points, passed):
+                own = table.get(id(e.parent), (0.0, 0.0))
+                table[id(e.parent)] = (own[0] + t, own[1] + x)
     out = []
     for order, e in enumerate(page.elements):
         t, x = points[id(e)]
@@ -192,27 +209,22 @@ def scores(page: Page) -> list[tuple[float, Element]]:
     return [(s, e) for s, _, e in sorted(out, key=lambda x: (-x[0], -x[1])) if s > 0]
 
 
-def text_on(page: Page, path: str | None) -> str:
+def text_on(page: Page, key: bytes | None) -> str:
     """The blocks of all containers on the path, else of the best one."""
-    chosen = {id(e) for e in page.elements if e.path == path and not e.dropped} if path is not None else set()
-    if not any(_inside(e, chosen) and not e.dropped for _, e in page.blocks):
+    chosen = {id(e) for e in page.elements if e.key == key and not e.dropped} if key is not None else set()
+    kept = _within(page, chosen)
+    if not kept:
         best = scores(page)
-        chosen = {id(best[0][1])} if best else set()
-    return "\n".join(b for b, e in page.blocks if not e.dropped and _inside(e, chosen))
-
-
-def _inside(e: Element | None, chosen: set[int]) -> bool:
-    while e is not None:
-        if id(e) in chosen:
-            return True
-        e = e.parent
-    return False
+        kept = _within(page, {id(best[0][1])}) if best else []
+    return "\n".join(kept)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+def _within(page: Page, chosen: set[int]) -> list[str]:
+    """Blocks that stand in one of the chosen elements and aren't dropped."""
+    inside: dict[int, bool] = {}
+    for e in sorted(page.elements, key=lambda e: e.depth):
+        inside[id(e)] = id(e) in chosen or (e.parent is not None and inside[id(e.parent)])
+    return [b for b, e in page.blocks if inside[id(e)] and not e.dropped]
 
 
 def host_of(url: str = "url"):
@@ -220,43 +232,45 @@ def host_of(url: str = "url"):
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """``(host, path, points)``: one vote a page, shared by score among its
-    best containers, added up within a task."""
-    arrow = pa.schema([("host", pa.string()), ("path", pa.string()), ("points", pa.float64()), ("pages", pa.int64())])
+    """``(host, path, depth, points)``: one vote a page, shared by score among
+    its best containers, added up within a task. ``path`` is the path's digest."""
+    arrow = pa.schema([("host", pa.string()), ("path", pa.binary()), ("depth", pa.int32()), ("points", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, 2048):
-            own: dict[tuple[str, str], list] = {}
+        for batch in by_bytes(batches, 1, 2048):
+            own: dict[tuple[str, bytes], list] = {}
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 best = scores(parse(source or ""))[:VOTES]
                 total = sum(s for s, _ in best)
                 for s, e in best:
-                    box = own.setdefault((host, e.path), [0.0, 0])
-                    box[0] += s / total
-                    box[1] += 1
-            rows = [(h, p, x, n) for (h, p), (x, n) in own.items()]
+                    box = own.setdefault((host, e.key), [e.depth, 0.0])
+                    box[1] += s / total
+            rows = [(h, p, d, x) for (h, p), (d, x) in own.items()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), arrow)], schema=arrow)
 
-    return pages.select(host_of().alias("host"), "html").mapInArrow(run, "host string, path string, points double, pages long")
+    return pages.select(host_of().alias("host"), "html").mapInArrow(run, "host string, path binary, depth int, points double")
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """``(host, path)`` with the most points; points are rounded so that their
-    order doesn't depend on the order of adding."""
-    total = votes(pages).groupBy("host", "path").agg(F.round(F.sum("points"), 6).alias("points"))
-    best = F.min_by("path", F.struct((-F.col("points")).alias("p"), "path"))
+    """``(host, path)`` with the most points, of equal ones the path of the
+    outer container; points are rounded so that their order doesn't depend on
+    the order of adding."""
+    total = votes(pages).groupBy("host", "path").agg(F.round(F.sum("points"), 6).alias("points"), F.min("depth").alias("depth"))
+    best = F.min_by("path", F.struct((-F.col("points")).alias("p"), "depth", "path"))
     return total.groupBy("host").agg(best.alias("path"))
 
 
-#: Hosts up to which the winners are broadcast.
-BROADCAST_HOSTS = 200_000
+#: Hosts up to which the winners are broadcast, and bytes that these may take:
+#: a path is a digest, only the names of hosts vary.
+BROADCAST_HOSTS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text``, the main text of ``html``."""
     winners = stored(winning_paths(pages), "host-paths")
-    few = winners.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    size = winners.agg(F.count("*").alias("n"), F.sum(F.octet_length("host") + 64).alias("b")).first()
+    few = size.n <= BROADCAST_HOSTS and (size.b or 0) <= BROADCAST_BYTES
     keep = pages.drop("text")
     winners = winners.select(F.col("host").alias("_host"), F.col("path").alias("_path"))
     met = keep.withColumn("_host", host_of()).join(F.broadcast(winners) if few else winners, "_host", "left")
@@ -266,7 +280,7 @@ def extract(pages: DataFrame) -> DataFrame:
     schema = keep.withColumn("text", F.lit("").cast("string")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in by_bytes(batches, at, 256):
             paths = batch.column(len(names)).to_pylist()
             texts = [text_on(parse(s or ""), p) for s, p in zip(batch.column(at).to_pylist(), paths)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*names, "text"])
