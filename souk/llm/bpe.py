@@ -36,8 +36,8 @@ from .common import DOCUMENT_COLUMNS, table, text_or_empty
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 TOKENIZERS = "/opt/tokenizers"
 
-#: Characters of a leaf.
-LEAF = 1 << 14
+#: Characters of a leaf: most documents are several.
+LEAF = 1 << 11
 #: Characters on either side of a seam that are looked at first.
 REACH = 32
 
