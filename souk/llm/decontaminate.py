@@ -213,9 +213,12 @@ class Index:
             hit = np.repeat(maybe, high - low)
             place = np.arange(len(hit)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + np.repeat(low, high - low)
             for n in np.unique(lengths[place]).tolist():
-                at = hit[lengths[place] == n]
-                starts = (at[:, None] - np.arange(n - size + 1)[None, :]).reshape(-1)
-                starts = np.unique(starts[(starts >= 0) & (starts <= n_words - n)])
+                at, room = hit[lengths[place] == n], n_words - n + 1
+                if room <= 0:
+                    continue
+                # a shingle lies in the windows of a range of starts; their union by its edges
+                edges = np.bincount(np.clip(at - (n - size), 0, room), minlength=room + 1) - np.bincount(np.minimum(at + 1, room), minlength=room + 1)
+                starts = np.flatnonzero(np.cumsum(edges[:-1]))
                 if len(starts):
                     out.setdefault(n, []).append(starts)
         return {n: np.unique(np.concatenate(x)) for n, x in out.items()}

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -157,3 +158,21 @@ def test_ties_are_alike(spark, make_docs):
         got = found_in(spark, make_docs, texts, items)
         assert set(got) == {(k, k) for k in range(n)}
         assert all(r.similarity == 0.75 for r in got.values())
+
+
+def test_long_items_take_room_in_proportion():
+    """An item of 50,000 words and a text that holds it: the table of its
+    windows grows with the text, not with the text times the item."""
+    import tracemalloc
+
+    draw = random.Random(21)
+    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(50_000)]
+    index = D.Index([(1, " ".join(words).encode()), (2, " ".join(words[:7]).encode())])
+    text = " ".join(["before", *words[:-40], "changed", *words[-39:], "after"]).encode()
+    tracemalloc.start()
+    begin = time.perf_counter()
+    (found,) = index.matches([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(i, start) for i, start, *_ in found} == {(1, 1), (2, 1)}
+    assert peak < 200 << 20 and time.perf_counter() - begin < 60
