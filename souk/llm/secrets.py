@@ -8,13 +8,13 @@ Where no token can gain by leaving outside, whatever its neighbours are tagged,
 all are outside without decoding; that is a bound, not a model of its own.
 
 The field is trained here: pieces of the chains of all documents are its
-labelled rows, at most ``MAX_RUNS`` with a base span, as many without one that
-hold a token of mixed signs or a word that names secrets, and as many of
-ordinary words, chosen by a hash. Their labels are the base spans (of assignments
-the value). Each secret piece is also shown with its value drawn anew from other
-alphabets and over several words, and pieces are shown without their neighbours
-half of the time, so that secrets of other makes and in other places are
-learned as well.
+labelled rows, at most ``MAX_RUNS`` with a token of mixed signs or a word that
+names secrets, as many of ordinary words, and of those with a base span
+``AS_FOUND``, chosen by a hash. Their labels are the base spans (of assignments
+the value). Pieces with a secret are shown again with values drawn anew, until
+they are ``MAX_RUNS`` as well: from other alphabets, with a prefix and groups,
+over several words; and pieces are shown without their neighbours half of the
+time, so that secrets of other makes and in other places are learned as well.
 
 Spark deals out the documents and nothing but the sample is exchanged.
 Defined results: a null or empty text has no spans; with no base span in the
@@ -55,8 +55,12 @@ ASSIGN_KEYS = ("passw", "secret", "token", "apikey", "api_key")
 #: Of 24 hex digits in a row, every third one makes a row of 8.
 EVERY_THIRD = re.compile(r"[0-9a-f]{8}")
 
-#: Labelled pieces of each class used for training.
+#: Labelled pieces of each class used for training. Of those with a secret a
+#: tenth at most is as found; their values drawn anew fill the class.
 MAX_RUNS = 4_000
+AS_FOUND = MAX_RUNS // 10
+#: Pieces without a secret that one text gives at most, of either class.
+A_TEXT = 8
 FEATURES = 1 << 12
 EPOCHS, RATE, DECAY = 120, 0.3, 1e-3
 
@@ -67,12 +71,15 @@ TURN = re.compile(r"[0-9]|[a-z][A-Z]")
 ITEM = re.compile(r"[0-9A-Za-z_+/.\-]+|[^\s0-9A-Za-z_+/.\-]|\n")
 TOKEN = re.compile(r"[0-9A-Za-z_+/.\-]")
 #: Alphabets of the values that training also shows; of letters alone only in their place.
-ALPHABETS = (string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, string.ascii_letters + string.digits + "+/", string.hexdigits[:16])
+MIXED_SIGNS = string.ascii_letters + string.digits
+ALPHABETS = (MIXED_SIGNS, string.ascii_uppercase + string.digits, MIXED_SIGNS + "+/", string.hexdigits[:16], string.digits + "ABCDEF")
 LETTERS = (string.ascii_lowercase, string.ascii_uppercase)
 #: Words that often name a secret.
-TRIGGER = re.compile(r"pass|pwd|secret|token|key|cred|auth|bearer|private|signature|session", re.IGNORECASE)
+TRIGGERS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "private", "signature", "session")
+TRIGGER = re.compile("|".join(TRIGGERS), re.IGNORECASE)
 #: From this length on, tokens with a digit or a turn make a file dense.
 LEAST_TOKEN = 8
+LONG = re.compile(rf"[0-9A-Za-z_+/.\-]{{{LEAST_TOKEN},}}")
 #: Items seen before and after a token; tokens of a piece, and beside a secret in one.
 BEFORE, AFTER = 4, 2
 PIECE, BESIDE = 8, 4
@@ -118,6 +125,16 @@ def _mixed(word: str) -> bool:
     return len(word) >= LEAST_TOKEN and TURN.search(word) is not None
 
 
+def _has_trigger(text: str) -> bool:
+    return any(map(text.lower().__contains__, TRIGGERS))
+
+
+def _has_mixed(text: str) -> bool:
+    """Whether a token may be mixed; if not, none is."""
+    reach = LEAST_TOKEN - 1
+    return any(LONG.search(text, max(0, m.start() - reach), m.end() + reach) for m in TURN.finditer(text))
+
+
 @lru_cache(1 << 16)
 def shape_features(word: str) -> tuple[int, ...]:
     n = len(word)
@@ -229,6 +246,9 @@ class Field:
         return bool((gain < -1e-9).all())
 
 
+IS_TOKEN, IS_TRIGGER, IS_MIXED = 1, 2, 4
+
+
 class Scorer:
     """Scores of all tokens of a text at a time; words keep theirs."""
 
@@ -241,22 +261,56 @@ class Scorer:
         self.number: dict[str, int] = {}
         self.kinds: dict[str, int] = {}
         self.joints: dict[tuple[int, int], np.ndarray] = {}
-        self.shape, self.kind, self.flags = np.zeros((1024, 3)), np.zeros(1024, np.int64), np.zeros((1024, 3), bool)
+        self.plain: dict[tuple, int] = {}
+        self.bits: dict[tuple, float] = {}
+        #: scores of shapes, and of each word its row there, its kind and flags
+        self.rows, self.used = np.zeros((1024, 3)), 0
+        self.shape, self.kind, self.flags = (np.zeros(1024, t) for t in (np.int64, np.int64, np.uint8))
         self.beside = np.zeros((0, BEFORE + AFTER, 3))
 
+    def row(self, score: np.ndarray | float) -> int:
+        if self.used == len(self.rows):
+            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+        self.rows[self.used] = score
+        self.used += 1
+        return self.used - 1
+
+    def plain_shape(self, word: str) -> int:
+        """The row of the shape of a word of lower-case letters, the first maybe
+        a capital: it hangs on few numbers, and most words are such."""
+        n, letters = len(word), set(word)
+        if len(letters) == n:
+            bits = math.log2(n)
+        else:
+            counts = tuple(sorted(map(word.count, letters)))
+            bits = self.bits.get(counts)
+            if bits is None:
+                bits = self.bits[counts] = _entropy(word)
+        key = (min(n, 64), int(2 * bits), word.strip("abcdef") == "", word[0].isupper())
+        if key not in self.plain:
+            self.plain[key] = self.row(self.field.emit[list(shape_features(word))].sum(axis=0))
+        return self.plain[key]
+
     def learn(self, words: list[str]) -> None:
-        room = len(self.number) + len(words)
-        if room > len(self.kind):
-            grown = lambda x: np.concatenate((x, np.zeros((room, *x.shape[1:]), x.dtype)))
-            self.shape, self.kind, self.flags = grown(self.shape), grown(self.kind), grown(self.flags)
+        start, shapes, kinds, flags = len(self.number), [], [], []
         for w in words:
-            at = len(self.number)
-            token, trigger = TOKEN.match(w) is not None, TRIGGER.search(w) is not None
-            score = self.field.emit[list(shape_features(w))].sum(axis=0) if token else np.zeros(3)
-            self.shape[at] = score + self.weight("trigger inside") if token and trigger else score
-            self.kind[at] = self.kinds.setdefault(_kind(w), len(self.kinds))
-            self.flags[at] = token, trigger, token and _mixed(w)
-            self.number[w] = at
+            self.number[w] = len(self.number)
+            trigger = TRIGGER.search(w) is not None
+            if w.isascii() and w.isalpha() and w[1:].islower():
+                token, mixed, kind, shape = True, False, "word", self.plain_shape(w)
+            else:
+                token = TOKEN.match(w) is not None
+                mixed, kind = token and _mixed(w), _kind(w)
+                shape = self.row(self.field.emit[list(shape_features(w))].sum(axis=0) if token else 0.0)
+            if token and trigger:
+                shape = self.row(self.rows[shape] + self.weight("trigger inside"))
+            shapes.append(shape)
+            kinds.append(self.kinds.setdefault(kind, len(self.kinds)))
+            flags.append(IS_TOKEN * token | IS_TRIGGER * trigger | IS_MIXED * mixed)
+        end = len(self.number)
+        while end > len(self.kind):
+            self.shape, self.kind, self.flags = (np.concatenate((x, np.zeros_like(x))) for x in (self.shape, self.kind, self.flags))
+        self.shape[start:end], self.kind[start:end], self.flags[start:end] = shapes, kinds, flags
         more = list(self.kinds)[len(self.beside) :]
         names = [f"before {k} " for k in range(BEFORE)] + [f"after {k} " for k in range(AFTER)]
         if more:
@@ -271,12 +325,13 @@ class Scorer:
             self.learn(new)
         ids = np.fromiter(map(self.number.__getitem__, items), np.int64, len(items))
         kind, flags = self.kind[ids], self.flags[ids]
-        out = self.shape[ids]
-        any_trigger = flags[:, 1].any()
+        out = self.rows[self.shape[ids]]
+        trigger = (flags & IS_TRIGGER) > 0
+        any_trigger = trigger.any()
         for k in range(min(BEFORE, len(ids) - 1)):
             out[k + 1 :] += self.beside[kind[: -k - 1], k]
             if any_trigger:
-                out[k + 1 :] += flags[: -k - 1, 1, None] * (self.weight(f"trigger {k}") + self.weight("trigger"))
+                out[k + 1 :] += trigger[: -k - 1, None] * (self.weight(f"trigger {k}") + self.weight("trigger"))
         for k in range(min(AFTER, len(ids) - 1)):
             out[: -k - 1] += self.beside[kind[k + 1 :], BEFORE + k]
         wide = len(self.kinds) + 1
@@ -284,9 +339,9 @@ class Scorer:
         second = np.concatenate(([0, 0], kind[:-2] + 1))[: len(ids)]
         pairs, place = np.unique(first * wide + second, return_inverse=True)
         out += np.array([self.joint(p // wide, p % wide) for p in pairs.tolist()])[place]
-        for name in file_features(text, int(flags[:, 2].sum())):
+        for name in file_features(text, int(np.count_nonzero(flags & IS_MIXED))):
             out += self.weight(name)
-        tokens = np.flatnonzero(flags[:, 0])
+        tokens = np.flatnonzero(flags & IS_TOKEN)
         return out[tokens], tokens
 
     def joint(self, first: int, second: int) -> np.ndarray:
@@ -363,7 +418,7 @@ def train(runs: list[tuple[list[list[int]], list[int]]]) -> Field:
 # -- on tables -------------------------------------------------------------
 
 SECRET, MIXED, PLAIN = 0, 1, 2
-PIECE_SCHEMA = "pick long, kind int, items array<string>, first int, tags array<int>, file array<string>, context boolean"
+PIECE_SCHEMA = "pick long, kind int, items array<string>, first int, tags array<int>, file array<string>"
 ARROW_PIECE = pa.schema(
     [
         ("pick", pa.int64()),
@@ -372,23 +427,27 @@ ARROW_PIECE = pa.schema(
         ("first", pa.int32()),
         ("tags", pa.list_(pa.int32())),
         ("file", pa.list_(pa.string())),
-        ("context", pa.bool_()),
     ]
 )
 
 
 class Sample:
-    """Pieces of texts, of each kind the ``limit`` with the smallest picks."""
+    """Pieces of texts, of each kind the ``limit`` with the smallest picks. A
+    pick starts with the hash of the text, so once the kinds are full a text
+    beyond their last ones needn't be cut into pieces at all."""
 
     def __init__(self, limit: int):
         self.limit = limit
         self.kept: list[dict[int, tuple]] = [{}, {}, {}]
         self.most = [math.inf] * 3
 
+    def wants(self, kind: int, text_hash: int) -> bool:
+        return text_hash << 31 <= self.most[kind]
+
     def add(self, kind: int, pick: int, row: tuple) -> None:
         kept = self.kept[kind]
         kept[pick] = min(row, kept.get(pick, row))
-        if len(kept) >= 2 * self.limit + 1000:
+        if len(kept) >= self.limit + 1000:
             self.kept[kind] = dict(sorted(kept.items())[: self.limit])
             self.most[kind] = max(self.kept[kind], default=-1)
 
@@ -397,66 +456,91 @@ class Sample:
 
 
 def add_pieces(text: str, sample: Sample) -> None:
+    """Cuts a text into pieces: each secret with its neighbours, and of what
+    lies between them ``A_TEXT`` of either class, chosen by their hash."""
+    spans = value_spans(text)
+    text_hash = zlib.crc32(text.encode()) >> 1
+    wanted = [sample.wants(kind, text_hash) for kind in range(3)]
+    wanted[SECRET] &= bool(spans)
+    trigger = (wanted[MIXED] or wanted[PLAIN]) and _has_trigger(text)
+    wanted[MIXED] &= trigger or _has_mixed(text)
+    if not any(wanted):
+        return
     items = ITEM.findall(text)
     places = [k for k, w in enumerate(items) if TOKEN.match(w)]
-    spans = value_spans(text)
-    file = file_features(text, sum(_mixed(w) for w in items))
+    mixed = [_mixed(w) for w in items]
+    file = file_features(text, sum(mixed))
     tags = [OUTSIDE] * len(places)
     if spans:
         matches = [m.span() for m in ITEM.finditer(text)]
         tags = labels_of([matches[k] for k in places], spans)
-    cuts = []
-    for k in (k for k, tag in enumerate(tags) if tag == BEGIN):
+
+    def piece(begin: int, end: int) -> tuple[list[str], int, int]:
+        first, last = places[begin], places[end - 1]
+        low = max(0, first - BEFORE)
+        own = items[low : last + 1 + AFTER]
+        return own, first - low, zlib.crc32("\n".join(own).encode()) >> 1
+
+    for k in (k for k, tag in enumerate(tags) if tag == BEGIN and wanted[SECRET]):
         end = k + 1
         while end < len(tags) and tags[end] == INSIDE:
             end += 1
         begin, end = max(0, k - BESIDE), min(len(tags), end + BESIDE)
         while begin < k and tags[begin] == INSIDE:  # a piece doesn't begin inside
             begin += 1
-        cuts.append((begin, end))
-    cuts += [(k, min(k + PIECE, len(tags))) for k in range(0, len(tags), PIECE) if not any(tags[k : k + PIECE])]
-    for begin, end in cuts:
-        first, last = places[begin], places[end - 1]
-        low = max(0, first - BEFORE)
-        own = items[low : last + 1 + AFTER]
-        words = "\n".join(own[first - low : last + 1 - low])
-        pick = zlib.crc32(words.encode()) << 31 | zlib.crc32("\n".join(own).encode()) >> 1
-        secret = any(tags[begin:end])
-        kind = SECRET if secret else MIXED if TRIGGER.search(words) or any(map(_mixed, own[first - low : last + 1 - low])) else PLAIN
-        if pick >> 3 > sample.most[kind] // 8:
+        own, first, own_hash = piece(begin, end)
+        sample.add(SECRET, text_hash << 31 | own_hash, (own, first, tags[begin:end], file))
+    found: dict[int, list] = {MIXED: [], PLAIN: []}
+    for begin in range(0, len(tags), PIECE):
+        end = min(begin + PIECE, len(tags))
+        if any(tags[begin:end]):
             continue
-        draw = random.Random(pick)
-        sample.add(kind, pick, (own, first - low, tags[begin:end], file, kind != MIXED or draw.random() < 0.5))
-        if secret:
-            for k, row in enumerate(drawn_anew(draw, own, first - low, tags[begin:end]), 1):
-                sample.add(kind, pick ^ k, (row[0], first - low, row[1], file, k > len(ALPHABETS) or draw.random() < 0.5))
-
-
-def drawn_anew(draw: random.Random, items: list[str], first: int, tags: list[int]) -> list[tuple[list[str], list[int]]]:
-    """A piece with other values in place of its secrets: from each alphabet,
-    then over several words."""
-    out = []
-    for alphabet in (*ALPHABETS, *LETTERS, None):
-        made, own, left = list(items[:first]), [], iter(tags)
-        for w in items[first:]:
-            tag = next(left, None) if TOKEN.match(w) else None
-            if not tag:
-                made.append(w)
-                own += [tag] if tag is not None else []
-            elif alphabet is None:
-                parts = ["".join(draw.choices(ALPHABETS[0], k=draw.randint(8, 24))) for _ in range(draw.randint(2, 4))]
-                made += parts
-                own += [tag] + [INSIDE] * (len(parts) - 1)
-            else:
-                made.append("".join(draw.choices(alphabet, k=draw.choice((len(w), draw.randint(8, 48))))))
-                own.append(tag)
-        out.append((made, own))
-    return out
+        inner = slice(places[begin], places[end - 1] + 1)
+        kind = MIXED if any(mixed[inner]) or (trigger and TRIGGER.search("\n".join(items[inner]))) else PLAIN
+        if wanted[kind]:
+            own, first, own_hash = piece(begin, end)
+            found[kind].append((own_hash, own, first, tags[begin:end]))
+    for kind, rows in found.items():
+        for own_hash, own, first, outside in sorted(rows)[:A_TEXT]:
+            sample.add(kind, text_hash << 31 | own_hash, (own, first, outside, file))
+
+
+def drawn_value(draw: random.Random, alphabet: str | None, n: int) -> list[str]:
+    """A secret's words: from one alphabet, of about ``n`` signs or another
+    length; without an alphabet, several words, or a prefix and groups."""
+    if alphabet is not None:
+        return ["".join(draw.choices(alphabet, k=draw.choice((n, draw.randint(8, 20), draw.randint(16, 48)))))]
+    if draw.random() < 0.3:
+        return ["".join(draw.choices(MIXED_SIGNS, k=draw.randint(8, 24))) for _ in range(draw.randint(2, 4))]
+    groups = ["".join(draw.choices(draw.choice(ALPHABETS[:2] + (string.digits,)), k=draw.randint(8, 14))) for _ in range(draw.randint(0, 2))]
+    last = "".join(draw.choices(MIXED_SIGNS, k=draw.randint(16, 40)))
+    head = "".join(draw.choices(string.ascii_lowercase, k=draw.randint(2, 6)))
+    return [draw.choice("_-").join([head, *groups, last])]
+
+
+#: What values are drawn from anew, one after the other.
+MAKES = (*ALPHABETS, None, *LETTERS, None, None)
+
+
+def drawn_anew(draw: random.Random, items: list[str], first: int, tags: list[int], alphabet: str | None) -> tuple[list[str], list[int]]:
+    """A piece with other values in place of its secrets."""
+    made, own, left = list(items[:first]), [], iter(tags)
+    for w in items[first:]:
+        tag = next(left, None) if TOKEN.match(w) else None
+        if not tag:
+            made.append(w)
+            own += [tag] if tag is not None else []
+        else:
+            parts = drawn_value(draw, alphabet, len(w))
+            made += parts
+            own += [tag] + [INSIDE] * (len(parts) - 1)
+    return made, own
 
 
-def training_runs(docs: DataFrame, limit: int = MAX_RUNS) -> list[tuple[list[list[int]], list[int]]]:
-    """At most ``limit`` pieces of each kind, over all documents. Equal pieces
-    count once, so copies of a text don't fill the sample."""
+def training_runs(docs: DataFrame, limit: int = MAX_RUNS, as_found: int = AS_FOUND) -> list[tuple[list[list[int]], list[int]]]:
+    """``limit`` pieces of each kind, over all documents: of the secret ones
+    ``as_found`` at most, and then these with values drawn anew. Copies of a
+    text count once."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sample = Sample(limit)
@@ -470,13 +554,32 @@ def training_runs(docs: DataFrame, limit: int = MAX_RUNS) -> list[tuple[list[lis
 
     labelled = docs.select(text_or_empty().alias("text")).mapInArrow(label, PIECE_SCHEMA)
     # three bounded heads; each task keeps `limit` rows of its own
-    piece = F.min(F.struct("items", "first", "tags", "file", "context")).alias("piece")
+    piece = F.min(F.struct("items", "first", "tags", "file")).alias("piece")
     once = stored(labelled.groupBy("pick", "kind").agg(piece), "secret-runs")
-    out = []
-    for kind in (SECRET, MIXED, PLAIN):
-        for r in once.where(F.col("kind") == kind).orderBy("pick").limit(limit).select("piece.*").collect():
-            at = [k for k in range(r["first"], len(r["items"])) if TOKEN.match(r["items"][k])][: len(r.tags)]
-            out.append(([token_features(r["items"], k, r.file, r.context) for k in at], list(r.tags)))
+    heads = {
+        kind: once.where(F.col("kind") == kind).orderBy("pick").limit(as_found if kind == SECRET else limit).select("pick", "piece.*").collect()
+        for kind in (SECRET, MIXED, PLAIN)
+    }
+    out: list[tuple[list[list[int]], list[int]]] = []
+
+    def show(items: list[str], first: int, tags: list[int], file: list[str], context: bool) -> None:
+        at = [k for k in range(first, len(items)) if TOKEN.match(items[k])][: len(tags)]
+        out.append(([token_features(items, k, file, context) for k in at], tags))
+
+    found = heads[SECRET]
+    for k in range(limit if found else 0):
+        r, turn = found[k % len(found)], k // len(found)
+        draw = random.Random(r.pick + turn)
+        if not turn:
+            show(r["items"], r["first"], list(r.tags), r.file, True)
+        else:
+            made = drawn_anew(draw, r["items"], r["first"], list(r.tags), MAKES[(k + turn) % len(MAKES)])
+            # letters alone are known as a secret by their place only
+            alone = MAKES[(k + turn) % len(MAKES)] not in LETTERS and draw.random() < 0.5
+            show(made[0], r["first"], made[1], r.file, not alone)
+    for kind in (MIXED, PLAIN):
+        for r in heads[kind]:
+            show(r["items"], r["first"], list(r.tags), r.file, kind == PLAIN or random.Random(r.pick).random() < 0.5)
     return out
 
 

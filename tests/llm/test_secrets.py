@@ -134,3 +134,47 @@ def test_secrets_of_letters_and_of_several_words(make_docs):
     for secret in ("correcthorsebattery", "CORRECTHORSEBATTERY", "q8ZkR2mW4xT7b\nN1vC5yL9pH3aa9"):
         assert found(f"{prose(9)}\npwd: {secret} {prose(9)}") == [secret]
     assert found(prose(400)) == []
+
+
+HEX_UPPER = "0123456789ABCDEF"
+LETTERS_AND_DIGITS = "".join(chr(c) for r in ((48, 58), (65, 91), (97, 123)) for c in range(*r))
+
+#: Secrets of makes that no base pattern knows: what stands before them, and themselves.
+PLANTED = {
+    "bearer": lambda d: ("Authorization: Bearer ", "".join(d.choices(LETTERS_AND_DIGITS, k=36))),
+    "private key": lambda d: ('private_key = "', "".join(d.choices(LETTERS_AND_DIGITS + "+/", k=48))),
+    "pwd": lambda d: ("pwd: ", "".join(d.choices(LETTERS_AND_DIGITS, k=14))),
+    "prefix and groups": lambda d: ("", f"xoxb-{d.randrange(10**11, 10**12)}-" + "".join(d.choices(LETTERS_AND_DIGITS, k=24))),
+    "prefix": lambda d: ("", "ghp_" + "".join(d.choices(LETTERS_AND_DIGITS, k=36))),
+    "upper hex": lambda d: ("session ", "".join(d.choices(HEX_UPPER, k=32))),
+}
+
+
+def planted_recall(field, texts, n=100):
+    """Share of planted secrets of each make that the field's spans cover, and
+    the field's spans in the texts as they are."""
+    draw, scorer = random.Random(12), S.Scorer(field)
+    clean = [t for t in texts if t and not S.base_spans(t)]
+    found = {}
+    for make, drawn in PLANTED.items():
+        hits = 0
+        for _ in range(n):
+            words = draw.choice(clean).split(" ")
+            lead, secret = drawn(draw)
+            at = draw.randint(0, len(words))
+            text = " ".join([*words[:at], lead + secret, *words[at:]])
+            a = text.index(lead + secret) + len(lead)
+            hits += any(k == 3 and s <= a and a + len(secret) <= e for s, k, e in S.spans_of(text, scorer))
+        found[make] = hits / n
+    false = sum(k == 3 for t in clean for _, k, _ in S.spans_of(t, scorer))
+    return found, 1000 * false / len(clean)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_of_other_makes(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    field = S.train(S.training_runs(docs))
+    found, false = planted_recall(field, [r.text for r in docs.limit(3000).collect()])
+    print(sf, found, false)
+    assert min(found.values()) >= 0.9, found
+    assert false <= 20, false
