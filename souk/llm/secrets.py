@@ -293,10 +293,18 @@ class Scorer:
 
     def learn(self, words: list[str]) -> None:
         start, shapes, kinds, flags = len(self.number), [], [], []
+        both = "\n".join(words)
+        some = not both.isascii() or _has_trigger(both)
+        plain = self.kinds.setdefault("word", len(self.kinds))
         for w in words:
             self.number[w] = len(self.number)
-            trigger = TRIGGER.search(w) is not None
+            trigger = some and TRIGGER.search(w) is not None
             if w.isascii() and w.isalpha() and w[1:].islower():
+                if not trigger:
+                    shapes.append(self.plain_shape(w))
+                    kinds.append(plain)
+                    flags.append(IS_TOKEN)
+                    continue
                 token, mixed, kind, shape = True, False, "word", self.plain_shape(w)
             else:
                 token = TOKEN.match(w) is not None
