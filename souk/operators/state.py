@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.derive import exact_parts, hundredths, money, price_bucket, safe_div, spend_parts
-from ..functions.order_free import AMOUNT, LIMB, combined, limb_sum, limbs, special_sum, value_of, with_limbs
+from ..functions.order_free import AMOUNT, LIMB, combined, finite, limb_sum, limbs, special_sum, value_of, with_limbs
 from ..functions.predicates import non_empty
 from ..schema import HIGH_PRICE, PRICE_DECIMAL, QTY_DECIMAL
 from .quantiles import join_null_safe, middle_values
@@ -73,6 +73,24 @@ class State:
             ]
         return full.groupBy(*self.keys, LIMB).agg(*aggs)
 
+    def each(self, rows: DataFrame) -> DataFrame:
+        """Every row as a state of its own, in the form of :meth:`of`: what
+        :meth:`merged` takes together anyway needn't be exchanged before."""
+        counted = [f().alias(f"{n}_c") for n, f in self.counts.items()]
+        parts = [p.alias(f"{n}_{k}") for n, f in self.sums.items() for k, p in zip(("x", "r"), f())]
+        full = with_limbs(rows.select(*self.keys, *counted, *parts), [f"{n}_r" for n in self.sums])
+        base = F.col(LIMB).isNull()
+        one = lambda c: F.when(c, 1).otherwise(0).cast("long")
+        cols = [one(base).alias("rows")] + [one(base & F.col(f"{n}_c").isNotNull()).alias(n) for n in self.counts]
+        for k, n in enumerate(self.sums):
+            rest = F.col(f"{n}_r")
+            cols += [
+                self._number(n, F.when(base, F.col(f"{n}_x"))).alias(f"{n}_exact"),
+                F.when(base & ~finite(rest), rest).alias(f"{n}_special"),
+                F.when(F.col("of") == k, F.col("amount")).cast(AMOUNT).alias(f"{n}_limb"),
+            ]
+        return full.select(*self.keys, LIMB, *cols)
+
     def merged(self, *states: DataFrame) -> DataFrame:
         """One state of several: a keyed aggregate of sums."""
         every = states[0]

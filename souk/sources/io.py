@@ -156,6 +156,13 @@ def write_table(
     w.options(**(options or {})).format(fmt).save(path)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once and read back, for what takes several passes: each
+    of them scans files instead of making the rows again."""
+    write_table(df, path)
+    return read_table(df.sparkSession, path, schema=df.schema)
+
+
 def clustered_for_write(df: DataFrame, keys: Sequence[str], how: str = "rebalance") -> DataFrame:
     """Cluster rows by the partition keys before a partitioned write.
 

@@ -77,7 +77,7 @@ class Versions:
         new = state.of(rows)
         self.schemas[name] = new.schema
         if not replace and any((name, m) in self.runs for m in months):
-            new = state.merged(self.read(name, new.schema, months), new)
+            new = state.merged(self.read(name, new.schema, months), state.each(rows))
         io.write_table(io.clustered_for_write(new, [MONTH]), self.path(name, run), partition_by=[MONTH])
         self.runs |= {(name, m): run for m in months}
 
