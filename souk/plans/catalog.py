@@ -225,9 +225,9 @@ def q_dynamic_overwrite(spark, sf_dir):
     """Write the whole silver table, then overwrite dynamically with a new
     batch: partitions present in the batch are replaced, all others stay."""
     path = scratch_path(spark, "dynamic")
-    s = silver(spark, sf_dir)
-    io.write_silver(s, path)
-    batch = s.filter(L.year_filter(ROUNDTRIP_YEAR) & (F.col("invoice_month") <= 6) & (F.col("quantity") <= 25))
+    io.write_silver(silver(spark, sf_dir), path)
+    # a dynamic overwrite puts its partitions in place once all rows are read
+    batch = _read_silver(spark, path).filter(L.year_filter(ROUNDTRIP_YEAR) & (F.col("invoice_month") <= 6) & (F.col("quantity") <= 25))
     io.write_silver(batch, path, mode="overwrite", overwrite="dynamic")
     return _read_silver(spark, path)
 
@@ -357,9 +357,9 @@ def q_quarantined_lines(spark, sf_dir):
 
 @register("append_roundtrip", O.W_CLEAN + "SELECT * FROM clean")
 def q_append_roundtrip(spark, sf_dir):
-    """Silver written in two halves, the second one appended."""
+    """Silver written in two halves, the second one appended. Made once."""
     path = scratch_path(spark, "append")
-    s = silver(spark, sf_dir)
+    s = stored_silver(spark, sf_dir)
     early = F.coalesce(F.col("invoice_month") <= 6, F.lit(False))
     io.write_silver(s.where(early), path)
     io.write_silver(s.where(~early), path, mode="append")
