@@ -48,7 +48,7 @@ from souk.operators import model as M  # noqa: E402
 from souk.operators import sampling as S  # noqa: E402
 from souk.operators import state as ST  # noqa: E402
 from souk.schema import RAW_SCHEMA, SILVER_SCHEMA  # noqa: E402
-from souk.session import ensure_checkpoint_dir  # noqa: E402
+from souk.session import ensure_checkpoint_dir, staging_session  # noqa: E402
 from souk.sources import io  # noqa: E402
 from souk.sources.fixture import transactions_raw  # noqa: E402
 from souk.sources.versions import Versions  # noqa: E402
@@ -246,7 +246,7 @@ def stage_input(spark: SparkSession, states: Versions, run_id: str, args) -> Non
 
     In a session of its own: one that has observed something can't be part of
     a closure any more, and fitted models send theirs to the tasks."""
-    rows, rejects = C.observed_rejects(C.staged(read_raw(spark.newSession(), args)))
+    rows, rejects = C.observed_rejects(C.staged(read_raw(staging_session(spark), args)))
     states.add_lines("staged", rows, run_id, [C.IS_MALFORMED])
     states.add_lines("rejects", C.reject_table(spark, rejects), run_id)
 

@@ -27,7 +27,7 @@ from ..operators import model as M
 from ..operators import sampling as S
 from ..operators import state as ST
 from ..schema import RAW_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
-from ..session import scratch_path
+from ..session import scratch_path, staging_session
 from ..sources import io
 from ..sources.fixture import malls, read_table, transactions_raw
 from ..sources.versions import Versions
@@ -333,7 +333,7 @@ _RULES_SQL["any"] = " AND ".join(f"({r})" for r in _RULES_SQL.values())
 )
 def q_rejected_by_rule(spark, sf_dir):
     """Rows that fail each rule, counted while the staged table is written."""
-    rows, rejects = C.observed_rejects(C.staged(raw(spark.newSession(), sf_dir)))
+    rows, rejects = C.observed_rejects(C.staged(raw(staging_session(spark), sf_dir)))
     io.write_table(rows, scratch_path(spark, "observed"), partition_by=[C.IS_MALFORMED])
     return C.reject_table(spark, rejects)
 
@@ -351,7 +351,8 @@ def q_quarantined_lines(spark, sf_dir):
     short = lines.where(F.col("invoice_no").rlike("^[A-Za-z0-9]+$")).select(F.lit("broken").alias("invoice_no"), F.col("invoice_no").alias("customer_id"))
     io.write_table(short, path, fmt="csv", mode="append")
     staged = scratch_path(spark, "staged_lines")
-    io.write_table(C.staged(io.read_transactions(spark, path, malformed=C.MALFORMED)), staged, partition_by=[C.IS_MALFORMED])
+    every = io.read_transactions(staging_session(spark), path, malformed=C.MALFORMED)
+    io.write_table(C.staged(every), staged, partition_by=[C.IS_MALFORMED])
     return C.malformed_lines(io.read_table(spark, staged))
 
 

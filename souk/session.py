@@ -58,6 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+def staging_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for one pass that deals rows into two folders: it
+    keeps a file open for each, so no task holds and sorts its rows first (a
+    part of a file of short lines is many rows)."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+    return own
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
