@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import exact_mean
 from ..functions.predicates import non_empty, numeric_text
+from ..session import scratch_path
+from ..sources.io import stored
 from .joins import MAX_BROADCAST_BYTES, small_side
 from .quantiles import exact_median
 from .topn import top_n
@@ -72,7 +74,9 @@ def category_prices(raw: DataFrame, left: str = "category", value: str = "price"
 
 
 def cluster_outcomes(prices: DataFrame, value: str = "price", **median_kw) -> DataFrame:
-    """Per entity: count, mean and exact median of ``value``."""
+    """Per entity: count, mean and exact median of ``value``. The values are
+    written once into the checkpoint folder and read for each."""
+    prices = stored(prices, scratch_path(prices.sparkSession, "cluster-values"))
     stats = prices.groupBy("entity").agg(F.count(F.col(value)).alias("count"), exact_mean(value).alias("mean"))
     med = exact_median(prices, ["entity"], value, **median_kw).select("entity", "median")
     return stats.join(med, stats["entity"].eqNullSafe(med["entity"])).select(
