@@ -30,10 +30,11 @@ import re
 import string
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
-from itertools import accumulate, islice, takewhile
+from functools import cached_property, lru_cache
+from itertools import accumulate, count, islice, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 KINDS = ["assign", "access", "hex", "crf"]
 #: Any ASSIGN match holds one of these in lower case.
 ASSIGN_KEYS = ("passw", "secret", "token", "apikey", "api_key")
-#: Of 24 hex digits in a row, every third one makes a row of 8.
+#: Of 24 hex digits in a row, every third one makes a row of 8, wherever the count begins.
 EVERY_THIRD = re.compile(r"[0-9a-f]{8}")
 
 #: Labelled pieces of each class used for training. Of those with a secret a
@@ -61,6 +62,9 @@ MAX_RUNS = 4_000
 AS_FOUND = MAX_RUNS // 10
 #: Pieces without a secret that one text gives at most, of either class.
 A_TEXT = 8
+#: Texts are cut into pieces in the order of their hash, as far as pieces are
+#: missing: these shares of all hashes at a time, the last up to the end.
+ROUNDS = (1 / 32, 1 / 4, 1)
 FEATURES = 1 << 12
 EPOCHS, RATE, DECAY = 120, 0.3, 1e-3
 
@@ -70,6 +74,11 @@ TURN = re.compile(r"[0-9]|[a-z][A-Z]")
 #: What a text is made of: tokens, other signs, line ends.
 ITEM = re.compile(r"[0-9A-Za-z_+/.\-]+|[^\s0-9A-Za-z_+/.\-]|\n")
 TOKEN = re.compile(r"[0-9A-Za-z_+/.\-]")
+#: Signs of a token by class; two classes side by side that are a turn of its shape.
+CLASSES = dict.fromkeys(map(ord, string.ascii_lowercase), "a") | dict.fromkeys(map(ord, string.ascii_uppercase), "A")
+CLASSES |= dict.fromkeys(map(ord, string.digits), "0") | dict.fromkeys(map(ord, "_+/.-"), "_")
+TURNS = ("aA", "0a", "0A", "0_", "a0", "A0", "_0")
+HEXED = re.compile("[0-9a-f]+|[0-9A-F]+")
 #: Alphabets of the values that training also shows; of letters alone only in their place.
 MIXED_SIGNS = string.ascii_letters + string.digits
 ALPHABETS = (MIXED_SIGNS, string.ascii_uppercase + string.digits, MIXED_SIGNS + "+/", string.hexdigits[:16], string.digits + "ABCDEF")
@@ -85,6 +94,8 @@ BEFORE, AFTER = 4, 2
 PIECE, BESIDE = 8, 4
 #: Words whose scores a task keeps.
 KNOWN_WORDS = 1 << 18
+#: Kinds of neighbours that have a bound of their own.
+NEAR_KINDS = 40
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -97,7 +108,7 @@ def base_spans(text: str) -> list[Span]:
         out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST_VALUE]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
-    if EVERY_THIRD.search(text[::3]) or EVERY_THIRD.search(text[1::3]) or EVERY_THIRD.search(text[2::3]):
+    if EVERY_THIRD.search(text[::3]):
         out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(out)
 
@@ -135,30 +146,42 @@ def _has_mixed(text: str) -> bool:
     return any(LONG.search(text, max(0, m.start() - reach), m.end() + reach) for m in TURN.finditer(text))
 
 
-@lru_cache(1 << 16)
-def shape_features(word: str) -> tuple[int, ...]:
-    n = len(word)
-    lower, upper = sum("a" <= c <= "z" for c in word), sum("A" <= c <= "Z" for c in word)
-    digits = sum("0" <= c <= "9" for c in word)
-    signs = n - lower - upper - digits
-    makeup = f"{lower > 0:d}{upper > 0:d}{digits > 0:d}{signs > 0:d}"
-    turns = sum(a.isdigit() != b.isdigit() or (a.islower() and b.isupper()) for a, b in zip(word, word[1:]))
-    hexed = bool(re.fullmatch("[0-9a-f]+|[0-9A-F]+", word))
+def shape(word: str) -> tuple:
+    """What the features of a token's shape hang on: its signs by class, their
+    turns and spread, and what stands in front."""
+    n, classes = len(word), word.translate(CLASSES)
+    lower, upper, digits = map(classes.count, "aA0")
+    makeup = (lower > 0, upper > 0, digits > 0, lower + upper + digits < n)
+    turns = sum(map(classes.count, TURNS)) if digits or upper else 0
+    hexed = HEXED.fullmatch(word) is not None
+    dots = (min(3, word.count(".")), min(2, word.count("-")), min(2, word.count("/"))) if makeup[3] else (0, 0, 0)
+    head = 2 if word.startswith("AKIA") else int(word[:2].isalpha())
+    return makeup, min(n, 64) // 4, min(n, 48) // 8, 4 * digits // n, min(6, 8 * turns // n), int(2 * _entropy(word)), hexed, n >= 24, dots, head
+
+
+@lru_cache(1 << 14)
+def _shape_slots(makeup, length, eighth, digits, turns, entropy, hexed, long, dots, head) -> tuple[int, ...]:
+    made = "".join(str(int(m)) for m in makeup)
     out = [
         "bias",
-        f"makeup {makeup}",
-        f"length {min(n, 64) // 4}",
-        f"makeup {makeup} length {min(n, 48) // 8}",
-        f"digits {4 * digits // n}",
-        f"turns {min(6, 8 * turns // n)}",
-        f"entropy {int(2 * _entropy(word))}",
-        f"hex {hexed} {n >= 24}",
-        f"dots {min(3, word.count('.'))} {min(2, word.count('-'))} {min(2, word.count('/'))}",
-        f"head {'AKIA' if word.startswith('AKIA') else makeup if word[:2].isalpha() else 'other'}",
+        f"makeup {made}",
+        f"length {length}",
+        f"makeup {made} length {eighth}",
+        f"digits {digits}",
+        f"turns {turns}",
+        f"entropy {entropy}",
+        f"hex {hexed} {long}",
+        f"dots {dots[0]} {dots[1]} {dots[2]}",
+        f"head {('other', made, 'AKIA')[head]}",
     ]
     return tuple(map(_slot, out))
 
 
+@lru_cache(1 << 16)
+def shape_features(word: str) -> tuple[int, ...]:
+    return _shape_slots(*shape(word))
+
+
 def token_features(items: list[str], at: int, file: list[str], context: bool = True) -> list[int]:
     """Feature numbers of the token ``items[at]``: shape, neighbours, file."""
     out = []
@@ -240,10 +263,21 @@ class Field:
         """Whether no tags can score more than outside everywhere: a token that
         leaves it gains at most its scores, the best step there and the best
         step back."""
+        gain, (first, later) = _gain(emit), self.gains
+        return bool((gain[:1] + first < -1e-9).all() and (gain[1:] + later < -1e-9).all())
+
+    @cached_property
+    def gains(self) -> tuple[float, float]:
+        """What steps can add to a token that leaves outside: the first of a
+        chain, and a later one."""
         step = self.step - self.step[OUTSIDE, OUTSIDE]
-        gain = emit[:, [BEGIN, INSIDE]].max(axis=1) - emit[:, OUTSIDE] + max(0.0, *step[[BEGIN, INSIDE], OUTSIDE])
-        gain[1:] += step[:, [BEGIN, INSIDE]].max()
-        return bool((gain < -1e-9).all())
+        back = max(0.0, *step[[BEGIN, INSIDE], OUTSIDE])
+        return back, back + step[:, [BEGIN, INSIDE]].max()
+
+
+def _gain(scores: np.ndarray) -> np.ndarray:
+    """What the better tag of a secret has more than outside."""
+    return np.maximum(scores[..., BEGIN], scores[..., INSIDE]) - scores[..., OUTSIDE]
 
 
 IS_TOKEN, IS_TRIGGER, IS_MIXED = 1, 2, 4
@@ -258,15 +292,21 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.kinds: dict[str, int] = {}
+        #: words by their first place; the last ones may not be learned yet
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.learned = 0
+        self.kinds = {kind: k for k, kind in enumerate(("word", "upper", "mixed", "number"))}
         self.joints: dict[tuple[int, int], np.ndarray] = {}
         self.plain: dict[tuple, int] = {}
+        self.plain_gains: dict[tuple, float] = {}
+        self.shaped: dict[tuple, int] = {}
         self.bits: dict[tuple, float] = {}
-        #: scores of shapes, and of each word its row there, its kind and flags
+        #: scores of shapes, and of each word its row there (-1: not looked at), its kind and flags
         self.rows, self.used = np.zeros((1024, 3)), 0
         self.shape, self.kind, self.flags = (np.zeros(1024, t) for t in (np.int64, np.int64, np.uint8))
         self.beside = np.zeros((0, BEFORE + AFTER, 3))
+        #: of each word what its shape gains outside of `outside` at most, and its class among its neighbours
+        self.gain, self.among = np.zeros(1024), np.zeros(1024, np.int64)
 
     def row(self, score: np.ndarray | float) -> int:
         if self.used == len(self.rows):
@@ -291,47 +331,119 @@ class Scorer:
             self.plain[key] = self.row(self.field.emit[list(shape_features(word))].sum(axis=0))
         return self.plain[key]
 
-    def learn(self, words: list[str]) -> None:
-        start, shapes, kinds, flags = len(self.number), [], [], []
+    def plain_gain(self, word: str) -> float:
+        """What :meth:`plain_shape` gains at most, by length and capital."""
+        key = n, upper = min(len(word), 64), word[0].isupper()
+        if key not in self.plain_gains:
+            spread = range(int(2 * math.log2(min(n, 27)) + 1e-6) + 1)
+            ways = [
+                _shape_slots((True, upper, False, False), n // 4, min(n, 48) // 8, 0, 0, e, hexed, n >= 24, (0, 0, 0), 1)
+                for e in spread
+                for hexed in (False, not upper)
+            ]
+            self.plain_gains[key] = max(float(_gain(self.field.emit[list(w)].sum(axis=0))) for w in ways)
+        return self.plain_gains[key]
+
+    def any_shape(self, word: str) -> int:
+        """The row of the shape of any token."""
+        key = shape(word)
+        if key not in self.shaped:
+            self.shaped[key] = self.row(self.field.emit[list(_shape_slots(*key))].sum(axis=0))
+        return self.shaped[key]
+
+    def learn(self) -> None:
+        """Looks at the words that have a number, but no scores yet."""
+        start, end = self.learned, len(self.number)
+        shapes, kinds, flags, gains = [], [], [], []
+        words = list(islice(reversed(self.number), end - start))[::-1]
         both = "\n".join(words)
         some = not both.isascii() or _has_trigger(both)
-        plain = self.kinds.setdefault("word", len(self.kinds))
         for w in words:
-            self.number[w] = len(self.number)
             trigger = some and TRIGGER.search(w) is not None
-            if w.isascii() and w.isalpha() and w[1:].islower():
-                if not trigger:
-                    shapes.append(self.plain_shape(w))
-                    kinds.append(plain)
-                    flags.append(IS_TOKEN)
-                    continue
-                token, mixed, kind, shape = True, False, "word", self.plain_shape(w)
-            else:
-                token = TOKEN.match(w) is not None
-                mixed, kind = token and _mixed(w), _kind(w)
-                shape = self.row(self.field.emit[list(shape_features(w))].sum(axis=0) if token else 0.0)
+            plain = w.isascii() and w.isalpha() and w[1:].islower()
+            if plain and not trigger:
+                shapes.append(-1)
+                kinds.append(0)
+                flags.append(IS_TOKEN)
+                gains.append(self.plain_gain(w))
+                continue
+            token = plain or TOKEN.match(w) is not None
+            row = self.plain_shape(w) if plain else self.any_shape(w) if token else self.row(0.0)
             if token and trigger:
-                shape = self.row(self.rows[shape] + self.weight("trigger inside"))
-            shapes.append(shape)
-            kinds.append(self.kinds.setdefault(kind, len(self.kinds)))
-            flags.append(IS_TOKEN * token | IS_TRIGGER * trigger | IS_MIXED * mixed)
-        end = len(self.number)
+                row = self.row(self.rows[row] + self.weight("trigger inside"))
+            shapes.append(row)
+            kinds.append(self.kinds.setdefault(_kind(w), len(self.kinds)))
+            flags.append(IS_TOKEN * token | IS_TRIGGER * trigger | IS_MIXED * (token and _mixed(w)))
+            gains.append(float(_gain(self.rows[row])) if token else -math.inf)
         while end > len(self.kind):
-            self.shape, self.kind, self.flags = (np.concatenate((x, np.zeros_like(x))) for x in (self.shape, self.kind, self.flags))
-        self.shape[start:end], self.kind[start:end], self.flags[start:end] = shapes, kinds, flags
+            own = (self.shape, self.kind, self.flags, self.gain, self.among)
+            self.shape, self.kind, self.flags, self.gain, self.among = (np.concatenate((x, np.zeros_like(x))) for x in own)
+        self.shape[start:end], self.kind[start:end], self.flags[start:end], self.gain[start:end] = shapes, kinds, flags, gains
+        self.among[start:end] = 1 + 2 * np.minimum(self.kind[start:end], NEAR_KINDS) + ((self.flags[start:end] & IS_TRIGGER) > 0)
+        self.learned = end
         more = list(self.kinds)[len(self.beside) :]
         names = [f"before {k} " for k in range(BEFORE)] + [f"after {k} " for k in range(AFTER)]
         if more:
             self.beside = np.concatenate((self.beside, [[self.weight(n + x) for n in names] for x in more]))
-
-    def scores(self, text: str, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of the tokens, and which items these are."""
+            self.bound_neighbours()
+
+    def bound_neighbours(self) -> None:
+        """What two neighbours add to a token's gain at most, by their classes
+        (none, or kind and trigger): those next before it, the two before
+        these, and those after it. Kinds beyond ``NEAR_KINDS`` share a class that
+        adds as much as any feature can."""
+        known = min(len(self.beside), NEAR_KINDS)
+        most = max(0.0, float(_gain(self.field.emit).max()))
+        wide = 2 * NEAR_KINDS + 3
+        place = np.zeros((BEFORE + AFTER, wide, 3))
+        place[:, 1:, 1:] = most
+        again = self.weight("trigger")
+        for k in range(BEFORE + AFTER):
+            own = self.beside[:known, k]
+            place[k, 1 : 1 + 2 * known : 2] = own
+            place[k, 2 : 2 + 2 * known : 2] = own + self.weight(f"trigger {k}") + again if k < BEFORE else own
+        joint = np.zeros((NEAR_KINDS + 2, NEAR_KINDS + 2, 3))
+        joint[..., 1:] = most
+        for first in range(known + 1):
+            for second in range(known + 1 if first else 1):
+                joint[second, first] = self.joint(first, second)
+        kind = (np.arange(wide) + 1) // 2
+        joint = joint[kind[:, None], kind]
+        # classes stand in the order of the text: the second before the first
+        self.before = _gain(place[1][:, None] + place[0] + joint).ravel()
+        self.further = _gain(place[3][:, None] + place[2]).ravel()
+        self.after = _gain(place[4][:, None] + place[5]).ravel()
+
+    def ids(self, items: list[str]) -> np.ndarray:
         if len(self.number) > KNOWN_WORDS:
             self.forget()
-        new = [w for w in dict.fromkeys(items) if w not in self.number]
-        if new:
-            self.learn(new)
         ids = np.fromiter(map(self.number.__getitem__, items), np.int64, len(items))
+        if len(self.number) > self.learned:
+            self.learn()
+        return ids
+
+    def surely_outside(self, text: str, ids: np.ndarray) -> bool:
+        """Whether a bound on each token's gain shows that all are outside; if
+        not, the scores tell."""
+        mixed = int(np.count_nonzero(self.flags[ids] & IS_MIXED))
+        gain = self.gain[ids]
+        among = np.zeros(len(ids) + BEFORE + AFTER, np.int64)
+        among[BEFORE:-AFTER] = self.among[ids]
+        pair = among[:-1] * (2 * NEAR_KINDS + 3) + among[1:]
+        n = len(ids)
+        gain += self.before[pair[BEFORE - 2 : n + BEFORE - 2]]
+        gain += self.further[pair[:n]]
+        gain += self.after[pair[BEFORE + 1 : n + BEFORE + 1]]
+        gain += _gain(sum(map(self.weight, file_features(text, mixed))))
+        first, later = self.field.gains
+        return bool((gain[:1] + first < -1e-9).all() and (gain[1:] + later < -1e-9).all())
+
+    def scores(self, text: str, items: list[str], ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the tokens, and which items these are."""
+        if ids is None:
+            ids = self.ids(items)
+        for k in np.flatnonzero(self.shape[ids] < 0).tolist():
+            self.shape[ids[k]] = self.plain_shape(items[k])
         kind, flags = self.kind[ids], self.flags[ids]
         out = self.rows[self.shape[ids]]
         trigger = (flags & IS_TRIGGER) > 0
@@ -363,7 +475,10 @@ class Scorer:
         items = ITEM.findall(text)
         if self.field.emit is None or not items:
             return []
-        emit, tokens = self.scores(text, items)
+        ids = self.ids(items)
+        if self.surely_outside(text, ids):
+            return []
+        emit, tokens = self.scores(text, items, ids)
         if not len(tokens) or self.field.all_outside(emit):
             return []
         tags = dict(zip(tokens.tolist(), self.field.best(emit)))
@@ -440,35 +555,37 @@ ARROW_PIECE = pa.schema(
 
 
 class Sample:
-    """Pieces of texts, of each kind the ``limit`` with the smallest picks. A
-    pick starts with the hash of the text, so once the kinds are full a text
-    beyond their last ones needn't be cut into pieces at all."""
+    """Pieces of texts, of each kind as many as its limit, with the smallest
+    picks. A pick starts with the hash of the text, so once the kinds are full a
+    text beyond their last ones needn't be cut into pieces at all."""
 
-    def __init__(self, limit: int):
-        self.limit = limit
+    def __init__(self, limits: Sequence[int]):
+        self.limits = limits
         self.kept: list[dict[int, tuple]] = [{}, {}, {}]
-        self.most = [math.inf] * 3
+        self.most = [math.inf if limit else -1 for limit in limits]
 
     def wants(self, kind: int, text_hash: int) -> bool:
         return text_hash << 31 <= self.most[kind]
 
     def add(self, kind: int, pick: int, row: tuple) -> None:
-        kept = self.kept[kind]
+        kept, limit = self.kept[kind], self.limits[kind]
         kept[pick] = min(row, kept.get(pick, row))
-        if len(kept) >= self.limit + 1000:
-            self.kept[kind] = dict(sorted(kept.items())[: self.limit])
+        if len(kept) >= limit + 1000:
+            self.kept[kind] = dict(sorted(kept.items())[:limit])
             self.most[kind] = max(self.kept[kind], default=-1)
 
     def rows(self) -> list[tuple]:
-        return [(pick, kind, *row) for kind in range(3) for pick, row in sorted(self.kept[kind].items())[: self.limit]]
+        return [(pick, kind, *row) for kind in range(3) for pick, row in sorted(self.kept[kind].items())[: self.limits[kind]]]
 
 
 def add_pieces(text: str, sample: Sample) -> None:
     """Cuts a text into pieces: each secret with its neighbours, and of what
     lies between them ``A_TEXT`` of either class, chosen by their hash."""
-    spans = value_spans(text)
     text_hash = zlib.crc32(text.encode()) >> 1
     wanted = [sample.wants(kind, text_hash) for kind in range(3)]
+    if not any(wanted):
+        return
+    spans = value_spans(text)
     wanted[SECRET] &= bool(spans)
     trigger = (wanted[MIXED] or wanted[PLAIN]) and _has_trigger(text)
     wanted[MIXED] &= trigger or _has_mixed(text)
@@ -548,26 +665,43 @@ def drawn_anew(draw: random.Random, items: list[str], first: int, tags: list[int
 def training_runs(docs: DataFrame, limit: int = MAX_RUNS, as_found: int = AS_FOUND) -> list[tuple[list[list[int]], list[int]]]:
     """``limit`` pieces of each kind, over all documents: of the secret ones
     ``as_found`` at most, and then these with values drawn anew. Copies of a
-    text count once."""
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = Sample(limit)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                add_pieces(text, sample)
-        rows = sample.rows()
-        for k in range(0, len(rows), 5000):
-            columns = zip(*rows[k : k + 5000])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, ARROW_PIECE)], schema=ARROW_PIECE)
-
-    labelled = docs.select(text_or_empty().alias("text")).mapInArrow(label, PIECE_SCHEMA)
-    # three bounded heads; each task keeps `limit` rows of its own
+    text count once.
+
+    The pieces with the smallest picks are taken, and a pick starts with the
+    hash of the text. So texts are cut by ranges of their hash, and those of a
+    further range only while some kind has fewer pieces than it may: no piece
+    of them could be taken otherwise."""
+
+    def cut(missing: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sample = Sample(missing)
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    add_pieces(text, sample)
+            rows = sample.rows()
+            for k in range(0, len(rows), 5000):
+                columns = zip(*rows[k : k + 5000])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, ARROW_PIECE)], schema=ARROW_PIECE)
+
+        return label
+
+    texts = docs.select(text_or_empty().alias("text"))
+    place = F.shiftright(F.crc32(F.col("text").cast("binary")), 1)
     piece = F.min(F.struct("items", "first", "tags", "file")).alias("piece")
-    once = stored(labelled.groupBy("pick", "kind").agg(piece), "secret-runs")
-    heads = {
-        kind: once.where(F.col("kind") == kind).orderBy("pick").limit(as_found if kind == SECRET else limit).select("pick", "piece.*").collect()
-        for kind in (SECRET, MIXED, PLAIN)
-    }
+    most = {SECRET: as_found, MIXED: limit, PLAIN: limit}
+    heads: dict[int, list] = {kind: [] for kind in most}
+    low = 0
+    for share in ROUNDS:
+        missing = [most[kind] - len(heads[kind]) for kind in range(3)]
+        if not any(missing):
+            break
+        high = int(share * (1 << 31))
+        labelled = texts.where((place >= low) & (place < high)).mapInArrow(cut(missing), PIECE_SCHEMA)
+        # bounded heads; each task keeps as many rows of its own
+        once = stored(labelled.groupBy("pick", "kind").agg(piece), "secret-runs")
+        for kind in (k for k in range(3) if missing[k]):
+            heads[kind] += once.where(F.col("kind") == kind).orderBy("pick").limit(missing[kind]).select("pick", "piece.*").collect()
+        low = high
     out: list[tuple[list[list[int]], list[int]]] = []
 
     def show(items: list[str], first: int, tags: list[int], file: list[str], context: bool) -> None:

@@ -178,3 +178,56 @@ def test_recall_of_other_makes(spark, sf):
     print(sf, found, false)
     assert min(found.values()) >= 0.9, found
     assert false <= 20, false
+
+
+def test_plain_text_is_settled_by_a_bound(trained, monkeypatch):
+    _, field = trained
+    scorer = S.Scorer(field)
+    prose = "Some plain words of a text, which go on for a while.\nNothing else is here; no number, no sign."
+    monkeypatch.setattr(S.Scorer, "scores", lambda *_: pytest.fail("scored word by word"))
+    assert scorer.secrets(prose) == []
+
+
+def test_bound_is_never_below_the_scores(trained, monkeypatch):
+    _, field = trained
+    draw = random.Random(21)
+    signs = [chr(c) for c in range(0x2190, 0x2190 + S.NEAR_KINDS + 20)]
+    bits = ["word", "Word", "aaaa", "UPPER", "pwd", "mytoken", "12", "é", "\n", ":", "=", '"', "a", "x9", "mail.a@b.c", "q8ZkR2mW4xT7bN1vC5yL9pH3", "deadbeef00"]
+    for kinds in (bits[:3], bits, bits + signs):
+        scorer, settled = S.Scorer(field), 0
+        for _ in range(800):
+            text = " ".join(draw.choice(kinds) for _ in range(draw.randint(1, 12)))
+            items = S.ITEM.findall(text)
+            ids = scorer.ids(items)
+            if scorer.surely_outside(text, ids):
+                settled += 1
+                emit, _ = scorer.scores(text, items, ids)
+                assert not len(emit) or field.all_outside(emit), text
+        assert settled or kinds is not bits[:3]
+    monkeypatch.setattr(S, "KNOWN_WORDS", 5)
+    few = S.Scorer(field)
+    for text in ("one two three four five six seven", "auth bearer q8ZkR2mW4xT7bN1vC5yL9pH3 end", "one two"):
+        assert few.secrets(text) == S.Scorer(field).secrets(text)
+
+
+def test_texts_are_cut_only_while_pieces_are_missing(make_docs, monkeypatch):
+    draw = random.Random(22)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=7))
+    texts = [f"{word()} {word()} {word()}" + draw.choice(["", f" AB12{word()}9x", f" token: {word()}1"]) for _ in range(400)]
+    docs = make_docs([*enumerate(texts), *enumerate(texts[:50], 1000), (2000, None), (2001, "")])
+    asked, stored = [], S.stored
+    monkeypatch.setattr(S, "stored", lambda df, name: asked.append(name) or stored(df, name))
+    monkeypatch.setattr(S, "ROUNDS", (1,))
+    whole = [S.training_runs(docs, *limits) for limits in ((1000, 100), (10, 3))]
+    assert len(asked) == 2
+    monkeypatch.setattr(S, "ROUNDS", (1 / 2, 3 / 4, 1))
+    assert S.training_runs(docs, 1000, 100) == whole[0] and len(asked) == 5
+    assert S.training_runs(docs, 10, 3) == whole[1] and len(asked) == 6
+
+
+def test_hex_runs_wherever_they_stand():
+    for lead in range(7):
+        for n in (23, 24, 25, 40):
+            text = "xyz-:. "[:lead] + "0123456789abcdef"[:8] * 5
+            text = text[: lead + n] + " end"
+            assert [s for s in S.base_spans(text) if s[1] == 2] == ([(lead, 2, lead + n)] if n >= 24 else [])
