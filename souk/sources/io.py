@@ -87,16 +87,33 @@ def _one_line(c: Column) -> Column:
     return c
 
 
+#: What doubled backslashes and a written NUL are for a while when they are
+#: read: a line holds no NUL, so one stands here for nothing else.
+_HELD = {"\\\\": ("\u0000b", "\\"), _ESCAPES[_READ_NULL_MARKER]: ("\u0000z", _READ_NULL_MARKER)}
+
+
 def _many_lines(c: Column) -> Column:
     """Undoes :func:`_one_line`: between doubled backslashes, which are found
-    from left to right, a single one starts an escape."""
-
+    from left to right, a single one starts an escape. The doubled ones are put
+    aside first, so plain replacements do; a foreign value that holds a NUL is
+    split at them."""
+    read = c
+    for written, (held, _) in _HELD.items():
+        read = F.replace(read, F.lit(written), F.lit(held))
+    for sign in "\n\r":
+        read = F.replace(read, F.lit(_ESCAPES[sign]), F.lit(sign))
+    for held, sign in _HELD.values():
+        read = F.replace(read, F.lit(held), F.lit(sign))
+    return F.when(~c.contains("\\"), c).when(c.contains(_READ_NULL_MARKER), _split_lines(c)).otherwise(read)
+
+
+def _split_lines(c: Column) -> Column:
     def read(part: Column) -> Column:
         for sign, written in _ESCAPES.items():
             part = F.replace(part, F.lit(written), F.lit(sign))
         return part
 
-    return F.when(c.contains("\\"), F.array_join(F.transform(F.split(c, r"\\\\"), read), "\\")).otherwise(c)
+    return F.array_join(F.transform(F.split(c, r"\\\\"), read), "\\")
 
 
 def read_table(

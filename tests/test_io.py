@@ -110,3 +110,18 @@ def test_text_profile_does_not_depend_on_files(spark):
     want = (3, 2 + 1 + 1, len("a b,x") + len("\tc,") + len(",") + 3, "s,t")
     for n in (1, 3):
         assert tuple(text_profile(df.repartition(n)).first()) == want
+
+
+def test_escapes_of_foreign_lines_are_read_as_before(spark):
+    values = ["\\", "a\\q", "\\\\n", "\\\\\\n", "\\n\\r\\0", "\\\\b\\0z", "\x00b\\n", "\x00z\\\\", "plain", "", None, "\\\\\\\\", "b\\0b\\\\z"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+
+    def plain(v):
+        parts = v.split("\\\\")
+        return "\\".join(p.replace("\\n", "\n").replace("\\r", "\r").replace("\\0", "\x00") for p in parts)
+
+    read = df.select("v", io._many_lines(F.col("v")).alias("r")).collect()
+    assert [r.r for r in read] == [v if v is None or "\\" not in v else plain(v) for v in values]
+    # only a value that holds a NUL is split
+    plan = df.select(io._many_lines(F.col("v")))._jdf.queryExecution().analyzed().toString()
+    assert plan.index("WHEN Contains(v") < plan.index("split(v") < plan.index("ELSE replace(")
